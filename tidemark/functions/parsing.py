@@ -54,7 +54,7 @@ def parse_aggregator_weight(text: Column) -> Column:
 def classify_asset(asset_name: Column) -> Column:
     """Struct of asset_type, stock_code and stock_name read from a printed asset name."""
     name = F.trim(asset_name)
-    pattern = r"(?is)\A(.+?)\((\d{4})\.TW\)\z"
+    pattern = r"(?i)\A(.+?)\((\d{4})\.TW\)\z"
     code = F.nullif(F.regexp_extract(name, pattern, 2), F.lit(""))
     lowered = F.lower(name)
     kind = F.when(code.isNotNull(), F.lit("stock"))
