@@ -9,13 +9,24 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
+from pyspark.sql import WindowSpec
 from pyspark.sql import functions as F
 
 from tidemark.params import DEFAULT, Params
 
-_POSITION = W.partitionBy("etf_code", "stock_code").orderBy("date")
-_BEFORE = _POSITION.rowsBetween(W.unboundedPreceding, -1)
-_UPTO = _POSITION.rowsBetween(W.unboundedPreceding, W.currentRow)
+
+def _frame(end: int) -> WindowSpec:
+    """All rows of the position up to ``end`` rows from the current one, by date."""
+    position = W.partitionBy("etf_code", "stock_code").orderBy("date")
+    return position.rowsBetween(W.unboundedPreceding, end)
+
+
+def _before() -> WindowSpec:
+    return _frame(-1)
+
+
+def _upto() -> WindowSpec:
+    return _frame(W.currentRow)
 
 
 def _last(condition: Column, fields: list[Column], frame) -> Column:
@@ -35,7 +46,7 @@ def with_own_date_streaks(paired: DataFrame, params: Params = DEFAULT) -> DataFr
     old_weight = F.when(follows, F.col("was.weight")).otherwise(0.0)
     old_shares = F.when(follows, F.col("was.shares"))
     framed = paired.withColumn(
-        "was", _last(held, [ti.alias("ti"), weight.alias("weight"), shares.alias("shares")], _BEFORE)
+        "was", _last(held, [ti.alias("ti"), weight.alias("weight"), shares.alias("shares")], _before())
     )
     moved = (
         framed.withColumn("follows", follows)
@@ -53,7 +64,7 @@ def with_own_date_streaks(paired: DataFrame, params: Params = DEFAULT) -> DataFr
         # A run that starts after a gap is anchored one date before its first row.
         return F.max(
             F.when(held & other, ti).when(held & ~F.col("follows"), ti - 1)
-        ).over(_UPTO)
+        ).over(_upto())
 
     kinds = {"wa": ("weight_dir", 1), "wr": ("weight_dir", -1), "sa": ("share_dir", 1), "sr": ("share_dir", -1)}
     anchored = moved.select("*", *[anchor(*kind).alias(f"{name}_anchor") for name, kind in kinds.items()])
@@ -63,7 +74,7 @@ def with_own_date_streaks(paired: DataFrame, params: Params = DEFAULT) -> DataFr
         )
     closed = anchored.withColumn(
         "gone",
-        _last(held, [ti.alias("ti"), weight.alias("weight"), F.col("wa").alias("wa"), F.col("wr").alias("wr")], _BEFORE),
+        _last(held, [ti.alias("ti"), weight.alias("weight"), F.col("wa").alias("wa"), F.col("wr").alias("wr")], _before()),
     )
     # A stock sold since the fund's own last date: its weight fell to zero.
     just_gone = ~held & F.coalesce(F.col("gone.ti") == ti - 1, F.lit(False))
@@ -92,7 +103,7 @@ def with_flow_streaks(timed: DataFrame, params: Params = DEFAULT) -> DataFrame:
     link = F.col("compared") & F.col("date_valid")
     sides = {"add": "is_active_add", "reduce": "is_active_reduce"}
     out = timed.withColumn(
-        "pred", _last(link, [F.col("date"), *[F.col(flag) for flag in sides.values()]], _BEFORE)
+        "pred", _last(link, [F.col("date"), *[F.col(flag) for flag in sides.values()]], _before())
     )
     for side, flag in sides.items():
         on = F.col(flag) == 1
@@ -106,7 +117,7 @@ def with_flow_streaks(timed: DataFrame, params: Params = DEFAULT) -> DataFrame:
     out = out.select(
         "*",
         *[
-            _last(link & ~F.col(f"{s}_goes_on"), [F.col("vi"), F.col(f"{s}_base").alias("base")], _UPTO).alias(
+            _last(link & ~F.col(f"{s}_goes_on"), [F.col("vi"), F.col(f"{s}_base").alias("base")], _upto()).alias(
                 f"{s}_start"
             )
             for s in sides
@@ -115,7 +126,7 @@ def with_flow_streaks(timed: DataFrame, params: Params = DEFAULT) -> DataFrame:
     for side in sides:
         start = F.col(f"{side}_start")
         out = out.withColumn(f"{side}_run", start["base"] + F.col("vi") - start["vi"])
-    out = out.withColumn("last_runs", _last(link, [F.col(f"{s}_run") for s in sides], _BEFORE))
+    out = out.withColumn("last_runs", _last(link, [F.col(f"{s}_run") for s in sides], _before()))
     for side in sides:
         out = out.withColumn(
             f"consecutive_active_{side}_days",
