@@ -239,3 +239,112 @@ select date, observation_type, position, subject, name, value::double as value f
   select date, 'mover_concentration', row_number() over (partition by date order by n desc, p), etf_code, '', n from busy b
   where (select max(n) from busy c where c.date = b.date) >= 3)
 where position <= 3 and date in (select date from dates where prev_date is not null)""", "value")
+
+answer("trading_day", "select s.d::varchar as date, trading::bigint as trading from ship_days s join trading t using (d)")
+answer("last_trading_day", """
+select s.d::varchar as date, (select max(t.d) from trading t where t.trading and t.d between s.d - 9 and s.d)::varchar as last_trading_day from ship_days s""")
+answer("expected_data_date", """
+select event_id, local::date::varchar as run_date, (select max(t.d) from run_trading t where t.trading
+       and t.d between case when hour(local) < 15 then local::date - 1 else local::date end - 9
+                   and case when hour(local) < 15 then local::date - 1 else local::date end)::varchar as expected_data_date
+from runs""")
+STAMPS = "'2002-01-01 00:00:00'"
+answer("universe_upsert", f"""
+select code, name, case when k % 5 = 0 then 'New issuer' else issuer end as issuer, market, isin, case when k % 5 = 0 then null else listing_date end as listing_date,
+       retired::bigint as retired, '1995-01-01' as first_seen_date, {STAMPS} as created_at, case when k % 5 = 0 then '2002-02-02 00:00:00' else {STAMPS} end as updated_at
+from universe
+union all
+select 'X' || s_suppkey, 'X' || s_suppkey, null, null, null, '2001-01-01', 0, null, '2002-02-02 00:00:00', '2002-02-02 00:00:00' from supplier where s_suppkey % 4 = 0""")
+answer("retire", f"""
+select code, (case when k % 9 = 0 then 1 else retired end)::bigint as retired, case when k % 9 = 0 then '2002-02-02 00:00:00' else {STAMPS} end as updated_at from universe""")
+answer("universe_reconcile", f"""
+select u.code, u.name, u.issuer, case when f.code is null then u.market else 'TWSE' end as market, coalesce(f.isin, u.isin) as isin,
+       coalesce(f.listing_date, u.listing_date) as listing_date, u.retired::bigint as retired, '1995-01-01' as first_seen_date, {STAMPS} as created_at,
+       case when f.code is null then {STAMPS} else '2002-02-02 00:00:00' end as updated_at, case when f.code is null then 'kept' else 'updated' end as action
+from universe u left join found f on f.code = u.code
+union all
+select f.code, f.name, null, 'TWSE', f.isin, f.listing_date, 0, '2001-10-01', '2002-02-02 00:00:00', '2002-02-02 00:00:00', 'inserted'
+from found f where f.code not in (select code from universe)""")
+answer("retirement_candidates", """
+with recent as (select distinct date from all_rows where date <= '2001-10-01' order by date desc limit 2)
+select code, 'retirement_candidate' as outcome from scope
+where code not in (select code from found) and not excluded and listing_date <= (select min(date) from recent)
+  and code not in (select etf_code from all_rows where date in (select date from recent))""")
+answer("discovery_filter", """
+select * from listed where contains(name, '主動') and code like '%A' and (
+  regexp_matches(replace(name || ' ' || coalesce(isin, ''), '中國信託', ''), '台灣|臺灣|台股|臺股')
+  or not regexp_matches(replace(name || ' ' || coalesce(isin, ''), '中國信託', ''), '境外|海外|全球|美國|日本|中國|越南|印度|歐洲|亞洲'))""")
+answer("discovery_status", """
+with m as (select distinct market from universe union select r_name from region)
+select m.market, count(l.code) as securities, (count(l.code) > 0)::bigint as completed,
+       (select bool_and(market in (select market from listed)) from m)::bigint as discovery_complete
+from m left join listed l using (market) group by 1""")
+
+answer("snapshot_arbitration", "select candidate_id, stored as stored_source_type, decision, (decision = 'replace')::bigint as inserted from judged")
+answer("snapshot_equivalence", """
+select candidate_id, stored as existing_source_type, existing_found::bigint as existing_snapshot_found, weight_delta as weight_delta_pct_points,
+       same::bigint as equivalent from judged""", "weight_delta_pct_points")
+answer("dedupe_rows", "select candidate_id, count(*) as row_count from cand group by 1")
+answer("split_assets", "select candidate_id, count(*) as rows, case when asset_type = 'stock' then 'stock' else 'non_stock' end as kind from cand group by 1, 3")
+answer("min_weight_gate", """
+with g as (
+  select candidate_id, count(*) as n0, count(stock_code) as s0,
+         count(*) filter (where asset_type <> 'stock' or weight_pct >= 1.0) as n1, count(stock_code) filter (where weight_pct >= 1.0) as s1
+  from cand group by 1),
+v as (select *, case when n0 < 5 then 'fewer_than_5_rows' when s0 < 5 then 'fewer_than_5_taiwan_stock_rows' else 'ok' end as r0,
+             case when n1 < 5 then 'fewer_than_5_rows' when s1 < 5 then 'fewer_than_5_taiwan_stock_rows' else 'ok' end as r1 from g)
+select candidate_id, (r0 = 'ok' and r1 = 'ok')::bigint as valid, case when r0 <> 'ok' then r0 when r1 <> 'ok' then 'post_filter_invalid_snapshot:' || r1 else 'ok' end as reason,
+       n1 as row_count, s1 as stock_count from v""")
+answer("weight_warning", "select candidate_id, source_total_weight, weight_warning from warned", "source_total_weight")
+answer("row_count_history", """
+select date, etf_code, source_type, n as stock_rows,
+       avg(n) over (partition by etf_code, source_type order by date rows between 5 preceding and 1 preceding) as mean_rows from stock_counts""", "mean_rows")
+answer("row_count_check", """
+select candidate_id, mean_rows, case when source_type like 'moneydj%' then mean_rows * 0.6::double end as minimum_expected,
+       coalesce(source_type like 'moneydj%' and stock_count < mean_rows * 0.6::double, false)::bigint as low_confidence
+from prof join means using (candidate_id, run_date)""", "mean_rows minimum_expected")
+answer("candidate_selection", """
+select run_date, etf_code, run_date as target_date, choice, candidate_id, chosen_source_type, warning as row_count_warning from outcome""")
+answer("scrape_outcome", "select run_date, etf_code, candidate_id, data_date, outcome, outcome_reason from outcome")
+answer("stale_decision", """
+select o.run_date, o.etf_code, o.candidate_id, o.outcome, same::bigint as equivalent,
+       case when o.outcome = 'stale' and coalesce(same, false) then 'skip_rewrite' else decision end as decision
+from outcome o join judged j using (run_date, candidate_id) where o.outcome <> 'failed'""")
+answer("run_summary", """
+select run_date, count(*) as total_etfs, count(*) filter (where outcome <> 'failed' and chosen_source_type like 'moneydj%') as aggregator_success,
+       count(*) filter (where outcome <> 'failed' and chosen_source_type not like 'moneydj%') as official_success,
+       count(*) filter (where outcome = 'failed') as failed, count(*) filter (where outcome = 'success') as fresh, count(*) filter (where outcome = 'stale') as stale,
+       count(*) filter (where outcome = 'failed') as unknown, coalesce(sum(stock_count) filter (where outcome <> 'failed'), 0)::bigint as total_stock_rows,
+       coalesce(sum(non_stock_count) filter (where outcome <> 'failed'), 0)::bigint as total_non_stock_rows, count(warning) as row_count_warnings,
+       min(data_date) filter (where outcome <> 'failed') as data_date_min, max(data_date) filter (where outcome <> 'failed') as data_date_max,
+       (select count(weight_warning) from warned w where w.run_date = o.run_date) as weight_warnings
+from outcome o group by 1""")
+answer("preexisting_partition", """
+select e.date, e.etf_code, case when c.etf_code is null then 'to_load' else 'preexisting' end as status
+from elig e join universe u on u.code = e.etf_code and u.retired = 0 left join canon c on c.date = e.date and c.etf_code = e.etf_code""")
+answer("config_text_map", """
+select code, (case when k % 25 = 24 then 0 else 2 end)::bigint as entries, case when k % 25 <> 24 then k::varchar end as fund_no,
+       case when k % 25 <> 24 then 'zh' end as lang from universe""")
+answer("classify_asset", """
+select p_partkey, n as asset_name, case when regexp_matches(n, '\\(\\d{4}\\.tw\\)$') then 'stock' when contains(lower(n), 'cash') then 'cash'
+         when contains(lower(n), 'futures') or contains(n, '期貨') then 'futures' when contains(lower(n), 'options') or contains(n, '選擇權') then 'options'
+         when contains(lower(n), 'bond') or contains(n, '債') then 'bond' else 'unknown' end as asset_type,
+       case when p_partkey % 6 = 0 then '1' || lpad((p_partkey % 1000)::varchar, 3, '0') end as stock_code,
+       case when p_partkey % 6 = 0 then 'STK' || p_partkey end as stock_name
+from (select p_partkey, list_extract(['STK' || p_partkey || '(1' || lpad((p_partkey % 1000)::varchar, 3, '0') || '.tw)', 'Cash USD', '台指 期貨', 'TX Options',
+                                      '公司債', p_name], (p_partkey % 6 + 1)::int) as n from part)""")
+answer("parse_numbers", """
+select p_partkey, case p_partkey % 6 when 0 then floor(p_retailprice) * 1000 when 4 then 0.0 when 5 then floor(p_retailprice) end::double as number,
+       case p_partkey % 6 when 0 then floor(p_retailprice) * 1000 when 3 then p_retailprice when 4 then 0.0 when 5 then floor(p_retailprice) end::double as weight,
+       case p_partkey % 6 when 0 then floor(p_retailprice) * 1000 when 3 then p_retailprice when 4 then 0.004 when 5 then floor(p_retailprice) end::double as aggregator_weight
+from part""", "number weight aggregator_weight")
+LANDED = "payload_id, date, etf_code, stock_code, stock_name, shares, weight_pct"
+answer("json_payload_rows", f"select {LANDED} from landed where k % 7 in (0, 1, 2) or (k % 7 = 3 and k % 14 <> 10)", "shares weight_pct")
+answer("payload_rejects", "select distinct payload_id, etf_code, 'headered_table' as format, 'etf_mismatch' as reject from landed where k % 14 = 10")
+answer("html_table_rows", f"""
+select {LANDED}, asset_name, asset_type from landed where k % 7 in (4, 6)
+union all
+select distinct payload_id, date, etf_code, null, null, null::double, 5.0::double, 'Cash & equivalents', 'cash' from landed where k % 7 = 6""", "shares weight_pct")
+answer("text_block_rows", f"select {LANDED} from landed where k % 7 = 5", "shares weight_pct")
+answer("security_master_rows", "select * from listed")
+answer("payload_date", "select distinct payload_id, date as data_date from landed where k % 7 in (4, 5, 6)")

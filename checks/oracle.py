@@ -27,7 +27,11 @@ def with_steps(sql: str) -> str:
     visit(sql)
     steps = ",\n".join(f"{n} as materialized (\n{s}\n)" if n != "flow_run" else f"{n} as (\n{s}\n)"
                        for n, s in CTES.items() if n in needed)
-    return f"with recursive {steps}\n{sql.strip()}" if steps else sql.strip()
+    sql = sql.strip()
+    if not steps:
+        return sql
+    own = sql[len("with "):] if sql.startswith("with ") else None
+    return f"with recursive {steps},\n{own}" if own else f"with recursive {steps}\n{sql}"
 
 
 def final(sql: str, doubles: str = "") -> str:
@@ -572,3 +576,124 @@ select * from (
   from intent where window_days = 5 and primary_intent_state not in ('neutral', 'insufficient_data'))
 where position <= 8
 """)
+
+# --- Calendar, discovery, landed inputs -----------------------------------------------
+
+cte("ship_days", "select distinct cast(l_shipdate as date) as d from lineitem")
+cte("all_days", """
+select unnest(generate_series((select min(d) from ship_days) - interval 10 day, (select max(d) from ship_days)::timestamp, interval 1 day))::date as d
+""")
+cte("trading", """
+select d, isodow(d) < 6 and strftime(d, '%m%d') not in ('0101', '0228', '0404', '0501', '1010')
+          and not (year(d) % 2 = 0 and strftime(d, '%m%d') = '0702') as trading from all_days
+""")
+cte("runs", "select event_id, ts + interval 8 hour as local from events")
+cte("run_days", """
+select unnest(generate_series((select min(ts)::date from events) - interval 10 day, (select max(ts)::date from events) + interval 1 day, interval 1 day))::date as d
+""")
+cte("run_trading", """
+select d, isodow(d) < 6 and strftime(d, '%m%d') not in ('0101', '0228', '0404', '0501', '1010')
+          and not (year(d) % 2 = 0 and strftime(d, '%m%d') = '0702') as trading from run_days
+""")
+cte("found", """
+select case when s_suppkey % 7 = 1 then 'Z' || s_suppkey else 'F' || lpad(s_suppkey::varchar, 5, '0') end as code,
+       'Found ' || s_suppkey as name, case when s_suppkey % 2 = 0 then 'ISIN' || s_suppkey end as isin,
+       case when s_suppkey % 11 = 0 then '1999-09-09' end as listing_date
+from supplier where s_suppkey % 3 <> 0 and s_suppkey % 20 <> 19
+""")
+cte("listed", """
+select case when s_suppkey % 2 = 0 then 'TWSE' else 'TPEx' end as market,
+       lpad(s_suppkey::varchar, 5, '0') || case when s_suppkey % 5 = 0 then 'B' else 'A' end as code,
+       list_extract(['主動台灣優選', '主動全球科技', '主動中國信託台股', '被動高息', '主動中國信託海外', '主動價值'], (s_suppkey % 6 + 1)::int) as name,
+       case when s_suppkey % 7 <> 0 then 'TW' || s_suppkey end as isin,
+       cast(date '1995-01-01' + (s_suppkey % 500)::int as varchar) as listing_date
+from supplier
+""")
+cte("cand", """
+select date || '|' || etf_code || '|' || source_type as candidate_id,
+       case when k % 4 = 1 then cast((date::date + interval 3 month)::date as varchar) else date end as run_date, * exclude (k)
+from (
+  select * replace (case when k % 8 = 3 and source_type = 'moneydj_primary' then 'moneydj_browser' else source_type end as source_type)
+  from (select *, substr(etf_code, 2)::bigint as k from all_rows)
+  where not (k % 8 = 3 and source_type = 'moneydj_primary' and coalesce(stock_code::int, 1) % 7 = 0))
+""")
+cte("prof", """
+select candidate_id, run_date, any_value(date) as data_date, any_value(etf_code) as etf_code, any_value(source_type) as source_type,
+       count(*) as row_count, count(stock_code) as stock_count, count(*) - count(stock_code) as non_stock_count,
+       round(sum(weight_pct), 10) as total_weight, coalesce(count(shares)::double / nullif(count(stock_code), 0), 0.0) as shares_coverage,
+       case when count(*) < 5 then 'fewer_than_5_rows' when count(stock_code) < 5 then 'fewer_than_5_taiwan_stock_rows' else 'ok' end as reason
+from cand where asset_type <> 'stock' or weight_pct >= 0.01 group by 1, 2
+""")
+cte("against", """
+select p.*, c.source_type as stored, c.stock_count as c_count, c.total_weight as c_weight,
+       row(coalesce(a.priority, 10), p.stock_count, p.shares_coverage, p.non_stock_count, p.source_type) as mine,
+       row(c.priority, c.stock_count, c.shares_coverage, c.non_stock_count, c.source_type) as theirs
+from prof p left join priority a on a.source_type = p.source_type
+left join canon c on c.date = p.data_date and c.etf_code = p.etf_code
+""")
+cte("judged", """
+select *, case when reason <> 'ok' then 'invalid_snapshot:' || reason
+               when stored is not null and stored <> source_type and mine < theirs then 'existing_higher_priority_source_preserved'
+               else 'replace' end as decision,
+       reason = 'ok' and stored is not null as existing_found,
+       case when reason = 'ok' and stored is not null then round(abs(total_weight - c_weight), 10) end as weight_delta,
+       case when reason = 'ok' and stored is not null then stock_count = c_count and round(abs(total_weight - c_weight), 10) < 1.0 end as same
+from against
+""")
+cte("stock_counts", "select date, etf_code, source_type, count(*) as n from holdings group by 1, 2, 3")
+cte("means", """
+select p.candidate_id, p.run_date,
+       (select avg(n) from (select n from stock_counts s where s.etf_code = p.etf_code and s.source_type = p.source_type and s.date < p.data_date
+                            order by date desc limit 5)) as mean_rows
+from prof p
+""")
+cte("offer", """
+select p.*, m.mean_rows, case when p.source_type like 'moneydj%' then m.mean_rows end as minimum,
+       case p.source_type when 'moneydj_primary' then 1 when 'moneydj_browser' then 2 when 'official_fallback' then 3
+            when 'official_browser' then 3 else 4 end as ch
+from prof p join means m using (candidate_id, run_date) where p.reason = 'ok'
+""")
+cte("asked", "select distinct run_date, etf_code from prof")
+cte("best_agg", """
+select * from (select *, row_number() over (partition by run_date, etf_code order by ch, data_date desc) as n from offer where ch <= 2) where n = 1
+""")
+cte("best_off", """
+select * from (select *, row_number() over (partition by run_date, etf_code order by ch, data_date desc) as n from offer where ch >= 3) where n = 1
+""")
+cte("picked", """
+select *, case when rule in ('agg', 'failed', 'stale', 'equal', 'lower') then 'aggregator' when rule = 'none' then 'none' else 'official' end as choice,
+       case rule when 'none' then 'all sources failed' when 'failed' then 'low_row_count_official_fallback_failed'
+            when 'stale' then 'low_row_count_official_fallback_stale' when 'equal' then 'low_row_count_confirmed_by_fallback'
+            when 'lower' then 'low_row_count_official_fallback_lower_row_count' when 'still_low' then 'low_row_count_official_fallback_still_low' end as warning
+from (
+  select q.run_date, q.etf_code, a.candidate_id as aid, a.source_type as asrc, o.candidate_id as oid, o.source_type as osrc,
+         case when a.candidate_id is null and o.candidate_id is not null then 'off' when a.candidate_id is null then 'none'
+              when a.data_date < q.run_date and o.data_date = q.run_date then 'renewed'
+              when not coalesce(a.stock_count < a.minimum, false) then 'agg'
+              when o.candidate_id is null then 'failed'
+              when o.data_date < a.data_date then 'stale'
+              when o.stock_count = a.stock_count then 'equal'
+              when o.stock_count > a.stock_count then case when o.stock_count >= a.minimum then 'more' else 'still_low' end
+              else 'lower' end as rule
+  from asked q left join best_agg a using (run_date, etf_code) left join best_off o using (run_date, etf_code))
+""")
+cte("outcome", """
+select k.run_date, k.etf_code, k.choice, k.warning, case k.choice when 'aggregator' then aid when 'official' then oid end as candidate_id,
+       case k.choice when 'aggregator' then asrc when 'official' then osrc end as chosen_source_type,
+       p.data_date, p.stock_count, p.non_stock_count, p.total_weight,
+       case when k.choice = 'none' or p.data_date > k.run_date then 'failed' when p.data_date < k.run_date then 'stale' else 'success' end as outcome,
+       case when k.choice = 'none' then 'all sources failed' when p.data_date > k.run_date then 'source_date_after_expected_data_date'
+            when p.data_date < k.run_date then 'source_date_before_expected_data_date' end as outcome_reason
+from picked k left join prof p on p.run_date = k.run_date and p.candidate_id = case k.choice when 'aggregator' then aid when 'official' then oid end
+""")
+cte("warned", """
+select candidate_id, run_date, round(total_weight, 2) as source_total_weight,
+       case when source_type like 'moneydj%' and round(total_weight, 2) < 70 then 'total_weight_below_expected_range'
+            when source_type like 'moneydj%' and round(total_weight, 2) > 140 then 'total_weight_above_expected_range'
+            when source_type like 'official%' and round(total_weight, 2) < 20 then 'total_weight_below_expected_range'
+            when source_type like 'official%' and round(total_weight, 2) > 110 then 'total_weight_above_expected_range' end as weight_warning
+from prof where reason = 'ok'
+""")
+cte("landed", """
+select date || '|' || etf_code || '|' || source_type as payload_id, *, substr(etf_code, 2)::bigint as k from holdings
+""")

@@ -560,3 +560,271 @@ def _(h):
 @query("observations")
 def _(h):
     return h.observations
+
+
+# --- C: calendar, discovery, maintenance ----------------------------------------------
+
+from tidemark.functions import parsing as Z  # noqa: E402
+from tidemark.operators import calendar as K  # noqa: E402
+from tidemark.operators import ingest as G  # noqa: E402
+from tidemark.sources import payloads as B  # noqa: E402
+
+NOW = "2002-02-02 00:00:00"
+
+
+def _now():
+    return F.lit(NOW).cast("timestamp")
+
+
+def _trading(spark, sf_dir):
+    days = generated.ship_days(spark, sf_dir)
+    calendar = K.full_calendar(days)
+    return days, K.trading_days(calendar, generated.holidays(calendar))
+
+
+@raw_query("trading_day")
+def _(spark, sf_dir, h):
+    days, _ = _trading(spark, sf_dir)
+    return K.trading_days(days, generated.holidays(days))
+
+
+@raw_query("last_trading_day")
+def _(spark, sf_dir, h):
+    days, calendar = _trading(spark, sf_dir)
+    return K.last_trading_day(calendar).join(days, "date", "left_semi").select("date", "last_trading_day")
+
+
+@raw_query("expected_data_date")
+def _(spark, sf_dir, h):
+    events = generated.read(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("run_at"))
+    # A run may fall on the next day where the data is published.
+    local_days = events.select(F.explode(F.array(F.to_date("run_at"), F.date_add(F.to_date("run_at"), 1))).alias("date"))
+    calendar = K.full_calendar(local_days.distinct())
+    last = K.last_trading_day(K.trading_days(calendar, generated.holidays(calendar)))
+    return K.expected_data_date(events, last).select("event_id", "run_date", "expected_data_date")
+
+
+UNIVERSE_OUT = ("code", "name", "issuer", "market", "isin", "listing_date", "retired", "first_seen_date",
+                "created_at", "updated_at")
+
+
+@raw_query("universe_upsert")
+def _(spark, sf_dir, h):
+    key = F.col("s_suppkey")
+    text = F.lit(None).cast("string")
+    supplier = generated.read(spark, sf_dir, "supplier")
+    known = supplier.where(key % 5 == 0).select(
+        F.lower(generated.fund_code(key)).alias("code"),
+        F.array(F.lit("issuer"), F.lit("listing_date")).alias("present"),
+        text.alias("name"), F.lit("New issuer").alias("issuer"), F.lit(None).cast("date").alias("listing_date"))
+    new = supplier.where(key % 4 == 0).select(
+        F.concat(F.lit("x"), key.cast("string")).alias("code"), F.array(F.lit("listing_date")).alias("present"),
+        text.alias("name"), text.alias("issuer"), F.lit("2001-01-01").cast("date").alias("listing_date"))
+    return U.universe_upsert(h.tables.universe, known.unionByName(new), _now()).select(*UNIVERSE_OUT)
+
+
+@raw_query("retire")
+def _(spark, sf_dir, h):
+    codes = h.tables.universe.where(F.substring("code", 2, 5).cast("int") % 9 == 0).select(F.lower("code").alias("code"))
+    return U.retire(h.tables.universe, codes, _now()).select("code", "retired", "updated_at")
+
+
+def _discovered(spark, sf_dir):
+    key = F.col("s_suppkey")
+    return generated.read(spark, sf_dir, "supplier").where((key % 3 != 0) & (key % 20 != 19)).select(
+        F.when(key % 7 == 1, F.concat(F.lit("z"), key.cast("string"))).otherwise(F.lower(generated.fund_code(key))).alias("code"),
+        F.concat(F.lit("Found "), key.cast("string")).alias("name"), F.lit(None).cast("string").alias("issuer"),
+        F.lit("TWSE").alias("market"), F.when(key % 2 == 0, F.concat(F.lit("ISIN"), key.cast("string"))).alias("isin"),
+        F.when(key % 11 == 0, F.lit("1999-09-09").cast("date")).alias("listing_date"))
+
+
+@raw_query("universe_reconcile")
+def _(spark, sf_dir, h):
+    seen = F.lit("2001-10-01").cast("date")
+    return U.universe_reconcile(h.tables.universe, _discovered(spark, sf_dir), seen, _now()).select(
+        *UNIVERSE_OUT, "action")
+
+
+@raw_query("retirement_candidates")
+def _(spark, sf_dir, h):
+    unconfirmed = h.tables.universe.withColumn("retired", F.lit(0))
+    return U.retirement_candidates(unconfirmed, _discovered(spark, sf_dir), h.snapshots, F.lit("2001-10-01").cast("date"))
+
+
+@raw_query("discovery_filter")
+def _(spark, sf_dir, h):
+    return U.discovery_filter(generated.securities(spark, sf_dir))
+
+
+@raw_query("discovery_status")
+def _(spark, sf_dir, h):
+    markets = h.tables.universe.select("market").union(generated.read(spark, sf_dir, "region").select("r_name"))
+    return U.discovery_status(generated.securities(spark, sf_dir), markets)
+
+
+# --- B, I: arbitration and ingest -----------------------------------------------------
+
+GATE = DEFAULT.__class__(min_weight=1.0)
+
+
+def _candidates(h):
+    return generated.candidates(h.tables.holdings, h.tables.non_stock)
+
+
+def _profiles(h):
+    if not hasattr(h, "_profiles"):
+        h._profiles = h.staging.keep(G.candidate_profiles(_candidates(h)), "candidate_profiles")
+    return h._profiles
+
+
+def _counts(h):
+    return G.stored_row_counts(h.tables.holdings)
+
+
+def _selection(h):
+    # A strict ratio, so that thinned candidates of ordinary size count as low.
+    strict = DEFAULT.__class__(low_row_count_ratio=1.0)
+    checked = G.row_count_check(_profiles(h), _counts(h), strict)
+    return G.candidate_selection(checked.withColumn("target_date", F.col("run_date")))
+
+
+def _outcomes(h):
+    return G.scrape_outcome(_selection(h), _profiles(h))
+
+
+@query("snapshot_arbitration")
+def _(h):
+    return P.arbitrate(_profiles(h), h.canonical).select("candidate_id", "stored_source_type", "decision", "inserted")
+
+
+@query("snapshot_equivalence")
+def _(h):
+    return P.equivalence(_profiles(h), h.canonical).select(
+        "candidate_id", "existing_source_type", "existing_snapshot_found", "weight_delta_pct_points", "equivalent")
+
+
+@query("dedupe_rows")
+def _(h):
+    rows = _candidates(h)
+    twice = rows.unionByName(rows.where(generated.fund_number() % 3 == 0))
+    return G.dedupe_rows(twice).groupBy("candidate_id").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@query("split_assets")
+def _(h):
+    stock, other = G.split_assets(_candidates(h))
+    a = stock.groupBy("candidate_id").agg(F.count(F.lit(1)).alias("rows")).withColumn("kind", F.lit("stock"))
+    b = other.groupBy("candidate_id").agg(F.count(F.lit(1)).alias("rows")).withColumn("kind", F.lit("non_stock"))
+    return a.unionByName(b)
+
+
+@query("min_weight_gate")
+def _(h):
+    return G.candidate_profiles(_candidates(h), params=GATE).select("candidate_id", "valid", "reason", "row_count", "stock_count")
+
+
+@query("weight_warning")
+def _(h):
+    return G.weight_warning(_profiles(h)).select("candidate_id", "source_total_weight", "weight_warning")
+
+
+@query("row_count_history")
+def _(h):
+    return G.row_count_history(_counts(h))
+
+
+@query("row_count_check")
+def _(h):
+    return G.row_count_check(_profiles(h), _counts(h)).select("candidate_id", "mean_rows", "minimum_expected", "low_confidence")
+
+
+@query("candidate_selection")
+def _(h):
+    return _selection(h)
+
+
+@query("scrape_outcome")
+def _(h):
+    return _outcomes(h).select("run_date", "etf_code", "candidate_id", "data_date", "outcome", "outcome_reason")
+
+
+@query("stale_decision")
+def _(h):
+    return G.store_decision(_outcomes(h), h.canonical).select("run_date", "etf_code", "candidate_id", "outcome", "equivalent", "decision")
+
+
+@query("run_summary")
+def _(h):
+    return G.run_summary(_outcomes(h), G.weight_warning(_profiles(h)))
+
+
+@query("preexisting_partition")
+def _(h):
+    live = h.tables.universe.where("retired = 0").select(F.col("code").alias("etf_code"))
+    return G.preexisting_partition(h.eligible.join(live, "etf_code", "left_semi"), h.canonical)
+
+
+@query("config_text_map")
+def _(h):
+    parsed = h.tables.universe.withColumn("m", Z.config_map(F.col("official_logic")))
+    return parsed.select("code", F.size("m").alias("entries"), F.try_element_at("m", F.lit("fund_no")).alias("fund_no"),
+                         F.try_element_at("m", F.lit("lang")).alias("lang"))
+
+
+@raw_query("classify_asset")
+def _(spark, sf_dir, h):
+    key = F.col("p_partkey")
+    names = F.array(
+        F.concat(F.lit("STK"), key.cast("string"), F.lit("(1"), F.lpad((key % 1000).cast("string"), 3, "0"), F.lit(".tw)")),
+        F.lit("Cash USD"), F.lit("台指 期貨"), F.lit("TX Options"), F.lit("公司債"), F.col("p_name"))
+    named = generated.read(spark, sf_dir, "part").withColumn("asset_name", F.element_at(names, (key % 6 + 1).cast("int")))
+    return named.withColumn("c", Z.classify_asset(F.col("asset_name"))).select("p_partkey", "asset_name", "c.*")
+
+
+@raw_query("parse_numbers")
+def _(spark, sf_dir, h):
+    key = F.col("p_partkey")
+    whole = F.floor("p_retailprice")
+    texts = F.array(F.format_number(whole * 1000, 0), F.lit("-"), F.lit("n/a"), F.concat(F.col("p_retailprice").cast("string"), F.lit("%")),
+                    F.lit("0"), F.concat(F.lit("  "), whole.cast("string"), F.lit(" ")))
+    shown = generated.read(spark, sf_dir, "part").withColumn("shown", F.element_at(texts, (key % 6 + 1).cast("int")))
+    return shown.select("p_partkey", Z.parse_number(F.col("shown")).alias("number"), Z.parse_weight(F.col("shown")).alias("weight"),
+                        Z.parse_aggregator_weight(F.when(key % 6 != 2, F.col("shown"))).alias("aggregator_weight"))
+
+
+ROW_OUT = ("payload_id", "date", "etf_code", "stock_code", "stock_name", "shares", "weight_pct")
+
+
+def _payloads(h):
+    return generated.payloads(h.tables.holdings)
+
+
+@query("json_payload_rows")
+def _(h):
+    return B.json_payload_rows(_payloads(h)).select(*ROW_OUT)
+
+
+@query("payload_rejects")
+def _(h):
+    return B.payload_rejects(_payloads(h))
+
+
+@query("html_table_rows")
+def _(h):
+    landed = _payloads(h)
+    return B.html_table_rows(landed).unionByName(B.aggregator_table_rows(landed)).select(*ROW_OUT, "asset_name", "asset_type")
+
+
+@query("text_block_rows")
+def _(h):
+    return B.text_block_rows(_payloads(h)).select(*ROW_OUT)
+
+
+@raw_query("security_master_rows")
+def _(spark, sf_dir, h):
+    return B.security_master_rows(generated.market_pages(generated.securities(spark, sf_dir)))
+
+
+@query("payload_date")
+def _(h):
+    return B.payload_dates(_payloads(h).where(F.col("format").isin("html_table", "text_block", "aggregator_table")))

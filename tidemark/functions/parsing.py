@@ -100,4 +100,4 @@ def strip_tags(html: Column) -> Column:
         ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"),
     ):
         text = F.replace(text, F.lit(entity), F.lit(char))
-    return F.trim(F.regexp_replace(text, r"\s+", " "))
+    return F.regexp_replace(F.regexp_replace(text, r"\s+", " "), r"(?U)\A\s+|\s+\z", "")

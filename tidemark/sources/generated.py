@@ -124,3 +124,203 @@ def universe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tables(spark: SparkSession, sf_dir: str) -> Tables:
     stock_rows = holdings(spark, sf_dir)
     return Tables(stock_rows, non_stock(stock_rows), universe(spark, sf_dir))
+
+
+# --- Landed inputs --------------------------------------------------------------------
+
+
+def fund_number() -> Column:
+    return F.substring("etf_code", 2, 10).cast("bigint")
+
+
+def candidates(stock_rows: DataFrame, other_rows: DataFrame) -> DataFrame:
+    """One landed candidate per snapshot, with late runs, another channel and thinned rows.
+
+    Every fourth fund is collected a quarter late; every eighth comes through the browser
+    channel, which misses the stocks whose code divides by seven.
+    """
+    k = fund_number()
+    late = k % 4 == 1
+    browser = (k % 8 == 3) & (F.col("source_type") == "moneydj_primary")
+    rows = stock_rows.unionByName(other_rows, allowMissingColumns=True)
+    thinned = browser & (F.coalesce(F.col("stock_code").cast("int"), F.lit(1)) % 7 == 0)
+    channel = F.when(browser, "moneydj_browser").otherwise(F.col("source_type"))
+    return (
+        rows.where(~thinned)
+        .withColumn("source_type", channel)
+        .withColumn("candidate_id", F.concat_ws("|", F.col("date").cast("string"), "etf_code", "source_type"))
+        .withColumn("run_date", F.when(late, F.add_months("date", 3)).otherwise(F.col("date")))
+        .select(
+            "candidate_id", "run_date", "date", "etf_code", "asset_name", "asset_type", "stock_code", "stock_name",
+            "shares", "weight_pct", "source_url", "source_type", "extraction_method",
+        )
+    )
+
+
+PAYLOAD_FORMATS = (
+    "object_list", "titled_table", "grouped_detail", "headered_table", "html_table", "text_block", "aggregator_table",
+)
+
+
+def payloads(stock_rows: DataFrame) -> DataFrame:
+    """Each snapshot rendered as the payload of one of the source formats.
+
+    A snapshot has at most STOCK_BUCKETS rows, so its rendering fits one row. Funds whose
+    number leaves 10 modulo 14 print a wrong identity.
+    """
+    k = fund_number()
+    shares = F.coalesce(F.col("shares").cast("bigint").cast("string"), F.lit("-")).alias("shares")
+    weight = F.col("weight_pct").cast("string").alias("weight")
+    item = F.struct(F.col("stock_code").alias("code"), F.col("stock_name").alias("name"), shares, weight)
+    base = (
+        stock_rows.groupBy("date", "etf_code", "source_type")
+        .agg(F.array_sort(F.collect_list(item)).alias("items"))
+        .withColumn("payload_id", F.concat_ws("|", F.col("date").cast("string"), "etf_code", "source_type"))
+        .withColumn("kind", F.element_at(F.array(*map(F.lit, PAYLOAD_FORMATS)), ((k % 7) + 1).cast("int")))
+        .withColumn("shown", F.when(k % 14 == 10, F.lit("WRONG")).otherwise(F.col("etf_code")))
+        .withColumn("day", F.date_format("date", "yyyy-MM-dd"))
+        .withColumn("slashed", F.date_format("date", "yyyy/MM/dd"))
+    )
+    items = F.col("items")
+
+    def each(render) -> Column:
+        return F.transform(items, render)
+
+    def text_lines(render, sep: str = "") -> Column:
+        return F.array_join(F.transform(items, render), sep)
+
+    arrays = each(lambda x: F.array(x["code"], x["name"], x["shares"], x["weight"]))
+    object_list = F.to_json(
+        F.struct(
+            F.struct(
+                F.struct(F.col("day").alias("date2")).alias("pcf"),
+                each(
+                    lambda x: F.struct(
+                        x["code"].alias("stocNo"), x["name"].alias("stocName"), x["shares"].alias("share"),
+                        x["weight"].alias("weightRound"),
+                    )
+                ).alias("stocks"),
+            ).alias("data")
+        )
+    )
+    titled = F.to_json(
+        F.struct(
+            F.struct(
+                F.col("etf_code").alias("FundID"),
+                F.struct(
+                    F.struct(F.col("day").alias("NavDate")).alias("FundAsset"),
+                    F.array(
+                        F.struct(F.lit("現金").alias("TableTitle"), F.array(F.array(F.lit("1"), F.lit("x"), F.lit("1"), F.lit("1"))).alias("Rows")),
+                        F.struct(F.lit("股票").alias("TableTitle"), arrays.alias("Rows")),
+                    ).alias("Table"),
+                ).alias("Data"),
+            ).alias("Entries")
+        )
+    )
+    grouped = F.to_json(
+        F.struct(
+            F.struct(
+                F.array(F.struct(F.col("day").alias("資料日期"))).alias("FundAssets"),
+                F.array(
+                    F.struct(
+                        F.lit("STOCK").alias("Code"),
+                        each(
+                            lambda x: F.struct(
+                                x["code"].alias("code_"), x["name"].alias("name_"), x["shares"].alias("qty_"),
+                                F.concat(x["weight"], F.lit("%")).alias("weights_"),
+                            )
+                        ).alias("Data"),
+                    )
+                ).alias("FundAssetsDetail"),
+            ).alias("Data")
+        )
+    )
+    swapped = each(lambda x: F.array(x["name"], x["code"], x["weight"], x["shares"]))
+    headered = F.to_json(
+        F.struct(
+            F.lit(0).alias("StatusCode"),
+            F.struct(
+                F.col("shown").alias("CSecuritiesCode"),
+                F.concat(F.lit("N"), F.col("etf_code")).alias("CFundId"),
+                F.concat("day", F.lit("T00:00:00")).alias("CPcfdate"),
+                F.array(
+                    F.struct(
+                        F.lit("股票明細").alias("TableTitle"),
+                        F.array(
+                            *[F.struct(F.lit(n).alias("Name")) for n in ("股票名稱", "股票代號", "權重(%)", "持有股數")]
+                        ).alias("Columns"),
+                        swapped.alias("Rows"),
+                    )
+                ).alias("DynamicTableData"),
+            ).alias("Entries"),
+        )
+    )
+
+    def tr(*cells: Column) -> Column:
+        return F.concat(F.lit("<tr>"), *[F.concat(F.lit("<td>"), c, F.lit("</td>")) for c in cells], F.lit("</tr>"))
+
+    html = F.concat(
+        F.lit("<html><body><p>資料日期："), F.col("slashed"),
+        F.lit("</p><table><tr><th>證券代號</th><th>證券名稱</th><th>股數</th><th>投資比例</th></tr>"),
+        text_lines(lambda x: tr(F.concat(F.lit("<b>"), x["code"], F.lit("</b>")), x["name"], x["shares"], F.concat(x["weight"], F.lit(" %")))),
+        F.lit("</table></body></html>"),
+    )
+    text = F.concat(
+        F.lit("Fund holdings "), F.col("slashed"), F.lit("\n\n"),
+        text_lines(lambda x: F.concat_ws("\n", x["code"], x["name"], x["shares"], x["weight"]), "\n"),
+    )
+    aggregator = F.concat(
+        F.lit("<html><body>日期: "), F.col("slashed"), F.lit("<table class=\"datalist\"><tbody>"),
+        text_lines(lambda x: tr(F.concat(x["name"], F.lit("("), x["code"], F.lit(".TW)")), x["weight"], x["shares"])),
+        tr(F.lit("Cash &amp; equivalents"), F.lit("5.0"), F.lit("N/A")),
+        F.lit("</tbody></table></body></html>"),
+    )
+    bodies = dict(zip(PAYLOAD_FORMATS, (object_list, titled, grouped, headered, html, text, aggregator)))
+    body = F.lit(None).cast("string")
+    for kind, rendered in bodies.items():
+        body = F.when(F.col("kind") == kind, rendered).otherwise(body)
+    return base.select(
+        "payload_id", "etf_code", "source_type", F.col("kind").alias("format"),
+        F.concat(F.lit("N"), F.col("etf_code")).alias("expected_fund_no"), body.alias("body"),
+    )
+
+
+# Names given to generated listed securities, by supplier number modulo six.
+SECURITY_NAMES = ("主動台灣優選", "主動全球科技", "主動中國信託台股", "被動高息", "主動中國信託海外", "主動價值")
+
+
+def securities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("s_suppkey")
+    name = F.element_at(F.array(*map(F.lit, SECURITY_NAMES)), ((key % 6) + 1).cast("int"))
+    return read(spark, sf_dir, "supplier").select(
+        F.when(key % 2 == 0, "TWSE").otherwise("TPEx").alias("market"),
+        F.concat(F.lpad(key.cast("string"), 5, "0"), F.when(key % 5 == 0, "B").otherwise("A")).alias("code"),
+        name.alias("name"),
+        F.when(key % 7 != 0, F.concat(F.lit("TW"), key.cast("string"))).alias("isin"),
+        F.date_add(F.lit("1995-01-01").cast("date"), key.cast("int") % 500).alias("listing_date"),
+    )
+
+
+def market_pages(listed: DataFrame) -> DataFrame:
+    """Security master pages of a market, a hundred listings to a page."""
+    row = F.concat(
+        F.lit("<tr><td>"), "code", F.lit("　"), "name", F.lit("</td><td>"), F.coalesce("isin", F.lit("")),
+        F.lit("</td><td>"), F.date_format("listing_date", "yyyy/MM/dd"), F.lit("</td></tr>"),
+    )
+    page = F.floor(F.substring("code", 1, 5).cast("bigint") / 100)
+    return (
+        listed.withColumn("page", page).withColumn("row", row).groupBy("market", "page")
+        .agg(F.concat(F.lit("<table>"), F.array_join(F.array_sort(F.collect_list("row")), ""), F.lit("</table>")).alias("body"))
+    )
+
+
+def ship_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "lineitem").select(F.to_date("l_shipdate").alias("date")).distinct()
+
+
+def holidays(dates: DataFrame) -> DataFrame:
+    """Fixed closing days of every year in the dates, plus an override in even years."""
+    years = dates.select(F.year("date").alias("year")).distinct()
+    days = years.select("year", F.explode(F.array(*map(F.lit, ("0101", "0228", "0404", "0501", "1010")))).alias("mmdd"))
+    extra = years.where("year % 2 = 0").select("year", F.lit("0702").alias("mmdd"))
+    return days.withColumn("kind", F.lit("holiday")).unionByName(extra.withColumn("kind", F.lit("override")))
