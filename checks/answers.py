@@ -348,3 +348,24 @@ select distinct payload_id, date, etf_code, null, null, null::double, 5.0::doubl
 answer("text_block_rows", f"select {LANDED} from landed where k % 7 = 5", "shares weight_pct")
 answer("security_master_rows", "select * from listed")
 answer("payload_date", "select distinct payload_id, date as data_date from landed where k % 7 in (4, 5, 6)")
+
+answer("snapshot_sink", """
+with d as (
+  select j.data_date, j.etf_code, o.run_date, o.candidate_id, j.stored,
+         case when o.outcome = 'stale' and coalesce(same, false) then 'skip_rewrite' else decision end as decision
+  from outcome o join judged j using (run_date, candidate_id) where o.outcome <> 'failed')
+select r.date, r.etf_code, r.asset_name, r.stock_code, r.source_type, r.weight_pct
+from all_rows r left join d on d.data_date = r.date and d.etf_code = r.etf_code
+where d.decision is null or d.decision = 'skip_rewrite' or (d.decision = 'existing_higher_priority_source_preserved' and r.source_type = d.stored)
+union all
+select c.date, c.etf_code, c.asset_name, c.stock_code, c.source_type, c.weight_pct
+from cand c join d using (run_date, candidate_id) where d.decision = 'replace' and (c.asset_type <> 'stock' or c.weight_pct >= 0.01)""", "weight_pct")
+answer("derived_sink", f"select {CHANGE_KEY}, position_change_type, weight_delta_1d from chg", "weight_delta_1d")
+ANSWERS["report_sink"] = ANSWERS["change_summary"]
+answer("backfill", """
+select date, count(*) as change_rows, (select count(*) from sig s where s.date = c.date) as signal_rows from chg c
+where date between '1996-01-01' and '1997-12-31' group by 1""")
+RUN = f"{CHANGE_KEY}, prev_date, position_change_type, consecutive_add_days::bigint as consecutive_add_days, consecutive_active_add_days::bigint as consecutive_active_add_days, weight_delta_1d"
+answer("incremental_ingest", f"select {RUN} from chg where substr(etf_code, 2)::bigint % 14 <> 10", "weight_delta_1d")
+answer("late_snapshot", f"select {RUN} from chg", "weight_delta_1d")
+ANSWERS["stateful_streak"] = ANSWERS["flow_streak"]

@@ -828,3 +828,119 @@ def _(spark, sf_dir, h):
 @query("payload_date")
 def _(h):
     return B.payload_dates(_payloads(h).where(F.col("format").isin("html_table", "text_block", "aggregator_table")))
+
+
+# --- A, D17, K: sinks, backfill, incremental runs -------------------------------------
+
+import tempfile  # noqa: E402
+import uuid  # noqa: E402
+
+from tidemark.plans.backfill import backfill  # noqa: E402
+from tidemark.plans.staging import shared_dir  # noqa: E402
+from tidemark.sources import sinks  # noqa: E402
+from tidemark.streaming import incremental as N  # noqa: E402
+from tidemark.streaming import streaks as Y  # noqa: E402
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh folder for a query that writes: shared where the cluster names one."""
+    base = shared_dir(spark) or tempfile.mkdtemp(prefix="tidemark-")
+    return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+def _store(spark, root, h, stock=None, other=None):
+    sinks.snapshot_sink(h.tables.holdings if stock is None else stock, h.tables.non_stock if other is None else other, root)
+    sinks.table_sink(h.tables.universe, f"{root}/etf_universe")
+
+
+STORED = ("date", "etf_code", "asset_name", "stock_code", "source_type", "weight_pct")
+
+
+@raw_query("snapshot_sink")
+def _(spark, sf_dir, h):
+    root = scratch(spark, "snapshot-sink")
+    _store(spark, root, h)
+    stored = tables.read_tables(spark, root)
+    rows = G.min_weight_filter(_candidates(h).withColumn("scraped_at", F.lit(CREATED_AT).cast("timestamp")))
+    decisions = h.staging.keep(G.store_decision(_outcomes(h), h.canonical), "decisions")
+    stock, other = G.split_assets(rows)
+    merged = f"{root}/_merged"
+    sinks.snapshot_sink(G.merge_snapshots(stored.holdings, stock, decisions), G.merge_snapshots(stored.non_stock, other, decisions), merged)
+    sinks.snapshot_sink(
+        spark.read.schema(stored.holdings.schema).parquet(f"{merged}/etf_daily_holdings"),
+        spark.read.schema(stored.non_stock.schema).parquet(f"{merged}/etf_daily_non_stock_assets"), root)
+    again = tables.read_tables(spark, root)
+    return tables.scan_holdings(again.holdings, again.non_stock).select(*STORED)
+
+
+@raw_query("derived_sink")
+def _(spark, sf_dir, h):
+    root = scratch(spark, "derived-sink")
+    sinks.derived_sink(h.changes, root, "etf_holding_changes")
+    sinks.derived_sink(tables.range_filter(h.changes, "1998-01-01", "1999-12-31"), root, "etf_holding_changes")
+    return sinks.read_back(spark, f"{root}/etf_holding_changes", h.changes.schema).select(
+        *CHANGE_KEY, "position_change_type", "weight_delta_1d")
+
+
+@raw_query("report_sink")
+def _(spark, sf_dir, h):
+    root = scratch(spark, "report-sink")
+    section = R.change_summary(h.changes)
+    for stamp in ("20020101_000000", "20020102_000000"):
+        sinks.report_sink(section, root, "change_summary", stamp)
+    return sinks.read_back(spark, f"{root}/current/change_summary", section.schema)
+
+
+@raw_query("backfill")
+def _(spark, sf_dir, h):
+    root = scratch(spark, "backfill")
+    backfill(h, root, "1996-01-01", "1997-12-31", regenerate_signals=True)
+    changed = sinks.read_back(spark, f"{root}/etf_holding_changes", h.changes.schema).groupBy("date").agg(F.count(F.lit(1)).alias("change_rows"))
+    signals = S.to_storage(h.signals)
+    told = sinks.read_back(spark, f"{root}/etf_manager_signals", signals.schema).groupBy("date").agg(F.count(F.lit(1)).alias("signal_rows"))
+    return changed.join(told, "date", "left")
+
+
+@raw_query("incremental_ingest")
+def _(spark, sf_dir, h):
+    root = scratch(spark, "incremental")
+    landing = f"{root}/landing"
+    N.init_tables(spark, root, h.tables.universe)
+    landed = _payloads(h)
+    # The later half arrives first, the earlier half is late.
+    for early in (False, True):
+        half = landed.where((F.substring("payload_id", 1, 10) < "1998-07-01") == F.lit(early))
+        half.write.mode("append").parquet(landing)
+        N.incremental_ingest(spark, landing, root, f"{root}/checkpoint", signals=False).awaitTermination()
+    return sinks.read_back(spark, f"{root}/etf_holding_changes", h.changes.schema).select(
+        *CHANGE_KEY, "prev_date", "position_change_type", "consecutive_add_days", "consecutive_active_add_days", "weight_delta_1d")
+
+
+@raw_query("late_snapshot")
+def _(spark, sf_dir, h):
+    root = scratch(spark, "late")
+    late = (F.col("date") == F.lit("1999-01-01").cast("date")) & (generated.fund_number() % 2 == 1)
+    _store(spark, root, h, h.tables.holdings.where(~late), h.tables.non_stock.where(~late))
+    N.rebuild_from(spark, root, "1995-01-01", signals=False)
+    arrived = h.rows.where(late).withColumn("run_date", F.col("date")).withColumn(
+        "candidate_id", F.concat_ws("|", "etf_code", "source_type"))
+    N.process_candidates(spark, root, arrived, "late", signals=False)
+    return sinks.read_back(spark, f"{root}/etf_holding_changes", h.changes.schema).select(
+        *CHANGE_KEY, "prev_date", "position_change_type", "consecutive_add_days", "consecutive_active_add_days", "weight_delta_1d")
+
+
+@raw_query("stateful_streak")
+def _(spark, sf_dir, h):
+    from tidemark.operators.streaks import with_own_date_streaks
+
+    root = scratch(spark, "streak")
+    rows = with_own_date_streaks(C.with_position_change(h.measured)).where("compared").select(*Y.INPUT).withColumns(
+        {"date": F.col("date").cast("string"), "prev_date": F.col("prev_date").cast("string")})
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", Y.STATE_STORE)
+    # Two arrivals in date order; the state carries the runs across.
+    for late in (False, True):
+        rows.where((F.col("date") >= "1998-07-01") == F.lit(late)).write.mode("append").parquet(f"{root}/in")
+        stream = Y.stateful_streaks(spark.readStream.schema(rows.schema).parquet(f"{root}/in"))
+        (stream.writeStream.outputMode("append").option("checkpointLocation", f"{root}/checkpoint")
+         .trigger(availableNow=True).format("parquet").option("path", f"{root}/out").start().awaitTermination())
+    return spark.read.schema(stream.schema).parquet(f"{root}/out")
