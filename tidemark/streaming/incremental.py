@@ -59,21 +59,21 @@ def best_candidates(profiles: DataFrame) -> DataFrame:
 def store_candidates(spark: SparkSession, root: str, candidates: DataFrame, batch: str, params: Params = DEFAULT) -> DataFrame:
     """Arbitrate candidate rows against the stored dates and replace those dates.
 
-    Decisions and merged rows are first written beside the tables: the second table must not
+    Parsed rows, decisions and merged rows are first written beside the tables: the second table must not
     see what the first replacement changed, also not when a task is run again.
     """
     stored = read_tables(spark, root)
-    rows = min_weight_filter(dedupe_rows(candidates), params)
-    best = best_candidates(candidate_profiles(rows, params=params))
-    touched = best.select(F.col("data_date").alias("date")).distinct()
-    on_dates = scan_holdings(stored.holdings, stored.non_stock).join(F.broadcast(touched), "date", "left_semi")
-    canonical = canonical_snapshot(snapshot_profile(on_dates, params=params))
 
     def written(frame: DataFrame, name: str) -> DataFrame:
         path = f"{root}/_staging/{batch}/{name}"
         frame.write.mode("overwrite").parquet(path)
         return spark.read.schema(frame.schema).parquet(path)
 
+    rows = written(min_weight_filter(dedupe_rows(candidates), params), "rows")
+    best = best_candidates(candidate_profiles(rows, params=params))
+    touched = best.select(F.col("data_date").alias("date")).distinct()
+    on_dates = scan_holdings(stored.holdings, stored.non_stock).join(F.broadcast(touched), "date", "left_semi")
+    canonical = canonical_snapshot(snapshot_profile(on_dates, params=params))
     decisions = written(arbitrate(best, canonical), "decisions")
     stock, other = split_assets(rows)
     new_stock = written(merge_snapshots(stored.holdings, stock, decisions), "stock")
