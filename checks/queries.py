@@ -17,6 +17,7 @@ from tidemark.operators import signals as S
 from tidemark.operators import snapshots as P
 from tidemark.operators import traction as X
 from tidemark.operators import universe as U
+from tidemark.operators.streaks import with_streaks
 from tidemark.params import DEFAULT
 from tidemark.plans.history import History
 from tidemark.plans.staging import Staging
@@ -33,9 +34,10 @@ def history(spark: SparkSession, sf_dir: str) -> History:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _histories:
         _histories.clear()
+        staging = Staging(spark)
         _histories[key] = History(
-            generated.tables(spark, sf_dir),
-            staging=Staging(spark),
+            generated.tables(spark, sf_dir, staging.keep),
+            staging=staging,
             created_at=F.lit(CREATED_AT).cast("timestamp"),
         )
     return _histories[key]
@@ -273,9 +275,7 @@ def _(h):
 
 @query("share_streak")
 def _(h):
-    from tidemark.operators.streaks import with_own_date_streaks
-
-    timed = with_own_date_streaks(C.with_position_change(h.measured)).where("compared")
+    timed = with_streaks(C.with_position_change(h.measured)).where("compared")
     return timed.select(*CHANGE_KEY, "share_add_days", "share_reduce_days")
 
 
@@ -931,10 +931,8 @@ def _(spark, sf_dir, h):
 
 @raw_query("stateful_streak")
 def _(spark, sf_dir, h):
-    from tidemark.operators.streaks import with_own_date_streaks
-
     root = scratch(spark, "streak")
-    rows = with_own_date_streaks(C.with_position_change(h.measured)).where("compared").select(*Y.INPUT).withColumns(
+    rows = with_streaks(C.with_position_change(h.measured)).where("compared").select(*Y.INPUT).withColumns(
         {"date": F.col("date").cast("string"), "prev_date": F.col("prev_date").cast("string")})
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", Y.STATE_STORE)
     # Two arrivals in date order; the state carries the runs across.

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions.positions import active_delta, active_delta_pct, position_class
-from tidemark.operators.streaks import with_flow_streaks, with_own_date_streaks
+from tidemark.operators.streaks import with_streaks
 from tidemark.params import DEFAULT, Params
 
 CLASS_FIELDS = (
@@ -223,7 +223,7 @@ def holding_changes(ranked: DataFrame, dates: DataFrame, params: Params = DEFAUL
 
 def holding_changes_from_pairs(paired: DataFrame, params: Params = DEFAULT) -> DataFrame:
     classed = with_position_change(with_fund_measures(paired, params), params)
-    timed = with_flow_streaks(with_own_date_streaks(classed, params), params)
+    timed = with_streaks(classed, params)
     return timed.where("compared").select(
         *[
             F.coalesce(c, F.lit("")).alias(c) if c == "issuer" else F.col(c)

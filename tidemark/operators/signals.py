@@ -142,15 +142,18 @@ def with_freshness(groups: DataFrame) -> DataFrame:
     return joined.withColumn("signal_freshness", label).withColumn("freshness_reason", reason)
 
 
+def consensus_type() -> Column:
+    return F.concat(F.lit("consensus_"), F.col("direction"), F.lit("_3d"))
+
+
 def consensus_signals(groups: DataFrame, params: Params = DEFAULT) -> DataFrame:
     sign = F.when(F.col("direction") == "add", 1).otherwise(-1)
     strength = F.when(F.col("issuer_count") >= params.strong_consensus_issuers, 6.0).otherwise(4.0)
-    kind = F.concat(F.lit("consensus_"), F.col("direction"), F.lit("_3d"))
     return (
         with_freshness(groups)
-        .withColumn("signal_type", kind)
+        .withColumn("signal_type", consensus_type())
         .withColumn("signal_score", strength * sign)
-        .withColumn("explanation", kind)
+        .withColumn("explanation", consensus_type())
         .withColumn("confidence", _confidence())
         .select(*SIGNAL_COLUMNS, "ci", "direction")
     )
@@ -220,11 +223,12 @@ def signal_evidence(changes: DataFrame, params: Params = DEFAULT) -> DataFrame:
     days = change_dates(changes)
     events = side_events(changes, days, params)
     groups = consensus(events, days, params).select(*_GROUP, F.col("date").alias("signal_date"))
-    kind = F.concat(F.lit("consensus_"), F.col("direction"), F.lit("_3d"))
     joint = (
         spread(events.select("ci", "direction", *EVIDENCE), params)
         .join(groups, list(_GROUP))
-        .select("signal_date", kind.alias("signal_type"), F.lit(None).cast("string").alias("only_etf"), *EVIDENCE)
+        .select(
+            "signal_date", consensus_type().alias("signal_type"), F.lit(None).cast("string").alias("only_etf"), *EVIDENCE
+        )
     )
     single = single_signals(changes, params).select(
         F.col("date").alias("signal_date"), "signal_type", F.col("etf_code").alias("only_etf"), *EVIDENCE
@@ -237,29 +241,34 @@ def manager_signals(changes: DataFrame, params: Params = DEFAULT) -> DataFrame:
 
     The id and the lists name every fund of a signal, so a row is as long as its fund list:
     at most one entry per fund of the universe and window date. Consumers that do not need
-    the lists read :func:`signal_facts` and :func:`signal_evidence`.
+    the lists read :func:`signal_facts` and :func:`signal_evidence`. Ids repeat only when a
+    change key does; the sink removes repeats by id.
     """
-    keys = ["date", "signal_type", "stock_code", "only_etf"]
+    days = change_dates(changes)
+    events = side_events(changes, days, params)
+    item = F.struct(*EVIDENCE)
     lists = (
-        signal_evidence(changes, params)
-        .groupBy("signal_date", "signal_type", "stock_code", "only_etf")
-        .agg(
-            F.array_sort(F.collect_set("etf_code")).alias("etf_codes"),
-            F.array_sort(F.collect_set(F.nullif("issuer", F.lit("")))).alias("issuers"),
-            F.array_sort(F.collect_list(F.struct(*EVIDENCE))).alias("evidence"),
-        )
-        .withColumnRenamed("signal_date", "date")
+        spread(events.select("ci", "stock_code", "direction", item.alias("item")), params)
+        .groupBy(*_GROUP)
+        .agg(F.array_sort(F.collect_list("item")).alias("evidence"))
+    )
+    named = F.array_sort(F.array_distinct(F.transform("evidence", lambda e: e["etf_code"])))
+    issuers = F.array_sort(
+        F.array_distinct(F.filter(F.transform("evidence", lambda e: e["issuer"]), lambda i: i != ""))
+    )
+    joint = (
+        consensus_signals(consensus(events, days, params), params)
+        .join(lists, list(_GROUP))
+        .select(*SIGNAL_COLUMNS, named.alias("etf_codes"), issuers.alias("issuers"), "evidence")
+    )
+    own_issuer = F.filter(F.array("issuer"), lambda i: F.coalesce(i, F.lit("")) != "")
+    single = single_signals(changes, params).select(
+        *SIGNAL_COLUMNS, F.array("etf_code").alias("etf_codes"), own_issuer.alias("issuers"), F.array(item).alias("evidence")
     )
-    facts = signal_facts(changes, params).withColumn("only_etf", F.coalesce("only_etf", F.lit("")))
     identified = F.concat_ws(
         ":", F.col("date").cast("string"), "signal_type", "stock_code", F.array_join("etf_codes", "-")
     )
-    return (
-        facts.join(lists.withColumn("only_etf", F.coalesce("only_etf", F.lit(""))), keys)
-        .withColumn("signal_id", identified)
-        .drop("only_etf")
-        .dropDuplicates(["signal_id"])
-    )
+    return single.unionByName(joint).withColumn("signal_id", identified)
 
 
 def to_storage(signals: DataFrame) -> DataFrame:

@@ -34,105 +34,94 @@ def _last(condition: Column, fields: list[Column], frame) -> Column:
     return F.last(F.when(condition, F.struct(*fields)), ignorenulls=True).over(frame)
 
 
-def with_own_date_streaks(paired: DataFrame, params: Params = DEFAULT) -> DataFrame:
-    """Weight and share streaks over the fund's own valid dates (index ``ti``).
+_KINDS = {"wa": ("weight_dir", 1), "wr": ("weight_dir", -1), "sa": ("share_dir", 1), "sr": ("share_dir", -1)}
+_SIDES = {"add": "is_active_add", "reduce": "is_active_reduce"}
 
-    A date without the stock counts as weight zero and breaks a share run.
+
+def with_position_anchors(classed: DataFrame, params: Params = DEFAULT) -> DataFrame:
+    """Everything the three streaks look back for, in two passes over one sort.
+
+    First pass: the last held row and the last row another row can link to. Second pass: for
+    each direction, the last own date at which a run could not have continued.
     """
     eps = params.epsilon
     held = F.col("in_now") == 1
+    link = F.col("compared") & F.col("date_valid")
     ti, weight, shares = F.col("ti"), F.col("now_weight"), F.col("shares")
-    follows = F.coalesce(F.col("was.ti") == ti - 1, F.lit(False))
-    old_weight = F.when(follows, F.col("was.weight")).otherwise(0.0)
-    old_shares = F.when(follows, F.col("was.shares"))
-    framed = paired.withColumn(
-        "was", _last(held, [ti.alias("ti"), weight.alias("weight"), shares.alias("shares")], _before())
+    looked = classed.select(
+        "*",
+        _last(held, [ti.alias("ti"), weight.alias("weight"), shares.alias("shares")], _before()).alias("was"),
+        _last(link, [F.col("date"), F.col("vi"), *[F.col(flag) for flag in _SIDES.values()]], _before()).alias("pred"),
     )
-    moved = (
-        framed.withColumn("follows", follows)
-        .withColumn(
-            "weight_dir",
-            F.when(ti == 1, 0).when(weight > old_weight + eps, 1).when(weight < old_weight - eps, -1).otherwise(0),
-        )
-        .withColumn(
-            "share_dir", F.when(shares > old_shares + eps, 1).when(shares < old_shares - eps, -1).otherwise(0)
-        )
+    follows = F.coalesce(F.col("was.ti") == ti - 1, F.lit(False))
+    old_weight = F.when(F.col("follows"), F.col("was.weight")).otherwise(0.0)
+    old_shares = F.when(F.col("follows"), F.col("was.shares"))
+    moved = looked.withColumn("follows", follows).withColumns(
+        {
+            "weight_dir": F.when(ti == 1, 0).when(weight > old_weight + eps, 1).when(weight < old_weight - eps, -1).otherwise(0),
+            "share_dir": F.when(shares > old_shares + eps, 1).when(shares < old_shares - eps, -1).otherwise(0),
+        }
     )
 
     def anchor(direction: str, sign: int) -> Column:
-        other = F.col(direction) != sign
         # A run that starts after a gap is anchored one date before its first row.
-        return F.max(
-            F.when(held & other, ti).when(held & ~F.col("follows"), ti - 1)
-        ).over(_upto())
-
-    kinds = {"wa": ("weight_dir", 1), "wr": ("weight_dir", -1), "sa": ("share_dir", 1), "sr": ("share_dir", -1)}
-    anchored = moved.select("*", *[anchor(*kind).alias(f"{name}_anchor") for name, kind in kinds.items()])
-    for name, (direction, sign) in kinds.items():
-        anchored = anchored.withColumn(
-            name, F.when(held & (F.col(direction) == sign), ti - F.col(f"{name}_anchor")).otherwise(0)
-        )
-    closed = anchored.withColumn(
-        "gone",
-        _last(held, [ti.alias("ti"), weight.alias("weight"), F.col("wa").alias("wa"), F.col("wr").alias("wr")], _before()),
-    )
-    # A stock sold since the fund's own last date: its weight fell to zero.
-    just_gone = ~held & F.coalesce(F.col("gone.ti") == ti - 1, F.lit(False))
-    return (
-        closed.withColumn(
-            "consecutive_add_days",
-            F.when(just_gone & (F.col("gone.weight") < -eps), F.col("gone.wa") + 1).otherwise(F.col("wa")),
-        )
-        .withColumn(
-            "consecutive_reduce_days",
-            F.when(just_gone & (F.col("gone.weight") > eps), F.col("gone.wr") + 1).otherwise(F.col("wr")),
-        )
-        .withColumn("share_add_days", F.col("sa"))
-        .withColumn("share_reduce_days", F.col("sr"))
-        .drop("was", "gone", "follows", "weight_dir", "share_dir", *kinds, *[f"{k}_anchor" for k in kinds])
+        stop = F.when(held & (F.col(direction) != sign), ti).when(held & ~F.col("follows"), ti - 1)
+        return F.max(stop).over(_upto())
+
+    anchored = moved.select("*", *[anchor(*kind).alias(f"{name}_anchor") for name, kind in _KINDS.items()])
+    return anchored.withColumns(
+        {
+            name: F.when(held & (F.col(direction) == sign), ti - F.col(f"{name}_anchor")).otherwise(0)
+            for name, (direction, sign) in _KINDS.items()
+        }
     )
 
 
-def with_flow_streaks(timed: DataFrame, params: Params = DEFAULT) -> DataFrame:
-    """Flow-adjusted streaks along previous valid dates.
+def with_streaks(classed: DataFrame, params: Params = DEFAULT) -> DataFrame:
+    """Weight, share and flow streaks of every paired row.
 
-    Only compared rows on valid dates can be anyone's previous row, so the run is anchored on
-    those and read back through ``prev_date``.
+    Weight and share streaks run over the fund's own valid dates (index ``ti``): a date without
+    the stock counts as weight zero and breaks a share run. Flow streaks run along previous
+    valid dates: only compared rows on valid dates can be anyone's previous row.
     """
-    scale = F.col("etf_scale_factor")
+    eps = params.epsilon
+    held = F.col("in_now") == 1
     link = F.col("compared") & F.col("date_valid")
-    sides = {"add": "is_active_add", "reduce": "is_active_reduce"}
-    out = timed.withColumn(
-        "pred", _last(link, [F.col("date"), *[F.col(flag) for flag in sides.values()]], _before())
-    )
-    for side, flag in sides.items():
+    scale = F.col("etf_scale_factor")
+    anchored = with_position_anchors(classed, params)
+    shares = {"add": F.col("sa"), "reduce": F.col("sr")}
+    linked = F.col("pred.date") == F.col("prev_date")
+    flow = {}
+    for side, flag in _SIDES.items():
         on = F.col(flag) == 1
-        goes_on = (
-            scale.isNotNull()
-            & on
-            & F.coalesce((F.col("pred.date") == F.col("prev_date")) & (F.col(f"pred.{flag}") == 1), F.lit(False))
-        )
-        base = F.when(scale.isNull(), F.col(f"share_{side}_days")).when(on, 1).otherwise(0)
-        out = out.withColumn(f"{side}_goes_on", goes_on).withColumn(f"{side}_base", base)
-    out = out.select(
+        flow[f"{side}_goes_on"] = scale.isNotNull() & on & F.coalesce(linked & (F.col(f"pred.{flag}") == 1), F.lit(False))
+        flow[f"{side}_base"] = F.when(scale.isNull(), shares[side]).when(on, 1).otherwise(0)
+    based = anchored.withColumns(flow)
+    closed = based.select(
         "*",
+        _last(held, [F.col("ti"), F.col("now_weight").alias("weight"), F.col("wa"), F.col("wr")], _before()).alias("gone"),
         *[
-            _last(link & ~F.col(f"{s}_goes_on"), [F.col("vi"), F.col(f"{s}_base").alias("base")], _upto()).alias(
-                f"{s}_start"
-            )
-            for s in sides
+            _last(link & ~F.col(f"{s}_goes_on"), [F.col("vi"), F.col(f"{s}_base").alias("base")], _upto()).alias(f"{s}_start")
+            for s in _SIDES
         ],
     )
-    for side in sides:
+    # A stock sold since the fund's own last date: its weight fell to zero.
+    just_gone = ~held & F.coalesce(F.col("gone.ti") == F.col("ti") - 1, F.lit(False))
+
+    def flow_days(side: str) -> Column:
+        # The previous row lies on the run that began at ``start``, one valid date per step.
         start = F.col(f"{side}_start")
-        out = out.withColumn(f"{side}_run", start["base"] + F.col("vi") - start["vi"])
-    out = out.withColumn("last_runs", _last(link, [F.col(f"{s}_run") for s in sides], _before()))
-    for side in sides:
-        out = out.withColumn(
-            f"consecutive_active_{side}_days",
-            F.when(F.col(f"{side}_goes_on"), F.col(f"last_runs.{side}_run") + 1)
-            .otherwise(F.col(f"{side}_base"))
-            .cast("int"),
-        )
-    temp = [f"{s}_{x}" for s in sides for x in ("goes_on", "base", "start", "run")]
-    return out.drop("pred", "last_runs", *temp)
+        run = start["base"] + F.col("pred.vi") - start["vi"] + 1
+        return F.when(F.col(f"{side}_goes_on"), run).otherwise(F.col(f"{side}_base")).cast("int")
+
+    temp = [*_KINDS, *[f"{k}_anchor" for k in _KINDS], *[f"{s}_{x}" for s in _SIDES for x in ("goes_on", "base", "start")]]
+    return closed.withColumns(
+        {
+            "consecutive_add_days": F.when(just_gone & (F.col("gone.weight") < -eps), F.col("gone.wa") + 1).otherwise(F.col("wa")),
+            "consecutive_reduce_days": F.when(just_gone & (F.col("gone.weight") > eps), F.col("gone.wr") + 1).otherwise(F.col("wr")),
+            "share_add_days": F.col("sa"),
+            "share_reduce_days": F.col("sr"),
+            "consecutive_active_add_days": flow_days("add"),
+            "consecutive_active_reduce_days": flow_days("reduce"),
+        }
+    ).drop("was", "pred", "gone", "follows", "weight_dir", "share_dir", *temp)

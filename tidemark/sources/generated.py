@@ -6,6 +6,8 @@ issuer = nation of the supplier. Every row of ``lineitem`` takes part.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -121,8 +123,11 @@ def universe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def tables(spark: SparkSession, sf_dir: str) -> Tables:
+def tables(spark: SparkSession, sf_dir: str, keep: Callable[[DataFrame, str], DataFrame] | None = None) -> Tables:
+    """The three tables; ``keep`` may stage the derived holdings, which every query reads."""
     stock_rows = holdings(spark, sf_dir)
+    if keep:
+        stock_rows = keep(stock_rows, "holdings")
     return Tables(stock_rows, non_stock(stock_rows), universe(spark, sf_dir))
 
 
