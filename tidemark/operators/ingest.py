@@ -6,7 +6,7 @@ else works on one profile row per candidate.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -39,44 +39,52 @@ def split_assets(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows.where(stock), rows.where(~stock)
 
 
-def min_weight_filter(rows: DataFrame, params: Params = DEFAULT) -> DataFrame:
-    """Drop stock rows below the minimum weight; other assets may have any weight."""
+def _heavy_enough(params: Params) -> Column:
+    """Rows the minimum-weight gate keeps: other assets may have any weight."""
     stock = F.coalesce(F.col("asset_type") == "stock", F.lit(False))
-    weight = F.coalesce(F.col("weight_pct").try_cast("double"), F.lit(0.0))
-    return rows.where(~stock | (weight >= params.min_weight))
+    return ~stock | (F.coalesce(F.col("weight_pct").try_cast("double"), F.lit(0.0)) >= params.min_weight)
+
+
+def min_weight_filter(rows: DataFrame, params: Params = DEFAULT) -> DataFrame:
+    """Drop stock rows below the minimum weight."""
+    return rows.where(_heavy_enough(params))
 
 
 def candidate_profiles(rows: DataFrame, headers: DataFrame | None = None, params: Params = DEFAULT) -> DataFrame:
-    """Profile per candidate after the weight gate.
+    """Profile per candidate after the weight gate, in one pass over the rows.
 
     The candidate keeps its own verdict unless the gate removed stocks from one that had
-    enough of them: then the filtered rows are judged again.
+    enough of them: then what is left is judged again. Fewer rows of a valid candidate still
+    agree with each other, so only the two minimum counts can fail.
     """
     keys = ("run_date", "candidate_id")
-    before = snapshot_profile(rows, keys, params, headers)
-    after = snapshot_profile(min_weight_filter(rows, params), keys, params).select(
-        *keys,
-        F.col("valid").alias("valid_after"),
-        F.col("reason").alias("reason_after"),
-        *[F.col(c).alias(f"{c}_after") for c in ("row_count", "stock_count", "non_stock_count", "total_weight", "shares_coverage")],
-    )
-    joined = before.join(after, list(keys), "left")
-    changed = (F.col("stock_count") >= params.min_stock_rows) & (
-        F.coalesce("stock_count_after", F.lit(0)) < F.col("stock_count")
+    kept = _heavy_enough(params)
+    stock = F.coalesce(F.col("asset_type") == "stock", F.lit(False)) & kept
+    weight = F.coalesce(F.col("weight_pct").try_cast("double"), F.lit(0.0))
+    gated = {
+        "kept_rows": F.count_if(kept),
+        "kept_stocks": F.count_if(stock),
+        "kept_weight": F.round(F.sum(F.when(kept, weight).otherwise(0.0)), 10),
+        "kept_shares": F.count_if(stock & F.col("shares").isNotNull()),
+    }
+    before = snapshot_profile(rows, keys, params, headers, gated)
+    left = F.when(F.col("kept_rows") == 0, "empty_rows").when(F.col("kept_rows") < params.min_rows, "fewer_than_5_rows").when(
+        F.col("kept_stocks") < params.min_stock_rows, "fewer_than_5_taiwan_stock_rows"
     )
-    left = F.coalesce("reason_after", F.lit("empty_rows"))
-    rejected = F.col("valid") & changed & (left != "ok")
-    kept = ("row_count", "stock_count", "non_stock_count", "total_weight", "shares_coverage")
-    return joined.select(
+    changed = (F.col("stock_count") >= params.min_stock_rows) & (F.col("kept_stocks") < F.col("stock_count"))
+    rejected = F.coalesce(F.col("valid") & changed & left.isNotNull(), F.lit(False))
+    return before.select(
         *keys,
         "data_date",
         "etf_code",
         "source_type",
         (F.col("valid") & ~rejected).alias("valid"),
-        F.when(rejected, F.concat(F.lit("post_filter_invalid_snapshot:"), left))
-        .otherwise(F.col("reason"))
-        .alias("reason"),
-        *[F.coalesce(f"{c}_after", F.lit(0)).alias(c) for c in kept],
+        F.when(rejected, F.concat(F.lit("post_filter_invalid_snapshot:"), left)).otherwise(F.col("reason")).alias("reason"),
+        F.coalesce("kept_rows", F.lit(0)).alias("row_count"),
+        F.coalesce("kept_stocks", F.lit(0)).alias("stock_count"),
+        F.coalesce(F.col("kept_rows") - F.col("kept_stocks"), F.lit(0)).alias("non_stock_count"),
+        F.coalesce("kept_weight", F.lit(0.0)).alias("total_weight"),
+        F.coalesce(F.col("kept_shares") / F.nullif("kept_stocks", F.lit(0)), F.lit(0.0)).alias("shares_coverage"),
     )
 
 
@@ -106,32 +114,27 @@ def row_count_history(counts: DataFrame, params: Params = DEFAULT) -> DataFrame:
 def row_count_check(profiles: DataFrame, counts: DataFrame, params: Params = DEFAULT) -> DataFrame:
     """Aggregator candidates with too few stocks against the stored history before their date.
 
-    As-of lookup: stored dates carry the mean that ends with them, candidates take the latest
-    mean from a strictly earlier date. A group has a row per date and candidate of one fund.
+    As-of lookup: stored dates carry the mean that ends with them, asked dates take the latest
+    mean from a strictly earlier date. It runs on distinct dates per fund and source, so
+    repeated candidates never meet in one group.
     """
-    closing = W.partitionBy("etf_code", "source_type").orderBy("date").rowsBetween(
-        -(params.row_count_history - 1), W.currentRow
-    )
-    stored = counts.select(
-        "etf_code", "source_type", "date", F.avg("stock_rows").over(closing).alias("mean"),
-        F.lit(None).cast("string").alias("candidate_id"), F.lit(None).cast("date").alias("run_date"),
-    )
-    asked = profiles.where(F.col("data_date").isNotNull()).select(
-        "etf_code", "source_type", F.col("data_date").alias("date"), F.lit(None).cast("double").alias("mean"),
-        "candidate_id", "run_date",
-    )
-    day = F.unix_date("date").cast("bigint")
-    earlier = W.partitionBy("etf_code", "source_type").orderBy(day).rangeBetween(W.unboundedPreceding, -1)
+    place = ["etf_code", "source_type", "date"]
+    order = W.partitionBy("etf_code", "source_type").orderBy(F.unix_date("date").cast("bigint"))
+    closing = order.rowsBetween(-(params.row_count_history - 1), W.currentRow)
+    stored = counts.select(*place, F.avg("stock_rows").over(closing).alias("mean"), F.lit(0).alias("asked"))
+    dated = profiles.where("data_date IS NOT NULL").select("etf_code", "source_type", F.col("data_date").alias("date"))
+    asked = dated.distinct().select(*place, F.lit(None).cast("double").alias("mean"), F.lit(1).alias("asked"))
+    earlier = order.rangeBetween(W.unboundedPreceding, -1)
     means = (
         stored.unionByName(asked)
         .withColumn("mean_rows", F.last("mean", ignorenulls=True).over(earlier))
-        .where("candidate_id IS NOT NULL")
-        .select("run_date", "candidate_id", "mean_rows")
+        .where("asked = 1")
+        .select("etf_code", "source_type", F.col("date").alias("data_date"), "mean_rows")
     )
     aggregator = F.coalesce(F.col("source_type").isin(*AGGREGATOR_SOURCES), F.lit(False))
     minimum = F.when(aggregator & (F.col("mean_rows") > 0), F.col("mean_rows") * params.low_row_count_ratio)
     return (
-        profiles.join(means, ["run_date", "candidate_id"], "left")
+        profiles.join(means, ["etf_code", "source_type", "data_date"], "left")
         .withColumn("minimum_expected", minimum)
         .withColumn("low_confidence", F.coalesce(F.col("stock_count") < F.col("minimum_expected"), F.lit(False)))
     )

@@ -30,10 +30,12 @@ def snapshot_profile(
     keys: Sequence[str] = SNAPSHOT,
     params: Params = DEFAULT,
     headers: DataFrame | None = None,
+    extra: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Metrics, validity and reason of each snapshot.
 
-    ``headers`` lists the keys that must appear even with no rows (empty snapshots).
+    ``headers`` lists the keys that must appear even with no rows (empty snapshots); ``extra``
+    adds aggregates of the same pass.
     """
     weight = F.col("weight_pct").try_cast("double")
     finite = weight.isNotNull() & ~F.isnan(weight) & (F.abs(weight) != float("inf"))
@@ -62,7 +64,8 @@ def snapshot_profile(
         "bad_stock": F.count_if(stock & ~(code.rlike(r"\A[0-9]{4}\z") & named)),
         "distinct_codes": F.count_distinct(F.when(stock, code)),
     }
-    out = rows.groupBy(*keys).agg(*[m.alias(name) for name, m in measures.items()])
+    extra = extra or {}
+    out = rows.groupBy(*keys).agg(*[m.alias(name) for name, m in {**measures, **extra}.items()])
     if headers is not None:
         out = headers.select(*keys).distinct().join(out, list(keys), "left")
     count = F.coalesce(F.col("row_count"), F.lit(0))
@@ -104,6 +107,7 @@ def snapshot_profile(
         F.coalesce(F.col("stock_with_shares") / F.nullif("stock_count", F.lit(0)), F.lit(0.0)).alias(
             "shares_coverage"
         ),
+        *extra,
     )
 
 
