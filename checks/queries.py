@@ -33,6 +33,9 @@ def history(spark: SparkSession, sf_dir: str) -> History:
     """One history per session and data folder, so queries share the staged frames."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _histories:
+        for (app, _), old in list(_histories.items()):
+            if app == key[0]:
+                old.staging.release()
         _histories.clear()
         staging = Staging(spark)
         _histories[key] = History(
@@ -934,11 +937,16 @@ def _(spark, sf_dir, h):
     root = scratch(spark, "streak")
     rows = with_streaks(C.with_position_change(h.measured)).where("compared").select(*Y.INPUT).withColumns(
         {"date": F.col("date").cast("string"), "prev_date": F.col("prev_date").cast("string")})
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", Y.STATE_STORE)
-    # Two arrivals in date order; the state carries the runs across.
-    for late in (False, True):
-        rows.where((F.col("date") >= "1998-07-01") == F.lit(late)).write.mode("append").parquet(f"{root}/in")
-        stream = Y.stateful_streaks(spark.readStream.schema(rows.schema).parquet(f"{root}/in"))
-        (stream.writeStream.outputMode("append").option("checkpointLocation", f"{root}/checkpoint")
-         .trigger(availableNow=True).format("parquet").option("path", f"{root}/out").start().awaitTermination())
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    spark.conf.set(provider, Y.STATE_STORE)
+    try:
+        # Two arrivals in date order; the state carries the runs across.
+        for late in (False, True):
+            rows.where((F.col("date") >= "1998-07-01") == F.lit(late)).write.mode("append").parquet(f"{root}/in")
+            stream = Y.stateful_streaks(spark.readStream.schema(rows.schema).parquet(f"{root}/in"))
+            (stream.writeStream.outputMode("append").option("checkpointLocation", f"{root}/checkpoint")
+             .trigger(availableNow=True).format("parquet").option("path", f"{root}/out").start().awaitTermination())
+    finally:
+        spark.conf.set(provider, before)
     return spark.read.schema(stream.schema).parquet(f"{root}/out")

@@ -4,8 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from build import SMALL, day, history, rows_by
-from tidemark.operators import changes as C
+from build import SMALL, history, rows_by
 from tidemark.operators import signals, universe
 
 DAYS = ["2026-06-20", "2026-06-21", "2026-06-22", "2026-06-23"]

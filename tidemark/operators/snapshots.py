@@ -176,8 +176,10 @@ def ranked_holdings(
 ) -> DataFrame:
     """Stock rows of the canonical source, ranked in their fund by weight then code.
 
-    Joined on date and fund only, so join and rank share one shuffle. A group is one valid
-    snapshot: at most ``max_stock_codes`` rows.
+    Joined on date and fund only, so join and rank share one shuffle. The source is compared
+    by ``array_contains``: written as an equality the optimizer would make it a third join key,
+    and the rank would need a second shuffle. A ranked group is one valid snapshot: at most
+    ``max_stock_codes`` rows.
     """
     if snapshots is not None:
         holdings = without_oversized(holdings, snapshots, params)
@@ -189,7 +191,7 @@ def ranked_holdings(
             "date", "etf_code", "stock_code", "stock_name", "asset_type", "shares", "weight_pct", "source_type"
         )
         .join(best, ["date", "etf_code"])
-        .where(F.col("source_type") == F.col("best_source"))
+        .where(F.array_contains(F.array("best_source"), F.col("source_type")))
         .drop("best_source")
         .withColumn("rank", F.row_number().over(in_fund))
     )

@@ -54,7 +54,7 @@ def net_active_flow(changes: DataFrame, params: Params = DEFAULT) -> DataFrame:
     ).where((F.col("active_adds") >= params.traction_min_events) | (F.col("active_reduces") >= params.traction_min_events))
     # Issuers: distinct per date first, then per window. An empty issuer counts as one.
     side = F.when(added, "add").otherwise("reduce")
-    per_day = rows.where(added | reduced).select("ci", "stock_code", side.alias("side"), "issuer").distinct()
+    per_day = rows.where((added | reduced) & F.col("issuer").isNotNull()).select("ci", "stock_code", side.alias("side"), "issuer").distinct()
     issuers = (
         _spread(per_day, params).select(*_KEY, "side", "issuer").distinct()
         .groupBy(*_KEY).agg(

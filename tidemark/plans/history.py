@@ -50,7 +50,7 @@ class History:
 
     @cached_property
     def members(self) -> DataFrame:
-        return universe.membership(self.tables.universe, self.latest)
+        return self.staging.keep(universe.membership(self.tables.universe, self.latest), "members")
 
     @cached_property
     def entries(self) -> DataFrame:
