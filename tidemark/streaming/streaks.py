@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from typing import Any
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -20,6 +22,10 @@ INPUT = (
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+# Workers get the processor by value, so they need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def _days(scaled: bool, flag: int, shares: int, linked: bool, was_flag: int, was_days: int) -> int:
     if not scaled:
         return shares
