@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, mixing, sharding, url_filter
+from tidemark.llm import exact_dedup, language_id, mixing, packing, sharding, url_filter
 from tidemark.llm.answers import RULES
 from tidemark.llm.scratch import parquet
 
@@ -46,3 +46,22 @@ def _(spark, sf_dir):
 @query("op6_exact_dedup")
 def _(spark, sf_dir):
     return exact_dedup.duplicate_groups(parquet(spark, sf_dir, "documents"))
+
+
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op8_language_id")
+def _(spark, sf_dir):
+    docs = parquet(spark, sf_dir, "documents")
+    model = language_id.fit_documents(docs, tokenizer_file("piece_bpe_32k.model"))
+    return language_id.identify(docs.select("doc_id", "text"), model).select(
+        "doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query("op10_packing")
+def _(spark, sf_dir):
+    return packing.pack_documents(parquet(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
