@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, language_id, mixing, packing, sharding, url_filter
+from tidemark.llm import exact_dedup, language_id, mixing, packing, sharding, substring_dedup, url_filter
 from tidemark.llm.answers import RULES
 from tidemark.llm.scratch import parquet
 
@@ -65,3 +65,8 @@ def _(spark, sf_dir):
 @query("op10_packing")
 def _(spark, sf_dir):
     return packing.pack_documents(parquet(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+
+
+@query("op9_substring_dedup")
+def _(spark, sf_dir):
+    return substring_dedup.later_windows(parquet(spark, sf_dir, "documents"), 13).drop("kept_text")

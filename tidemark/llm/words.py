@@ -23,10 +23,18 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(32))
 
 
+_POWERS: dict[int, np.ndarray] = {}
+
+
 def powers(base: int, n: int) -> np.ndarray:
-    out = np.full(max(n, 1), base, U64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
+    known = _POWERS.get(base)
+    if known is None or len(known) < n:
+        known = np.full(max(n, 1 << 16), base, U64)
+        known[0] = 1
+        known = np.multiply.accumulate(known)
+        if n <= 1 << 23:  # longer tables are made anew, so that a worker keeps a bounded one
+            _POWERS[base] = known
+    return known[:max(n, 1)]
 
 
 class Rolling:
@@ -69,6 +77,20 @@ def split_words(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
     return kept[offsets], words.filter(full)
 
 
+BYTES = mix(np.arange(1, 257, dtype=U64) * U64(BASE))
+
+
+def word_hashes(words: pa.Array) -> np.ndarray:
+    """A 64-bit hash of each word's bytes."""
+    if not len(words):
+        return np.zeros(0, U64)
+    words = pa.concat_arrays([words])
+    offsets = np.frombuffer(words.buffers()[1], np.int64)[words.offset:words.offset + len(words) + 1]
+    data = np.frombuffer(words.buffers()[2], np.uint8)[offsets[0]:offsets[-1]]
+    starts = offsets[:-1] - offsets[0]
+    return mix(Rolling(BYTES[data]).stretch(starts, np.diff(offsets)))
+
+
 def distinct(words: pa.Array) -> tuple[np.ndarray, list[str]]:
     """A number for each word, and the distinct words by number."""
     coded = words.dictionary_encode()
