@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, language_id, mixing, packing, sharding, substring_dedup, url_filter
+from tidemark.llm import exact_dedup, language_id, mixing, packing, private_data, sharding, substring_dedup, url_filter
 from tidemark.llm.answers import RULES
 from tidemark.llm.scratch import parquet
 
@@ -70,3 +70,9 @@ def _(spark, sf_dir):
 @query("op9_substring_dedup")
 def _(spark, sf_dir):
     return substring_dedup.later_windows(parquet(spark, sf_dir, "documents"), 13).drop("kept_text")
+
+
+@query("op3_private_data")
+def _(spark, sf_dir):
+    docs = parquet(spark, sf_dir, "documents")
+    return private_data.private_spans(docs, private_data.fit(docs)).drop("redacted")
