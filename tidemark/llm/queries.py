@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, language_id, mixing, neighbours, packing, private_data, sharding, substring_dedup, url_filter
+from tidemark.llm import exact_dedup, jaccard_join, language_id, mixing, neighbours, packing, private_data, sharding, substring_dedup, url_filter
 from tidemark.llm.answers import RULES
 from tidemark.llm.scratch import parquet
 
@@ -83,3 +83,8 @@ def _(spark, sf_dir):
     vectors = parquet(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     asked = vectors.where("vec_id % 20 = 0").withColumnRenamed("vec_id", "query_id")
     return neighbours.Index(vectors).search(asked, 20)
+
+
+@query("op7_jaccard_join")
+def _(spark, sf_dir):
+    return jaccard_join.near_duplicates(parquet(spark, sf_dir, "documents"))
