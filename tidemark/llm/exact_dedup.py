@@ -45,8 +45,8 @@ def duplicate_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
 
 def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows that stay, with all their columns."""
-    keep = text_groups(docs, doc_id, text).select(F.col("keep_id").alias("_keep"), F.col("content_hash").alias("_keep_hash"))
-    rows = docs.withColumn("_hash", _hash(normalised(F.col(text))))
-    left = rows.join(keep, F.col(doc_id).eqNullSafe(F.col("_keep")) & (F.col("_hash") == F.col("_keep_hash")), "left_semi")
-    first = Window.partitionBy(doc_id, "_hash").orderBy(F.lit(0))
-    return left.withColumn("_row", F.row_number().over(first)).where("_row = 1").drop("_hash", "_row")
+    keep = text_groups(docs, doc_id, text).select("content_hash", "keep_id")
+    rows = docs.select(_hash(normalised(F.col(text))).alias("hash"), F.col(doc_id).alias("id"), F.struct(*docs.columns).alias("row"))
+    left = rows.join(keep, (F.col("hash") == F.col("content_hash")) & F.col("id").eqNullSafe(F.col("keep_id")), "left_semi")
+    first = Window.partitionBy("hash", "id").orderBy(F.lit(0))
+    return left.withColumn("n", F.row_number().over(first)).where("n = 1").select("row.*")

@@ -330,3 +330,10 @@ def near_duplicates(docs: DataFrame, p: Join = Join(), scratch: Scratch | None =
     return out.select(
         real["doc_id"].alias("doc_id"), F.coalesce(real["class_id"], real["doc_id"]).alias("class_id"),
         F.coalesce("copies", F.lit(1)).alias("n_copies"), (F.coalesce("links", F.lit(0)) + F.coalesce("copies", F.lit(1)) - 1).alias("n_links"))
+
+
+def one_per_class(docs: DataFrame, p: Join = Join()) -> DataFrame:
+    """The documents with the smallest id of their class, with all their columns."""
+    kept = near_duplicates(docs, p).where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select("doc_id").distinct()
+    rows = docs.select(F.col("doc_id").alias("id"), F.struct(*docs.columns).alias("row"))
+    return rows.join(kept, F.col("id").eqNullSafe(F.col("doc_id")), "left_semi").select("row.*")

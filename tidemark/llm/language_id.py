@@ -24,6 +24,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm import words as W
 
@@ -210,8 +211,8 @@ def identify(docs: DataFrame, model: Model, text: str = "text", lang_pred: str =
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array([options[i] for i in best], pa.string()), pa.array(top)], [*names, lang_pred, score])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(predict, f"{fields}, `{lang_pred}` string, `{score}` double")
+    added = [T.StructField(lang_pred, T.StringType()), T.StructField(score, T.DoubleType())]
+    return docs.mapInArrow(predict, T.StructType(docs.schema.fields + added))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -226,5 +227,5 @@ def fit_documents(docs: DataFrame, path: str) -> Model:
 
 def accepted(docs: DataFrame, model: Model, least_score: float = 0.5) -> DataFrame:
     """The documents whose language is known, with the columns they came with."""
-    return identify(docs, model, lang_pred="_lang_pred", score="_lang_score").where(
-        (F.col("_lang_pred") != UNKNOWN) & (F.col("_lang_score") >= least_score)).select(*docs.columns)
+    rows = docs.select("text", F.struct(*docs.columns).alias("row"))
+    return identify(rows, model).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score)).select("row.*")

@@ -116,11 +116,10 @@ def mix_sources(docs: DataFrame, p: Mix = Mix(), scratch: Scratch | None = None)
 def resample(docs: DataFrame, p: Mix = Mix()) -> DataFrame:
     """The mix itself: every document as often as it is taken, with its own columns."""
     times = mix_sources(docs, p).groupBy("doc_id", "source", "size").agg(
-        F.sum("times").alias("_all"), F.count(F.lit(1)).alias("_rows")).where("_all > 0")
-    times = times.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "_all", "_rows")
-    rows = docs.withColumn("_words", word_count(F.col("text")))
-    found = rows.join(times, F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source"))
-                      & (F.col("_words") == F.col("_size")))
-    # Rows with the same id, source and size share their copies evenly, up to one.
-    copies = F.when(F.col("_rows") == 1, F.col("_all")).otherwise(F.ceil(F.col("_all") / F.col("_rows")))
-    return found.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), copies.cast("int")))).select(*docs.columns)
+        F.sum("times").alias("all"), F.count(F.lit(1)).alias("rows")).where("all > 0")
+    rows = docs.select(
+        F.col("doc_id").alias("id"), F.col("source").alias("of"), word_count(F.col("text")).alias("words"), F.struct(*docs.columns).alias("row"))
+    found = rows.join(times, F.col("id").eqNullSafe(F.col("doc_id")) & F.col("of").eqNullSafe(F.col("source")) & (F.col("words") == F.col("size")))
+    # Rows with the same id, source and size share their copies evenly.
+    copies = F.ceil(F.col("all") / F.col("rows"))
+    return found.withColumn("copy", F.explode(F.array_repeat(F.lit(0), copies.cast("int")))).select("row.*")

@@ -25,12 +25,13 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm import words as W
 from tidemark.llm.scratch import Scratch, running_totals
 
-CHUNK = 8 << 20
-CACHED = 400_000  # words whose ids a worker remembers
+CHUNK = 4 << 20
+CACHED = 3_000_000  # words whose ids a worker remembers, some 60 bytes each
 TAIL = ".,;:!?"
 
 
@@ -43,55 +44,115 @@ class Capacity:
     rule: str = "norm"  # or "dot"
 
 
+def gather(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The stretches of ``values``, one after the other."""
+    ends = np.cumsum(lengths)
+    return values[np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)]
+
+
 class Encoder:
-    """Token ids of whole texts; distinct words are encoded once.
+    """Token ids of whole texts; distinct words are encoded once and remembered by their hash.
 
     The tokenizer drops white space and never joins across it, nor across the end of a letter or
-    digit run before the marks in ``TAIL``; so words can be encoded apart. A text that may hold a
-    special token goes through the tokenizer whole.
+    digit run before the marks in ``TAIL``; so words can be encoded apart, and many of them in one
+    call: words of letters alone end with the only token that carries the end mark. A text that may
+    hold a special token goes through the tokenizer whole.
     """
 
     def __init__(self, path: str, end: int):
         from tokenizers import Tokenizer
 
-        self._tokenizer, self._end, self._ids = Tokenizer.from_file(path), end, {}
+        self._tokenizer, self._end = Tokenizer.from_file(path), end
+        self._ends = np.zeros(self._tokenizer.get_vocab_size() + 1, bool)
+        self._ends[[i for token, i in self._tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
+        self._forget()
+
+    def _forget(self) -> None:
+        self._keys, self._starts, self._lengths = np.zeros(0, W.U64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self._ids = np.zeros(0, np.uint32)
 
-    def _encode(self, items: list[str]) -> list[np.ndarray]:
+    def _each(self, items: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self._tokenizer.encode_batch(items, add_special_tokens=False)]
 
-    def _words(self, items: list[str]) -> list[np.ndarray]:
-        parts = []
-        for item in items:
-            base = item.rstrip(TAIL)
-            parts.append((base, item[len(base):]) if base and base[-1].isalnum() else (item, ""))
-        new = list(dict.fromkeys(x for part in parts for x in part if x and x not in self._ids))
-        if len(self._ids) + len(new) > CACHED:
-            self._ids = {}
-            new = list(dict.fromkeys(x for part in parts for x in part if x))
-        self._ids.update(zip(new, self._encode(new)))
-        ids = self._ids
-        return [np.concatenate([ids[a], ids[b]]) if b else ids[a] for a, b in parts]
+    def _many(self, items: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Number of ids of each word, and all ids."""
+        simple = np.fromiter((x.isalpha() for x in items), bool, len(items))
+        lengths, ids = np.zeros(len(items), np.int64), [np.zeros(0, np.uint32)]
+        words = np.flatnonzero(simple)
+        joint = np.array(self._tokenizer.encode(" ".join([items[i] for i in words]), add_special_tokens=False).ids, np.uint32)
+        last = np.flatnonzero(self._ends[joint])
+        if len(last) != len(words):
+            words, last, joint = words[:0], last[:0], joint[:0]
+            simple[:] = False
+        lengths[words] = np.diff(last, prepend=-1)
+        others = self._each([items[i] for i in np.flatnonzero(~simple)])
+        lengths[~simple] = [len(x) for x in others]
+        starts = np.zeros(len(items), np.int64)
+        starts[simple] = np.concatenate([[0], last[:-1] + 1]) if len(last) else 0
+        starts[~simple] = len(joint) + np.cumsum([0, *[len(x) for x in others]])[:-1]
+        return lengths, gather(np.concatenate([joint, *ids, *others]), starts, lengths)
+
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Start and number of ids of each word, and the array of ids."""
+        hashes = W.word_hashes(words)
+        keys, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        at = np.searchsorted(self._keys, keys)
+        new = np.flatnonzero(self._keys[np.minimum(at, len(self._keys) - 1)] != keys) if len(self._keys) else np.arange(len(keys))
+        if len(self._keys) + len(new) > CACHED:
+            self._forget()
+            new = np.arange(len(keys))
+        if len(new):
+            lengths, ids = self._many(words.take(pa.array(first[new])).to_pylist())
+            starts = len(self._ids) + np.cumsum(lengths) - lengths
+            place = np.searchsorted(self._keys, keys[new])
+            self._keys, self._starts = np.insert(self._keys, place, keys[new]), np.insert(self._starts, place, starts)
+            self._lengths, self._ids = np.insert(self._lengths, place, lengths), np.concatenate([self._ids, ids])
+        at = np.searchsorted(self._keys, keys)[inverse]
+        return self._starts[at], self._lengths[at], self._ids
+
+    def _distinct(self, names: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Number of ids of each distinct word, marks at its end included, and all ids."""
+        bases = pc.ascii_rtrim(names, characters=TAIL)
+        size, kept = (pc.binary_length(x).to_numpy(zero_copy_only=False) for x in (names, bases))
+        marks = size - kept
+        cut = (marks > 0) & (marks < 8) & pc.match_substring_regex(bases, r"[\p{L}\p{N}]$").to_numpy(zero_copy_only=False)
+        starts, lengths, ids = self._words(pc.if_else(pa.array(cut), bases, names))
+        if not cut.any():
+            return lengths, gather(ids, starts, lengths)
+        ended = names.filter(pa.array(cut))
+        offsets = np.frombuffer(ended.buffers()[1], np.int64)[ended.offset + 1:ended.offset + len(ended) + 1]
+        data, code = np.frombuffer(ended.buffers()[2], np.uint8), np.zeros(len(ended), np.int64)
+        for k in range(int(marks[cut].max()), 0, -1):
+            has = marks[cut] >= k
+            code[has] = code[has] * 256 + data[offsets[has] - k]
+        codes, which = np.unique(code, return_inverse=True)
+        tails = self._each([int(c).to_bytes(8, "big").lstrip(b"\0").decode() for c in codes])
+        tail_length = np.array([len(x) for x in tails], np.int64)
+        # Base and marks by turns; words without marks have an empty second part.
+        both, from_ = np.zeros(2 * len(names), np.int64), np.zeros(2 * len(names), np.int64)
+        both[::2], from_[::2] = lengths, starts
+        at = 2 * np.flatnonzero(cut) + 1
+        both[at], from_[at] = tail_length[which], len(ids) + (np.cumsum(tail_length) - tail_length)[which]
+        return lengths + both[1::2], gather(np.concatenate([ids, *tails]), from_, both)
 
     def documents(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Bounds of each document in the array of all ids."""
         whole = pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False)
         plain = pc.ascii_lower(pc.if_else(pa.array(~whole), texts, pa.scalar("", pa.large_string())))
         bounds, every = W.split_words(plain)
-        index, names = W.distinct(every)
-        encoded = self._words(names) + [np.array([self._end], np.uint32)]
-        extra = self._encode([texts[i].as_py() for i in np.flatnonzero(whole)])
-        encoded += [np.append(ids, np.uint32(self._end)) for ids in extra]
+        coded = every.dictionary_encode()
+        index, names = coded.indices.to_numpy().astype(np.int64), len(coded.dictionary)
+        lengths, ids = self._distinct(coded.dictionary) if names else (np.zeros(0, np.int64), np.zeros(0, np.uint32))
+        extra = [np.append(x, np.uint32(self._end)) for x in self._each([texts[i].as_py() for i in np.flatnonzero(whole)])]
+        lengths = np.concatenate([lengths, [1], [len(x) for x in extra]]).astype(np.int64)
+        ids = np.concatenate([ids, np.array([self._end], np.uint32), *extra])
         # Each document ends with the end id, or is one piece of its own if it was encoded whole.
-        last = np.full(len(texts), len(names), np.int64)
-        last[whole] = len(names) + 1 + np.arange(len(extra))
-        index = np.insert(index.astype(np.int64), bounds[1:], last)
-        lengths = np.array([len(x) for x in encoded], np.int64)
-        starts = np.cumsum(lengths) - lengths
+        last = np.full(len(texts), names, np.int64)
+        last[whole] = names + 1 + np.arange(len(extra))
+        index = np.insert(index, bounds[1:], last)
         n = lengths[index]
-        ends = np.cumsum(n)
-        ids = np.concatenate(encoded)[np.repeat(starts[index] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]
-        word_ends = np.concatenate([[0], ends])
-        return word_ends[bounds + np.arange(len(bounds))], ids
+        word_ends = np.concatenate([[0], np.cumsum(n)])
+        return word_ends[bounds + np.arange(len(bounds))], gather(ids, (np.cumsum(lengths) - lengths)[index], n)
 
 
 _ENCODERS: dict[tuple[str, int], Encoder] = {}
@@ -99,10 +160,11 @@ _ENCODERS: dict[tuple[str, int], Encoder] = {}
 
 def tokenised_pieces(docs: DataFrame, path: str, tokens: int, end: int = 1) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32."""
-    schema = docs.select("doc_id").schema.simpleString()[len("struct<"):-1].replace(":", " ", 1)
+    longs = [T.StructField(c, T.LongType()) for c in ("start", "length", "ids_crc32")]
+    schema = T.StructType([docs.schema["doc_id"], T.StructField("piece", T.IntegerType()), *longs])
 
     def cut(batches):
-        encoder = _ENCODERS.setdefault((path, end), Encoder(path, end)) if (path, end) not in _ENCODERS else _ENCODERS[path, end]
+        encoder = _ENCODERS.get((path, end)) or _ENCODERS.setdefault((path, end), Encoder(path, end))
         for batch in batches:
             for part in W.chunks(batch, "text", CHUNK):
                 bounds, ids = encoder.documents(W.strings(part.column(1)))
@@ -116,7 +178,7 @@ def tokenised_pieces(docs: DataFrame, path: str, tokens: int, end: int = 1) -> D
                     [part.column(0).take(pa.array(row)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()),
                      pa.array(crc, pa.int64())], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select("doc_id", "text").mapInArrow(cut, f"{schema}, piece int, start long, length long, ids_crc32 long")
+    return docs.select("doc_id", "text").mapInArrow(cut, schema)
 
 
 def pack_histogram(counts: dict[int, int], c: Capacity = Capacity()) -> np.ndarray:
@@ -197,5 +259,5 @@ def pack_documents(docs: DataFrame, path: str, c: Capacity = Capacity(), end: in
                 [*batch.columns[:-1], pa.array(sequences[i] + position - starts[i]), pa.array(offsets[i])],
                 [*batch.schema.names[:-1], "sequence_id", "offset"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields)
-    return numbered.select(*pieces.columns, "position").mapInArrow(place, f"{fields}, sequence_id long, offset long")
+    places = [T.StructField(c, T.LongType()) for c in ("sequence_id", "offset")]
+    return numbered.select(*pieces.columns, "position").mapInArrow(place, T.StructType(pieces.schema.fields + places))
