@@ -273,6 +273,7 @@ def _exact(p: Join):
     def compare(table: pa.Table) -> pa.Table:
         group, id_ = table.column("label").to_numpy(), table.column("id").to_numpy()
         copies, block = table.column("copies").to_numpy(), table.column("block").to_numpy()
+        crossing = table.column("across").to_numpy(zero_copy_only=False)
         bounds, grams = ngram_sets(W.strings(table.column("text").combine_chunks()), p.words)
         good = np.array([k == e for k, e in zip(set_keys(bounds, grams), table.column("set_key").to_pylist())], bool)
         order = np.argsort(group, kind="stable")
@@ -282,7 +283,7 @@ def _exact(p: Join):
         for a, b in zip(starts, np.append(starts[1:], len(order))):
             own = order[a:b]
             own = own[np.unique(id_[own], return_index=True)[1]]
-            across = block[own] if len(np.unique(block[own])) > 1 else None
+            across = block[own] if crossing[own[0]] else None
             count, label = _links([grams[bounds[i]:bounds[i + 1]] for i in own], copies[own].astype(np.float64), across, p.similarity)
             ids.append(id_[own])
             links.append(count.astype(np.int64))
@@ -312,11 +313,12 @@ def near_duplicates(docs: DataFrame, p: Join = Join(), scratch: Scratch | None =
     # A small group goes with others into one task; a large one becomes pairs of blocks.
     bundle = F.struct(F.pmod(F.xxhash64("label"), F.lit(max(1, total // p.block_bytes))).alias("job"), F.lit(-1).alias("i"), F.lit(-1).alias("j"))
     block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    small = weighed.where("blocks <= 1").withColumn("block", F.lit(0)).withColumn("key", bundle)
+    small = weighed.where("blocks <= 1").withColumns({"block": F.lit(0), "across": F.lit(False), "key": bundle})
     other = weighed.where("blocks > 1").withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int"))))
     pair = F.struct(F.col("label").alias("job"), F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    jobs = small.select("key", "label", "id", "copies", "block", "text", "set_key").unionByName(
-        other.withColumn("key", pair).select("key", "label", "id", "copies", "block", "text", "set_key"))
+    other = other.withColumns({"across": F.col("block") != F.col("other"), "key": pair})
+    columns = ["key", "label", "id", "copies", "block", "across", "text", "set_key"]
+    jobs = small.select(columns).unionByName(other.select(columns))
     counted = scratch.keep(jobs.groupBy("key").applyInArrow(_exact(p), "id long, links long, label long"), "links")
 
     classes = components(scratch, counted.select(F.col("id").alias("a"), F.col("label").alias("b")), "classes")
