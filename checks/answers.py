@@ -81,6 +81,8 @@ left join (select date, count(*) as n, sum(is_new_position) as a, sum(is_removed
 left join (select date, count(*) as n from diag where status = 'skipped' group by 1) s using (date)
 where d.has_holdings""")
 
+answer("skipped_funds", "select date, etf_code, reason from diag where status = 'skipped'")
+
 answer("event_add", f"select {CHANGE_KEY} from acts where direction = 'add'")
 answer("event_reduce", f"select {CHANGE_KEY} from acts where direction = 'reduce'")
 answer("event_streak", f"select {CHANGE_KEY}, add_run::bigint as add_streak_event, reduce_run::bigint as reduce_streak_event from flags")
@@ -136,9 +138,9 @@ answer("net_active_flow", """
 select end_date, stock_code, stock_name, active_adds, active_reduces, new_positions, removed_positions, add_issuers, reduce_issuers,
        add_streaks_2plus, reduce_streaks_2plus, total_weight, avg_weight from nflow""", "total_weight avg_weight")
 answer("fund_breakdown", """
-select date, etf_code, u.name, c.issuer, stock_code, position_change_type, active_direction, round(weight_pct, 2) as weight,
+select t.end_date, c.date, etf_code, u.name, c.issuer, stock_code, position_change_type, active_direction, round(weight_pct, 2) as weight,
        round(active_shares_delta_1d, 0) as shares_delta
-from chg c join universe u on u.code = c.etf_code where is_active_add = 1 or is_active_reduce = 1""", "weight shares_delta")
+from chg c join twin t on t.date = c.date join universe u on u.code = c.etf_code where is_active_add = 1 or is_active_reduce = 1""", "weight shares_delta")
 answer("traction_buckets", """
 select end_date, stock_code, net, bucket, case when bucket in ('gaining', 'losing')
        then case when abs(net) >= 6 then 'strong' when abs(net) >= 4 then 'medium' else 'early' end end as strength from buckets""")
@@ -250,7 +252,7 @@ select event_id, local::date::varchar as run_date, (select max(t.d) from run_tra
 from runs""")
 STAMPS = "'2002-01-01 00:00:00'"
 answer("universe_upsert", f"""
-select code, name, case when k % 5 = 0 then 'New issuer' else issuer end as issuer, market, isin, case when k % 5 = 0 then null else listing_date end as listing_date,
+select code, case when k % 5 = 0 then 'Renamed' else name end as name, case when k % 5 = 0 then 'New issuer' else issuer end as issuer, market, isin, case when k % 5 = 0 then null else listing_date end as listing_date,
        retired::bigint as retired, '1995-01-01' as first_seen_date, {STAMPS} as created_at, case when k % 5 = 0 then '2002-02-02 00:00:00' else {STAMPS} end as updated_at
 from universe
 union all
@@ -268,8 +270,11 @@ from found f where f.code not in (select code from universe)""")
 answer("retirement_candidates", """
 with recent as (select distinct date from all_rows where date <= '2001-10-01' order by date desc limit 2)
 select code, 'retirement_candidate' as outcome from scope
-where code not in (select code from found) and not excluded and listing_date <= (select min(date) from recent)
+where code not in (select code from found) and substr(code, 2, 5)::int % 11 <> 0 and not excluded and listing_date <= (select min(date) from recent)
   and code not in (select etf_code from all_rows where date in (select date from recent))""")
+answer("retirement_skipped", """
+select code, 'retirement_skipped' as outcome from universe
+where code not in (select code from found) and substr(code, 2, 5)::int % 11 <> 0""")
 answer("discovery_filter", """
 select * from listed where contains(name, '主動') and code like '%A' and (
   regexp_matches(replace(name || ' ' || coalesce(isin, ''), '中國信託', ''), '台灣|臺灣|台股|臺股')
@@ -319,6 +324,7 @@ select run_date, count(*) as total_etfs, count(*) filter (where outcome <> 'fail
        min(data_date) filter (where outcome <> 'failed') as data_date_min, max(data_date) filter (where outcome <> 'failed') as data_date_max,
        (select count(weight_warning) from warned w where w.run_date = o.run_date) as weight_warnings
 from outcome o group by 1""")
+answer("run_failures", "select run_date, etf_code, outcome, outcome_reason, data_date from outcome where outcome <> 'success'")
 answer("preexisting_partition", """
 select e.date, e.etf_code, case when c.etf_code is null then 'to_load' else 'preexisting' end as status
 from elig e join universe u on u.code = e.etf_code and u.retired = 0 left join canon c on c.date = e.date and c.etf_code = e.etf_code""")
@@ -360,7 +366,7 @@ where d.decision is null or d.decision = 'skip_rewrite' or (d.decision = 'existi
 union all
 select c.date, c.etf_code, c.asset_name, c.stock_code, c.source_type, c.weight_pct
 from cand c join d using (run_date, candidate_id) where d.decision = 'replace' and (c.asset_type <> 'stock' or c.weight_pct >= 0.01)""", "weight_pct")
-answer("derived_sink", f"select {CHANGE_KEY}, position_change_type, weight_delta_1d from chg", "weight_delta_1d")
+answer("derived_sink", f"select {CHANGE_KEY}, position_change_type, weight_delta_1d from chg where date <> '1999-01-01'", "weight_delta_1d")
 ANSWERS["report_sink"] = ANSWERS["change_summary"]
 answer("backfill", """
 select date, count(*) as change_rows, (select count(*) from sig s where s.date = c.date) as signal_rows from chg c

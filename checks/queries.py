@@ -134,13 +134,13 @@ def _(h):
 
 @query("canonical_holdings")
 def _(h):
-    return P.canonical_holdings(h.rows, h.canonical, h.snapshots).select(
+    return P.canonical_holdings(h.rows, h.canonical).select(
         "date", "etf_code", "source_type", "asset_name", "stock_code", "shares", "weight_pct")
 
 
 @query("canonical_stock_codes")
 def _(h):
-    return P.canonical_stock_codes(h.tables.holdings, h.canonical, h.snapshots)
+    return P.canonical_stock_codes(h.tables.holdings, h.canonical)
 
 
 # --- C: universe and coverage ---------------------------------------------------------
@@ -297,6 +297,11 @@ def _(h):
     return C.change_run_summary(h.dates, h.changes, h.diagnostics)
 
 
+@query("skipped_funds")
+def _(h):
+    return C.skipped_funds(h.diagnostics)
+
+
 # --- E: signals -----------------------------------------------------------------------
 
 
@@ -619,11 +624,14 @@ def _(spark, sf_dir, h):
     known = supplier.where(key % 5 == 0).select(
         F.lower(generated.fund_code(key)).alias("code"),
         F.array(F.lit("issuer"), F.lit("listing_date")).alias("present"),
-        text.alias("name"), F.lit("New issuer").alias("issuer"), F.lit(None).cast("date").alias("listing_date"))
+        text.alias("name"), F.lit("New issuer").alias("issuer"), F.lit(None).cast("date").alias("listing_date"), F.lit(2).alias("seq"))
+    # The same codes once more, earlier and in the other case: the issuer is sent again later, the name is not.
+    before = known.select(F.upper("code").alias("code"), F.array(F.lit("issuer"), F.lit("name")).alias("present"),
+                          F.lit("Renamed").alias("name"), F.lit("Old issuer").alias("issuer"), "listing_date", F.lit(1).alias("seq"))
     new = supplier.where(key % 4 == 0).select(
         F.concat(F.lit("x"), key.cast("string")).alias("code"), F.array(F.lit("listing_date")).alias("present"),
-        text.alias("name"), text.alias("issuer"), F.lit("2001-01-01").cast("date").alias("listing_date"))
-    return U.universe_upsert(h.tables.universe, known.unionByName(new), _now()).select(*UNIVERSE_OUT)
+        text.alias("name"), text.alias("issuer"), F.lit("2001-01-01").cast("date").alias("listing_date"), F.lit(1).alias("seq"))
+    return U.universe_upsert(h.tables.universe, known.unionByName(before).unionByName(new), _now()).select(*UNIVERSE_OUT)
 
 
 @raw_query("retire")
@@ -648,10 +656,22 @@ def _(spark, sf_dir, h):
         *UNIVERSE_OUT, "action")
 
 
+def _retirement(spark, sf_dir, h, markets):
+    unconfirmed = h.tables.universe.withColumn("retired", F.when(F.substring("code", 2, 5).cast("int") % 11 == 0, 1).otherwise(0))
+    status = U.discovery_status(generated.securities(spark, sf_dir), markets)
+    return U.retirement_candidates(unconfirmed, _discovered(spark, sf_dir), h.snapshots, F.lit("2001-10-01").cast("date"), status)
+
+
 @raw_query("retirement_candidates")
 def _(spark, sf_dir, h):
-    unconfirmed = h.tables.universe.withColumn("retired", F.lit(0))
-    return U.retirement_candidates(unconfirmed, _discovered(spark, sf_dir), h.snapshots, F.lit("2001-10-01").cast("date"))
+    return _retirement(spark, sf_dir, h, generated.securities(spark, sf_dir).select("market"))
+
+
+@raw_query("retirement_skipped")
+def _(spark, sf_dir, h):
+    """One expected market returned nothing, so discovery is incomplete."""
+    markets = generated.securities(spark, sf_dir).select("market").union(generated.read(spark, sf_dir, "region").select("r_name"))
+    return _retirement(spark, sf_dir, h, markets)
 
 
 @raw_query("discovery_filter")
@@ -761,6 +781,11 @@ def _(h):
     return G.run_summary(_outcomes(h), G.weight_warning(_profiles(h)))
 
 
+@query("run_failures")
+def _(h):
+    return G.run_failures(_outcomes(h))
+
+
 @query("preexisting_partition")
 def _(h):
     live = h.tables.universe.where("retired = 0").select(F.col("code").alias("etf_code"))
@@ -867,11 +892,8 @@ def _(spark, sf_dir, h):
     rows = G.min_weight_filter(_candidates(h).withColumn("scraped_at", F.lit(CREATED_AT).cast("timestamp")))
     decisions = h.staging.keep(G.store_decision(_outcomes(h), h.canonical), "decisions")
     stock, other = G.split_assets(rows)
-    merged = f"{root}/_merged"
-    sinks.snapshot_sink(G.merge_snapshots(stored.holdings, stock, decisions), G.merge_snapshots(stored.non_stock, other, decisions), merged)
-    sinks.snapshot_sink(
-        spark.read.schema(stored.holdings.schema).parquet(f"{merged}/etf_daily_holdings"),
-        spark.read.schema(stored.non_stock.schema).parquet(f"{merged}/etf_daily_non_stock_assets"), root)
+    affected = decisions.where("inserted OR stored_source_type IS NOT NULL").select(F.col("data_date").alias("date"))
+    sinks.snapshot_sink(G.merge_snapshots(stored.holdings, stock, decisions), G.merge_snapshots(stored.non_stock, other, decisions), root, affected)
     again = tables.read_tables(spark, root)
     return tables.scan_holdings(again.holdings, again.non_stock).select(*STORED)
 
@@ -880,7 +902,10 @@ def _(spark, sf_dir, h):
 def _(spark, sf_dir, h):
     root = scratch(spark, "derived-sink")
     sinks.derived_sink(h.changes, root, "etf_holding_changes")
-    sinks.derived_sink(tables.range_filter(h.changes, "1998-01-01", "1999-12-31"), root, "etf_holding_changes")
+    # A rerun of two years in which one date has no changes any more.
+    asked = tables.range_filter(h.dates.select("date"), "1998-01-01", "1999-12-31")
+    again = tables.range_filter(h.changes, "1998-01-01", "1999-12-31").where("date <> '1999-01-01'")
+    sinks.derived_sink(again, root, "etf_holding_changes", asked)
     return sinks.read_back(spark, f"{root}/etf_holding_changes", h.changes.schema).select(
         *CHANGE_KEY, "position_change_type", "weight_delta_1d")
 

@@ -106,7 +106,7 @@ def test_canonical_prefers_priority_then_size(spark):
 
 
 def test_oversized_snapshot_changes_nothing(spark):
-    """A third of the rows in one invalid snapshot: dropped before the shuffle, same result."""
+    """Most rows in one invalid snapshot: they leave with their verdict, whatever their number."""
     good = [(D, f"F{k}", f"{1000 + i}", i, 1.0) for k in range(40) for i in range(50)]
     huge = spark.range(12_000).select(F.lit(D).cast("date").alias("date"), F.lit("HOT").alias("etf_code"), F.lit("x").alias("asset_name"),
         F.lit("stock").alias("asset_type"), F.lpad((F.col("id") % 10_000).cast("string"), 4, "0").alias("stock_code"), F.lit("n").alias("stock_name"),
@@ -116,8 +116,6 @@ def test_oversized_snapshot_changes_nothing(spark):
     profiles = snapshots.snapshot_profile(rows).persist()
     assert rows_by(profiles, "etf_code")["HOT"]["reason"] == "duplicate_stock_codes"
     canonical = snapshots.canonical_snapshot(profiles)
-    guarded = snapshots.ranked_holdings(rows, canonical, profiles)
-    plain = snapshots.ranked_holdings(rows, canonical)
-    assert guarded.count() == plain.count() == 2000
-    assert guarded.exceptAll(plain).count() == 0
-    assert snapshots.without_oversized(rows, profiles).where("etf_code = 'HOT'").count() == 0
+    ranked = snapshots.ranked_holdings(rows, canonical)
+    assert ranked.count() == 2000 and ranked.where("etf_code = 'HOT'").count() == 0
+    assert ranked.exceptAll(snapshots.ranked_holdings(holdings(spark, good), canonical)).count() == 0

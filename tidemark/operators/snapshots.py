@@ -41,7 +41,7 @@ def snapshot_profile(
     finite = weight.isNotNull() & ~F.isnan(weight) & (F.abs(weight) != float("inf"))
     stock = F.coalesce(F.col("asset_type") == "stock", F.lit(False))
     code = F.coalesce(F.col("stock_code"), F.lit(""))
-    named = F.coalesce(F.col("stock_name").rlike(r"\S"), F.lit(False))
+    named = F.coalesce(F.col("stock_name").rlike(r"(?U)\S"), F.lit(False))
     day = F.col("date") if dict(rows.dtypes)["date"] == "date" else parse_date(F.col("date"))
     etf, source = F.col("etf_code"), F.col("source_type")
     measures = {
@@ -144,63 +144,36 @@ def canonical_snapshot(snapshots: DataFrame) -> DataFrame:
     )
 
 
-def without_oversized(rows: DataFrame, snapshots: DataFrame, params: Params = DEFAULT) -> DataFrame:
-    """Drop, before any shuffle, the rows of snapshots too large to be valid.
+def canonical_holdings(rows: DataFrame, canonical: DataFrame) -> DataFrame:
+    """Rows of the canonical source only.
 
-    A valid snapshot holds at most ``max_stock_codes`` stocks (four digits, no duplicates).
-    The keys removed here hold more than that and also more than a thousandth of all rows:
-    there can be at most a thousand of them, which bounds the broadcast. Smaller invalid
-    snapshots leave in the join that follows.
+    Rows and entries meet on the whole snapshot key, straight from their exchanges, so adaptive
+    execution can split a snapshot that holds a large share of all rows.
     """
-    total = snapshots.agg(F.sum("row_count")).scalar()
-    hot = snapshots.where(
-        (F.col("stock_count") > params.max_stock_codes) & (F.col("stock_count") * 1000 > total)
-    ).select(*SNAPSHOT)
-    return rows.join(F.broadcast(hot), list(SNAPSHOT), "left_anti")
-
-
-def canonical_holdings(
-    rows: DataFrame, canonical: DataFrame, snapshots: DataFrame | None = None, params: Params = DEFAULT
-) -> DataFrame:
-    """Rows of the canonical source only."""
-    if snapshots is not None:
-        rows = without_oversized(rows, snapshots, params)
     return rows.join(canonical.select(*SNAPSHOT), list(SNAPSHOT), "left_semi")
 
 
-def ranked_holdings(
-    holdings: DataFrame,
-    entries: DataFrame,
-    snapshots: DataFrame | None = None,
-    params: Params = DEFAULT,
-) -> DataFrame:
-    """Stock rows of the canonical source, ranked in their fund by weight then code.
+def ranked_holdings(holdings: DataFrame, entries: DataFrame) -> DataFrame:
+    """Stock-table rows of the canonical source, ranked in their fund by weight then code.
 
-    Joined on date and fund only, so join and rank share one shuffle. The source is compared
-    by ``array_contains``: written as an equality the optimizer would make it a third join key,
-    and the rank would need a second shuffle. A ranked group is one valid snapshot: at most
-    ``max_stock_codes`` rows.
+    Rows of other sources leave first (``canonical_holdings``), and with them every invalid
+    snapshot, however large. What is ranked is one valid snapshot: stock rows have distinct
+    four-digit codes, rows of another asset type are bounded by the table's key only.
     """
-    if snapshots is not None:
-        holdings = without_oversized(holdings, snapshots, params)
     extra = [c for c in ("issuer", "source_family", "ti") if c in entries.columns]
-    best = entries.select("date", "etf_code", F.col("source_type").alias("best_source"), *extra)
     in_fund = W.partitionBy("date", "etf_code").orderBy(F.col("weight_pct").desc(), "stock_code")
+    rows = holdings.select("date", "etf_code", "stock_code", "stock_name", "asset_type", "shares", "weight_pct", "source_type")
     return (
-        holdings.select(
-            "date", "etf_code", "stock_code", "stock_name", "asset_type", "shares", "weight_pct", "source_type"
-        )
-        .join(best, ["date", "etf_code"])
-        .where(F.array_contains(F.array("best_source"), F.col("source_type")))
-        .drop("best_source")
+        canonical_holdings(rows, entries)
+        .join(entries.select("date", "etf_code", *extra), ["date", "etf_code"])
         .withColumn("rank", F.row_number().over(in_fund))
     )
 
 
-def canonical_stock_codes(holdings: DataFrame, canonical: DataFrame, snapshots: DataFrame | None = None) -> DataFrame:
+def canonical_stock_codes(holdings: DataFrame, canonical: DataFrame) -> DataFrame:
     """Set of stock codes per canonical snapshot, whatever their asset type."""
     return (
-        canonical_holdings(holdings, canonical, snapshots)
+        canonical_holdings(holdings, canonical)
         .groupBy(*SNAPSHOT)
         .agg(F.array_sort(F.collect_set("stock_code")).alias("stock_codes"))
     )

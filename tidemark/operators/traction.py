@@ -84,13 +84,19 @@ def net_active_flow(changes: DataFrame, params: Params = DEFAULT) -> DataFrame:
     )
 
 
-def fund_breakdown(changes: DataFrame, universe: DataFrame) -> DataFrame:
-    """Active rows with fund name; funds missing from the universe drop out."""
+def fund_breakdown(changes: DataFrame, universe: DataFrame, params: Params = DEFAULT) -> DataFrame:
+    """Active rows of each stock inside the window of every end date, with the fund's name.
+
+    Funds missing from the universe drop out. A row appears once per window that covers its date.
+    """
+    active = changes.where("is_active_add = 1 OR is_active_reduce = 1").join(F.broadcast(change_dates(changes)), "date")
+    ends = change_dates(changes).select(F.col("ci").alias("target"), F.col("date").alias("end_date"))
     return (
-        changes.where("is_active_add = 1 OR is_active_reduce = 1")
-        .join(universe.select(F.col("code").alias("etf_code"), "name"), "etf_code")
+        active.join(universe.select(F.col("code").alias("etf_code"), "name"), "etf_code")
+        .transform(_spread, params)
+        .join(F.broadcast(ends), "target")
         .select(
-            "date", "etf_code", "name", "issuer", "stock_code", "position_change_type", "active_direction",
+            "end_date", "date", "etf_code", "name", "issuer", "stock_code", "position_change_type", "active_direction",
             F.round("weight_pct", 2).alias("weight"),
             F.round("active_shares_delta_1d", 0).alias("shares_delta"),
         )

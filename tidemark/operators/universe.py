@@ -187,22 +187,26 @@ def date_dimension(cover: DataFrame, params: Params = DEFAULT) -> DataFrame:
 def universe_upsert(universe: DataFrame, updates: DataFrame, now: Column) -> DataFrame:
     """Merge update rows into the universe.
 
-    ``updates`` has ``code``, ``present`` (names of the fields the caller sent) and the field
-    columns. A present NULL overwrites, an absent field is preserved, legacy keys are ignored.
+    ``updates`` has ``code``, ``present`` (names of the fields the caller sent), the field columns
+    and ``seq``, the order of the updates. Codes count in upper case; of several updates of a code,
+    each field takes its last sent value. A present NULL overwrites, an absent field is preserved,
+    legacy keys are ignored.
     """
     known = [c for c in UPSERT_COLUMNS if c in updates.columns]
-    new = updates.select(
-        F.upper("code").alias("code"),
-        F.col("present"),
-        *[F.col(c).alias(f"new_{c}") for c in known],
+
+    def sent(name: str) -> Column:
+        return F.coalesce(F.array_contains("present", name), F.lit(False))
+
+    new = updates.groupBy(F.upper("code").alias("code")).agg(
+        F.array_compact(F.array(*[F.when(F.bool_or(sent(c)), c) for c in known])).alias("present"),
+        *[F.max_by(F.struct(c), F.when(sent(c), F.col("seq"))).getField(c).alias(f"new_{c}") for c in known],
     )
     is_new = F.col("old_code").isNull()
 
     def merged(name: str) -> Column:
         if name not in known:
             return F.col(name)
-        sent = F.array_contains("present", name)
-        return F.when(F.coalesce(sent, F.lit(False)), F.col(f"new_{name}")).otherwise(F.col(name)).alias(name)
+        return F.when(sent(name), F.col(f"new_{name}")).otherwise(F.col(name)).alias(name)
 
     out = universe.withColumn("old_code", F.col("code")).join(new, "code", "full")
     touched = F.col("present").isNotNull()
@@ -262,33 +266,27 @@ def universe_reconcile(universe: DataFrame, discovered: DataFrame, seen_date: Co
 
 
 def retirement_candidates(
-    universe: DataFrame,
-    discovered: DataFrame,
-    snapshots: DataFrame,
-    seen_date: Column,
-    discovery_complete: bool = True,
+    universe: DataFrame, discovered: DataFrame, snapshots: DataFrame, seen_date: Column, status: DataFrame
 ) -> DataFrame:
     """(code, outcome) for known funds that discovery no longer lists.
 
-    With incomplete discovery every such fund is ``retirement_skipped``. Otherwise a fund is a
-    ``retirement_candidate`` when it was listed on the older of the last two holdings dates and
-    has no row of any kind on either.
+    ``status`` is the result of ``discovery_status``. While any expected market is incomplete every
+    such fund is ``retirement_skipped``. Otherwise a fund is a ``retirement_candidate`` when it was
+    listed on the older of the last two holdings dates and has no row of any kind on either.
     """
     absent = universe.where(F.coalesce(F.col("retired"), F.lit(0)) == 0).join(
         discovered.select(F.upper("code").alias("code")).distinct(), "code", "left_anti"
     )
-    if not discovery_complete:
-        return absent.select("code", F.lit("retirement_skipped").alias("outcome"))
+    complete = status.agg(F.coalesce(F.bool_and("completed"), F.lit(False))).scalar()
     recent = (
         snapshots.where(F.col("date") <= seen_date).select("date").distinct().orderBy(F.col("date").desc()).limit(2)
     )
     older = recent.agg(F.when(F.count(F.lit(1)) == 2, F.min("date"))).scalar()
-    present = snapshots.join(F.broadcast(recent), "date", "left_semi").select(F.col("etf_code").alias("code")).distinct()
-    return (
-        absent.where(~scope_excluded(F.col("official_logic")) & (F.col("listing_date") <= older))
-        .join(present, "code", "left_anti")
-        .select("code", F.lit("retirement_candidate").alias("outcome"))
-    )
+    present = snapshots.join(F.broadcast(recent), "date", "left_semi").select(
+        F.col("etf_code").alias("code"), F.lit(True).alias("present")).distinct()
+    gone = ~scope_excluded(F.col("official_logic")) & (F.col("listing_date") <= older) & F.col("present").isNull()
+    outcome = F.when(~complete, "retirement_skipped").when(gone, "retirement_candidate")
+    return absent.join(present, "code", "left").select("code", outcome.alias("outcome")).where("outcome IS NOT NULL")
 
 
 # --- Discovery ------------------------------------------------------------------------

@@ -10,8 +10,6 @@ class Params:
     # Snapshot validity.
     min_rows: int = 5
     min_stock_rows: int = 5
-    # A valid stock code is four digits, so a valid snapshot holds at most this many stocks.
-    max_stock_codes: int = 10_000
     # Valid-date coverage.
     coverage_ratio: float = 0.8
     # Change detection.

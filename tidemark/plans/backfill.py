@@ -22,13 +22,14 @@ def backfill(
     """Write changes and diagnostics (and signals) of the range; returns the run summary.
 
     Previous dates, streaks and windows come from the whole history; only the written dates
-    are limited.
+    are limited. A date of the range that has no rows (any more) becomes empty.
     """
-    derived_sink(range_filter(history.changes, from_date, to_date), root, "etf_holding_changes")
-    derived_sink(range_filter(history.diagnostics, from_date, to_date), root, "etf_change_diagnostics")
+    asked = range_filter(history.dates.select("date"), from_date, to_date)
+    derived_sink(range_filter(history.changes, from_date, to_date), root, "etf_holding_changes", asked)
+    derived_sink(range_filter(history.diagnostics, from_date, to_date), root, "etf_change_diagnostics", asked)
     if regenerate_signals:
         signals = range_filter(manager_signals(history.changes, history.params), from_date, to_date)
-        derived_sink(to_storage(signals), root, "etf_manager_signals")
+        derived_sink(to_storage(signals), root, "etf_manager_signals", asked)
     return backfill_summary(history, from_date, to_date)
 
 

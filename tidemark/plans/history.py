@@ -84,7 +84,7 @@ class History:
 
     @cached_property
     def ranked(self) -> DataFrame:
-        ranked = snapshots.ranked_holdings(self.tables.holdings, self.entries, self.snapshots, self.params)
+        ranked = snapshots.ranked_holdings(self.tables.holdings, self.entries)
         return self.staging.keep(ranked, "ranked_holdings")
 
     @cached_property

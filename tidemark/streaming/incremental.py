@@ -7,6 +7,7 @@ any age is stored, and every date from the earliest one it touches is rebuilt.
 
 from __future__ import annotations
 
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,8 +65,10 @@ def store_candidates(spark: SparkSession, root: str, candidates: DataFrame, batc
     """
     stored = read_tables(spark, root)
 
+    staged = f"{root}/_staging/{batch}-{uuid.uuid4().hex}"
+
     def written(frame: DataFrame, name: str) -> DataFrame:
-        path = f"{root}/_staging/{batch}/{name}"
+        path = f"{staged}/{name}"
         frame.write.mode("overwrite").parquet(path)
         return spark.read.schema(frame.schema).parquet(path)
 
@@ -78,7 +81,8 @@ def store_candidates(spark: SparkSession, root: str, candidates: DataFrame, batc
     stock, other = split_assets(rows)
     new_stock = written(merge_snapshots(stored.holdings, stock, decisions), "stock")
     new_other = written(merge_snapshots(stored.non_stock, other, decisions), "other")
-    snapshot_sink(new_stock, new_other, root)
+    affected = decisions.where("inserted OR stored_source_type IS NOT NULL").select(F.col("data_date").alias("date"))
+    snapshot_sink(new_stock, new_other, root, affected)
     return decisions
 
 
