@@ -347,6 +347,11 @@ from part""", "number weight aggregator_weight")
 LANDED = "payload_id, date, etf_code, stock_code, stock_name, shares, weight_pct"
 answer("json_payload_rows", f"select {LANDED} from landed where k % 7 in (0, 1, 2) or (k % 7 = 3 and k % 14 <> 10)", "shares weight_pct")
 answer("payload_rejects", "select distinct payload_id, etf_code, 'headered_table' as format, 'etf_mismatch' as reject from landed where k % 14 = 10")
+answer("fund_options", """
+select code as etf_code, case when k % 5 = 4 then k::varchar end as fund_no,
+       case k % 5 when 0 then 'api_failed' when 1 then 'fund_option_missing_or_ambiguous' when 2 then 'fund_option_missing_or_ambiguous'
+                  when 3 then 'fund_no_missing' end as reject
+from universe""")
 answer("html_table_rows", f"""
 select {LANDED}, asset_name, asset_type from landed where k % 7 in (4, 6)
 union all

@@ -837,6 +837,17 @@ def _(h):
     return B.payload_rejects(_payloads(h))
 
 
+@raw_query("fund_options")
+def _(spark, sf_dir, h):
+    k = F.substring("code", 2, 10).cast("bigint")
+    entry = lambda code, number: F.struct(code.alias("SecuritiesCode"), number.cast("string").alias("FundNo"))
+    own, blank = entry(F.concat(F.lit(" "), F.lower("code")), k), entry(F.col("code"), F.lit(" "))
+    entries = F.when(k % 5 == 1, F.array(entry(F.lit("OTHER"), k))).when(k % 5 == 2, F.array(own, own)).when(k % 5 == 3, F.array(blank)).otherwise(
+        F.array(entry(F.lit("OTHER"), k), own))
+    body = F.to_json(F.struct(F.when(k % 5 == 0, 1).otherwise(0).alias("StatusCode"), entries.alias("Entries")))
+    return B.fund_options(h.tables.universe.select(F.col("code").alias("etf_code"), body.alias("body")))
+
+
 @query("html_table_rows")
 def _(h):
     landed = _payloads(h)

@@ -97,10 +97,10 @@ def landed(spark, kind, body, fund="00980A"):
 
 
 def test_json_key_fallbacks(spark):
-    body = '{"data":{"pcf":{"date1":"2026-06-20"},"stocks":[{"stocNo":"2330 TT","stocName":"台積電","share":"1,000","weight":"9.5"},' \
-           '{"code":"2317","name":"鴻海","qty":5,"ratio":1.25},{"code":"ABC","name":"x","qty":5,"ratio":1.25},{"code":"2454","name":"x"}]}}'
+    body = '{"data":{"pcf":{"date1":"2026-06-20"},"stocks":[{"stocNo":"2330 TT","stocName":"台積電","share":"1,000","weightRound":0,"weight":"9.5"},' \
+           '{"stocNo":"1101","stocName":"zero","share":"5","weightRound":"0","weight":"9.5"},{"code":"2317","name":"鴻海","qty":5,"ratio":1.25},{"code":"ABC","name":"x","qty":5,"ratio":1.25},{"code":"2454","name":"x"}]}}'
     got = {(r["stock_code"], r["stock_name"], r["shares"], r["weight_pct"], str(r["date"]), r["etf_code"]) for r in payloads.payload_rows(landed(spark, "object_list", body)).collect()}
-    assert got == {("2330", "台積電", 1000.0, 9.5, RUN, "00980A"), ("2317", "鴻海", 5.0, 1.25, RUN, "00980A")}
+    assert got == {("2330", "台積電", 1000.0, 9.5, RUN, "00980A"), ("1101", "zero", 5.0, 0.0, RUN, "00980A"), ("2317", "鴻海", 5.0, 1.25, RUN, "00980A")}
 
 
 def test_identity_rejections(spark):
@@ -121,6 +121,37 @@ def test_identity_rejections(spark):
     assert payloads.payload_rows(good).first()["asset_name"] == "台積電(2330.TW)"
 
 
+OBJECTS = '{"data":{"pcf":{"date1":"2026-06-20"},"stocks":[%s]}}'
+GOOD = '{"stocNo":"2330","stocName":"a","share":"1","weight":"9.5"}'
+TABLE = "<p>日期：2026/06/20</p><table><tr><td>代號</td><td>名稱</td><td>%s</td><td>權重</td></tr><tr><td>2330</td><td>a</td><td>%s</td><td>%s</td></tr></table>"
+LIST = "<p>資料日期：2026/06/20</p><table class='datalist'><tr><td>a<b>b</b>(2330.TW)</td><td>%s</td><td>5</td></tr></table>"
+
+
+def test_every_payload_gives_rows_or_one_reason(spark):
+    cases = {
+        "good": ("object_list", OBJECTS % GOOD, None), "oops": ("object_list", OBJECTS % (GOOD + ',{"stocNo":"x","share":"1","weight":"oops"}'), "unreadable_number"),
+        "torn": ("object_list", (OBJECTS % GOOD)[:-9], "malformed_payload"), "none": ("object_list", OBJECTS % "", "no_stock_rows"),
+        "null": ("grouped_detail", None, "malformed_payload"), "other": ("spreadsheet", "x", "unknown_format"),
+        "html": ("html_table", TABLE % ("股數", "1,0", "2%"), None), "noshares": ("html_table", TABLE % ("x", "1", "2"), "no_stock_rows"),
+        "badhtml": ("html_table", TABLE % ("股數", "1.x", "2"), "unreadable_number"), "text": ("text_block", "2026/06/20\n2330\na\n1\nten\n", "unreadable_number"),
+        "list": ("aggregator_table", LIST % "1.5", None), "badlist": ("aggregator_table", LIST % "1.5.2", "unreadable_number"),
+        "emptylist": ("aggregator_table", "<table></table>", "no_stock_rows"), "dash": ("aggregator_table", LIST % "-", None),
+    }
+    schema = "payload_id STRING, etf_code STRING, source_type STRING, format STRING, expected_fund_no STRING, body STRING"
+    df = spark.createDataFrame([(k, "f", "official_fallback", kind, "N", body) for k, (kind, body, _) in cases.items()], schema)
+    rejects = {r["payload_id"]: r["reject"] for r in payloads.payload_rejects(df).collect()}
+    assert rejects == {k: want for k, (_, _, want) in cases.items() if want}
+    rows = payloads.payload_rows(df).collect()
+    assert {r["payload_id"] for r in rows} == set(cases) - set(rejects)
+    assert {r["asset_name"] for r in rows if r["payload_id"] == "list"} == {"ab(2330.TW)"}
+
+
+def test_short_rows_give_nothing(spark):
+    body = '{"StatusCode":0,"Entries":{"CSecuritiesCode":"00980A","CFundId":"N1","CPcfdate":"2026-06-20","DynamicTableData":[{"TableTitle":"股票",' \
+           '"Columns":[{"Name":"代號"},{"Name":"名稱"},{"Name":"權重"},{"Name":"股數"}],"Rows":[["2330","a","5"],["2317","b","5","7"]]}]}}'
+    assert [r["stock_code"] for r in payloads.payload_rows(landed(spark, "headered_table", body)).collect()] == ["2317"]
+
+
 def test_html_with_and_without_header(spark):
     body = "<p>日期：2026/06/20</p><table><tr><td>名稱</td><td>權重(%)</td><td>代號</td><td>股數</td></tr><tr><td>台積電</td><td>9.5%</td><td>2330</td><td>1,000</td></tr></table>" \
            "<table><tr><td>2317</td><td><b>鴻海</b></td><td>--</td><td>1.5</td></tr></table>"

@@ -92,12 +92,21 @@ def config_map(text: Column) -> Column:
     return F.map_from_entries(last_only)
 
 
-def strip_tags(html: Column) -> Column:
-    """Visible text of an HTML fragment with the common entities decoded."""
+def _visible(html: Column, joint: str) -> Column:
     text = F.regexp_replace(html, r"(?is)<(script|style)[^>]*>.*?</\1>", " ")
-    text = F.regexp_replace(text, r"(?s)<[^>]*>", " ")
+    text = F.regexp_replace(text, r"(?s)<[^>]*>", joint)
     for entity, char in (
         ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"),
     ):
         text = F.replace(text, F.lit(entity), F.lit(char))
     return F.regexp_replace(F.regexp_replace(text, r"\s+", " "), r"(?U)\A\s+|\s+\z", "")
+
+
+def strip_tags(html: Column) -> Column:
+    """Visible text of an HTML fragment with the common entities decoded; a tag parts words."""
+    return _visible(html, " ")
+
+
+def cell_text(html: Column) -> Column:
+    """The same, with the texts around inner tags joined without a blank."""
+    return _visible(html, "")

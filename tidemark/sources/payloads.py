@@ -12,6 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.parsing import (
+    MISSING_DASHES,
+    MISSING_NUMBERS,
+    cell_text,
     classify_asset,
     four_digit_code,
     labelled_date,
@@ -42,24 +45,40 @@ def _text(value: Column) -> Column:
     return F.nullif(F.trim(value), F.lit(""))
 
 
-def _first(item: str, *names: str) -> Column:
-    """First non-empty of several spellings of a field."""
-    return F.coalesce(*[_text(F.col(f"{item}.{n}")) for n in names])
+def _first(item: str, raw: str, *names: str) -> Column:
+    """First non-empty of several spellings of a field; the JSON number 0 counts as absent, a quoted "0" does not."""
+    def given(name: str) -> Column:
+        zero = F.col(raw).rlike(rf'"{name}"\s*:\s*-?0+(\.0*)?([eE][-+]?\d+)?\s*[,}}]')
+        return F.when(~zero, _text(F.col(f"{item}.{name}")))
 
+    return F.coalesce(*map(given, names))
 
-def _stock_rows(rows: DataFrame, code: Column, name: Column, shares: Column, weight: Column) -> DataFrame:
-    """Holdings rows from four printed fields; rows without code, name or weight are left out."""
-    printed = rows.withColumns(
-        {
-            "stock_code": four_digit_code(code),
-            "stock_name": _text(name),
-            "shares": parse_number(shares),
-            "weight_pct": parse_weight(weight),
-        }
-    ).where("stock_code IS NOT NULL AND stock_name IS NOT NULL AND weight_pct IS NOT NULL")
-    return printed.withColumn(
-        "asset_name", F.concat("stock_name", F.lit("("), "stock_code", F.lit(".TW)"))
-    ).withColumn("asset_type", F.lit("stock")).select(*ROW_COLUMNS)
+
+def _unreadable(printed: Column, number: Column, missing: tuple[str, ...] = MISSING_NUMBERS) -> Column:
+    """A cell that is neither blank nor a missing marker nor a number."""
+    plain = F.upper(F.regexp_replace(printed, "[,%\\s]", ""))
+    return F.coalesce(number.isNull() & ~plain.isin("", *missing), F.lit(False))
+
+
+def _printed(rows: DataFrame, code: Column, name: Column, shares: Column, weight: Column, whole: bool = True) -> DataFrame:
+    """Printed stock rows: the fields, whether the row counts, and whether a number cannot be read.
+
+    ``whole``: shares are read in every row; else only in rows that count.
+    """
+    read = rows.withColumns({
+        "stock_code": four_digit_code(code), "stock_name": _text(name), "shares": parse_number(shares), "weight_pct": parse_weight(weight)})
+    counts = F.col("stock_code").isNotNull() & F.col("stock_name").isNotNull() & F.col("weight_pct").isNotNull()
+    bad_shares = _unreadable(shares, F.col("shares"))
+    return read.withColumns({
+        "counts": counts, "unreadable": _unreadable(weight, F.col("weight_pct")) | (bad_shares if whole else bad_shares & counts),
+        "asset_name": F.concat("stock_name", F.lit("("), "stock_code", F.lit(".TW)")), "asset_type": F.lit("stock"),
+    }).select(*ROW_COLUMNS, "counts", "unreadable")
+
+
+def _accepted(printed: DataFrame) -> DataFrame:
+    """Rows that count, of payloads in which every number can be read."""
+    bad = printed.where("unreadable").select("payload_id").distinct()
+    return printed.where("counts").join(bad, "payload_id", "left_anti").select(*ROW_COLUMNS)
 
 
 def _of(payloads: DataFrame, kind: str) -> DataFrame:
@@ -74,7 +93,7 @@ _ITEM = ", ".join(
         "share", "shares", "qty", "weightRound", "weight", "ratio",
     )
 )
-OBJECT_LIST = f"STRUCT<data: STRUCT<pcf: STRUCT<date1: STRING, date2: STRING>, stocks: ARRAY<STRUCT<{_ITEM}>>>>"
+OBJECT_LIST = f"STRUCT<data: STRUCT<pcf: STRUCT<date1: STRING, date2: STRING>, stocks: ARRAY<STRING>>>"
 TITLED_TABLE = (
     "STRUCT<Entries: STRUCT<FundID: STRING, Data: STRUCT<FundAsset: STRUCT<NavDate: STRING>, "
     "Table: ARRAY<STRUCT<TableTitle: STRING, `Rows`: ARRAY<ARRAY<STRING>>>>>>>"
@@ -89,16 +108,16 @@ HEADERED_TABLE = (
 )
 
 
-def object_list_rows(payloads: DataFrame) -> DataFrame:
+def _object_list(payloads: DataFrame) -> DataFrame:
     doc = _of(payloads, "object_list").withColumn("doc", F.from_json("body", OBJECT_LIST))
     dated = doc.withColumn("date", parse_date(F.coalesce(_text(F.col("doc.data.pcf.date2")), F.col("doc.data.pcf.date1"))))
-    items = dated.withColumn("item", F.explode("doc.data.stocks"))
-    return _stock_rows(
+    items = dated.withColumn("raw", F.explode("doc.data.stocks")).withColumn("item", F.from_json("raw", f"STRUCT<{_ITEM}>"))
+    return _printed(
         items,
-        _first("item", "stocNo", "stockNo", "stockCode", "code"),
-        _first("item", "stocName", "stockName", "name"),
-        _first("item", "share", "shares", "qty"),
-        _first("item", "weightRound", "weight", "ratio"),
+        _first("item", "raw", "stocNo", "stockNo", "stockCode", "code"),
+        _first("item", "raw", "stocName", "stockName", "name"),
+        _first("item", "raw", "share", "shares", "qty"),
+        _first("item", "raw", "weightRound", "weight", "ratio"),
     )
 
 
@@ -108,21 +127,20 @@ def _titled(payloads: DataFrame) -> DataFrame:
     return doc.withColumn("reject", F.when(F.upper(fund) != F.col("etf_code"), "fund_mismatch"))
 
 
-def titled_table_rows(payloads: DataFrame) -> DataFrame:
+def _titled_table(payloads: DataFrame) -> DataFrame:
     doc = _titled(payloads).where("reject IS NULL")
     dated = doc.withColumn("date", parse_date(F.col("doc.Entries.Data.FundAsset.NavDate")))
     tables = dated.withColumn("table", F.explode("doc.Entries.Data.Table")).where(F.col("table.TableTitle") == STOCK_TITLE)
     cells = tables.withColumn("cells", F.explode("table.Rows")).where(F.size("cells") >= 4)
-    return _stock_rows(cells, *[F.col("cells")[i] for i in range(4)])
+    return _printed(cells, *[F.col("cells")[i] for i in range(4)], whole=False)
 
 
-def grouped_detail_rows(payloads: DataFrame) -> DataFrame:
+def _grouped_detail(payloads: DataFrame) -> DataFrame:
     doc = _of(payloads, "grouped_detail").withColumn("doc", F.from_json("body", GROUPED_DETAIL))
     dated = doc.withColumn("date", parse_date(F.get("doc.Data.FundAssets", F.lit(0))["資料日期"]))
     groups = dated.withColumn("g", F.explode("doc.Data.FundAssetsDetail")).where(F.upper("g.Code") == "STOCK")
     items = groups.withColumn("item", F.explode("g.Data"))
-    rows = _stock_rows(items, *[F.col(f"item.{n}") for n in ("code_", "name_", "qty_", "weights_")])
-    return rows.dropDuplicates(["payload_id", "etf_code", "date", "asset_name", "weight_pct", "shares"])
+    return _printed(items, *[F.col(f"item.{n}") for n in ("code_", "name_", "qty_", "weights_")])
 
 
 def header_positions(headers: Column) -> dict[str, Column]:
@@ -138,6 +156,11 @@ def _cell(at: str) -> Column:
     return F.try_element_at("cells", F.nullif(F.col(at), F.lit(0)))
 
 
+def _complete() -> Column:
+    """All four positions are known and inside the row."""
+    return reduce(lambda a, b: a & b, [F.col(f"at_{k}").between(1, F.size("cells")) for k in HEADER_WORDS])
+
+
 def _headered(payloads: DataFrame) -> DataFrame:
     doc = _of(payloads, "headered_table").withColumn("doc", F.from_json("body", HEADERED_TABLE))
     entry = F.col("doc.Entries")
@@ -160,22 +183,37 @@ def _headered(payloads: DataFrame) -> DataFrame:
     return placed.withColumn("reject", reject)
 
 
-def headered_table_rows(payloads: DataFrame) -> DataFrame:
-    cells = _headered(payloads).where("reject IS NULL").withColumn("cells", F.explode("table.Rows"))
-    rows = _stock_rows(cells, *[_cell(f"at_{k}") for k in HEADER_WORDS])
-    return rows.dropDuplicates(["payload_id", "etf_code", "date", "asset_name", "weight_pct", "shares"])
+def _headered_table(payloads: DataFrame) -> DataFrame:
+    cells = _headered(payloads).where("reject IS NULL").withColumn("cells", F.explode("table.Rows")).where(_complete())
+    return _printed(cells, *[_cell(f"at_{k}") for k in HEADER_WORDS])
 
 
-def payload_rejects(payloads: DataFrame) -> DataFrame:
-    """Payloads whose identity or layout is wrong, with the reason; they give no rows."""
-    keys = ("payload_id", "etf_code", "format", "reject")
-    both = _titled(payloads).select(*keys).unionByName(_headered(payloads).select(*keys))
-    return both.where("reject IS NOT NULL")
+REPEATS = ["payload_id", "etf_code", "date", "asset_name", "weight_pct", "shares"]
 
 
 def json_payload_rows(payloads: DataFrame) -> DataFrame:
-    parsers = (object_list_rows, titled_table_rows, grouped_detail_rows, headered_table_rows)
-    return reduce(DataFrame.unionByName, [p(payloads) for p in parsers])
+    plain = _accepted(_object_list(payloads)).unionByName(_accepted(_titled_table(payloads)))
+    once = _accepted(_grouped_detail(payloads)).unionByName(_accepted(_headered_table(payloads)))
+    return plain.unionByName(once.dropDuplicates(REPEATS))
+
+
+def fund_options(options: DataFrame) -> DataFrame:
+    """Internal fund number of each asked code, or why there is none.
+
+    ``options``: etf_code and the body of the issuer's options payload. Codes must match exactly,
+    but for case and outer blanks.
+    """
+    doc = options.withColumn("doc", F.from_json("body", "StatusCode INT, Entries ARRAY<STRUCT<SecuritiesCode: STRING, FundNo: STRING>>"))
+    code = F.upper("etf_code")
+    hits = F.filter("doc.Entries", lambda e: F.upper(F.trim(e["SecuritiesCode"])) == code)
+    found = doc.withColumn("hits", F.coalesce(hits, F.array()))
+    number = _text(F.get("hits", F.lit(0))["FundNo"])
+    reject = (
+        F.when(F.coalesce("doc.StatusCode", F.lit(-1)) != 0, "api_failed")
+        .when(F.size("hits") != 1, "fund_option_missing_or_ambiguous")
+        .when(number.isNull(), "fund_no_missing")
+    )
+    return found.select(code.alias("etf_code"), F.when(reject.isNull(), number).alias("fund_no"), reject.alias("reject"))
 
 
 # --- HTML and text --------------------------------------------------------------------
@@ -185,11 +223,11 @@ def _pieces(html: Column, tag: str, group: int = 0) -> Column:
     return F.regexp_extract_all(html, F.lit(rf"(?is)<{tag}(?:\s[^>]*)?>(.*?)</{tag}>"), F.lit(group))
 
 
-def _cell_texts(row: Column, tag: str = "td") -> Column:
-    return F.transform(_pieces(row, tag, 1), lambda cell: strip_tags(cell))
+def _cell_texts(row: Column, text=strip_tags) -> Column:
+    return F.transform(_pieces(row, "td", 1), lambda cell: text(cell))
 
 
-def html_table_rows(payloads: DataFrame) -> DataFrame:
+def _html_table(payloads: DataFrame) -> DataFrame:
     """Rows of every well-formed table: by header names, or the first four cells without a header."""
     tables = (
         _of(payloads, "html_table")
@@ -218,10 +256,14 @@ def html_table_rows(payloads: DataFrame) -> DataFrame:
         }
     )
     cells = placed.withColumn("line", F.explode("data")).withColumn("cells", _cell_texts(F.col("line"))).where(F.size("cells") >= 4)
-    return _stock_rows(cells, *[_cell(f"at_{k}") for k in HEADER_WORDS])
+    return _printed(cells.where(_complete()), *[_cell(f"at_{k}") for k in HEADER_WORDS])
 
 
-def aggregator_table_rows(payloads: DataFrame) -> DataFrame:
+def html_table_rows(payloads: DataFrame) -> DataFrame:
+    return _accepted(_html_table(payloads))
+
+
+def _aggregator_table(payloads: DataFrame) -> DataFrame:
     """Three-column table of asset name, weight and shares, covering every asset type."""
     lists = F.filter(_pieces(F.col("body"), "table"), lambda t: t.rlike(r"(?is)\A<table\s[^>]*class\s*=\s*[\"'][^\"']*\bdatalist\b"))
     cells = (
@@ -229,20 +271,26 @@ def aggregator_table_rows(payloads: DataFrame) -> DataFrame:
         .withColumn("date", parse_date(labelled_date(strip_tags(F.col("body")))))
         .withColumn("table", F.explode(lists))
         .withColumn("line", F.explode(_pieces(F.col("table"), "tr")))
-        .withColumn("cells", _cell_texts(F.col("line")))
+        .withColumn("cells", _cell_texts(F.col("line"), cell_text))
         .where(F.size("cells") == 3)
     )
+    weight, shares = F.col("cells")[1], F.col("cells")[2]
     return (
         cells.withColumn("asset_name", F.col("cells")[0])
-        .withColumn("weight_pct", parse_aggregator_weight(F.col("cells")[1]))
-        .withColumn("shares", parse_number(F.col("cells")[2]))
+        .withColumn("weight_pct", parse_aggregator_weight(weight))
+        .withColumn("shares", parse_number(shares))
         .withColumn("class", classify_asset(F.col("asset_name")))
         .select("*", "class.*")
-        .select(*ROW_COLUMNS)
+        .withColumns({"counts": F.lit(True), "unreadable": _unreadable(weight, F.col("weight_pct"), MISSING_DASHES) | _unreadable(shares, F.col("shares"))})
+        .select(*ROW_COLUMNS, "counts", "unreadable")
     )
 
 
-def text_block_rows(payloads: DataFrame) -> DataFrame:
+def aggregator_table_rows(payloads: DataFrame) -> DataFrame:
+    return _accepted(_aggregator_table(payloads))
+
+
+def _text_block(payloads: DataFrame) -> DataFrame:
     """Plain text: a four-digit line followed by name, shares and weight lines."""
     lines = F.filter(F.transform(F.split("body", r"\R"), lambda x: F.trim(x)), lambda x: x != "")
     placed = (
@@ -253,7 +301,11 @@ def text_block_rows(payloads: DataFrame) -> DataFrame:
         .where(F.col("line").rlike(r"\A\d{4}\z") & (F.col("at") + 3 < F.size("lines")))
     )
     following = [F.get("lines", F.col("at") + i) for i in range(4)]
-    return _stock_rows(placed, *following)
+    return _printed(placed, *following)
+
+
+def text_block_rows(payloads: DataFrame) -> DataFrame:
+    return _accepted(_text_block(payloads))
 
 
 def payload_rows(payloads: DataFrame) -> DataFrame:
@@ -262,6 +314,32 @@ def payload_rows(payloads: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, [p(payloads) for p in parsers])
 
 
+JSON_FORMATS = ("object_list", "titled_table", "grouped_detail", "headered_table")
+PARSERS = (_object_list, _titled_table, _grouped_detail, _headered_table, _html_table, _aggregator_table, _text_block)
+
+
+def payload_rejects(payloads: DataFrame) -> DataFrame:
+    """Payloads that give no rows, each with one reason; every other payload gives rows.
+
+    In this order: unknown format, malformed body, wrong identity or layout, a number that cannot be
+    read (the whole payload is refused, not only the row), no stock row.
+    """
+    seen = reduce(DataFrame.unionByName, [parse(payloads).select("payload_id", "counts", "unreadable") for parse in PARSERS])
+    verdicts = seen.groupBy("payload_id").agg(F.bool_or("counts").alias("counts"), F.bool_or("unreadable").alias("unreadable"))
+    layout = _titled(payloads).select("payload_id", "reject").unionByName(_headered(payloads).select("payload_id", "reject"))
+    malformed = F.col("body").isNull() | (F.col("format").isin(*JSON_FORMATS) & F.try_parse_json("body").isNull())
+    known = (*JSON_FORMATS, "html_table", "aggregator_table", "text_block")
+    reason = (
+        F.when(~F.coalesce(F.col("format").isin(*known), F.lit(False)), "unknown_format")
+        .when(malformed, "malformed_payload")
+        .when(F.col("reject").isNotNull(), F.col("reject"))
+        .when(F.coalesce("unreadable", F.lit(False)), "unreadable_number")
+        .when(~F.coalesce("counts", F.lit(False)), "no_stock_rows")
+    )
+    judged = payloads.join(layout.where("reject IS NOT NULL"), "payload_id", "left").join(verdicts, "payload_id", "left")
+    return judged.select("payload_id", F.upper("etf_code").alias("etf_code"), "format", reason.alias("reject")).where("reject IS NOT NULL")
+
+
 def security_master_rows(pages: DataFrame) -> DataFrame:
     """Listed securities of a market page: ``CODE NAME``, isin, listing date."""
     cells = (
