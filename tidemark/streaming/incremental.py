@@ -1,4 +1,4 @@
-"""Nightly arrivals as a file stream: parse, arbitrate, store, rebuild what depends on them.
+"""Nightly arrivals as a file stream: parse, judge, arbitrate, store, rebuild what depends on them.
 
 A batch is idempotent: stored dates and derived dates are replaced whole, so a batch that is
 run again after a failure gives the same tables. Late files need no watermark: a correction of
@@ -9,20 +9,32 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import schemas
-from tidemark.operators.ingest import candidate_profiles, dedupe_rows, merge_snapshots, min_weight_filter, split_assets
-from tidemark.operators.snapshots import arbitrate, canonical_snapshot, snapshot_profile, sort_key
+from tidemark.operators.calendar import expected_data_date, full_calendar, last_trading_day, local_run_time, trading_days
+from tidemark.operators.ingest import (
+    candidate_profiles,
+    candidate_selection,
+    dedupe_rows,
+    merge_snapshots,
+    min_weight_filter,
+    row_count_check,
+    scrape_outcome,
+    split_assets,
+    store_decision,
+    stored_row_counts,
+)
+from tidemark.operators.snapshots import canonical_snapshot, snapshot_profile
 from tidemark.params import DEFAULT, Params
 from tidemark.plans.backfill import backfill
 from tidemark.plans.history import History
 from tidemark.plans.staging import Staging
 from tidemark.sources.payloads import payload_rows
 from tidemark.sources.sinks import snapshot_sink
-from tidemark.sources.tables import read_tables, scan_holdings
+from tidemark.sources.tables import Tables, read_tables, scan_holdings
 
 
 def init_tables(spark: SparkSession, root: str, universe: DataFrame) -> None:
@@ -47,24 +59,46 @@ def candidates_from_payloads(payloads: DataFrame) -> DataFrame:
     )
 
 
-def best_candidates(profiles: DataFrame) -> DataFrame:
-    """The best valid candidate of each data date and fund."""
-    kept = ("run_date", "candidate_id", "valid", "reason", "row_count", "total_weight")
-    best = F.max(F.struct(sort_key().alias("key"), *kept)).alias("b")
-    return profiles.where("valid").groupBy("data_date", "etf_code").agg(best).select(
-        "data_date", "etf_code", "b.key.source_type", "b.key.stock_count", "b.key.shares_coverage",
-        "b.key.non_stock_count", *[f"b.{c}" for c in kept],
-    )
+def expected_date(spark: SparkSession, run_at: str | None = None, holidays: DataFrame | None = None, params: Params = DEFAULT) -> Column:
+    """The data date that a run at this UTC time (now, if not given) should see."""
+    at = F.lit(run_at).cast("timestamp") if run_at else F.current_timestamp()
+    runs = spark.range(1).select(at.alias("run_at"))
+    last_days = None
+    if holidays is not None:
+        near = runs.select(F.to_date(local_run_time(F.col("run_at"))).alias("date"))
+        last_days = last_trading_day(trading_days(full_calendar(near), holidays), params)
+    return F.lit(expected_data_date(runs, last_days, params).first()["expected_data_date"])
+
 
+def nightly_decisions(rows: DataFrame, stored: Tables, expected: Column, params: Params = DEFAULT) -> DataFrame:
+    """What becomes of each landed snapshot, by the gates of the nightly run.
 
-def store_candidates(spark: SparkSession, root: str, candidates: DataFrame, batch: str, params: Params = DEFAULT) -> DataFrame:
-    """Arbitrate candidate rows against the stored dates and replace those dates.
+    The candidates are judged on all their rows, before light rows are dropped: a weight that is
+    missing makes a snapshot invalid. Each date is a run of its own: one candidate per date and fund
+    is chosen among the channels, after their row counts were held against the stored history.
+    A date after the expected one is refused, an equivalent of what is stored is not written again,
+    and the rest is arbitrated against the stored snapshot.
+    """
+    profiles = candidate_profiles(rows, params=params)
+    touched = profiles.where("data_date IS NOT NULL")
+    history = stored.holdings.join(touched.select("etf_code", "source_type").distinct(), ["etf_code", "source_type"], "left_semi")
+    checked = row_count_check(profiles, stored_row_counts(history), params)
+    chosen = candidate_selection(checked.withColumn("target_date", F.col("run_date")))
+    outcomes = scrape_outcome(chosen.withColumn("target_date", expected), profiles)
+    days = touched.select(F.col("data_date").alias("date")).distinct()
+    on_dates = scan_holdings(stored.holdings, stored.non_stock).join(F.broadcast(days), "date", "left_semi")
+    return store_decision(outcomes, canonical_snapshot(snapshot_profile(on_dates, params=params)), params)
+
+
+def store_candidates(
+    spark: SparkSession, root: str, candidates: DataFrame, batch: str, params: Params = DEFAULT, expected: Column | None = None
+) -> DataFrame:
+    """Decide on candidate rows against the stored dates and replace those dates.
 
     Parsed rows, decisions and merged rows are first written beside the tables: the second table must not
     see what the first replacement changed, also not when a task is run again.
     """
     stored = read_tables(spark, root)
-
     staged = f"{root}/_staging/{batch}-{uuid.uuid4().hex}"
 
     def written(frame: DataFrame, name: str) -> DataFrame:
@@ -72,13 +106,10 @@ def store_candidates(spark: SparkSession, root: str, candidates: DataFrame, batc
         frame.write.mode("overwrite").parquet(path)
         return spark.read.schema(frame.schema).parquet(path)
 
-    rows = written(min_weight_filter(dedupe_rows(candidates), params), "rows")
-    best = best_candidates(candidate_profiles(rows, params=params))
-    touched = best.select(F.col("data_date").alias("date")).distinct()
-    on_dates = scan_holdings(stored.holdings, stored.non_stock).join(F.broadcast(touched), "date", "left_semi")
-    canonical = canonical_snapshot(snapshot_profile(on_dates, params=params))
-    decisions = written(arbitrate(best, canonical), "decisions")
-    stock, other = split_assets(rows)
+    rows = written(dedupe_rows(candidates), "rows")
+    expected = expected_date(spark) if expected is None else expected
+    decisions = written(nightly_decisions(rows, stored, expected, params), "decisions")
+    stock, other = split_assets(min_weight_filter(rows, params))
     new_stock = written(merge_snapshots(stored.holdings, stock, decisions), "stock")
     new_other = written(merge_snapshots(stored.non_stock, other, decisions), "other")
     affected = decisions.where("inserted OR stored_source_type IS NOT NULL").select(F.col("data_date").alias("date"))
@@ -100,9 +131,15 @@ def rebuild_from(spark: SparkSession, root: str, first_date: str, params: Params
 
 
 def process_candidates(
-    spark: SparkSession, root: str, candidates: DataFrame, batch: str, params: Params = DEFAULT, signals: bool = True
+    spark: SparkSession,
+    root: str,
+    candidates: DataFrame,
+    batch: str,
+    params: Params = DEFAULT,
+    signals: bool = True,
+    expected: Column | None = None,
 ) -> None:
-    decisions = store_candidates(spark, root, candidates, batch, params)
+    decisions = store_candidates(spark, root, candidates, batch, params, expected)
     # One value: the earliest date this batch changed.
     first = decisions.where("inserted").agg(F.min("data_date").cast("string").alias("d")).first()["d"]
     if first is not None:
@@ -117,15 +154,21 @@ def incremental_ingest(
     params: Params = DEFAULT,
     signals: bool = True,
     files_per_batch: int | None = None,
+    run_at: str | None = None,
+    holidays: DataFrame | None = None,
 ) -> StreamingQuery:
-    """Start a run over all payload files that have landed and not been taken yet."""
+    """Start a run over all payload files that have landed and not been taken yet.
+
+    ``run_at`` (UTC, now if not given) and ``holidays`` set the expected data date.
+    """
     source = spark.readStream.schema(schemas.PAYLOADS)
     if files_per_batch:
         source = source.option("maxFilesPerTrigger", files_per_batch)
 
     def take(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        process_candidates(session, root, candidates_from_payloads(batch), f"batch-{batch_id}", params, signals)
+        expected = expected_date(session, run_at, holidays, params)
+        process_candidates(session, root, candidates_from_payloads(batch), f"batch-{batch_id}", params, signals, expected)
 
     return (
         source.parquet(landing)
