@@ -9,11 +9,11 @@ is the same wherever the long window occurs.
 
 ``later_windows`` stops at n words, which decides what is removed; ``longest_repeats`` goes on.
 
-Per level, the tasks hash their windows (64 bits), keep one entry per hash and task chunk, that of
+Per level, the tasks hash their windows (62 bits), keep one entry per hash and task chunk, that of
 the smallest document, and answer the other documents of the chunk at once. The entries are dealt
 by hash and compared; answers go back by document. So a passage that a third of all documents
 share makes one entry per chunk. A hash collision would remove a window that is not repeated; its
-chance per window is the number of windows over 2^64.
+chance per window is the number of windows over 2^62.
 
 Null texts have no words. A null id comes after all others, and null ids are not smaller than each
 other; rows with equal ids never count as copies of each other. An empty table gives no rows.
@@ -35,7 +35,7 @@ CHUNK = 8 << 20
 LAST = (1 << 63) - 1  # stands for a null id
 ENTRIES = 2_000_000   # aimed at per bucket
 SHARED, LATER = 1, 2  # in another document; in a document with a smaller id
-EMPTY = pa.scalar(b"", pa.binary())
+KEPT = W.U64(W.MASK ^ 3)  # of a hash, where the lowest bits carry the answer
 
 
 class Texts:
@@ -137,36 +137,26 @@ def _compare(table: pa.Table) -> pa.Table:
     d = np.concatenate([d[shared], *told_ids])
     h = np.concatenate([h[shared], *told])
     flags = np.concatenate([np.where(later[shared], SHARED | LATER, SHARED).astype(np.uint8), *answers])
-    order = np.argsort(d, kind="stable")
-    d, h, flags = d[order], h[order], flags[order]
-    docs, at = np.unique(d, return_index=True)
-    ends = np.append(at[1:], len(d))
-    return pa.table([pa.array(docs, pa.int64()), pa.array([h[a:b].tobytes() for a, b in zip(at, ends)], pa.binary()),
-                     pa.array([flags[a:b].tobytes() for a, b in zip(at, ends)], pa.binary())], ["_key", "hashes", "flags"])
+    return pa.table([pa.array(d, pa.int64()), pa.array((h & KEPT | flags.astype(W.U64)).view(np.int64))], ["_key", "answer"])
 
 
 def _answers(entries: DataFrame) -> DataFrame:
-    """One row per document: the hashes that it shares, and how."""
-    found = entries.groupBy("bucket").applyInArrow(_compare, "_key long, hashes binary, flags binary")
-    return found.groupBy("_key").agg(F.collect_list(F.struct("hashes", "flags")).alias("answers"))
+    """One row per document: the hashes that it shares, with the flags in their lowest two bits."""
+    found = entries.groupBy("bucket").applyInArrow(_compare, "_key long, answer long")
+    return found.groupBy("_key").agg(F.collect_list("answer").alias("answers"))
 
 
-def _flags(texts: Texts, starts: np.ndarray, length: int, answers: list) -> np.ndarray:
+def _flags(texts: Texts, starts: np.ndarray, length: int, answers: pa.Array) -> np.ndarray:
     """The answer for each window."""
-    text, hashes, flags = [], [], []
-    for i, parts in enumerate(answers):
-        for part in parts or ():
-            h = np.frombuffer(part["hashes"], W.U64)
-            text.append(np.full(len(h), i, W.U64))
-            hashes.append(h)
-            flags.append(np.frombuffer(part["flags"], np.uint8))
     out = np.zeros(len(starts), np.uint8)
-    if text and len(starts):
-        key = W.mix(np.concatenate(hashes) ^ W.mix(np.concatenate(text) + W.U64(1)))
-        key, group = np.unique(key, return_inverse=True)
+    counts = answers.value_lengths().fill_null(0).to_numpy()
+    values = answers.flatten().to_numpy().view(W.U64)
+    if len(values) and len(starts):
+        text = np.repeat(np.arange(1, len(counts) + 1, dtype=W.U64), counts)
+        key, group = np.unique(W.mix((values & KEPT) ^ W.mix(text)), return_inverse=True)
         flag = np.zeros(len(key), np.uint8)
-        np.bitwise_or.at(flag, group, np.concatenate(flags))
-        own = W.mix(texts.hash(starts, length) ^ W.mix(texts.text[starts].astype(W.U64) + W.U64(1)))
+        np.bitwise_or.at(flag, group, (values & ~KEPT).astype(np.uint8))
+        own = W.mix((texts.hash(starts, length) & KEPT) ^ W.mix(texts.text[starts].astype(W.U64) + W.U64(1)))
         i = np.minimum(np.searchsorted(key, own), len(key) - 1)
         out = np.where(key[i] == own, flag[i], 0).astype(np.uint8)
     return out
@@ -203,7 +193,7 @@ def _candidates(scratch: Scratch, docs: DataFrame, window: int) -> DataFrame:
                 texts = Texts(W.strings(part.column(1)))
                 starts, at = texts.representatives(window)
                 short = np.unique(at)
-                flags = _flags(texts, short, (window + 1) // 2, part.column(2).to_pylist())
+                flags = _flags(texts, short, (window + 1) // 2, part.column(2))
                 shared = np.zeros(texts.n, bool)
                 shared[short] = flags > 0
                 starts = starts[shared[at]]
@@ -256,7 +246,7 @@ def later_windows(docs: DataFrame, window: int = 13, scratch: Scratch | None = N
             for part in W.chunks(batch, "text", CHUNK):
                 texts = Texts(W.strings(part.column(1)))
                 starts = _own_starts(texts, part.column(2))
-                later = starts[_flags(texts, starts, window, part.column(3).to_pylist()) & LATER > 0]
+                later = starts[_flags(texts, starts, window, part.column(3)) & LATER > 0]
                 change = np.zeros(texts.n + 1, np.int64)
                 np.add.at(change, later, 1)
                 np.add.at(change, later + window, -1)
@@ -292,7 +282,7 @@ def longest_repeats(docs: DataFrame, window: int = 13, scratch: Scratch | None =
                 for part in W.chunks(batch, "text", CHUNK):
                     texts = Texts(W.strings(part.column(1)))
                     starts = _own_starts(texts, part.column(2))
-                    flags = _flags(texts, starts, length, part.column(3).to_pylist())
+                    flags = _flags(texts, starts, length, part.column(3))
                     starts, flags = starts[flags > 0], flags[flags > 0]
                     whole = np.zeros(texts.n + 2 * length, bool)
                     whole[starts] = True
