@@ -228,12 +228,14 @@ class Index:
         block = F.floor((F.row_number().over(rank) - 1) / p.block)
         blocks = self.scratch.keep(places.withColumn("block", F.xxhash64("part", block)), "blocks")
         edges = self.scratch.keep(self.neighbours(), "edges")
-        entries = self.vectors.orderBy(F.xxhash64("id"), "id").limit(p.entries).select("id")
+        # A bounded number of ids: the same entry nodes for every block.
+        entries = [r["id"] for r in self.vectors.orderBy(F.xxhash64("id"), "id").limit(p.entries).select("id").collect()]
         # A copy of a vector is found through the node of the vector.
         owners = self.exact.join(self.exact.groupBy("embedding").agg(F.min("vec_id").alias("id")), "embedding").select(
             F.col("vec_id").alias("query_id"), "id")
         own = blocks.select("block", "query_id").join(owners, "query_id").select("block", "id")
-        frontier = own.unionByName(blocks.select("block").distinct().join(F.broadcast(entries))).distinct()
+        entered = blocks.select("block").distinct().withColumn("id", F.explode(F.array(*map(F.lit, entries)).cast("array<bigint>")))
+        frontier = own.unionByName(entered).distinct()
         state = blocks.groupBy("block").agg(F.collect_list(F.struct("query_id", "embedding")).alias("asked")).select(
             "block", F.col("asked.query_id").alias("query_id"), F.col("asked.embedding").alias("embedding"),
             *[F.lit(b"").alias(c) for c in ("near", "score", "seen", "expanded")])
