@@ -15,6 +15,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 
 from checks.session import local_session
+from tidemark.operators.intent import manager_intent
 from tidemark.operators.signals import manager_signals
 from tidemark.plans.history import History
 from tidemark.plans.staging import Staging
@@ -24,7 +25,7 @@ HEADLINES = {
     "canonical_snapshot": lambda h: h.canonical,
     "holding_changes": lambda h: h.changes,
     "manager_signals": lambda h: manager_signals(h.changes, h.params),
-    "manager_intent": lambda h: h.intent,
+    "manager_intent": lambda h: manager_intent(h.changes, h.ranked, h.entries, h.diagnostics, h.members, params=h.params),
     "net_active_flow": lambda h: h.flow,
     "data_quality": lambda h: h.quality,
 }

@@ -35,7 +35,7 @@ def history(spark: SparkSession, sf_dir: str) -> History:
     if key not in _histories:
         for (app, _), old in list(_histories.items()):
             if app == key[0]:
-                old.staging.release()
+                old.staging.release(drop=False)  # results over it may still be waiting
         _histories.clear()
         staging = Staging(spark)
         _histories[key] = History(
@@ -871,6 +871,7 @@ def _(h):
 
 # --- A, D17, K: sinks, backfill, incremental runs -------------------------------------
 
+import re  # noqa: E402
 import tempfile  # noqa: E402
 import uuid  # noqa: E402
 
@@ -882,8 +883,12 @@ from tidemark.streaming import streaks as Y  # noqa: E402
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder for a query that writes: shared where the cluster names one."""
-    base = shared_dir(spark) or tempfile.mkdtemp(prefix="tidemark-")
+    """A fresh folder for a query that writes: the cluster's shared one; a temporary one only in a single JVM."""
+    base = shared_dir(spark)
+    if base is None:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = tempfile.mkdtemp(prefix="tidemark-")
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
 

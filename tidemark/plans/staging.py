@@ -15,7 +15,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str | None:
-    return spark.conf.get("spark.checkpoint.dir", None)
+    """The folder that the session's configuration or its checkpoint setting names."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    checkpoints = spark.sparkContext._jsc.sc().getCheckpointDir()
+    return checkpoints.get() if checkpoints.isDefined() else None
 
 
 class Staging:
@@ -34,9 +39,13 @@ class Staging:
         frame.write.mode("overwrite").parquet(path)
         return self._spark.read.schema(frame.schema).parquet(path)
 
-    def release(self) -> None:
+    def release(self, drop: bool = True) -> None:
+        """Gives back what the run kept. With ``drop`` its tables go too, so frames over them must be done with."""
         while self._persisted:
             self._persisted.pop().unpersist()
+        if drop and self._base is not None:
+            folder = self._spark._jvm.org.apache.hadoop.fs.Path(f"{self._base}/{self._run}")
+            folder.getFileSystem(self._spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 class NoStaging:
@@ -45,5 +54,5 @@ class NoStaging:
     def keep(self, frame: DataFrame, name: str) -> DataFrame:
         return frame
 
-    def release(self) -> None:
+    def release(self, drop: bool = True) -> None:
         pass
