@@ -140,6 +140,34 @@ def entity_scores(per_day: DataFrame, windows: Sequence[int]) -> DataFrame:
     )
 
 
+def sliding_distinct(
+    events: DataFrame, group: Sequence[str], member: Sequence[str], flags: Sequence[str], windows: Sequence[int]
+) -> DataFrame:
+    """Distinct members per group with each flag, in the window that ends at each target.
+
+    ``events``: qi, group, member and 0/1 flag columns. An event is seen by the targets from its
+    own index up to the member's next event or the end of the window, so it is two rows, a step up
+    and a step down, whatever the window's length. Steps are summed per group and index before
+    they are added up; only these sums are laid out over the targets.
+    """
+    sides = F.explode(F.array_compact(F.array(*[F.when(F.col(f) == 1, f) for f in flags])))
+    order = W.partitionBy(*group, *member, "side").orderBy("qi")
+    seen = events.withColumn("side", sides).select(*group, *member, "side", "qi").distinct().withColumn("later", F.lead("qi").over(order))
+    steps = F.explode(F.flatten(F.array(*[
+        F.array(
+            F.struct(F.lit(n).alias("window_days"), F.col("qi").alias("at"), F.lit(1).alias("step")),
+            F.struct(F.lit(n).alias("window_days"), F.least(F.col("qi") + n, F.col("later")).alias("at"), F.lit(-1).alias("step")),
+        ) for n in windows
+    ])))
+    summed = seen.select(*group, "side", steps.alias("s")).groupBy(*group, "s.window_days", "s.at").agg(
+        *[F.sum(F.when(F.col("side") == f, F.col("s.step")).otherwise(0)).alias(f) for f in flags])
+    run = W.partitionBy(*group, "window_days").orderBy("at")
+    counted = summed.select(*group, "window_days", "at", F.lead("at").over(run).alias("until"), *[F.sum(f).over(run).alias(f) for f in flags])
+    some = F.greatest(*map(F.col, flags)) > 0
+    return counted.where(some).select(
+        F.explode(F.sequence("at", F.col("until") - 1)).alias("target"), "window_days", *group, *flags)
+
+
 def fund_counts(scored: DataFrame, windows: Sequence[int]) -> DataFrame:
     """Distinct buying and selling funds and issuers per entity and window, and rotation counts.
 
@@ -153,44 +181,32 @@ def fund_counts(scored: DataFrame, windows: Sequence[int]) -> DataFrame:
         .where("any_buy AND any_sell")
         .select("qi", "stock_code", "issuer", F.lit(1).alias("rotating"))
     )
+    rotating = F.coalesce("rotating", F.lit(0))
     flagged = scored.join(two_sided, ["qi", "stock_code", "issuer"], "left").select(
         "qi", "stock_code", "issuer", "etf_code",
-        bought.cast("int").alias("buy"),
-        sold.cast("int").alias("sell"),
-        F.coalesce("rotating", F.lit(0)).alias("rotating"),
-    )
-    by_fund = _spread(flagged, windows).groupBy("target", "window_days", "stock_code", "issuer", "etf_code").agg(
-        F.max("buy").alias("buy"),
-        F.max("sell").alias("sell"),
-        F.max(F.col("rotating") * F.col("buy")).alias("rotation_buy"),
-        F.max(F.col("rotating") * F.col("sell")).alias("rotation_sell"),
+        bought.cast("int").alias("buy_etf_count"),
+        sold.cast("int").alias("sell_etf_count"),
+        (rotating * bought.cast("int")).alias("rotation_buy_etf_count"),
+        (rotating * sold.cast("int")).alias("rotation_sell_etf_count"),
     )
+    etfs = ["buy_etf_count", "sell_etf_count"]
+    rotations = ["rotation_buy_etf_count", "rotation_sell_etf_count"]
+    by_issuer = sliding_distinct(flagged, ["stock_code", "issuer"], ["etf_code"], etfs + rotations, windows)
+    # A fund may change issuer inside a window, so funds are counted again per stock.
+    funds = sliding_distinct(flagged, ["stock_code"], ["etf_code"], etfs, windows)
     base = ["target", "window_days", "stock_code"]
-    by_issuer = by_fund.groupBy(*base, "issuer").agg(
-        F.sum("buy").alias("buy_etf_count"),
-        F.sum("sell").alias("sell_etf_count"),
-        F.max("buy").cast("bigint").alias("buy_issuer_count"),
-        F.max("sell").cast("bigint").alias("sell_issuer_count"),
-        F.sum("rotation_buy").alias("rotation_buy_etf_count"),
-        F.sum("rotation_sell").alias("rotation_sell_etf_count"),
-    )
-    # A fund may change issuer inside a window, so funds are made distinct again per stock.
-    funds = (
-        by_fund.groupBy(*base, "etf_code").agg(F.max("buy").alias("buy"), F.max("sell").alias("sell"))
-        .groupBy(*base).agg(F.sum("buy").alias("buy_etf_count"), F.sum("sell").alias("sell_etf_count"))
-    )
     issuers = by_issuer.groupBy(*base).agg(
-        F.sum("buy_issuer_count").alias("buy_issuer_count"),
-        F.sum("sell_issuer_count").alias("sell_issuer_count"),
+        F.count_if(F.col("buy_etf_count") > 0).alias("buy_issuer_count"),
+        F.count_if(F.col("sell_etf_count") > 0).alias("sell_issuer_count"),
     )
     by_stock = funds.join(issuers, base).select(
         *base, F.lit("stock").alias("entity_level"), F.lit("").alias("issuer_key"),
-        "buy_etf_count", "sell_etf_count", "buy_issuer_count", "sell_issuer_count",
-        F.lit(0).cast("bigint").alias("rotation_buy_etf_count"),
-        F.lit(0).cast("bigint").alias("rotation_sell_etf_count"),
+        *etfs, "buy_issuer_count", "sell_issuer_count", *[F.lit(0).cast("bigint").alias(c) for c in rotations],
     )
-    return by_issuer.withColumn("entity_level", F.lit("issuer_stock")).withColumnRenamed(
-        "issuer", "issuer_key"
+    return by_issuer.select(
+        *base, F.lit("issuer_stock").alias("entity_level"), F.col("issuer").alias("issuer_key"), *etfs,
+        (F.col("buy_etf_count") > 0).cast("bigint").alias("buy_issuer_count"),
+        (F.col("sell_etf_count") > 0).cast("bigint").alias("sell_issuer_count"), *rotations,
     ).unionByName(by_stock)
 
 
