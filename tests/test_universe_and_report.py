@@ -19,12 +19,16 @@ def test_retirement_candidates(spark):
                      [("2026-06-19", "CASH", "Cash", 5, "moneydj_primary")])
     found = spark.createDataFrame([("found",)], "code STRING")
     seen = F.lit("2026-06-20").cast("date")
-    got = {(r["code"], r["outcome"]) for r in U.retirement_candidates(funds, found, snaps, seen).collect()}
+    markets = spark.createDataFrame([("TWSE",), ("TPEx",)], "market STRING")
+    complete = U.discovery_status(markets, markets)
+    got = {(r["code"], r["outcome"]) for r in U.retirement_candidates(funds, found, snaps, seen, complete).collect()}
     assert got == {("GONE", "retirement_candidate")}
-    skipped = {r["code"] for r in U.retirement_candidates(funds, found, snaps, seen, discovery_complete=False).collect()}
-    assert skipped == {"GONE", "STOCK", "CASH", "LATE", "OUT"}
+    partial = U.discovery_status(markets.where("market = 'TWSE'"), markets)
+    told = U.retirement_candidates(funds, found, snaps, seen, partial).collect()
+    skipped = {r["code"] for r in told if r["outcome"] == "retirement_skipped"}
+    assert len(told) == 5 and skipped == {"GONE", "STOCK", "CASH", "LATE", "OUT"}
     one_date = snaps.where("date = date '2026-06-20'")
-    assert U.retirement_candidates(funds, found, one_date, seen).count() == 0
+    assert U.retirement_candidates(funds, found, one_date, seen, complete).count() == 0
 
 
 def test_upsert_keeps_absent_and_overwrites_present(spark):
@@ -38,6 +42,14 @@ def test_upsert_keeps_absent_and_overwrites_present(spark):
     assert got["C"]["name"] == "C" and got["C"]["retired"] == 0 and str(got["C"]["created_at"]) == "2026-07-01 00:00:00"
 
 
+def test_of_several_updates_of_a_code_each_field_takes_the_last(spark):
+    base = universe(spark, [("F1", "Old")])
+    updates = spark.createDataFrame([(2, "f1", ["issuer"], "Second", None), (1, "F1", ["issuer", "name"], "First", "Named")],
+                                    "seq INT, code STRING, present ARRAY<STRING>, issuer STRING, name STRING")
+    got = U.universe_upsert(base, updates, F.lit("2026-07-01 00:00:00").cast("timestamp")).collect()
+    assert [(r["code"], r["issuer"], r["name"]) for r in got] == [("F1", "Second", "Named")]
+
+
 def test_discovery(spark):
     rows = [("主動台灣優選", "00980A", None), ("主動全球", "00981A", None), ("主動中國信託台股", "00982A", None), ("主動中國信託成長", "00983A", None),
             ("主動中國", "00984A", None), ("台灣50", "0050A", None), ("主動台灣", "00985B", None), ("主動成長", "00986A", "US海外")]

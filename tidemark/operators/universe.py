@@ -188,18 +188,19 @@ def universe_upsert(universe: DataFrame, updates: DataFrame, now: Column) -> Dat
     """Merge update rows into the universe.
 
     ``updates`` has ``code``, ``present`` (names of the fields the caller sent), the field columns
-    and ``seq``, the order of the updates. Codes count in upper case; of several updates of a code,
+    and ``seq``, the order of the updates (needed where a code comes twice). Codes count in upper case; of several updates of a code,
     each field takes its last sent value. A present NULL overwrites, an absent field is preserved,
     legacy keys are ignored.
     """
     known = [c for c in UPSERT_COLUMNS if c in updates.columns]
+    order = F.col("seq") if "seq" in updates.columns else F.lit(0)
 
     def sent(name: str) -> Column:
         return F.coalesce(F.array_contains("present", name), F.lit(False))
 
     new = updates.groupBy(F.upper("code").alias("code")).agg(
         F.array_compact(F.array(*[F.when(F.bool_or(sent(c)), c) for c in known])).alias("present"),
-        *[F.max_by(F.struct(c), F.when(sent(c), F.col("seq"))).getField(c).alias(f"new_{c}") for c in known],
+        *[F.max_by(F.struct(c), F.when(sent(c), order)).getField(c).alias(f"new_{c}") for c in known],
     )
     is_new = F.col("old_code").isNull()
 
