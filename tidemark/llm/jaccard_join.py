@@ -4,8 +4,9 @@ A document is the set of its n-grams of five words (all its words, if it has few
 equal sets are one set. A signature holds the smallest n-gram of each of 128 hash bins. In every run
 a set chooses few of its signature's tokens, by shared random numbers, and joins their buckets; a
 large bucket is split again by chosen tokens, with longer and longer paths. Before a split, the
-members close to the bucket's first member are tied to it; only those not very close go on, which by
-the triangle inequality of the Jaccard distance parts no similar pair. In small buckets all pairs
+members on the near side of a gap in the similarities to the bucket's first member are tied to it;
+only those beyond the gap go on, which by the triangle inequality of the Jaccard distance parts no
+similar pair. In small buckets all pairs
 are compared by signatures. Runs are repeated until the wanted share of pairs at the threshold is
 expected to meet at least once.
 
@@ -154,7 +155,17 @@ def _near_leader(rows: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(alike(a, b)[0])], ["path", "id", "sig", "leader", "near"])
 
     return rows.select("path", "id", "sig", "leader", "leader_sig").mapInArrow(
-        compare, "path long, id long, sig binary, leader long, near double")
+        compare, "path long, id long, sig binary, leader long, near double").withColumn("step", F.floor(F.col("near") * 20).cast("int"))
+
+
+def _cuts(near: DataFrame, gap: int = 7) -> DataFrame:
+    """(path, cut): from the leader downwards, the last similarity before a gap of 0.3.
+
+    Two sets at the threshold 0.8 differ by at most 0.2 in their similarity to the leader, so with
+    0.1 for the error of the estimates no similar pair lies across the gap.
+    """
+    steps = F.sort_array(F.collect_set("step"), asc=False)
+    return near.groupBy("path").agg(F.aggregate(steps, F.lit(20), lambda last, s: F.when(last - s < gap, s).otherwise(last)).alias("cut"))
 
 
 def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -222,10 +233,12 @@ def _ties(scratch: Scratch, sets: DataFrame, p: Join) -> DataFrame:
             break
         leaders = large.join(sigs.withColumnRenamed("id", "leader"), "leader").select("path", "leader", F.col("sig").alias("leader_sig"))
         near = scratch.keep(_near_leader(rows.join(leaders, "path").join(sigs, "id")), f"leaders-{level}")
-        # At the last level nothing is split any more: the rest of the bucket stays together.
-        tied = near.where("id <> leader") if level == p.depth else near.where("id <> leader and near >= 0.4")
-        ties.append(tied.select(F.col("id").alias("a"), F.col("leader").alias("b")))
-        rows = _split(near.where("near < 0.7"), p)
+        if level == p.depth:  # nothing is split any more: the rest of the bucket stays together
+            ties.append(near.where("id <> leader").select(F.col("id").alias("a"), F.col("leader").alias("b")))
+            break
+        near = near.join(_cuts(near), "path")
+        ties.append(near.where("id <> leader and step >= cut").select(F.col("id").alias("a"), F.col("leader").alias("b")))
+        rows = _split(near.where("step < cut"), p)
     out = sets.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
     for one in ties:
         out = out.unionByName(one)
