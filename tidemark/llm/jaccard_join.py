@@ -33,7 +33,7 @@ from tidemark.llm import words as W
 from tidemark.llm.components import components
 from tidemark.llm.scratch import Scratch
 
-CHUNK = 8 << 20
+CHUNK = 4 << 20
 LAST = (1 << 63) - 1
 BINS = 128
 

@@ -32,7 +32,7 @@ UNKNOWN = "und"
 LONGEST = 24  # letters scored as one word
 LETTERS = regex.compile(r"\p{L}{1,%d}" % LONGEST)
 FLOOR = 1e-7  # of a character that no piece covers
-CHUNK = 8 << 20
+CHUNK = 4 << 20
 START = "▁"
 
 

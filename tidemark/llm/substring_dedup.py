@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import words as W
 from tidemark.llm.scratch import Scratch
 
-CHUNK = 8 << 20
+CHUNK = 4 << 20
 LAST = (1 << 63) - 1  # stands for a null id
 ENTRIES = 2_000_000   # aimed at per bucket
 SHARED, LATER = 1, 2  # in another document; in a document with a smaller id

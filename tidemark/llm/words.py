@@ -32,7 +32,7 @@ def powers(base: int, n: int) -> np.ndarray:
         known = np.full(max(n, 1 << 16), base, U64)
         known[0] = 1
         known = np.multiply.accumulate(known)
-        if n <= 1 << 23:  # longer tables are made anew, so that a worker keeps a bounded one
+        if n <= 1 << 21:  # longer tables are made anew, so that a worker keeps a bounded one
             _POWERS[base] = known
     return known[:max(n, 1)]
 
@@ -80,15 +80,19 @@ def split_words(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
 BYTES = mix(np.arange(1, 257, dtype=U64) * U64(BASE))
 
 
-def word_hashes(words: pa.Array) -> np.ndarray:
-    """A 64-bit hash of each word's bytes."""
+def word_hashes(words: pa.Array, step: int = 1 << 20) -> np.ndarray:
+    """A 64-bit hash of each word's bytes; about ``step`` bytes are spread out at a time."""
     if not len(words):
         return np.zeros(0, U64)
     words = pa.concat_arrays([words])
     offsets = np.frombuffer(words.buffers()[1], np.int64)[words.offset:words.offset + len(words) + 1]
-    data = np.frombuffer(words.buffers()[2], np.uint8)[offsets[0]:offsets[-1]]
-    starts = offsets[:-1] - offsets[0]
-    return mix(Rolling(BYTES[data]).stretch(starts, np.diff(offsets)))
+    data, out, at = np.frombuffer(words.buffers()[2], np.uint8), np.empty(len(words), U64), 0
+    while at < len(words):
+        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + step, side="right")) - 1)
+        part = offsets[at:to + 1]
+        out[at:to] = Rolling(BYTES[data[part[0]:part[-1]]]).stretch(part[:-1] - part[0], np.diff(part))
+        at = to
+    return mix(out)
 
 
 def distinct(words: pa.Array) -> tuple[np.ndarray, list[str]]:
