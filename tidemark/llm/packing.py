@@ -38,7 +38,7 @@ TAIL = ".,;:!?"
 @dataclass(frozen=True)
 class Capacity:
     tokens: int = 4096
-    pieces: int = 1024
+    pieces: int = 4096
     attention: int = 4096 * 4096
     weights: tuple[float, float, float] = (1.0, 0.05, 0.05)
     rule: str = "norm"  # or "dot"
