@@ -8,7 +8,8 @@ members on the near side of a gap in the similarities to the bucket's first memb
 only those beyond the gap go on, which by the triangle inequality of the Jaccard distance parts no
 similar pair. In small buckets all pairs
 are compared by signatures. Runs are repeated until the wanted share of pairs at the threshold is
-expected to meet at least once.
+expected to meet at least once even if every bucket on their way is large, so that in each run a
+path that they share has to survive all splits.
 
 Ties are joined to groups, and inside each group the sets are compared exactly, by the sizes of
 their intersections, so a pair is linked if and only if its similarity reaches the threshold; a
@@ -36,6 +37,7 @@ from tidemark.llm.scratch import Scratch
 CHUNK = 4 << 20
 LAST = (1 << 63) - 1
 BINS = 128
+DEEPER = 1.25  # times as many tokens are chosen in a split as at the start
 
 
 @dataclass(frozen=True)
@@ -50,8 +52,22 @@ class Join:
 
     @property
     def runs(self) -> int:
-        missed = math.exp(-self.chosen * self.similarity)
-        return math.ceil(math.log(1 - self.recall) / math.log(missed))
+        """The fewest runs in which a pair at the threshold is missed with probability at most 1 - recall.
+
+        Shared paths are a branching process over all levels: every one has to be chosen again at each
+        split. The number of equal bins of two full signatures is binomial and the same in all runs.
+        """
+        equal = np.arange(BINS + 1)
+        ways = [math.lgamma(BINS + 1) - math.lgamma(k + 1) - math.lgamma(BINS - k + 1) for k in equal]
+        weight = np.exp(ways + equal * math.log(self.similarity) + (BINS - equal) * math.log1p(-self.similarity)) if self.similarity < 1 else equal == BINS
+        missed = np.zeros(BINS + 1)
+        for level in range(self.depth, 0, -1):
+            chosen = self.chosen * (1 if level == 1 else DEEPER)
+            missed = (1 - min(1, chosen / BINS) * (1 - missed)) ** equal
+        runs = 1
+        while weight @ missed**runs > 1 - self.recall:
+            runs += 1
+        return runs
 
 
 def ngram_sets(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -139,7 +155,7 @@ def _split(rows: DataFrame, p: Join) -> DataFrame:
                 path = batch.column(0).to_numpy().view(W.U64)
                 sig = np.stack([np.frombuffer(s, np.uint8) for s in batch.column(2).to_pylist()])
                 tokens = sig.astype(W.U64) + (np.arange(BINS, dtype=W.U64) << W.U64(8))
-                share = np.where(sig > 0, 1.25 * p.chosen / np.maximum(1, (sig > 0).sum(axis=1))[:, None], 0.0)
+                share = np.where(sig > 0, DEEPER * p.chosen / np.maximum(1, (sig > 0).sum(axis=1))[:, None], 0.0)
                 i, new = choose(path, tokens, share)
                 yield pa.RecordBatch.from_arrays([pa.array(new.view(np.int64)), batch.column(1).take(pa.array(i))], ["path", "id"])
 
