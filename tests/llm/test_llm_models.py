@@ -152,3 +152,19 @@ def test_neighbours(spark):
     few = df.where("vec_id in (0, 1, 2, 900)")
     assert Index(few, small).search(few.where("vec_id = 0").withColumnRenamed("vec_id", "query_id"), 10).count() == 2
     assert Index(df.where("false"), small).search(df.where("false").withColumnRenamed("vec_id", "query_id"), 10).count() == 0
+
+
+@pytest.mark.parametrize("size", [1e8, 1e150], ids=["large", "beyond single precision"])
+def test_neighbours_beside_a_damaged_row(spark, size):
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((700, 12))
+    x[5] *= size
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    small = Graph(k=12, reverse=12, tables=4, cell=60, rounds=3, expand=4, search_rounds=3, keep=40, block=10, entries=20)
+    found = {}
+    for r in Index(df, small).search(df.where("vec_id % 20 = 0").withColumnRenamed("vec_id", "query_id"), 10).collect():
+        found.setdefault(r["query_id"], set()).add(r["vec_id"])
+    score, hits = x @ x.T, 0
+    for q in range(0, 700, 20):
+        hits += len(found[q] & set(sorted((i for i in range(700) if i != q), key=lambda i: -score[q, i])[:10]))
+    assert hits >= 0.9 * 350

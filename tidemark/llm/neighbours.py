@@ -12,6 +12,9 @@ yet expanded, the block joins their neighbours, and every query of the block sco
 search ends when nothing new is named or after ``rounds``. The best are scored again on the
 original vectors in double precision; equal vectors are spelled out, ties go to the smaller id.
 
+Every vector is coded in half precision relative to its own largest component, with that factor
+beside it, and hyperplanes see unit vectors, so a row of any size leaves the others as they are.
+
 Vectors that are null, zero, or hold null or non-finite components take no part, nor do vectors
 of another length than the most common one (the smaller on a tie). A vec_id that repeats with one
 vector counts once; a null vec_id takes no part. An empty table gives no rows.
@@ -49,6 +52,29 @@ def blob(a: np.ndarray) -> bytes:
     return np.ascontiguousarray(a).tobytes()
 
 
+def coded(x: np.ndarray, largest: np.ndarray) -> list[bytes]:
+    """Rows ``x`` with components up to 1 in half precision, after the eighth root of their factor."""
+    root = (largest / (2 * x.shape[1])) ** 0.125  # a product of rows is at most the width: no score overflows
+    return [blob(r) + blob(v) for r, v in zip(root.astype(np.float32), x.astype(np.float16))]
+
+
+def decoded(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The components and the roots of the factors."""
+    return np.stack([np.frombuffer(r, np.float16, offset=4) for r in rows]).astype(np.float32), np.array([np.frombuffer(r, np.float32, 1)[0] for r in rows])
+
+
+def scored(product: np.ndarray, root: np.ndarray) -> np.ndarray:
+    """Signed eighth roots of the products times the factors of the columns.
+
+    In a row they are ordered as the inner products, and single precision holds the range of doubles.
+    """
+    size = np.abs(product)
+    for _ in range(3):
+        np.sqrt(size, out=size)
+    size *= root
+    return np.copysign(size, product, out=size)
+
+
 def best_lists(u: np.ndarray, w: np.ndarray, s: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct (u, w) pairs, for each u its k best, ordered by u and falling s (ties: smaller w)."""
     order = np.lexsort((w, u))
@@ -101,7 +127,7 @@ def usable(vectors: DataFrame) -> DataFrame:
 
 
 class Index:
-    """Nodes, their vectors in half precision (scaled by one factor), and the neighbour lists."""
+    """Nodes, their vectors in half precision (each with its factor), and the neighbour lists."""
 
     def __init__(self, vectors: DataFrame, p: Graph = Graph(), scratch: Scratch | None = None):
         spark = vectors.sparkSession
@@ -111,28 +137,31 @@ class Index:
         # The smallest ids of each vector: one for the node, one more than any answer needs.
         self._few = rows.withColumn("copy", F.row_number().over(same))
         self.exact = rows
-        top = rows.agg(F.max(F.array_max(F.transform("embedding", F.abs)))).first()[0] or 1.0
-        nodes = rows.groupBy("embedding").agg(F.min("vec_id").alias("id"))
+        nodes = rows.groupBy("embedding").agg(F.min("vec_id").alias("id")).withColumn("largest", F.array_max(F.transform("embedding", F.abs)))
+        squares = F.aggregate("embedding", F.lit(0.0), lambda t, v: t + (v / F.col("largest")) * (v / F.col("largest")))
+        nodes = nodes.withColumn("length", F.sqrt(squares))
         self.n = 0
         nodes = self.scratch.keep(nodes, "distinct")
         self.n = nodes.count()
         width = len(nodes.select("embedding").first()[0]) if self.n else 1
         bits = max(0, int(np.ceil(np.log2(max(1, self.n / p.cell)))))
         planes = np.random.default_rng(p.seed).standard_normal((p.tables, max(bits, 1), width)).astype(np.float32)
-        middle = np.array(nodes.select([F.avg(F.col("embedding")[i]) for i in range(width)]).first() if self.n else [0.0], np.float32) / top
+        middle = np.array(nodes.select([F.avg(F.col("embedding")[i] / F.col("largest") / F.col("length")) for i in range(width)]).first() if self.n else [0.0], np.float32)
 
         def half(batches):
             for batch in batches:
-                x = np.array(batch.column(1).flatten().to_numpy(), np.float64).reshape(batch.num_rows, -1) / top
-                side = np.einsum("tbw,nw->ntb", planes, x.astype(np.float32) - middle) > 0
+                largest = batch.column(2).to_numpy()
+                x = np.array(batch.column(1).flatten().to_numpy(), np.float64).reshape(batch.num_rows, -1) / largest[:, None]
+                unit = (x / batch.column(3).to_numpy()[:, None]).astype(np.float32)
+                side = np.einsum("tbw,nw->ntb", planes, unit - middle) > 0
                 code = (side @ (1 << np.arange(planes.shape[1]))) if bits else np.zeros((len(x), p.tables), np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array([blob(v) for v in x.astype(np.float16)], pa.binary()), pa.array(list(code.astype(np.int64)), pa.list_(pa.int64()))],
+                    [batch.column(0), pa.array(coded(x, largest), pa.binary()), pa.array(list(code.astype(np.int64)), pa.list_(pa.int64()))],
                     ["id", "vector", "codes"])
 
-        coded = self.scratch.keep(nodes.select("id", "embedding").mapInArrow(half, "id long, vector binary, codes array<long>"), "half")
+        halves = self.scratch.keep(nodes.select("id", "embedding", "largest", "length").mapInArrow(half, "id long, vector binary, codes array<long>"), "half")
         self.buckets = max(1, self.n // 20_000)
-        cells = coded.select("id", "vector", F.posexplode("codes").alias("table", "code"))
+        cells = halves.select("id", "vector", F.posexplode("codes").alias("table", "code"))
         sizes = cells.groupBy("table", "code").agg(F.count(F.lit(1)).alias("size"))
         cells = cells.join(sizes, ["table", "code"]).withColumn(
             "part", F.pmod(F.xxhash64("id", "table"), F.greatest(F.lit(1), F.floor(F.col("size") / p.cell)).cast("long")))
@@ -150,8 +179,8 @@ class Index:
 
         def compare(table: pa.Table) -> pa.Table:
             ids = table.column("id").to_numpy()
-            x = np.stack([np.frombuffer(v, np.float16) for v in table.column("vector").to_pylist()]).astype(np.float32)
-            s = x @ x.T
+            x, root = decoded(table.column("vector").to_pylist())
+            s = scored(x @ x.T, root)
             np.fill_diagonal(s, -np.inf)
             n = min(k, len(ids) - 1)
             near = np.argpartition(-s, n - 1, axis=1)[:, :n] if n else np.zeros((len(ids), 0), int)
@@ -187,7 +216,7 @@ class Index:
             order = np.argsort(sent.column("id").to_numpy())
             ids = sent.column("id").to_numpy()[order]
             raw = sent.column("vector").to_pylist()
-            x = np.stack([np.frombuffer(raw[i], np.float16) for i in order]).astype(np.float32)
+            x, root = decoded([raw[i] for i in order])
             scores = sent.column("score").to_pylist()
             limit = np.full(len(ids), -np.inf, np.float32)
             for j, i in enumerate(order):
@@ -201,7 +230,7 @@ class Index:
             kept, most = 0, 8_000_000
             for a, b in zip(starts, np.append(starts[1:], len(u))):
                 own = w[a:b]
-                s = x[own] @ x[own].T
+                s = scored(x[own] @ x[own].T, root[own])
                 np.fill_diagonal(s, -np.inf)
                 i, j = np.nonzero(s > limit[own][:, None])
                 found.append((own[i], own[j], s[i, j]))
@@ -264,9 +293,9 @@ class Index:
             new = np.flatnonzero(~np.isin(ids, seen))
             if len(new):
                 raw = sent.column("vector").to_pylist()
-                x = np.stack([np.frombuffer(raw[i], np.float16) for i in new]).astype(np.float32)
+                x, root = decoded([raw[i] for i in new])
                 near = np.concatenate([near, np.broadcast_to(ids[new], (n, len(new)))], axis=1)
-                score = np.concatenate([score, q @ x.T], axis=1)
+                score = np.concatenate([score, scored(q @ x.T, root)], axis=1)
                 m = min(p.keep, near.shape[1])
                 order = np.lexsort((near, -score), axis=1)[:, :m]
                 near, score = np.take_along_axis(near, order, 1), np.take_along_axis(score, order, 1)
