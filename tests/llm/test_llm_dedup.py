@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from corpus import DOCS, odd_rows, rows, with_clashing
 
+from tidemark.llm import substring_dedup
 from tidemark.llm.exact_dedup import deduplicate, duplicate_groups
 from tidemark.llm.jaccard_join import BINS, DEEPER, Join, choose, near_duplicates, one_per_class
 from tidemark.llm.substring_dedup import later_windows, longest_repeats
@@ -138,3 +139,43 @@ def test_pairs_meet_although_every_bucket_is_split():
         met[pair] = True
     # 0.0001 of the pairs may be missed: two, and seven or more with a chance of 0.5 per cent
     assert np.count_nonzero(~met) < 7
+
+
+def test_one_per_class_with_null_and_repeated_ids(spark):
+    data = rows(60, 7)
+    ids = [None if i % 3 == 0 else i // 4 for i in range(60)]
+    data = [(i, *r[1:]) for i, r in zip(ids, data)] + [(None, "", "en", "s", 0), (None, " ", "en", "s", 1), (None, "", "en", "s", 0)]
+    data += data[:3]
+    df = spark.createDataFrame(data, DOCS)
+    sets = []
+    for _, text, *_ in data:
+        w = text.split()
+        sets.append({tuple(w[k:k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} - {()})
+    group = list(range(len(data)))
+    for a in range(len(data)):
+        for b in range(a):
+            if sets[a] and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                group = [group[b] if g == group[a] else g for g in group]
+    want = Counter(min((data[i][0] for i in range(len(data)) if group[i] == g), key=order) for g in set(group))
+    left = one_per_class(df).collect()
+    assert Counter(r["doc_id"] for r in left) == want
+    texts = defaultdict(set)
+    for i, (_, text, *_) in enumerate(data):
+        texts[text].add(group[i])
+    named = Counter(g for r in left if r["text"].split() for g in texts[r["text"]])
+    assert named and set(named.values()) == {1}  # one document of each class
+    got = near_duplicates(df).select("doc_id", "class_id", "n_links").collect()
+    assert Counter(tuple(r) for r in got) == plain_links(data)
+
+
+def test_null_and_repeated_ids_do_not_share_one_answer(spark, monkeypatch):
+    data = [(None if i % 3 == 0 else i // 4, *r[1:]) for i, r in enumerate(rows(80, 3))]
+    data += data[:10] * 2
+    seen, answers = [], substring_dedup._answers
+    monkeypatch.setattr(substring_dedup, "_answers", lambda entries: seen.append(answers(entries)) or seen[-1])
+    df = spark.createDataFrame(data, DOCS).repartition(3)
+    got = Counter(tuple(r) for r in later_windows(df).select("doc_id", "n_words", "n_removed", "kept_sha256").collect())
+    assert got == plain_windows(data)
+    longest = max(len(text.split()) for _, text, *_ in data)
+    for frame in seen:
+        assert frame.selectExpr("max(size(answers))").first()[0] <= 4 * longest

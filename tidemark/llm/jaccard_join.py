@@ -17,7 +17,8 @@ group too large for one task is compared in pairs of blocks. Links are counted,
 of near copies gives one row per document.
 
 A document without words (null, empty, white space) has no links. A null id comes after all others.
-Wholly repeated rows are documents with equal sets. An empty table gives no rows.
+Wholly repeated rows are documents with equal sets. Ids may repeat with other texts: a text is found
+again by a hash of its id and bytes. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import words as W
@@ -122,8 +123,13 @@ def alike(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.count_nonzero((a == b) & (a > 0), axis=1) / np.maximum(filled, 1), np.maximum(filled, 1)
 
 
+def _row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
+    """128 bits of id and text: equal for wholly repeated rows only."""
+    return F.unhex(F.md5(F.concat(F.coalesce(F.col(doc_id).cast("long").cast("string"), F.lit("")), F.lit(" "), F.coalesce(text, F.lit("")))))
+
+
 def _described(docs: DataFrame, p: Join) -> DataFrame:
-    """doc_id, set_key, grams, sig, paths of every document; null key where there are no words."""
+    """doc_id, row_key, set_key, grams, sig, paths of every document; null key where there are no words."""
     seeds = W.mix(np.arange(1, p.runs + 1, dtype=W.U64) * W.U64(W.BASE))
 
     def describe(batches):
@@ -140,11 +146,11 @@ def _described(docs: DataFrame, p: Join) -> DataFrame:
                     rows.append((key, int(b - a), coarse(bins, tokens).tobytes(), np.unique(paths).view(np.int64).tolist()))
                 key, n, sig, paths = zip(*rows)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(key, pa.binary()), pa.array(n, pa.int64()), pa.array(sig, pa.binary()), pa.array(paths, pa.list_(pa.int64()))],
-                    ["doc_id", "set_key", "grams", "sig", "paths"])
+                    [part.column(0), part.column(2), pa.array(key, pa.binary()), pa.array(n, pa.int64()), pa.array(sig, pa.binary()), pa.array(paths, pa.list_(pa.int64()))],
+                    ["doc_id", "row_key", "set_key", "grams", "sig", "paths"])
 
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc_id"), "text").mapInArrow(
-        describe, "doc_id long, set_key binary, grams long, sig binary, paths array<long>")
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc_id"), "text", _row_key().alias("row_key")).mapInArrow(
+        describe, "doc_id long, row_key binary, set_key binary, grams long, sig binary, paths array<long>")
 
 
 def _split(rows: DataFrame, p: Join) -> DataFrame:
@@ -322,19 +328,19 @@ def _exact(p: Join):
     return compare
 
 
-def near_duplicates(docs: DataFrame, p: Join = Join(), scratch: Scratch | None = None) -> DataFrame:
-    """One row per document: doc_id, class_id (smallest id of its group of linked documents), n_copies
-    (documents with the same set, itself included), n_links (other documents at the similarity or above)."""
-    scratch = scratch or Scratch(docs.sparkSession, "jaccard")
+def _classes(docs: DataFrame, p: Join, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """Every document (doc_id, row_key, set_key), and every set with its class: set_key, class_id, class_row
+    (row key of the document that stands for the class), copies, links."""
     slim = scratch.keep(_described(docs, p), "sets")
     first = slim.where("set_key is not null").groupBy("set_key").agg(
-        F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"), F.first("sig").alias("sig"), F.first("paths").alias("paths"))
+        F.min(F.struct("doc_id", "row_key")).alias("least"), F.count(F.lit(1)).alias("copies"), F.first("sig").alias("sig"), F.first("paths").alias("paths"))
     sets = scratch.keep(first.withColumn("id", F.monotonically_increasing_id()), "distinct")
     maybe = components(scratch, _ties(scratch, sets, p), "maybe")
 
-    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc_id"), "text").where("text is not null")
-    chosen = sets.select("id", "doc_id", "set_key", "copies").join(maybe, "id")
-    found = scratch.keep(chosen.join(texts, "doc_id").drop("doc_id"), "texts")
+    texts = docs.select(_row_key().alias("row_key"), "text").where("text is not null")
+    chosen = sets.select("id", F.col("least.row_key").alias("row_key"), "set_key", "copies").join(maybe, "id")
+    # Wholly repeated rows have one key: one text of them is enough.
+    found = scratch.keep(chosen.join(texts, "row_key").groupBy("id", "set_key", "copies", "label").agg(F.first("text").alias("text")), "texts")
     weights = found.groupBy("label").agg(F.sum(F.octet_length("text")).alias("bytes"))
     total = weights.agg(F.sum("bytes")).first()[0] or 0
     blocks = F.ceil(F.col("bytes") / p.block_bytes)
@@ -352,10 +358,18 @@ def near_duplicates(docs: DataFrame, p: Join = Join(), scratch: Scratch | None =
 
     classes = components(scratch, counted.select(F.col("id").alias("a"), F.col("label").alias("b")), "classes")
     links = counted.groupBy("id").agg(F.sum("links").alias("links"))
-    named = sets.select("set_key", "id", "doc_id", "copies").join(classes, "id", "left").join(links, "id", "left")
+    named = sets.select("set_key", "id", "least", "copies").join(classes, "id", "left").join(links, "id", "left")
     named = named.withColumn("label", F.coalesce("label", "id"))
-    smallest = named.groupBy("label").agg(F.min("doc_id").alias("class_id"))
-    named = named.join(smallest, "label").select("set_key", "class_id", "copies", F.coalesce("links", F.lit(0)).alias("links"))
+    smallest = named.groupBy("label").agg(F.min("least").alias("of_class"))
+    named = named.join(smallest, "label").select(
+        "set_key", F.col("of_class.doc_id").alias("class_id"), F.col("of_class.row_key").alias("class_row"), "copies", F.coalesce("links", F.lit(0)).alias("links"))
+    return slim.select("doc_id", "row_key", "set_key"), named
+
+
+def near_duplicates(docs: DataFrame, p: Join = Join(), scratch: Scratch | None = None) -> DataFrame:
+    """One row per document: doc_id, class_id (smallest id of its group of linked documents), n_copies
+    (documents with the same set, itself included), n_links (other documents at the similarity or above)."""
+    slim, named = _classes(docs, p, scratch or Scratch(docs.sparkSession, "jaccard"))
     out = slim.select("doc_id", "set_key").join(named, "set_key", "left")
     real = {c: F.nullif(F.col(c), F.lit(LAST)) for c in ("doc_id", "class_id")}
     return out.select(
@@ -364,7 +378,14 @@ def near_duplicates(docs: DataFrame, p: Join = Join(), scratch: Scratch | None =
 
 
 def one_per_class(docs: DataFrame, p: Join = Join()) -> DataFrame:
-    """The documents with the smallest id of their class, with all their columns."""
-    kept = near_duplicates(docs, p).where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select("doc_id").distinct()
-    rows = docs.select(F.col("doc_id").alias("id"), F.struct(*docs.columns).alias("row"))
-    return rows.join(kept, F.col("id").eqNullSafe(F.col("doc_id")), "left_semi").select("row.*")
+    """One document of each class, with all its columns: one with the smallest id, whichever ids are null or repeat.
+
+    A document without words is a class of its own, so all of them stay.
+    """
+    slim, named = _classes(docs, p, Scratch(docs.sparkSession, "jaccard"))
+    kept = named.select(F.col("class_row").alias("row_key"), F.lit(True).alias("words")).distinct().unionByName(
+        slim.where("set_key is null").select("row_key", F.lit(False).alias("words")).distinct())
+    rows = docs.select(_row_key().alias("row_key"), F.struct(*docs.columns).alias("row"))
+    left = rows.join(kept, "row_key").withColumn("alone", F.when(~F.col("words"), F.monotonically_increasing_id()))
+    first = Window.partitionBy("row_key", "alone").orderBy(F.lit(0))
+    return left.withColumn("n", F.row_number().over(first)).where("n = 1").select("row.*")

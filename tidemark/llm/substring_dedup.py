@@ -11,9 +11,12 @@ is the same wherever the long window occurs.
 
 Per level, the tasks hash their windows (62 bits), keep one entry per hash and task chunk, that of
 the smallest document, and answer the other documents of the chunk at once. The entries are dealt
-by hash and compared; answers go back by document. So a passage that a third of all documents
-share makes one entry per chunk. A hash collision would remove a window that is not repeated; its
-chance per window is the number of windows over 2^62.
+by hash and compared; answers go back by document: by its id and 32 bits of its text, because null
+or repeated ids may be many (documents that agree in both share their answers, which depend on the
+id and the hash only). Of wholly repeated rows a chunk enters one. So a passage that a third of all
+documents share makes one entry per chunk, or one per text where several texts of the chunk have the
+smallest id (all null, say). A hash collision would remove a window that is not repeated; its chance
+per window is the number of windows over 2^62.
 
 Null texts have no words. A null id comes after all others, and null ids are not smaller than each
 other; rows with equal ids never count as copies of each other. An empty table gives no rows.
@@ -75,10 +78,24 @@ def _ids(column: pa.Array) -> np.ndarray:
     return column.fill_null(LAST).to_numpy()
 
 
-def _entries(texts: Texts, ids: np.ndarray, starts: np.ndarray, length: int, buckets: int):
-    """Rows for the comparison: entries by hash, and answers found inside this chunk by document."""
+def _entered(part: pa.RecordBatch, ids: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """Which windows, of these texts, lie in the first of wholly repeated rows."""
+    code = part.column(1).dictionary_encode().indices.fill_null(-1).to_numpy()
+    _, at = np.unique(np.stack([ids, code.astype(np.int64)]), axis=1, return_index=True)
+    first = np.zeros(len(ids), bool)
+    first[at] = True
+    return first[text]
+
+
+def _entries(part: pa.RecordBatch, texts: Texts, starts: np.ndarray, length: int, buckets: int):
+    """Rows for the comparison: entries by hash, and answers found inside this chunk by document.
+
+    ``part``: id, text, and the bits of the text in its last column.
+    """
+    ids, bits = _ids(part.column(0)), part.columns[-1].to_numpy()
+    starts = starts[_entered(part, ids, texts.text[starts])]
     hashes, text = texts.hash(starts, length), texts.text[starts]
-    order = np.lexsort((ids[text], hashes))
+    order = np.lexsort((text, ids[text], hashes))
     hashes, text = hashes[order], text[order]
     new = np.concatenate([[True], (hashes[1:] != hashes[:-1])]) if len(hashes) else np.zeros(0, bool)
     group = np.cumsum(new) - 1
@@ -86,24 +103,26 @@ def _entries(texts: Texts, ids: np.ndarray, starts: np.ndarray, length: int, buc
     later = ids[text] > least
     several = np.zeros(int(new.sum()), bool)
     several[group[later]] = True
+    # Different texts with the smallest id (null, say) all enter: each is answered on its own.
+    enter = ~later & (new | np.concatenate([[False], text[1:] != text[:-1]])) if len(hashes) else new
     # Only the first text of a group is compared with other chunks, unless it is shared already and first everywhere.
     answer = np.where(later, SHARED | LATER, SHARED).astype(np.uint8)[several[group]]
     local = np.flatnonzero(several[group])
-    by = [(hashes[new] % W.U64(buckets)).astype(np.int64), (ids[text[local]].view(W.U64) * W.U64(W.BASE) >> W.U64(33)).astype(np.int64) % buckets]
+    by = [(hashes[enter] % W.U64(buckets)).astype(np.int64), ((ids[text[local]] ^ bits[text[local]]).view(W.U64) * W.U64(W.BASE) >> W.U64(33)).astype(np.int64) % buckets]
     rows = []
-    first, sort, sort_local = np.flatnonzero(new), np.argsort(by[0], kind="stable"), np.argsort(by[1], kind="stable")
+    first, sort, sort_local = np.flatnonzero(enter), np.argsort(by[0], kind="stable"), np.argsort(by[1], kind="stable")
     cuts = [np.searchsorted(by[i][s], np.arange(buckets + 1)) for i, s in ((0, sort), (1, sort_local))]
     for b in range(buckets):
         own, told = first[sort[cuts[0][b]:cuts[0][b + 1]]], sort_local[cuts[1][b]:cuts[1][b + 1]]
         if len(own) or len(told):
             docs, at = np.unique(np.concatenate([text[own], text[local[told]]]), return_inverse=True)
             kind = np.uint16 if len(docs) < 1 << 16 else np.uint32
-            rows.append((b, kind().itemsize, ids[docs].tobytes(), hashes[own].tobytes(), at[:len(own)].astype(kind).tobytes(),
+            rows.append((b, kind().itemsize, ids[docs].tobytes(), bits[docs].tobytes(), hashes[own].tobytes(), at[:len(own)].astype(kind).tobytes(),
                          hashes[local[told]].tobytes(), at[len(own):].astype(kind).tobytes(), answer[told].tobytes()))
     return rows
 
 
-ENTRY = "bucket int, width int, docs binary, hashes binary, at binary, told binary, told_at binary, told_answer binary"
+ENTRY = "bucket int, width int, docs binary, bits binary, hashes binary, at binary, told binary, told_at binary, told_answer binary"
 NAMES = [x.split()[0] for x in ENTRY.split(", ")]
 
 
@@ -117,17 +136,20 @@ ENTRY_SCHEMA = pa.schema([(n, pa.int32() if n in ("bucket", "width") else pa.bin
 
 def _compare(table: pa.Table) -> pa.Table:
     """Answers of one bucket: documents with the hashes they share."""
-    ids, hashes, told_ids, told, answers = [], [], [], [], []
+    ids, bits, hashes, told_ids, told_bits, told, answers = [], [], [], [], [], [], []
     for row in table.to_pylist():
-        docs, kind = np.frombuffer(row["docs"], np.int64), np.uint16 if row["width"] == 2 else np.uint32
+        docs, some, kind = np.frombuffer(row["docs"], np.int64), np.frombuffer(row["bits"], np.int32), np.uint16 if row["width"] == 2 else np.uint32
         hashes.append(np.frombuffer(row["hashes"], W.U64))
-        ids.append(docs[np.frombuffer(row["at"], kind)])
+        at, told_at = np.frombuffer(row["at"], kind), np.frombuffer(row["told_at"], kind)
+        ids.append(docs[at])
+        bits.append(some[at])
         told.append(np.frombuffer(row["told"], W.U64))
-        told_ids.append(docs[np.frombuffer(row["told_at"], kind)])
+        told_ids.append(docs[told_at])
+        told_bits.append(some[told_at])
         answers.append(np.frombuffer(row["told_answer"], np.uint8))
-    h, d = np.concatenate(hashes), np.concatenate(ids)
+    h, d, b = np.concatenate(hashes), np.concatenate(ids), np.concatenate(bits)
     order = np.lexsort((d, h))
-    h, d = h[order], d[order]
+    h, d, b = h[order], d[order], b[order]
     new = np.concatenate([[True], h[1:] != h[:-1]]) if len(h) else np.zeros(0, bool)
     group = np.cumsum(new) - 1
     later = d > d[new][group] if len(h) else new
@@ -135,15 +157,22 @@ def _compare(table: pa.Table) -> pa.Table:
     several[group[later]] = True
     shared = several[group] if len(h) else new
     d = np.concatenate([d[shared], *told_ids])
+    b = np.concatenate([b[shared], *told_bits])
     h = np.concatenate([h[shared], *told])
     flags = np.concatenate([np.where(later[shared], SHARED | LATER, SHARED).astype(np.uint8), *answers])
-    return pa.table([pa.array(d, pa.int64()), pa.array((h & KEPT | flags.astype(W.U64)).view(np.int64))], ["_key", "answer"])
+    answer = (h & KEPT | flags.astype(W.U64)).view(np.int64)
+    # Repeated rows of several chunks have the same answers.
+    order = np.lexsort((answer, b, d))
+    d, b, answer = d[order], b[order], answer[order]
+    once = np.ones(len(d), bool)
+    once[1:] = (d[1:] != d[:-1]) | (b[1:] != b[:-1]) | (answer[1:] != answer[:-1])
+    return pa.table([pa.array(d[once], pa.int64()), pa.array(b[once], pa.int32()), pa.array(answer[once])], ["_key", "_bits", "answer"])
 
 
 def _answers(entries: DataFrame) -> DataFrame:
     """One row per document: the hashes that it shares, with the flags in their lowest two bits."""
-    found = entries.groupBy("bucket").applyInArrow(_compare, "_key long, answer long")
-    return found.groupBy("_key").agg(F.collect_list("answer").alias("answers"))
+    found = entries.groupBy("bucket").applyInArrow(_compare, "_key long, _bits int, answer long")
+    return found.groupBy("_key", "_bits").agg(F.collect_list("answer").alias("answers"))
 
 
 def _flags(texts: Texts, starts: np.ndarray, length: int, answers: pa.Array) -> np.ndarray:
@@ -163,7 +192,8 @@ def _flags(texts: Texts, starts: np.ndarray, length: int, answers: pa.Array) ->
 
 
 def _joined(rows: DataFrame, answers: DataFrame) -> DataFrame:
-    return rows.withColumn("_key", F.coalesce("doc_id", F.lit(LAST))).join(answers, "_key", "left").drop("_key")
+    keyed = rows.withColumns({"_key": F.coalesce("doc_id", F.lit(LAST)), "_bits": F.hash("text")})
+    return keyed.join(answers, ["_key", "_bits"], "left").drop("_key", "_bits")
 
 
 def _sha(text: str | None) -> tuple[int, str]:
@@ -182,7 +212,7 @@ def _candidates(scratch: Scratch, docs: DataFrame, window: int) -> DataFrame:
             for part in W.chunks(batch, "text", CHUNK):
                 texts = Texts(W.strings(part.column(1)))
                 starts = np.unique(texts.representatives(window)[1])
-                yield _batch(_entries(texts, _ids(part.column(0)), starts, (window + 1) // 2, buckets), NAMES, ENTRY_SCHEMA)
+                yield _batch(_entries(part, texts, starts, (window + 1) // 2, buckets), NAMES, ENTRY_SCHEMA)
 
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("words_sha256", pa.string()), ("text", pa.string()),
                         ("starts", pa.binary()), ("n_starts", pa.int64())])
@@ -205,7 +235,7 @@ def _candidates(scratch: Scratch, docs: DataFrame, window: int) -> DataFrame:
                     rows.append((doc_id, n, sha, text, own.astype(np.int32).tobytes(), len(own)) if len(own) else (doc_id, n, sha, None, None, 0))
                 yield _batch(rows, schema.names, schema)
 
-    answers = _answers(docs.mapInArrow(enter, ENTRY))
+    answers = _answers(docs.withColumn("_bits", F.hash("text")).mapInArrow(enter, ENTRY))
     rows = _joined(docs, answers).select("doc_id", "text", "answers")
     return scratch.keep(rows.mapInArrow(
         narrow, "doc_id long, n_words long, words_sha256 string, text string, starts binary, n_starts long"), "candidates")
@@ -225,9 +255,9 @@ def _level(candidates: DataFrame, length: int) -> DataFrame:
         for batch in batches:
             for part in W.chunks(batch, "text", CHUNK):
                 texts = Texts(W.strings(part.column(1)))
-                yield _batch(_entries(texts, _ids(part.column(0)), _own_starts(texts, part.column(2)), length, buckets), NAMES, ENTRY_SCHEMA)
+                yield _batch(_entries(part, texts, _own_starts(texts, part.column(2)), length, buckets), NAMES, ENTRY_SCHEMA)
 
-    rows = candidates.select("doc_id", "text", "starts")
+    rows = candidates.select("doc_id", "text", "starts", F.hash("text").alias("_bits"))
     return _joined(candidates, _answers(rows.mapInArrow(enter, ENTRY)))
 
 
