@@ -67,3 +67,48 @@ select doc_id, min(doc_id) over (partition by t) as keep_id, count(*) over (part
        doc_id is not distinct from min(doc_id) over (partition by t) as kept, sha256(t) as text_sha256
 from words
 """
+
+USABLE = """embedding is not null and len([x for x in embedding if x is null or isnan(x) or isinf(x)]) = 0"""
+
+ANSWERS["op12_hard_negatives"] = f"""
+with v as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         [floor(256 * x::double)::bigint for x in embedding] as q
+  from embeddings where label is not null and {USABLE}),
+s as (
+  select a.vec_id as anchor, a.label as anchor_label, v.vec_id, v.label,
+         list_sum([z[1] * z[2] for z in list_zip(a.q, v.q)])::bigint as score
+  from v a join v on v.vec_id <> a.vec_id where a.vec_id % 100 = 0),
+p as (
+  select * from (select *, row_number() over (partition by anchor order by score desc, vec_id) as r from s where label = anchor_label) where r <= 5),
+n as (
+  select p.anchor, p.vec_id as positive, p.score as positive_score, s.vec_id as negative, s.score as negative_score,
+         row_number() over (partition by p.anchor, p.vec_id order by s.score desc, s.vec_id) as r
+  from p join s on s.anchor = p.anchor and s.label <> p.label and 80 * p.score <= 100 * s.score and s.score <= p.score)
+select anchor as anchor_id, positive as positive_id, r::int as rank, negative as negative_id, positive_score, negative_score from n where r <= 5
+"""
+
+
+def _rounds(clusters: int, rounds: int, width: int) -> str:
+    """Lloyd's rounds on integers, one after the other."""
+    parts = [f"""v as (
+  select vec_id, [floor(256 * x::double)::bigint for x in embedding] as q from embeddings where len(embedding) = {width} and {USABLE}),
+c0 as (
+  select k, q from (select row_number() over (order by sha256('2:' || vec_id::varchar)) - 1 as k, q from v) where k < {clusters})"""]
+    for i in range(rounds + 1):
+        parts.append(f"""a{i} as materialized (
+  select vec_id, any_value(v.q) as q, min(struct_pack(d := list_sum([(z[1] - z[2]) * (z[1] - z[2]) for z in list_zip(v.q, c.q)])::bigint, k := c.k)) as m
+  from v, c{i} c group by vec_id)""")
+        if i < rounds:
+            parts.append(f"""t{i} as (
+  select m.k as k, i, sum(q[i])::bigint as s, count(*) as n from a{i}, range(1, {width + 1}) r(i) group by 1, 2),
+c{i + 1} as materialized (
+  select c.k, coalesce(t.q, c.q) as q
+  from c{i} c left join (select k, list((s - ((s % n) + n) % n) // n order by i) as q from t{i} group by k) t on t.k = c.k)""")
+    return f"""with {', '.join(parts)}
+select a.vec_id, a.m.k::int as cluster, a.m.d as distance, sum(a.m.d) over (partition by a.m.k)::bigint as cluster_inertia,
+       sum(a.m.d) over ()::bigint as inertia, sha256(array_to_string(c.q, ',')) as centroid_sha256
+from a{rounds} a join c{rounds} c on c.k = a.m.k"""
+
+
+ANSWERS["op13_centroids"] = _rounds(40, 5, 64)

@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, jaccard_join, language_id, mixing, neighbours, packing, private_data, sharding, substring_dedup, url_filter
+from tidemark.llm import (
+    byte_pairs,
+    centroids,
+    exact_dedup,
+    hard_negatives,
+    jaccard_join,
+    language_id,
+    mixing,
+    neighbours,
+    packing,
+    private_data,
+    sharding,
+    substring_dedup,
+    url_filter,
+)
 from tidemark.llm.answers import RULES
 from tidemark.llm.scratch import parquet
 
@@ -88,3 +102,22 @@ def _(spark, sf_dir):
 @query("op7_jaccard_join")
 def _(spark, sf_dir):
     return jaccard_join.near_duplicates(parquet(spark, sf_dir, "documents"))
+
+
+@query("op11_byte_pairs")
+def _(spark, sf_dir):
+    docs = parquet(spark, sf_dir, "documents").select("doc_id", "text")
+    return byte_pairs.digests(byte_pairs.encode(docs, tokenizer_file("byte_bpe_50k.json"), decoded="decoded"))
+
+
+@query("op12_hard_negatives")
+def _(spark, sf_dir):
+    vectors, every = parquet(spark, sf_dir, "embeddings"), F.col("vec_id")
+    label = F.when(every % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.Miner(vectors, every % 100 == 0, label).mine()
+
+
+@query("op13_centroids")
+def _(spark, sf_dir):
+    rows, c = centroids.cluster(parquet(spark, sf_dir, "embeddings"))
+    return rows.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", centroids.digest(c).alias("centroid_sha256"))
