@@ -27,12 +27,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm import words as W
+from tidemark.llm.scratch import lean
 
 UNKNOWN = "und"
 LONGEST = 24  # letters scored as one word
 LETTERS = regex.compile(r"\p{L}{1,%d}" % LONGEST)
 FLOOR = 1e-7  # of a character that no piece covers
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 START = "▁"
 
 
@@ -154,7 +155,7 @@ def train(labelled: DataFrame, pieces: list[str], sample: int = 1500, rounds: in
     for lang in languages:
         share = min(1.0, sample / sizes[lang])
         chosen = chosen | ((F.col("lang") == lang) & (F.pmod(F.xxhash64(*labelled.columns), F.lit(1 << 20)) < int(share * (1 << 20))))
-    counts = labelled.where(chosen).select("lang", "text").mapInArrow(_word_counts, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    counts = labelled.where(chosen).select("lang", "text").mapInArrow(lean(_word_counts), "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     counts = counts.persist()
     table = np.full((len(pieces) + 1, max(1, len(languages))), 1.0 / max(1, len(pieces)))
     table[-1] = 0
@@ -171,7 +172,7 @@ def train(labelled: DataFrame, pieces: list[str], sample: int = 1500, rounds: in
             j, i = np.nonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(j, pa.int32()), pa.array(i, pa.int32()), pa.array(total[j, i])], ["j", "i", "use"])
 
-        uses = counts.mapInArrow(expect, "j int, i int, use double").groupBy("j", "i").agg(F.sum("use").alias("use")).toPandas()
+        uses = counts.mapInArrow(lean(expect), "j int, i int, use double").groupBy("j", "i").agg(F.sum("use").alias("use")).toPandas()
         table = np.zeros_like(table)
         table[uses["i"], uses["j"]] = uses["use"]
         table[:-1] += smoothing
@@ -212,7 +213,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text", lang_pred: str =
                     [*part.columns, pa.array([options[i] for i in best], pa.string()), pa.array(top)], [*names, lang_pred, score])
 
     added = [T.StructField(lang_pred, T.StringType()), T.StructField(score, T.DoubleType())]
-    return docs.mapInArrow(predict, T.StructType(docs.schema.fields + added))
+    return docs.mapInArrow(lean(predict), T.StructType(docs.schema.fields + added))
 
 
 def held_out(doc_id: Column) -> Column:

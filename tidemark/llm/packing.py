@@ -28,10 +28,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm import words as W
-from tidemark.llm.scratch import Scratch, running_totals
+from tidemark.llm.scratch import Scratch, lean, running_totals
 
-CHUNK = 4 << 20
-CACHED = 3_000_000  # words whose ids a worker remembers, some 60 bytes each
+CHUNK = 2 << 20
+CACHED = 1_000_000  # words whose ids a worker remembers, some 60 bytes each
+SLICE = 5000  # words in one call of the tokenizer: its results hold strings and offsets for every token
 TAIL = ".,;:!?"
 
 
@@ -71,11 +72,18 @@ class Encoder:
         self._keys, self._starts, self._lengths = np.zeros(0, W.U64), np.zeros(0, np.int64), np.zeros(0, np.int64)
         self._ids = np.zeros(0, np.uint32)
 
-    def _each(self, items: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.uint32) for e in self._tokenizer.encode_batch(items, add_special_tokens=False)]
+    def _each(self, items: list[str], step: int = SLICE) -> list[np.ndarray]:
+        out: list[np.ndarray] = []
+        for at in range(0, len(items), step):
+            out += [np.array(e.ids, np.uint32) for e in self._tokenizer.encode_batch(items[at:at + step], add_special_tokens=False)]
+        return out
 
     def _many(self, items: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Number of ids of each word, and all ids."""
+        parts = [self._some(items[at:at + SLICE]) for at in range(0, len(items), SLICE)]
+        return np.concatenate([n for n, _ in parts]), np.concatenate([ids for _, ids in parts])
+
+    def _some(self, items: list[str]) -> tuple[np.ndarray, np.ndarray]:
         simple = np.fromiter((x.isalpha() for x in items), bool, len(items))
         lengths, ids = np.zeros(len(items), np.int64), [np.zeros(0, np.uint32)]
         words = np.flatnonzero(simple)
@@ -143,7 +151,7 @@ class Encoder:
         coded = every.dictionary_encode()
         index, names = coded.indices.to_numpy().astype(np.int64), len(coded.dictionary)
         lengths, ids = self._distinct(coded.dictionary) if names else (np.zeros(0, np.int64), np.zeros(0, np.uint32))
-        extra = [np.append(x, np.uint32(self._end)) for x in self._each([texts[i].as_py() for i in np.flatnonzero(whole)])]
+        extra = [np.append(x, np.uint32(self._end)) for x in self._each([texts[i].as_py() for i in np.flatnonzero(whole)], 1)]
         lengths = np.concatenate([lengths, [1], [len(x) for x in extra]]).astype(np.int64)
         ids = np.concatenate([ids, np.array([self._end], np.uint32), *extra])
         # Each document ends with the end id, or is one piece of its own if it was encoded whole.
@@ -178,7 +186,7 @@ def tokenised_pieces(docs: DataFrame, path: str, tokens: int, end: int = 1) -> D
                     [part.column(0).take(pa.array(row)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()),
                      pa.array(crc, pa.int64())], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select("doc_id", "text").mapInArrow(cut, schema)
+    return docs.select("doc_id", "text").mapInArrow(lean(cut), schema)
 
 
 def pack_histogram(counts: dict[int, int], c: Capacity = Capacity()) -> np.ndarray:
@@ -248,7 +256,7 @@ def pack_documents(docs: DataFrame, path: str, c: Capacity = Capacity(), end: in
     starts = np.array([firsts[x] for x in plan[:, 0].tolist()], np.int64) + plan[:, 1]
     order = np.argsort(starts)
     shared = docs.sparkSession.sparkContext.broadcast((starts[order], plan[order, 3], plan[order, 4]))
-    numbered = running_totals(scratch, pieces, ["length", "doc_id", "piece", "ids_crc32", "start"], [], "numbered")
+    numbered = running_totals(scratch, pieces, ["length", "doc_id", "piece", "ids_crc32", "start"], [], "numbered", stored=True)
 
     def place(batches):
         starts, sequences, offsets = shared.value

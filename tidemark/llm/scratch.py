@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
+from functools import wraps
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -24,11 +26,37 @@ def shared_folder(spark: SparkSession) -> str:
     return base
 
 
+def lean(run):
+    """``run`` for ``mapInArrow``, in a worker that stays for later tasks: what its batches took goes back to the system."""
+    @wraps(run)
+    def running(batches):
+        for number, batch in enumerate(run(batches)):
+            yield batch
+            if number % 8 == 7:
+                give_back()
+        give_back()
+
+    return running
+
+
+def give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # GNU libraries only
+    if trim:
+        trim(0)
+
+
+def small_batches(spark: SparkSession, size: int = 8 << 20) -> None:
+    """Rows reach Python in Arrow batches of about ``size`` bytes: texts are long, and 10,000 of them may be a gigabyte."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
+
+
 class Scratch:
     """Tables of one run. ``keep`` cuts the lineage: later plans scan files that outlive any executor."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
+        small_batches(spark)
         self._root = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
         self._number = 0
 
@@ -47,12 +75,17 @@ class Scratch:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def running_totals(scratch: Scratch, frame: DataFrame, order: list, sums: list[str], name: str = "ordered") -> DataFrame:
+def running_totals(scratch: Scratch, frame: DataFrame, order: list, sums: list[str], name: str = "ordered", stored: bool = False) -> DataFrame:
     """Adds ``position`` (from 0) and ``<column>_before`` (sum over all earlier rows) in a total order.
 
     ``order`` must make rows distinct but for wholly equal ones. The rows are range-partitioned and
     sorted; each partition numbers its own rows, and only one total per partition goes to the driver.
+    Wholly equal rows lie in one partition, unless ``frame`` is a stored table: there their places in the
+    scan, the same on every attempt, tell them apart.
     """
+    columns = frame.columns
+    if stored:
+        frame, order = frame.withColumn("_tie", F.monotonically_increasing_id()), [*order, "_tie"]
     added = [T.StructField("_part", T.IntegerType()), T.StructField("position", T.LongType())]
     added += [T.StructField(f"{c}_before", T.LongType()) for c in sums]
     schema = T.StructType(frame.schema.fields + added)
@@ -82,7 +115,7 @@ def running_totals(scratch: Scratch, frame: DataFrame, order: list, sums: list[s
     out = out.withColumn("position", F.col("position") + F.col("_p"))
     for c in sums:
         out = out.withColumn(f"{c}_before", F.col(f"{c}_before") + F.col(f"_{c}"))
-    return out.drop("_part", "_p", *[f"_{c}" for c in sums])
+    return out.select(*columns, "position", *[f"{c}_before" for c in sums])
 
 
 def parquet(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
