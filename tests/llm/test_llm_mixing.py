@@ -63,6 +63,41 @@ def test_resample_repeats_rows(spark):
     assert Counter(r["doc_id"] for r in out.select("doc_id").collect()) == Counter({i: n for i, n in times.items() if n})
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_resample_of_null_and_repeated_ids(spark, seed):
+    """A third of the ids are null and many rows are equal: rows out are the copies of the mix, text by text."""
+    rng = random.Random(seed)
+    data = []
+    for i in range(240):
+        text = " ".join(rng.choice("abc") for _ in range(rng.choice([0, 1, 1, 2, 9])))
+        data.append((None if i % 3 == 0 else i // 4, text if i % 11 else None, "en", rng.choice(["a", "b", None, "hot", "hot"]), i % 2))
+    df = with_clashing(spark.createDataFrame(data, DOCS).repartition(5))
+    by_key, source = Counter(), Counter()
+    mixed = mix_sources(df).collect()
+    for r in mixed:
+        by_key[r["doc_id"], r["source"], r["size"]] += r["times"]
+        source[r["source"]] += r["taken"]
+    out = resample(df)
+    assert out.columns == df.columns
+    rows_ = out.collect()
+    assert Counter((r["doc_id"], r["source"], len((r["text"] or "").split())) for r in rows_) == +by_key
+    own = Counter()
+    for r in rows_:
+        own[r["source"]] += len((r["text"] or "").split())
+    assert own == +source
+    given = Counter((i, t, s) for i, t, _, s, _ in data)
+    for key, n in Counter((r["doc_id"], r["text"], r["source"]) for r in rows_).items():
+        assert n <= Mix().most_copies * given[key]
+
+
+def test_running_totals_split_equal_rows(spark):
+    scratch = Scratch(spark, "t")
+    df = scratch.keep(spark.createDataFrame([(1, 5)] * 400 + [(2, 7)] * 3, "a int, b int").repartition(4), "rows")
+    got = running_totals(scratch, df, ["a"], ["b"], stored=True)
+    assert got.columns == ["a", "b", "position", "b_before"]
+    assert sorted(r["b_before"] for r in got.collect()) == [5 * i for i in range(400)] + [2000, 2007, 2014]
+
+
 def test_running_totals(spark):
     data = [(random.Random(5).randint(0, 9), i % 17, i) for i in range(300)]
     df = spark.createDataFrame(data, "a int, b int, c int").repartition(6)

@@ -81,22 +81,32 @@ def joined(rows: DataFrame, by_source: DataFrame) -> DataFrame:
     return rows.join(other, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
 
 
+def row_key() -> Column:
+    """128 bits of source, id and text, with nulls told from empty strings: equal for rows that the mix cannot tell apart."""
+    parts = [F.coalesce(F.concat(F.octet_length(c), F.lit(":"), c), F.lit("-")) for c in ("source", F.col("doc_id").cast("string"), "text")]
+    return F.unhex(F.md5(F.concat(*parts)))
+
+
 def mix_sources(docs: DataFrame, p: Mix = Mix(), scratch: Scratch | None = None) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, times (whole copies), taken (words)."""
-    scratch = scratch or Scratch(docs.sparkSession, "mixing")
+    return _mixed(docs, p, scratch or Scratch(docs.sparkSession, "mixing")).drop("row_key")
+
+
+def _mixed(docs: DataFrame, p: Mix, scratch: Scratch) -> DataFrame:
     random = F.abs(F.xxhash64(F.lit(p.seed), "doc_id", "text") % (1 << 52)) + 0.5
     rows = scratch.keep(docs.select(
-        "doc_id", "source", word_count(F.col("text")).alias("size"), (random / float(1 << 52)).alias("random")), "sizes")
+        "doc_id", "source", word_count(F.col("text")).alias("size"), row_key().alias("row_key"), (random / float(1 << 52)).alias("random")), "sizes")
     targets = source_targets(scratch, rows, p)
     rows = expected_copies(scratch, rows, targets, p)
     certain = F.floor(F.col("copies") + 1e-9)
     odds = F.greatest(F.col("copies") - certain, F.lit(0.0))
     rows = rows.withColumns({
         "certain": certain, "order": F.when(odds > 1e-9, F.col("random") / (1 - F.col("random")) / (odds / (1 - odds)))})
-    drawn = rows.select("doc_id", "source", "size", "certain", F.coalesce("order", F.lit(float("inf"))).alias("order"),
-                        F.when(F.col("order").isNotNull(), F.col("size")).otherwise(F.lit(0)).cast("long").alias("drawable"))
-    order = [F.col("source").asc_nulls_last(), "order", "doc_id", "size"]
-    ranked = scratch.keep(running_totals(scratch, drawn, order, ["drawable"], "pareto"), "ranked")
+    drawn = scratch.keep(rows.select(
+        "doc_id", "source", "size", "row_key", "certain", F.coalesce("order", F.lit(float("inf"))).alias("order"),
+        F.when(F.col("order").isNotNull(), F.col("size")).otherwise(F.lit(0)).cast("long").alias("drawable")), "drawn")
+    order = [F.col("source").asc_nulls_last(), "order", "row_key"]
+    ranked = scratch.keep(running_totals(scratch, drawn, order, ["drawable"], "pareto", stored=True), "ranked")
     starts = ranked.groupBy("source").agg(F.min("drawable_before").alias("start"), F.sum(F.col("certain") * F.col("size")).alias("sure"))
     sums = joined(starts, targets).withColumn("need", F.col("target") - F.col("sure"))
     left = F.col("need") - (F.col("drawable_before") - F.col("start"))
@@ -110,16 +120,28 @@ def mix_sources(docs: DataFrame, p: Mix = Mix(), scratch: Scratch | None = None)
     last = last.withColumnRenamed("source", "_source")
     times = F.col("certain") + (F.col("drawn") | F.coalesce(F.col("position") == F.col("last"), F.lit(False))).cast("long")
     return placed.join(last, F.col("source").eqNullSafe(F.col("_source")), "left").withColumn("times", times).select(
-        "doc_id", "source", "size", "source_size", "target", "times", (F.col("times") * F.col("size")).alias("taken"))
-
-
-def resample(docs: DataFrame, p: Mix = Mix()) -> DataFrame:
-    """The mix itself: every document as often as it is taken, with its own columns."""
-    times = mix_sources(docs, p).groupBy("doc_id", "source", "size").agg(
-        F.sum("times").alias("all"), F.count(F.lit(1)).alias("rows")).where("all > 0")
-    rows = docs.select(
-        F.col("doc_id").alias("id"), F.col("source").alias("of"), word_count(F.col("text")).alias("words"), F.struct(*docs.columns).alias("row"))
-    found = rows.join(times, F.col("id").eqNullSafe(F.col("doc_id")) & F.col("of").eqNullSafe(F.col("source")) & (F.col("words") == F.col("size")))
-    # Rows with the same id, source and size share their copies evenly.
-    copies = F.ceil(F.col("all") / F.col("rows"))
-    return found.withColumn("copy", F.explode(F.array_repeat(F.lit(0), copies.cast("int")))).select("row.*")
+        "doc_id", "source", "size", "row_key", "source_size", "target", "times", (F.col("times") * F.col("size")).alias("taken"))
+
+
+def resample(docs: DataFrame, p: Mix = Mix(), scratch: Scratch | None = None) -> DataFrame:
+    """The mix itself: every document as often as it is taken, with its own columns.
+
+    Rows with one source, id and text share the copies of all of them: each comes as often as goes into
+    the number of rows, and what is left comes from one of them. So rows out are ``times`` exactly.
+    """
+    scratch = scratch or Scratch(docs.sparkSession, "mixing")
+    times = scratch.keep(_mixed(docs, p, scratch).groupBy("row_key").agg(
+        F.sum("times").alias("all"), F.count(F.lit(1)).alias("rows")).where("all > 0").select(
+        F.col("row_key").alias("_key"), F.expr("all div rows").cast("int").alias("each"), F.expr("all % rows").alias("left")), "times")
+    rows = docs.select(row_key().alias("_row_key"), F.struct(*docs.columns).alias("row"))
+
+    def repeated(frame: DataFrame, n: Column) -> DataFrame:
+        return frame.withColumn("copy", F.explode(F.array_repeat(F.lit(0), n))).select("row.*")
+
+    whole = rows.join(times.where("each > 0"), F.col("_row_key") == F.col("_key"))
+    # One row of each such group, sent on in portions so that no task repeats it without bound.
+    some = rows.join(times.where("left > 0"), F.col("_row_key") == F.col("_key")).groupBy("_key", "left").agg(F.first("row").alias("row"))
+    portion = 1000
+    parts = some.withColumn("part", F.explode(F.sequence(F.lit(0), F.expr(f"(left - 1) div {portion}")))).withColumn(
+        "n", F.least(F.lit(portion), F.col("left") - F.col("part") * portion).cast("int"))
+    return repeated(whole, F.col("each")).unionByName(repeated(parts.repartition(F.col("_key"), F.col("part")), F.col("n")))
