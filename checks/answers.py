@@ -379,4 +379,5 @@ where date between '1996-01-01' and '1997-12-31' group by 1""")
 RUN = f"{CHANGE_KEY}, prev_date, position_change_type, consecutive_add_days::bigint as consecutive_add_days, consecutive_active_add_days::bigint as consecutive_active_add_days, weight_delta_1d"
 answer("incremental_ingest", f"select {RUN} from chg where substr(etf_code, 2)::bigint % 14 <> 10", "weight_delta_1d")
 answer("late_snapshot", f"select {RUN} from chg", "weight_delta_1d")
+ANSWERS["late_signals"] = ANSWERS["manager_signals"]
 ANSWERS["stateful_streak"] = ANSWERS["flow_streak"]

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark import schemas
 from tidemark.functions.origin import source_family, source_priority
 from tidemark.functions.positions import event_score, is_material
 from tidemark.operators import changes as C
@@ -894,7 +895,7 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 def _store(spark, root, h, stock=None, other=None):
     sinks.snapshot_sink(h.tables.holdings if stock is None else stock, h.tables.non_stock if other is None else other, root)
-    sinks.table_sink(h.tables.universe, f"{root}/etf_universe")
+    sinks.table_sink(h.tables.universe, root, "etf_universe")
 
 
 STORED = ("date", "etf_code", "asset_name", "stock_code", "source_type", "weight_pct")
@@ -955,24 +956,44 @@ def _(spark, sf_dir, h):
     for early in (False, True):
         half = landed.where((F.substring("payload_id", 1, 10) < "1998-07-01") == F.lit(early))
         half.write.mode("append").parquet(landing)
-        N.incremental_ingest(spark, landing, root, f"{root}/checkpoint", signals=False).awaitTermination()
+        N.incremental_ingest(spark, landing, root, f"{root}/checkpoint").awaitTermination()
     return sinks.read_back(spark, f"{root}/etf_holding_changes", h.changes.schema).select(
         *CHANGE_KEY, "prev_date", "position_change_type", "consecutive_add_days", "consecutive_active_add_days", "weight_delta_1d")
 
 
+_late: dict[int, str] = {}
+
+
+def _after_late_snapshots(spark, h) -> str:
+    """Folder of tables into which half of the funds of one date came late; one run serves both queries below."""
+    if id(h) not in _late:
+        root = scratch(spark, "late")
+        late = (F.col("date") == F.lit("1999-01-01").cast("date")) & (generated.fund_number() % 2 == 1)
+        _store(spark, root, h, h.tables.holdings.where(~late), h.tables.non_stock.where(~late))
+        N.rebuild_from(spark, root)
+        arrived = h.rows.where(late).withColumn("run_date", F.col("date")).withColumn(
+            "candidate_id", F.concat_ws("|", "etf_code", "source_type"))
+        N.process_candidates(spark, root, arrived, "late")
+        _late.clear()
+        _late[id(h)] = root
+    return _late[id(h)]
+
+
 @raw_query("late_snapshot")
 def _(spark, sf_dir, h):
-    root = scratch(spark, "late")
-    late = (F.col("date") == F.lit("1999-01-01").cast("date")) & (generated.fund_number() % 2 == 1)
-    _store(spark, root, h, h.tables.holdings.where(~late), h.tables.non_stock.where(~late))
-    N.rebuild_from(spark, root, "1995-01-01", signals=False)
-    arrived = h.rows.where(late).withColumn("run_date", F.col("date")).withColumn(
-        "candidate_id", F.concat_ws("|", "etf_code", "source_type"))
-    N.process_candidates(spark, root, arrived, "late", signals=False)
+    root = _after_late_snapshots(spark, h)
     return sinks.read_back(spark, f"{root}/etf_holding_changes", h.changes.schema).select(
         *CHANGE_KEY, "prev_date", "position_change_type", "consecutive_add_days", "consecutive_active_add_days", "weight_delta_1d")
 
 
+@raw_query("late_signals")
+def _(spark, sf_dir, h):
+    root = _after_late_snapshots(spark, h)
+    return sinks.read_back(spark, f"{root}/etf_manager_signals", schemas.SIGNALS).select(
+        "date", "signal_id", "signal_type", "signal_score", "stock_code", "stock_name", "etf_count", "issuer_count",
+        "confidence", "signal_freshness", "freshness_reason")
+
+
 @raw_query("stateful_streak")
 def _(spark, sf_dir, h):
     root = scratch(spark, "streak")

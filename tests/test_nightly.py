@@ -57,3 +57,21 @@ def test_a_low_row_count_yields_to_the_official_source(spark, root):
     both = offer(spark, LATER, "B", 5).unionByName(offer(spark, LATER, "B", 9, source="official_fallback"))
     assert store(spark, root, both)[LATER, "B"] == ("replace", "official_fallback", "success")
     assert stored(spark, root)[LATER, "B"] == ("official_fallback", 9, 2.0)
+
+
+def test_outcomes_of_every_batch_are_stored(spark, root):
+    both = offer(spark, LATER, "B", 9, source="official_fallback").unionByName(offer(spark, FUTURE, "A", 9))
+    for _ in range(2):  # a batch that is run again replaces its outcomes
+        N.store_candidates(spark, root, both, "batch-7", expected=F.lit(day(LATER)))
+    told = N.stored_outcomes(spark, root).where("batch = 'batch-7'").collect()
+    assert sorted((r["etf_code"], r["outcome"], r["inserted"]) for r in told) == [("A", "failed", False), ("B", "success", True)]
+    assert {r["outcome_reason"] for r in told} == {None, "source_date_after_expected_data_date"}
+
+
+def test_a_batch_counts_whole_or_not_at_all(spark, root, monkeypatch):
+    before = stored(spark, root)
+    monkeypatch.setattr(N.Rebuild, "run", lambda self, *a, **k: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        N.process_candidates(spark, root, offer(spark, LATER, "B", 9), "x", expected=F.lit(day(LATER)))
+    assert stored(spark, root) == before
+    assert N.stored_outcomes(spark, root).where("batch = 'x'").count() == 0

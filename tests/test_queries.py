@@ -10,8 +10,6 @@ from checks.compare import compare, connect
 from checks.queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-# Whole runs of the pipeline, several times each; `python -m checks.compare` covers them.
-SLOW = {"incremental_ingest", "late_snapshot"}
 
 
 @pytest.fixture(scope="module")
@@ -24,7 +22,7 @@ def test_every_query_has_sql():
     assert set(QUERIES) <= set(queries()) and set(ANSWERS) <= set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if n not in SLOW])
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, duck, name):
     assert compare(QUERIES[name](spark, SF_DIR), duck, ANSWERS[name]) == "ok"
 

@@ -223,7 +223,11 @@ def holding_changes(ranked: DataFrame, dates: DataFrame, params: Params = DEFAUL
 
 def holding_changes_from_pairs(paired: DataFrame, params: Params = DEFAULT) -> DataFrame:
     classed = with_position_change(with_fund_measures(paired, params), params)
-    timed = with_streaks(classed, params)
+    return compared_rows(with_streaks(classed, params))
+
+
+def compared_rows(timed: DataFrame) -> DataFrame:
+    """The rows and columns of the change table."""
     return timed.where("compared").select(
         *[
             F.coalesce(c, F.lit("")).alias(c) if c == "issuer" else F.col(c)

@@ -236,15 +236,16 @@ def signal_evidence(changes: DataFrame, params: Params = DEFAULT) -> DataFrame:
     return single.unionByName(joint)
 
 
-def manager_signals(changes: DataFrame, params: Params = DEFAULT) -> DataFrame:
+def manager_signals(changes: DataFrame, params: Params = DEFAULT, days: DataFrame | None = None) -> DataFrame:
     """The stored signal table: scalar columns plus id, fund list, issuer list and evidence.
 
     The id and the lists name every fund of a signal, so a row is as long as its fund list:
     at most one entry per fund of the universe and window date. Consumers that do not need
     the lists read :func:`signal_facts` and :func:`signal_evidence`. Ids repeat only when a
-    change key does; the sink removes repeats by id.
+    change key does; the sink removes repeats by id. ``days``: change dates with their index, where
+    ``changes`` holds only some of them; dates whose window and the one before it are whole are right.
     """
-    days = change_dates(changes)
+    days = change_dates(changes) if days is None else days
     events = side_events(changes, days, params)
     item = F.struct(*EVIDENCE)
     lists = (

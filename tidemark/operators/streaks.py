@@ -3,6 +3,9 @@
 Input is the paired frame: a row per date on which the stock is held now or was held on the
 previous valid date. Recursions over stored counts become running anchors: a streak is the
 distance from the last position at which the run could not have continued.
+
+A range of dates can go on from what is stored about the dates before it: seeds are rows that stand
+for a fund's own last date (counts of the held stocks) and for its last valid date (flow counts).
 """
 
 from __future__ import annotations
@@ -36,6 +39,23 @@ def _last(condition: Column, fields: list[Column], frame) -> Column:
 
 _KINDS = {"wa": ("weight_dir", 1), "wr": ("weight_dir", -1), "sa": ("share_dir", 1), "sr": ("share_dir", -1)}
 _SIDES = {"add": "is_active_add", "reduce": "is_active_reduce"}
+_SEEDED = (*_KINDS, *_SIDES)
+
+
+def held_seeds(state: DataFrame) -> DataFrame:
+    """Seeds from rows (date, etf_code, stock_code, ti, now_weight, shares, wa, wr, sa, sr) of each fund's own last date."""
+    return state.select(
+        "date", "etf_code", "stock_code", "ti", "now_weight", "shares", F.lit(1).alias("in_now"),
+        F.lit(False).alias("compared"), F.lit(False).alias("date_valid"), *[F.col(k).alias(f"seed_{k}") for k in _KINDS],
+    )
+
+
+def linked_seeds(changes: DataFrame) -> DataFrame:
+    """Seeds from stored change rows (with ``vi``) of the last valid date."""
+    return changes.select(
+        "date", "vi", "etf_code", "stock_code", *_SIDES.values(), F.lit(0).alias("in_now"), F.lit(True).alias("compared"),
+        F.lit(True).alias("date_valid"), *[F.col(f"consecutive_active_{s}_days").alias(f"seed_{s}") for s in _SIDES],
+    )
 
 
 def with_position_anchors(classed: DataFrame, params: Params = DEFAULT) -> DataFrame:
@@ -63,22 +83,23 @@ def with_position_anchors(classed: DataFrame, params: Params = DEFAULT) -> DataF
         }
     )
 
-    def anchor(direction: str, sign: int) -> Column:
+    def anchor(name: str, direction: str, sign: int) -> Column:
         # A run that starts after a gap is anchored one date before its first row.
         stop = F.when(held & (F.col(direction) != sign), ti).when(held & ~F.col("follows"), ti - 1)
-        return F.max(stop).over(_upto())
+        return F.max(F.coalesce(ti - F.col(f"seed_{name}"), stop)).over(_upto())
 
-    anchored = moved.select("*", *[anchor(*kind).alias(f"{name}_anchor") for name, kind in _KINDS.items()])
+    anchored = moved.select("*", *[anchor(name, *kind).alias(f"{name}_anchor") for name, kind in _KINDS.items()])
     return anchored.withColumns(
         {
-            name: F.when(held & (F.col(direction) == sign), ti - F.col(f"{name}_anchor")).otherwise(0)
+            name: F.coalesce(
+                f"seed_{name}", F.when(held & (F.col(direction) == sign), ti - F.col(f"{name}_anchor")).otherwise(0))
             for name, (direction, sign) in _KINDS.items()
         }
     )
 
 
-def with_streaks(classed: DataFrame, params: Params = DEFAULT) -> DataFrame:
-    """Weight, share and flow streaks of every paired row.
+def with_streaks(classed: DataFrame, params: Params = DEFAULT, seeds: tuple[DataFrame, ...] = ()) -> DataFrame:
+    """Weight, share and flow streaks of every paired row; ``seeds`` stand for the dates before the first.
 
     Weight and share streaks run over the fund's own valid dates (index ``ti``): a date without
     the stock counts as weight zero and breaks a share run. Flow streaks run along previous
@@ -88,14 +109,17 @@ def with_streaks(classed: DataFrame, params: Params = DEFAULT) -> DataFrame:
     held = F.col("in_now") == 1
     link = F.col("compared") & F.col("date_valid")
     scale = F.col("etf_scale_factor")
-    anchored = with_position_anchors(classed, params)
+    rows = classed.withColumns({f"seed_{k}": F.lit(None).cast("int") for k in _SEEDED})
+    for seed in seeds:
+        rows = rows.unionByName(seed, allowMissingColumns=True)
+    anchored = with_position_anchors(rows, params)
     shares = {"add": F.col("sa"), "reduce": F.col("sr")}
     linked = F.col("pred.date") == F.col("prev_date")
     flow = {}
     for side, flag in _SIDES.items():
         on = F.col(flag) == 1
         flow[f"{side}_goes_on"] = scale.isNotNull() & on & F.coalesce(linked & (F.col(f"pred.{flag}") == 1), F.lit(False))
-        flow[f"{side}_base"] = F.when(scale.isNull(), shares[side]).when(on, 1).otherwise(0)
+        flow[f"{side}_base"] = F.coalesce(f"seed_{side}", F.when(scale.isNull(), shares[side]).when(on, 1).otherwise(0))
     based = anchored.withColumns(flow)
     closed = based.select(
         "*",
@@ -115,6 +139,8 @@ def with_streaks(classed: DataFrame, params: Params = DEFAULT) -> DataFrame:
         return F.when(F.col(f"{side}_goes_on"), run).otherwise(F.col(f"{side}_base")).cast("int")
 
     temp = [*_KINDS, *[f"{k}_anchor" for k in _KINDS], *[f"{s}_{x}" for s in _SIDES for x in ("goes_on", "base", "start")]]
+    if seeds:
+        closed = closed.where(F.coalesce(*[f"seed_{k}" for k in _SEEDED]).isNull())
     return closed.withColumns(
         {
             "consecutive_add_days": F.when(just_gone & (F.col("gone.weight") < -eps), F.col("gone.wa") + 1).otherwise(F.col("wa")),
@@ -124,4 +150,4 @@ def with_streaks(classed: DataFrame, params: Params = DEFAULT) -> DataFrame:
             "consecutive_active_add_days": flow_days("add"),
             "consecutive_active_reduce_days": flow_days("reduce"),
         }
-    ).drop("was", "pred", "gone", "follows", "weight_dir", "share_dir", *temp)
+    ).drop("was", "pred", "gone", "follows", "weight_dir", "share_dir", *temp, *[f"seed_{k}" for k in _SEEDED])

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from tidemark.operators.changes import change_run_summary
 from tidemark.operators.signals import manager_signals, to_storage
 from tidemark.plans.history import History
-from tidemark.sources.sinks import derived_sink
+from tidemark.sources.sinks import day_list, derived_frame
+from tidemark.sources.store import Store
 from tidemark.sources.tables import range_filter
 
 
@@ -22,14 +23,21 @@ def backfill(
     """Write changes and diagnostics (and signals) of the range; returns the run summary.
 
     Previous dates, streaks and windows come from the whole history; only the written dates
-    are limited. A date of the range that has no rows (any more) becomes empty.
+    are limited. A date of the range that has no rows (any more) becomes empty; the tables change
+    together. Stored tables are brought up to date by ``tidemark.plans.rebuild``, which reads only what
+    a correction can reach.
     """
-    asked = range_filter(history.dates.select("date"), from_date, to_date)
-    derived_sink(range_filter(history.changes, from_date, to_date), root, "etf_holding_changes", asked)
-    derived_sink(range_filter(history.diagnostics, from_date, to_date), root, "etf_change_diagnostics", asked)
+    asked = day_list(range_filter(history.dates.select("date"), from_date, to_date))
+    frames = {
+        **derived_frame(range_filter(history.changes, from_date, to_date), "etf_holding_changes"),
+        **derived_frame(range_filter(history.diagnostics, from_date, to_date), "etf_change_diagnostics"),
+    }
     if regenerate_signals:
         signals = range_filter(manager_signals(history.changes, history.params), from_date, to_date)
-        derived_sink(to_storage(signals), root, "etf_manager_signals", asked)
+        frames |= derived_frame(to_storage(signals), "etf_manager_signals")
+    store = Store(history.snapshots.sparkSession, root)
+    store.replace(frames, asked)
+    store.commit()
     return backfill_summary(history, from_date, to_date)
 
 

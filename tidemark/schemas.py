@@ -38,6 +38,24 @@ DIAGNOSTICS = (
     "overlap_ratio DOUBLE, size_ratio DOUBLE, created_at TIMESTAMP"
 )
 
+SNAPSHOTS = (
+    "date DATE, etf_code STRING, source_type STRING, valid BOOLEAN, reason STRING, row_count BIGINT, "
+    "stock_count BIGINT, non_stock_count BIGINT, holding_rows BIGINT, total_weight DOUBLE, shares_coverage DOUBLE"
+)
+
+STREAK_STATE = "date DATE, etf_code STRING, stock_code STRING, wa INT, wr INT, sa INT, sr INT"
+
+SIGNALS = (
+    "date DATE, signal_id STRING, signal_type STRING, signal_score DOUBLE, stock_code STRING, stock_name STRING, "
+    "etf_codes STRING, issuers STRING, etf_count BIGINT, issuer_count BIGINT, explanation STRING, evidence_json STRING, "
+    "confidence STRING, signal_freshness STRING, freshness_reason STRING"
+)
+
+OUTCOMES = (
+    "batch STRING, run_date DATE, etf_code STRING, candidate_id STRING, source_type STRING, data_date DATE, outcome STRING, "
+    "outcome_reason STRING, decision STRING, inserted BOOLEAN, stock_count BIGINT, non_stock_count BIGINT"
+)
+
 HOLIDAYS = "year INT, mmdd STRING, kind STRING"
 
 CANDIDATES = (

@@ -1,19 +1,17 @@
 """Writing tables: whole date partitions are replaced, so a rerun gives the same table.
 
-The caller names the affected dates; those without new rows become empty, all others stay. New
-partitions are written beside the tables first, then put in their place date by date, for all
-tables of one call together: a task or job that fails while rows are computed changes nothing.
-``rebalance`` lets the runtime split a crowded date over several tasks and merge small ones,
-instead of sending each date to one task.
+The caller names the affected dates; those without new rows become empty, all others stay. All
+tables of one call change together (see ``tidemark.sources.store``).
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.sources.store import Store
+
 KEYS = {
     "etf_daily_holdings": ("date", "etf_code", "stock_code", "source_type"),
     "etf_daily_non_stock_assets": ("date", "etf_code", "asset_name", "source_type"),
@@ -23,68 +21,61 @@ KEYS = {
 }
 
 
-def _write(rows: DataFrame, path: str, sort: Sequence[str] = ()) -> None:
-    placed = rows.hint("rebalance", "date")
-    if sort:
-        placed = placed.sortWithinPartitions("date", *sort)
-    placed.write.partitionBy("date").parquet(path)
+def day_list(dates: DataFrame | None) -> list[str]:
+    """The distinct dates of a frame: one row per calendar date reaches the driver."""
+    return [] if dates is None else [str(r["date"]) for r in dates.select("date").distinct().collect()]
 
 
 def replace_dates(frames: dict[str, tuple[DataFrame, Sequence[str]]], root: str, dates: DataFrame | None = None) -> None:
-    """Replace the affected dates of several tables below ``root``.
+    """Replace the affected dates of several tables below ``root``, all at once.
 
-    ``frames``: table name to rows and sort columns. ``dates``: column ``date``, the affected dates
-    (one row per calendar date reaches the driver); without it, the dates that have new rows in
-    any of the tables.
+    ``frames``: table name to rows and sort columns. ``dates``: column ``date``, the affected dates;
+    without it, the dates that have new rows in any of the tables.
     """
-    spark = next(iter(frames.values()))[0].sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    beside = f"{root}/_incoming/{uuid.uuid4().hex}"
-    files = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
-    for name, (rows, sort) in frames.items():
-        _write(rows, f"{beside}/{name}", sort)
-    new = {name: {s.getPath().getName() for s in files.listStatus(path(f"{beside}/{name}")) if s.isDirectory()} for name in frames}
-    affected = set().union(*new.values())
-    if dates is not None:
-        affected |= {f"date={r['date']}" for r in dates.select("date").distinct().collect()}
-    for date in sorted(affected):
-        for name in frames:
-            files.mkdirs(path(f"{root}/{name}"))
-            files.delete(path(f"{root}/{name}/{date}"), True)
-            if date in new[name]:
-                files.rename(path(f"{beside}/{name}/{date}"), path(f"{root}/{name}/{date}"))
-    files.delete(path(beside), True)
-    for name in frames:
-        spark.catalog.refreshByPath(f"{root}/{name}")
+    store = Store(next(iter(frames.values()))[0].sparkSession, root)
+    store.replace(frames, day_list(dates))
+    store.commit()
 
 
-def snapshot_sink(stock_rows: DataFrame, other_rows: DataFrame, root: str, dates: DataFrame | None = None) -> None:
-    """Store the merged content of the affected dates, stock and other assets together."""
-    replace_dates({
+def snapshot_frames(stock_rows: DataFrame, other_rows: DataFrame) -> dict[str, tuple[DataFrame, Sequence[str]]]:
+    return {
         "etf_daily_holdings": (stock_rows, ("etf_code", "stock_code")),
         "etf_daily_non_stock_assets": (other_rows, ("etf_code", "asset_name")),
-    }, root, dates)
+    }
+
+
+def snapshot_sink(stock_rows: DataFrame, other_rows: DataFrame, root: str, dates: DataFrame | None = None) -> None:
+    """Store the merged content of the affected dates, stock and other assets together."""
+    replace_dates(snapshot_frames(stock_rows, other_rows), root, dates)
+
+
+def derived_frame(rows: DataFrame, table: str) -> dict[str, tuple[DataFrame, Sequence[str]]]:
+    """Rows of a derived table without repeated keys, in the order in which they are stored."""
+    unique = rows.dropDuplicates(list(KEYS[table]))
+    return {table: (unique, tuple(k for k in KEYS[table] if k != "date" and k in rows.columns))}
 
 
 def derived_sink(rows: DataFrame, root: str, table: str, dates: DataFrame | None = None) -> None:
     """Replace the affected dates of a derived table after removing repeated keys."""
-    unique = rows.dropDuplicates(list(KEYS[table]))
-    sort = tuple(k for k in KEYS[table] if k != "date" and k in rows.columns)
-    replace_dates({table: (unique, sort)}, root, dates)
+    replace_dates(derived_frame(rows, table), root, dates)
 
 
-def table_sink(rows: DataFrame, path: str) -> None:
+def table_sink(rows: DataFrame, root: str, table: str) -> None:
     """Replace a small unpartitioned table."""
-    rows.write.mode("overwrite").parquet(path)
+    store = Store(rows.sparkSession, root)
+    store.put(table, rows)
+    store.commit()
 
 
 def report_sink(section: DataFrame, root: str, name: str, stamp: str, dates: DataFrame | None = None) -> None:
     """An archive copy under the run stamp, and the current section by date, made from that copy."""
-    archive = f"{root}/archive/{stamp}/{name}"
-    section.write.mode("overwrite").partitionBy("date").parquet(archive)
-    copy = read_back(section.sparkSession, archive, section.schema)
-    replace_dates({name: (copy, ())}, f"{root}/current", dates)
+    store = Store(section.sparkSession, f"{root}/archive/{stamp}")
+    store.replace({name: (section, ())}, store.parts(name))
+    store.commit()
+    replace_dates({name: (store.read(name, section.schema), ())}, f"{root}/current", dates)
 
 
-def read_back(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.read.schema(schema).parquet(path)
+def read_back(spark: SparkSession, path: str, schema) -> DataFrame:
+    """A table by its path ``root/name``."""
+    root, _, name = path.rpartition("/")
+    return Store(spark, root).read(name, schema)

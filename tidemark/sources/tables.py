@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
+from tidemark.sources.store import Store
 
 
 @dataclass(frozen=True)
@@ -21,14 +22,15 @@ class Tables:
 
 def read_tables(spark: SparkSession, root: str) -> Tables:
     """Parquet tables laid down by ``tidemark.sources.sinks`` (facts partitioned by date)."""
+    return stored_tables(Store(spark, root))
 
-    def table(name: str, schema: str) -> DataFrame:
-        return spark.read.schema(schema).parquet(f"{root}/{name}")
 
+def stored_tables(store: Store, **parts) -> Tables:
+    """The tables of a store; ``parts`` limits the dates of the facts that are read."""
     return Tables(
-        table("etf_daily_holdings", schemas.HOLDINGS),
-        table("etf_daily_non_stock_assets", schemas.NON_STOCK),
-        table("etf_universe", schemas.UNIVERSE),
+        store.read("etf_daily_holdings", schemas.HOLDINGS, **parts),
+        store.read("etf_daily_non_stock_assets", schemas.NON_STOCK, **parts),
+        store.read("etf_universe", schemas.UNIVERSE),
     )
 
 

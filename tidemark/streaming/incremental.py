@@ -1,8 +1,9 @@
 """Nightly arrivals as a file stream: parse, judge, arbitrate, store, rebuild what depends on them.
 
-A batch is idempotent: stored dates and derived dates are replaced whole, so a batch that is
-run again after a failure gives the same tables. Late files need no watermark: a correction of
-any age is stored, and every date from the earliest one it touches is rebuilt.
+A batch is one transaction: snapshots, all that is derived from them, and the outcomes of the run
+count together or not at all, so a batch that is run again after a failure gives the same tables.
+Late files need no watermark: a correction of any age is stored, and what it can reach is rebuilt
+(see ``tidemark.plans.rebuild``).
 """
 
 from __future__ import annotations
@@ -29,19 +30,20 @@ from tidemark.operators.ingest import (
 )
 from tidemark.operators.snapshots import canonical_snapshot, snapshot_profile
 from tidemark.params import DEFAULT, Params
-from tidemark.plans.backfill import backfill
-from tidemark.plans.history import History
-from tidemark.plans.staging import Staging
+from tidemark.plans.rebuild import Rebuild
 from tidemark.sources.payloads import payload_rows
-from tidemark.sources.sinks import snapshot_sink
-from tidemark.sources.tables import Tables, read_tables, scan_holdings
+from tidemark.sources.sinks import day_list, snapshot_frames
+from tidemark.sources.store import Store
+from tidemark.sources.tables import Tables, scan_holdings, stored_tables
 
 
 def init_tables(spark: SparkSession, root: str, universe: DataFrame) -> None:
     """Empty fact tables and the given universe."""
-    for name, schema in (("etf_daily_holdings", schemas.HOLDINGS), ("etf_daily_non_stock_assets", schemas.NON_STOCK)):
-        spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{root}/{name}")
-    universe.write.mode("overwrite").parquet(f"{root}/etf_universe")
+    store = Store(spark, root)
+    stock, other = (spark.createDataFrame([], schema) for schema in (schemas.HOLDINGS, schemas.NON_STOCK))
+    store.replace(snapshot_frames(stock, other))
+    store.put("etf_universe", universe)
+    store.commit()
 
 
 def candidates_from_payloads(payloads: DataFrame) -> DataFrame:
@@ -70,8 +72,8 @@ def expected_date(spark: SparkSession, run_at: str | None = None, holidays: Data
     return F.lit(expected_data_date(runs, last_days, params).first()["expected_data_date"])
 
 
-def nightly_decisions(rows: DataFrame, stored: Tables, expected: Column, params: Params = DEFAULT) -> DataFrame:
-    """What becomes of each landed snapshot, by the gates of the nightly run.
+def nightly_decisions(rows: DataFrame, stored: Tables, expected: Column, params: Params = DEFAULT) -> tuple[DataFrame, DataFrame]:
+    """The outcome of each fund of the run, and what becomes of each landed snapshot, by the gates of the nightly run.
 
     The candidates are judged on all their rows, before light rows are dropped: a weight that is
     missing makes a snapshot invalid. Each date is a run of its own: one candidate per date and fund
@@ -87,19 +89,17 @@ def nightly_decisions(rows: DataFrame, stored: Tables, expected: Column, params:
     outcomes = scrape_outcome(chosen.withColumn("target_date", expected), profiles)
     days = touched.select(F.col("data_date").alias("date")).distinct()
     on_dates = scan_holdings(stored.holdings, stored.non_stock).join(F.broadcast(days), "date", "left_semi")
-    return store_decision(outcomes, canonical_snapshot(snapshot_profile(on_dates, params=params)), params)
+    return outcomes, store_decision(outcomes, canonical_snapshot(snapshot_profile(on_dates, params=params)), params)
 
 
-def store_candidates(
-    spark: SparkSession, root: str, candidates: DataFrame, batch: str, params: Params = DEFAULT, expected: Column | None = None
-) -> DataFrame:
-    """Decide on candidate rows against the stored dates and replace those dates.
+def stage_candidates(store: Store, candidates: DataFrame, batch: str, params: Params = DEFAULT, expected: Column | None = None) -> DataFrame:
+    """Decide on candidate rows against the stored dates and replace those dates in the store's transaction.
 
-    Parsed rows, decisions and merged rows are first written beside the tables: the second table must not
-    see what the first replacement changed, also not when a task is run again.
+    Parsed rows and decisions are first written beside the tables, so that they stay the same when a task
+    is run again. The outcome of every fund of the batch is kept with it.
     """
-    stored = read_tables(spark, root)
-    staged = f"{root}/_staging/{batch}-{uuid.uuid4().hex}"
+    spark, stored = store.spark, stored_tables(store)
+    staged = f"{store.root}/_staging/{batch}-{uuid.uuid4().hex}"
 
     def written(frame: DataFrame, name: str) -> DataFrame:
         path = f"{staged}/{name}"
@@ -108,26 +108,37 @@ def store_candidates(
 
     rows = written(dedupe_rows(candidates), "rows")
     expected = expected_date(spark) if expected is None else expected
-    decisions = written(nightly_decisions(rows, stored, expected, params), "decisions")
+    outcomes, judged = nightly_decisions(rows, stored, expected, params)
+    decisions = written(judged, "decisions")
     stock, other = split_assets(min_weight_filter(rows, params))
-    new_stock = written(merge_snapshots(stored.holdings, stock, decisions), "stock")
-    new_other = written(merge_snapshots(stored.non_stock, other, decisions), "other")
     affected = decisions.where("inserted OR stored_source_type IS NOT NULL").select(F.col("data_date").alias("date"))
-    snapshot_sink(new_stock, new_other, root, affected)
+    store.replace(
+        snapshot_frames(merge_snapshots(stored.holdings, stock, decisions), merge_snapshots(stored.non_stock, other, decisions)),
+        day_list(affected))
+    told = decisions.select("run_date", "candidate_id", "decision", "inserted")
+    kept = outcomes.join(told, ["run_date", "candidate_id"], "left").withColumns({
+        "batch": F.lit(batch), "inserted": F.coalesce("inserted", F.lit(False)), "run_date": F.col("run_date").cast("date")})
+    store.replace({"run_outcomes": (kept.select(*schemas.columns(schemas.OUTCOMES)), ("etf_code",))}, [batch], by="batch")
     return decisions
 
 
-def rebuild_from(spark: SparkSession, root: str, first_date: str, params: Params = DEFAULT, signals: bool = True) -> None:
-    """Recompute every derived date from ``first_date`` on.
+def store_candidates(
+    spark: SparkSession, root: str, candidates: DataFrame, batch: str, params: Params = DEFAULT, expected: Column | None = None
+) -> DataFrame:
+    """Decide on candidate rows and store what was decided, without rebuilding anything."""
+    store = Store(spark, root)
+    decisions = stage_candidates(store, candidates, batch, params, expected)
+    store.commit()
+    return decisions
 
-    A changed date alters its own rows, the pairs that look back to it, and every later streak
-    and window; earlier dates cannot depend on it.
-    """
-    staging = Staging(spark)
-    try:
-        backfill(History(read_tables(spark, root), params, staging), root, from_date=first_date, regenerate_signals=signals)
-    finally:
-        staging.release()
+
+def rebuild_from(spark: SparkSession, root: str, first_date: str | None = None, params: Params = DEFAULT, signals: bool = True) -> Rebuild:
+    """Profile all stored facts anew and recompute what differs, and every fund from ``first_date`` on if it is given."""
+    store = Store(spark, root)
+    rebuild = Rebuild(store, params)
+    rebuild.run(since=first_date, signals=signals)
+    store.commit()
+    return rebuild
 
 
 def process_candidates(
@@ -138,12 +149,20 @@ def process_candidates(
     params: Params = DEFAULT,
     signals: bool = True,
     expected: Column | None = None,
-) -> None:
-    decisions = store_candidates(spark, root, candidates, batch, params, expected)
-    # One value: the earliest date this batch changed.
-    first = decisions.where("inserted").agg(F.min("data_date").cast("string").alias("d")).first()["d"]
-    if first is not None:
-        rebuild_from(spark, root, first, params, signals)
+) -> Rebuild:
+    """Store what a batch brings and rebuild what it can reach, in one transaction."""
+    store = Store(spark, root)
+    decisions = stage_candidates(store, candidates, batch, params, expected)
+    touched = decisions.where("inserted").select(F.col("data_date").alias("date"), "etf_code").distinct()
+    rebuild = Rebuild(store, params)
+    rebuild.run(touched, signals=signals)
+    store.commit()
+    return rebuild
+
+
+def stored_outcomes(spark: SparkSession, root: str) -> DataFrame:
+    """The outcome of every fund in every batch so far."""
+    return Store(spark, root).read("run_outcomes", schemas.OUTCOMES)
 
 
 def incremental_ingest(
