@@ -1,7 +1,10 @@
 """Exact dedup, substring dedup and the Jaccard join against plain loops."""
 
 import hashlib
+import itertools
+import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -10,7 +13,7 @@ from corpus import DOCS, odd_rows, rows, with_clashing
 
 from tidemark.llm import substring_dedup
 from tidemark.llm.exact_dedup import deduplicate, duplicate_groups
-from tidemark.llm.jaccard_join import BINS, DEEPER, Join, choose, near_duplicates, one_per_class
+from tidemark.llm.jaccard_join import BINS, DEEPER, Join, _links, choose, near_duplicates, one_per_class
 from tidemark.llm.substring_dedup import later_windows, longest_repeats
 
 
@@ -179,3 +182,63 @@ def test_null_and_repeated_ids_do_not_share_one_answer(spark, monkeypatch):
     longest = max(len(text.split()) for _, text, *_ in data)
     for frame in seen:
         assert frame.selectExpr("max(size(answers))").first()[0] <= 4 * longest
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_links_inside_a_group(seed):
+    rng = np.random.default_rng(seed)
+    base = rng.integers(0, 40, int(rng.integers(1, 30)))
+    sets = [np.unique(np.concatenate([base[rng.random(len(base)) < 0.9], rng.integers(0, 200, rng.integers(0, 4))]).astype(np.uint64)) for _ in range(50)]
+    sets = [s for s in sets if len(s)] + [np.array([7], np.uint64)]
+    m, weight, block = len(sets), rng.integers(1, 5, len(sets)).astype(float), rng.integers(0, 2, len(sets)) if seed % 2 else None
+    links, label = _links(sets, weight, block, 0.8)
+    want, near = np.zeros(m), []
+    for i, j in itertools.combinations(range(m), 2):
+        both = len(set(sets[i].tolist()) & set(sets[j].tolist()))
+        if (block is None or block[i] != block[j]) and both >= 0.8 * (len(sets[i]) + len(sets[j]) - both) - 1e-9:
+            want[i] += weight[j]
+            want[j] += weight[i]
+            near.append((i, j))
+    assert np.allclose(links, want)
+    assert all(label[i] == label[j] for i, j in near) and len(set(label.tolist())) == m - len(spanning(m, near))
+
+
+def spanning(m, edges):
+    """Edges that join two components."""
+    of, used = list(range(m)), []
+    for i, j in edges:
+        a, b = of[i], of[j]
+        if a != b:
+            of = [a if x == b else x for x in of]
+            used.append((i, j))
+    return used
+
+
+def test_many_short_sets_of_one_template_take_no_time():
+    rng = np.random.default_rng(1)
+    sets = [np.unique(np.concatenate([np.arange(5), rng.integers(100, 10**9, 5)]).astype(np.uint64)) for _ in range(8000)]
+    start = time.process_time()
+    links, _ = _links(sets, np.ones(len(sets)), None, 0.8)
+    assert time.process_time() - start < 2 and links.sum() == 0
+
+
+def test_a_crowd_of_changed_copies(spark):
+    """More near copies of one text than a bucket compares pair by pair, some of them at the threshold of each other."""
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(500)]
+    origin = [rng.choice(words) for _ in range(150)]
+    texts = []
+    for _ in range(420):
+        own = list(origin)
+        for _ in range(rng.choice([0, 1, 1, 2, 3, 6, 9])):
+            own[rng.randrange(len(own))] = rng.choice(words)
+        texts.append(" ".join(own))
+    grams = [frozenset(zip(*(t.split()[k:] for k in range(5)))) for t in texts]
+    want = Counter()
+    for i, j in itertools.combinations(range(len(texts)), 2):
+        both = len(grams[i] & grams[j])
+        if 5 * both >= 4 * (len(grams[i]) + len(grams[j]) - both):
+            want[i] += 1
+            want[j] += 1
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], DOCS)
+    assert {r["doc_id"]: r["n_links"] for r in near_duplicates(df, Join(small=60)).collect()} == {i: want[i] for i in range(len(texts))}

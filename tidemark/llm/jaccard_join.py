@@ -33,11 +33,12 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import words as W
 from tidemark.llm.components import components
-from tidemark.llm.scratch import Scratch
+from tidemark.llm.scratch import Scratch, lean
 
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 LAST = (1 << 63) - 1
 BINS = 128
+ALIKE = 8  # steps of a twentieth
 DEEPER = 1.25  # times as many tokens are chosen in a split as at the start
 
 
@@ -50,6 +51,7 @@ class Join:
     small: int = 200         # members of a bucket compared pair by pair
     depth: int = 4
     block_bytes: int = 12 << 20
+    block_sets: int = 8000
 
     @property
     def runs(self) -> int:
@@ -150,44 +152,57 @@ def _described(docs: DataFrame, p: Join) -> DataFrame:
                     ["doc_id", "row_key", "set_key", "grams", "sig", "paths"])
 
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc_id"), "text", _row_key().alias("row_key")).mapInArrow(
-        describe, "doc_id long, row_key binary, set_key binary, grams long, sig binary, paths array<long>")
+        lean(describe), "doc_id long, row_key binary, set_key binary, grams long, sig binary, paths array<long>")
 
 
 def _split(rows: DataFrame, p: Join) -> DataFrame:
-    """(path, id, sig) -> longer paths of the chosen tokens."""
+    """(path, id, sig, leader_sig) -> longer paths of the chosen tokens.
+
+    Tokens are chosen where a set differs from the leader: what all of a bucket shares with it, like a
+    passage or a template, tells its members no further apart. Two sets at the threshold differ in at most a
+    fifth of their bins, so the others among these are chosen often enough to meet as often as before.
+    """
     def deeper(batches):
         for batch in batches:
             if batch.num_rows:
                 path = batch.column(0).to_numpy().view(W.U64)
-                sig = np.stack([np.frombuffer(s, np.uint8) for s in batch.column(2).to_pylist()])
+                sig, leader = (np.stack([np.frombuffer(s, np.uint8) for s in batch.column(i).to_pylist()]) for i in (2, 3))
                 tokens = sig.astype(W.U64) + (np.arange(BINS, dtype=W.U64) << W.U64(8))
-                share = np.where(sig > 0, DEEPER * p.chosen / np.maximum(1, (sig > 0).sum(axis=1))[:, None], 0.0)
+                own = (sig > 0) & (sig != leader)
+                n = own.sum(axis=1)
+                shared = np.maximum(n - (1 - p.similarity) * (sig > 0).sum(axis=1), n / 4)
+                share = np.where(own, (DEEPER * p.chosen * p.similarity / np.maximum(shared, 1e-9))[:, None], 0.0)
                 i, new = choose(path, tokens, share)
                 yield pa.RecordBatch.from_arrays([pa.array(new.view(np.int64)), batch.column(1).take(pa.array(i))], ["path", "id"])
 
-    return rows.select("path", "id", "sig").mapInArrow(deeper, "path long, id long").distinct()
+    return rows.select("path", "id", "sig", "leader_sig").mapInArrow(deeper, "path long, id long").distinct()
 
 
-def _near_leader(rows: DataFrame) -> DataFrame:
-    """(path, id, sig, leader, leader_sig) with the estimated similarity to the leader."""
+def _near_leader(pairs: DataFrame) -> DataFrame:
+    """(id, sig, leader, leader_sig) -> id, leader and the estimated similarity in steps of a twentieth."""
     def compare(batches):
         for batch in batches:
             if batch.num_rows:
-                a, b = (np.stack([np.frombuffer(s, np.uint8) for s in batch.column(i).to_pylist()]) for i in (2, 4))
-                yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(alike(a, b)[0])], ["path", "id", "sig", "leader", "near"])
+                a, b = (np.stack([np.frombuffer(s, np.uint8) for s in batch.column(i).to_pylist()]) for i in (1, 3))
+                step = np.floor(alike(a, b)[0] * 20).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(step)], ["id", "leader", "step"])
 
-    return rows.select("path", "id", "sig", "leader", "leader_sig").mapInArrow(
-        compare, "path long, id long, sig binary, leader long, near double").withColumn("step", F.floor(F.col("near") * 20).cast("int"))
+    return pairs.select("id", "sig", "leader", "leader_sig").mapInArrow(compare, "id long, leader long, step int")
 
 
 def _cuts(near: DataFrame, gap: int = 7) -> DataFrame:
-    """(path, cut): from the leader downwards, the last similarity before a gap of 0.3.
+    """(leader, cut): downwards from the leader, the last similarity before a gap of 0.3 among all members of its buckets.
 
-    Two sets at the threshold 0.8 differ by at most 0.2 in their similarity to the leader, so with
-    0.1 for the error of the estimates no similar pair lies across the gap.
+    Two sets at the threshold 0.8 differ by at most 0.2 in their similarity to the leader; the rest of the
+    gap is for the error of the two estimates (a deviation of some 0.06 for their difference). A pair that
+    an error parts in one run is met again under other leaders and in other runs. Members that are much alike
+    on average, such as copies with many changes each, would stay together in every further split: they are
+    tied at once, and compared exactly.
     """
     steps = F.sort_array(F.collect_set("step"), asc=False)
-    return near.groupBy("path").agg(F.aggregate(steps, F.lit(20), lambda last, s: F.when(last - s < gap, s).otherwise(last)).alias("cut"))
+    found = F.aggregate(steps, F.lit(20), lambda last, s: F.when(last - s < gap, s).otherwise(last))
+    others = F.avg(F.when(F.col("id") != F.col("leader"), F.col("step")))
+    return near.groupBy("leader").agg(F.when(others >= ALIKE, 0).otherwise(found).alias("cut"))
 
 
 def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -253,55 +268,103 @@ def _ties(scratch: Scratch, sets: DataFrame, p: Join) -> DataFrame:
         large = sizes.where(F.col("members") > p.small)
         if not large.limit(1).count():
             break
-        leaders = large.join(sigs.withColumnRenamed("id", "leader"), "leader").select("path", "leader", F.col("sig").alias("leader_sig"))
-        near = scratch.keep(_near_leader(rows.join(leaders, "path").join(sigs, "id")), f"leaders-{level}")
+        # A crowd of near copies meets in many buckets under one leader: each set is compared with a leader once.
+        crowded = scratch.keep(rows.join(large.select("path", "leader"), "path"), f"crowded-{level}")
+        leaders = sigs.select(F.col("id").alias("leader"), F.col("sig").alias("leader_sig"))
+        pairs = crowded.select("id", "leader").distinct().join(sigs, "id").join(leaders, "leader")
+        near = scratch.keep(_near_leader(pairs), f"leaders-{level}")
         if level == p.depth:  # nothing is split any more: the rest of the bucket stays together
             ties.append(near.where("id <> leader").select(F.col("id").alias("a"), F.col("leader").alias("b")))
             break
-        near = near.join(_cuts(near), "path")
+        near = near.join(_cuts(near), "leader")
         ties.append(near.where("id <> leader and step >= cut").select(F.col("id").alias("a"), F.col("leader").alias("b")))
-        rows = _split(near.where("step < cut"), p)
+        far = near.where("step < cut").select("id", "leader").join(sigs, "id").join(leaders, "leader")
+        rows = _split(far.join(crowded, ["id", "leader"]), p)
     out = sets.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
     for one in ties:
         out = out.unionByName(one)
     return out
 
 
+def _dense(row: np.ndarray, column: np.ndarray, m: int, width: int, a: int, b: int) -> np.ndarray:
+    """Sizes of the intersections of sets a..b with all ``m``; ``column`` is sorted."""
+    s, step = np.zeros((b - a, m), np.float32), max(1, min(width, 4_000_000 // m))
+    cuts = np.searchsorted(column, np.arange(0, width + step, step))
+    for k in range(len(cuts) - 1):
+        part = np.zeros((m, step), np.float32)
+        part[row[cuts[k]:cuts[k + 1]], column[cuts[k]:cuts[k + 1]] - k * step] = 1
+        s += part[a:b] @ part.T
+    return s
+
+
 def _links(sets: list[np.ndarray], weight: np.ndarray, block: np.ndarray | None, similarity: float) -> tuple[np.ndarray, np.ndarray]:
-    """Exact comparison: for each set the weight of its links, and its component. ``block``: only pairs of different blocks."""
-    m, n = len(sets), np.array([len(s) for s in sets])
-    tokens, column = np.unique(np.concatenate(sets), return_inverse=True)
-    row = np.repeat(np.arange(m), n)
-    shared = np.bincount(column)[column] > 1
-    row, column = row[shared], column[shared]
-    width = int(column.max()) + 1 if len(column) else 0
-    step = max(1, min(width, 8_000_000 // m))
-    columns, column = np.unique(column, return_inverse=True)
-    links, left, right = np.zeros(m), [], []
-    order = np.argsort(column, kind="stable")
-    row, column = row[order], column[order]
-    cuts = np.searchsorted(column, np.arange(0, len(columns) + step, step))
-    high = max(1, min(m, 4_000_000 // m))
+    """Exact comparison: for each set the weight of its links, and its component. ``block``: only pairs of different blocks.
+
+    Tokens are ordered from rare to frequent. Two similar sets share one of their first n - t n + 1 tokens
+    (prefix filter), so only pairs that meet there, and whose sizes allow it, are compared; where a
+    large part of all pairs meets, a dense product counts their shared tokens, elsewhere a search does.
+    """
+    m, n = len(sets), np.array([len(s) for s in sets], np.int64)
+    _, column, uses = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    rank = np.empty(len(uses), np.int64)
+    rank[np.argsort(uses, kind="stable")] = np.arange(len(uses))
+    row, column = np.repeat(np.arange(m), n), rank[column]
+    order = np.lexsort((column, row))
+    column = column[order]  # rows stay as they are
+    width, every = len(uses), row * len(uses) + column
+    starts = np.cumsum(n) - n
+    first = np.arange(len(row)) - starts[row] <= (n - np.ceil(similarity * n - 1e-9))[row]
+    by_token = np.flatnonzero(first)
+    by_token = by_token[np.argsort(column[by_token], kind="stable")]
+    meets = row[by_token]
+    low = np.searchsorted(column[by_token], column, side="left")
+    length = np.where(first, np.searchsorted(column[by_token], column, side="right") - low, 0)
+    work = np.bincount(row, length, m)
+    shared = np.flatnonzero(uses[np.argsort(uses, kind="stable")][column] > 1)
+    dense_order = shared[np.argsort(column[shared], kind="stable")]
+    dense_row, dense_column = row[dense_order], np.unique(column[dense_order], return_inverse=True)[1]
+    dense_width = int(dense_column[-1]) + 1 if len(dense_column) else 1
+    links, label, high = np.zeros(m), np.arange(m), max(1, 4_000_000 // m)
     for a in range(0, m, high):
         b = min(m, a + high)
-        s = np.zeros((b - a, m), np.float32)
-        for k in range(len(cuts) - 1):
-            dense = np.zeros((m, step), np.float32)
-            dense[row[cuts[k]:cuts[k + 1]], column[cuts[k]:cuts[k + 1]] - k * step] = 1
-            s += dense[a:b] @ dense.T
-        linked = s >= similarity * (n[a:b, None] + n[None, :] - s) - 1e-4
-        linked[np.arange(b - a), np.arange(a, b)] = False
-        if block is not None:
-            linked &= block[a:b, None] != block[None, :]
-        links[a:b] = linked @ weight
-        i, j = np.nonzero(linked)
-        near = j > i + a
-        # A forest of these rows is enough.
-        label = forest(m, i[near] + a, j[near])
-        tied = np.flatnonzero(label != np.arange(m))
-        left.append(tied)
-        right.append(label[tied])
-    return links, forest(m, np.concatenate(left), np.concatenate(right))
+        if work[a:b].sum() > (b - a) * m // 4:  # most pairs meet
+            s = _dense(dense_row, dense_column, m, dense_width, a, b)
+            linked = s >= similarity * (n[a:b, None] + n[None, :] - s) - 1e-4
+            linked &= np.arange(m)[None, :] > np.arange(a, b)[:, None]
+            if block is not None:
+                linked &= block[a:b, None] != block[None, :]
+            links[a:b] += linked @ weight
+            links += weight[a:b] @ linked
+            i, j = np.nonzero(linked)
+            i += a
+        else:
+            own = slice(int(starts[a]), int(starts[b - 1] + n[b - 1]))
+            count = length[own].astype(np.int64)
+            ends = np.cumsum(count)
+            j = meets[np.repeat(low[own] - (ends - count), count) + np.arange(ends[-1])]
+            i = np.repeat(row[own], count)
+            near = (j > i) & (np.minimum(n[i], n[j]) >= similarity * np.maximum(n[i], n[j]) - 1e-9)
+            if block is not None:
+                near &= block[i] != block[j]
+            pairs = np.unique((i[near] - a) * m + j[near])
+            i, j = pairs // m + a, pairs % m
+            s, size, at = np.zeros(len(pairs)), np.minimum(n[i], n[j]), 0
+            little, other = np.where(n[i] <= n[j], i, j), np.where(n[i] <= n[j], j, i)
+            total = np.cumsum(size)
+            while at < len(pairs):
+                to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + 2_000_000, side="right")))
+                k, pair = size[at:to], np.repeat(np.arange(at, to), size[at:to])
+                token = column[np.repeat(starts[little[at:to]] - (np.cumsum(k) - k), k) + np.arange(len(pair))]
+                probe = other[pair] * width + token
+                found = every[np.minimum(np.searchsorted(every, probe), len(every) - 1)] == probe
+                s[at:to] = np.bincount(pair[found] - at, minlength=to - at)
+                at = to
+            linked = s >= similarity * (n[i] + n[j] - s) - 1e-4
+            i, j = i[linked], j[linked]
+            links += np.bincount(i, weight[j], m) + np.bincount(j, weight[i], m)
+        tied = np.flatnonzero(label != np.arange(m))  # a forest of the rows before is enough
+        label = forest(m, np.concatenate([tied, i]), np.concatenate([label[tied], j]))
+    return links, label
 
 
 def _exact(p: Join):
@@ -341,9 +404,9 @@ def _classes(docs: DataFrame, p: Join, scratch: Scratch) -> tuple[DataFrame, Dat
     chosen = sets.select("id", F.col("least.row_key").alias("row_key"), "set_key", "copies").join(maybe, "id")
     # Wholly repeated rows have one key: one text of them is enough.
     found = scratch.keep(chosen.join(texts, "row_key").groupBy("id", "set_key", "copies", "label").agg(F.first("text").alias("text")), "texts")
-    weights = found.groupBy("label").agg(F.sum(F.octet_length("text")).alias("bytes"))
+    weights = found.groupBy("label").agg(F.sum(F.octet_length("text")).alias("bytes"), F.count(F.lit(1)).alias("members"))
     total = weights.agg(F.sum("bytes")).first()[0] or 0
-    blocks = F.ceil(F.col("bytes") / p.block_bytes)
+    blocks = F.ceil(F.greatest(F.col("bytes") / p.block_bytes, F.col("members") / p.block_sets))
     weighed = found.join(weights.select("label", blocks.alias("blocks")), "label")
     # A small group goes with others into one task; a large one becomes pairs of blocks.
     bundle = F.struct(F.pmod(F.xxhash64("label"), F.lit(max(1, total // p.block_bytes))).alias("job"), F.lit(-1).alias("i"), F.lit(-1).alias("j"))
