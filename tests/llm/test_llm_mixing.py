@@ -12,7 +12,7 @@ from corpus import DOCS, odd_rows, rows, with_clashing
 from tidemark.llm.mixing import Mix, mix_sources, resample
 from tidemark.llm.packing import Capacity, pack_documents, pack_histogram
 from tidemark.llm.scratch import Scratch, running_totals
-from tidemark.llm.sharding import shard_documents, smallest_capacity
+from tidemark.llm.sharding import even_cuts, shard_documents, smallest_capacity
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -153,6 +153,31 @@ def test_shards(spark, data):
         assert max(bytes_.values()) == next(c for c in range(max(sizes), sum(sizes) + 1) if greedy(sizes, c) <= 5)
 
 
+@pytest.mark.parametrize("seed", range(8))
+def test_even_cuts(seed):
+    rng = random.Random(seed)
+    for _ in range(60):
+        sizes = [rng.choice([1, 7, 40, rng.randint(1, 900)]) for _ in range(rng.randint(1, 90))]
+        if rng.random() < 0.5:
+            sizes[rng.randrange(len(sizes))] = sum(sizes) // rng.choice([1, 2, 3])
+        sizes = [max(1, s) for s in sizes]
+        shards = rng.choice([1, 2, 5, 24])
+        ends = np.cumsum(sizes).tolist()
+        best = next(c for c in range(max(sizes), sum(sizes) + 1) if greedy(sizes, c) <= shards)
+        large = [(e - s, e) for s, e in zip(sizes, ends) if s > ends[-1] / shards]
+        cuts = even_cuts(ends, large, best, shards)
+        filled = np.diff([0, *cuts])
+        assert len(cuts) == shards and cuts[-1] == ends[-1] and set(cuts) <= set(ends) and filled.max() == best
+        assert (filled > 0).sum() == min(shards, len(sizes))
+
+
+def test_no_shard_is_empty_beside_a_large_group(spark):
+    data = [(i, "the same text" if i % 3 == 0 else f"own text {i:05d}", "en", "s", 1) for i in range(3000)]
+    got = shard_documents(spark.createDataFrame(data, DOCS), 24).groupBy("shard").sum("size").collect()
+    sizes = sorted(r["sum(size)"] for r in got)
+    assert len(sizes) == 24 and sizes[-1] == 1000 * 21 and sizes[-2] <= 1.1 * sum(sizes[:-1]) / 23 and sizes[0] >= 0.8 * sizes[-2]
+
+
 @pytest.mark.parametrize("rule", ["norm", "dot"])
 @pytest.mark.parametrize("limit", [Capacity(tokens=64, pieces=64, attention=64 * 64), Capacity(tokens=64, pieces=3, attention=1500)])
 def test_histogram_plan(rule, limit):

@@ -8,9 +8,14 @@ proven infeasible, or open; only the stretches in which cuts of open capacities
 again on a finer grid, until no capacity is open. What the driver holds is bounded by ``cells``
 and the number of shards, whatever the size of the input.
 
+Filling every shard to that capacity would leave the last ones empty where one group is large. So the
+cuts are placed evenly below it: each shard ends at the group end that is nearest to an equal share of
+what is left, groups beyond that share counted apart, as long as the rest still fits. No shard is empty
+while there are as many groups as shards.
+
 Null texts form one group of their own, with no bytes (CRC 0). A null id comes first. Wholly
-repeated rows are separate rows of one group. An empty table gives no rows; shards may stay empty
-when there are fewer groups than shards or one group is larger than all others together.
+repeated rows are separate rows of one group. An empty table gives no rows; with fewer groups than
+shards the last shards stay empty.
 """
 
 from __future__ import annotations
@@ -96,6 +101,54 @@ def _merged(windows: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def even_cuts(ends: list[int], large: list[tuple[int, int]], capacity: int, shards: int) -> list[int]:
+    """Ends of the shards among the rising group ``ends`` (the last is the total), none over ``capacity``.
+
+    ``large``: start and end of the groups beyond an equal share. ``ends`` must hold a feasible choice.
+    """
+    total, count = ends[-1], [0] * len(ends)  # shards that the groups after each end take at least
+    for i in range(len(ends) - 2, -1, -1):
+        count[i] = 1 + count[bisect.bisect_right(ends, ends[i] + capacity) - 1]
+    cuts, at, index = [], 0, -1
+    for left in range(shards, 0, -1):
+        if index == len(ends) - 1:
+            cuts.append(total)
+            continue
+        ahead = [(a, b) for a, b in large if a >= at]
+        rest = total - at - sum(b - a for a, b in ahead)
+        share = rest / max(1, left - len(ahead))
+        last = min(bisect.bisect_right(ends, at + capacity), max(index + 2, len(ends) - left + 1)) - 1
+        first = next(i for i in range(index + 1, len(ends)) if count[i] <= left - 1) if count[index + 1] > left - 1 else index + 1
+        last = max(first, last)
+        near = bisect.bisect_left(ends, at + share, first, last)
+        if near > first and at + share - ends[near - 1] <= ends[near] - at - share:
+            near -= 1
+        index, at = near, ends[near]
+        cuts.append(at)
+    return cuts
+
+
+def spread_cuts(ordered: DataFrame, capacity: int, greedy: list[int], shards: int, cells: int = 50_000) -> list[int]:
+    """Even cuts for groups in order (position, bytes, ends), chosen among at most some ``cells`` group ends.
+
+    Few groups: all ends. Else one end per stretch of positions and per stretch of bytes, beside the greedy cuts
+    and the edges of groups beyond an equal share; the driver holds no more than these.
+    """
+    total, n = ordered.agg(F.max("ends"), F.max("position")).first()
+    if not total:
+        return greedy
+    large = ordered.where(F.col("bytes") > total / shards).select("ends", "bytes").collect()  # fewer than shards
+    by_place, by_size = max(1, 2 * (n + 1) // cells), max(1, 2 * total // cells)
+    if n + 1 <= cells:
+        some = [r["ends"] for r in ordered.select("ends").collect()]
+    else:
+        places = ordered.groupBy(F.floor(F.col("position") / by_place)).agg(F.max("ends").alias("ends"))
+        sizes = ordered.groupBy(F.floor(F.col("ends") / by_size)).agg(F.max("ends").alias("ends"))
+        some = [r["ends"] for r in places.select("ends").union(sizes.select("ends")).collect()]
+    edges = {x for r in large for x in (r["ends"] - r["bytes"], r["ends"])}
+    return even_cuts(sorted({*some, *greedy, *edges, total} - {0}), [(r["ends"] - r["bytes"], r["ends"]) for r in large], capacity, shards)
+
+
 def shard_documents(docs: DataFrame, shards: int = 24, scratch: Scratch | None = None) -> DataFrame:
     """One row per document: doc_id, size, text_crc32, shard, slot (its place in the shard)."""
     spark: SparkSession = docs.sparkSession
@@ -110,7 +163,8 @@ def shard_documents(docs: DataFrame, shards: int = 24, scratch: Scratch | None =
         F.min(F.coalesce("doc_id", F.lit(-(1 << 63)))).alias("first"), F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows"))
     ordered = scratch.keep(running_totals(scratch, groups, ["first", "digest"], ["bytes", "rows"], "groups").withColumn(
         "ends", F.col("bytes_before") + F.col("bytes")), "sums")
-    _, ends = smallest_capacity(ordered, shards)
+    capacity, greedy = smallest_capacity(ordered, shards)
+    ends = spread_cuts(ordered, capacity, greedy, shards)
 
     starts = [0, *ends[:-1]]
     shard = sum(((F.col("bytes_before") >= at).cast("int") for at in starts[1:]), F.lit(0))
