@@ -22,7 +22,7 @@ answer("range_filter", "select distinct date from holdings where date between '1
 answer("snapshot_validity", "select date, etf_code, source_type, (reason = 'ok')::bigint as valid, reason from snap")
 answer("snapshot_metrics", f"select date, etf_code, source_type, {METRIC} from snap", "total_weight shares_coverage")
 answer("source_priority", "select s.source_type, count(*) as snapshots, max(coalesce(p.priority, 10))::bigint as priority from snap s left join priority p using (source_type) group by 1")
-answer("source_family", "select source_type, count(*) as snapshots, case when source_type like '%moneydj%' then 'moneydj' when source_type like '%official%' then 'official' else source_type end as family from snap group by 1")
+answer("source_family", "select source_type, count(*) as snapshots, case when source_type like '%moneydj%' then 'moneydj' when source_type like '%official%' then 'official' when source_type = '' then 'unknown' else source_type end as family from snap group by 1")
 answer("canonical_snapshot", f"select date, etf_code, source_type, priority::bigint as priority, {METRIC} from canon", "total_weight shares_coverage")
 answer("canonical_holdings", "select r.date, r.etf_code, r.source_type, asset_name, stock_code, shares, weight_pct from all_rows r join canon c using (date, etf_code, source_type)", "shares weight_pct")
 answer("canonical_stock_codes", "select h.date, h.etf_code, h.source_type, string_agg(stock_code, ',' order by stock_code) as stock_codes from holdings h join canon c using (date, etf_code, source_type) group by 1, 2, 3")
@@ -296,7 +296,7 @@ with g as (
   select candidate_id, count(*) as n0, count(stock_code) as s0,
          count(*) filter (where asset_type <> 'stock' or weight_pct >= 1.0) as n1, count(stock_code) filter (where weight_pct >= 1.0) as s1
   from cand group by 1),
-v as (select *, case when n0 < 5 then 'fewer_than_5_rows' when s0 < 5 then 'fewer_than_5_taiwan_stock_rows' else 'ok' end as r0,
+v as (select *, case when candidate_id like '%|' then 'inconsistent_source_types' when n0 < 5 then 'fewer_than_5_rows' when s0 < 5 then 'fewer_than_5_taiwan_stock_rows' else 'ok' end as r0,
              case when n1 < 5 then 'fewer_than_5_rows' when s1 < 5 then 'fewer_than_5_taiwan_stock_rows' else 'ok' end as r1 from g)
 select candidate_id, (r0 = 'ok' and r1 = 'ok')::bigint as valid, case when r0 <> 'ok' then r0 when r1 <> 'ok' then 'post_filter_invalid_snapshot:' || r1 else 'ok' end as reason,
        n1 as row_count, s1 as stock_count from v""")

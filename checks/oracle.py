@@ -50,17 +50,14 @@ select cast(cast(date_trunc('quarter', l_shipdate) as date) as varchar) as d, l_
        cast(round(l_extendedprice * 100) as bigint) as c
 from lineitem
 """)
-cte("kept", """
-select * from base
-where not (d = '1997-07-01' and k % 3 = 0) and not (k % 20 = 19 and d >= '2000-01-01')
-""")
 cte("sourced", """
 select d, k, b, q, c,
-       case when (k + quarter(d::date) + year(d::date)) % 7 = 0 then 'official_fallback'
+       case when d = '1997-07-01' and k % 3 = 0 then ''
+            when (k + quarter(d::date) + year(d::date)) % 7 = 0 then 'official_fallback'
             else 'moneydj_primary' end as st
-from kept
+from base
 union all
-select d, k, b, q, c, 'official_static' from kept where k % 5 = 0 and ln <= 3
+select d, k, b, q, c, 'official_static' from base where k % 5 = 0 and ln <= 3
 """)
 cte("summed", "select d, k, b, st, sum(q) as q, cast(sum(c) as bigint) as c from sourced group by all")
 cte("holdings", """
@@ -104,7 +101,8 @@ select date, etf_code, source_type, count(*) as row_count,
        round(sum(weight_pct), 10) as total_weight,
        coalesce(count(shares) filter (where asset_type = 'stock') * 1.0
                 / nullif(count(*) filter (where asset_type = 'stock'), 0), 0.0)::double as shares_coverage,
-       case when count(*) < 5 then 'fewer_than_5_rows'
+       case when source_type = '' then 'inconsistent_source_types'
+            when count(*) < 5 then 'fewer_than_5_rows'
             when count(*) filter (where asset_type = 'stock') < 5 then 'fewer_than_5_taiwan_stock_rows'
             when count(*) filter (where asset_type = 'stock'
                  and not (regexp_full_match(coalesce(stock_code, ''), '[0-9]{4}') and coalesce(trim(stock_name), '') <> '')) > 0
@@ -621,7 +619,8 @@ cte("prof", """
 select candidate_id, run_date, any_value(date) as data_date, any_value(etf_code) as etf_code, any_value(source_type) as source_type,
        count(*) as row_count, count(stock_code) as stock_count, count(*) - count(stock_code) as non_stock_count,
        round(sum(weight_pct), 10) as total_weight, coalesce(count(shares)::double / nullif(count(stock_code), 0), 0.0) as shares_coverage,
-       case when count(*) < 5 then 'fewer_than_5_rows' when count(stock_code) < 5 then 'fewer_than_5_taiwan_stock_rows' else 'ok' end as reason
+       case when any_value(source_type) = '' then 'inconsistent_source_types' when count(*) < 5 then 'fewer_than_5_rows'
+            when count(stock_code) < 5 then 'fewer_than_5_taiwan_stock_rows' else 'ok' end as reason
 from cand where asset_type <> 'stock' or weight_pct >= 0.01 group by 1, 2
 """)
 cte("against", """
