@@ -1011,4 +1011,4 @@ def _(spark, sf_dir, h):
              .trigger(availableNow=True).format("parquet").option("path", f"{root}/out").start().awaitTermination())
     finally:
         spark.conf.set(provider, before)
-    return spark.read.schema(stream.schema).parquet(f"{root}/out")
+    return spark.read.schema(stream.schema).parquet(f"{root}/out").drop("revision")

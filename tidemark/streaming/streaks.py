@@ -11,9 +11,15 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-STATE = "date STRING, add_flag INT, add_days INT, reduce_flag INT, reduce_days INT"
+DAY = "date STRING"
+STATE = (
+    "prev_date STRING, valid BOOLEAN, scaled BOOLEAN, add_flag INT, reduce_flag INT, share_add INT, share_reduce INT, "
+    "add_days INT, reduce_days INT, revision INT"
+)
+KEPT = 60  # newest dates that a position remembers
 OUTPUT = (
-    "date STRING, etf_code STRING, stock_code STRING, consecutive_active_add_days INT, consecutive_active_reduce_days INT"
+    "date STRING, etf_code STRING, stock_code STRING, consecutive_active_add_days INT, consecutive_active_reduce_days INT, "
+    "revision INT"
 )
 INPUT = (
     "date", "prev_date", "date_valid", "etf_code", "stock_code", "etf_scale_factor",
@@ -35,39 +41,58 @@ def _days(scaled: bool, flag: int, shares: int, linked: bool, was_flag: int, was
 
 
 class StreakProcessor(StatefulProcessor):
-    """Keeps the last valid date of a position with its flags and counts."""
+    """Keeps the newest dates of a position with their flags and counts.
+
+    A row goes on from the valid row of its previous date, whenever that one arrives. A late row, or a row
+    that is sent again, therefore also corrects the dates after it: each date whose counts are new or differ
+    comes out once more, with the next ``revision``. A row older than everything kept is past correction: it
+    comes out with revision -1 and no counts, for a rebuild from the stored tables.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._last = handle.getValueState("last", STATE)
+        self._days = handle.getMapState("days", DAY, STATE)
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
         # A key receives at most one row per date, so a batch of one key is small.
-        batch = pd.concat(list(rows)).sort_values("date")
-        date, add_flag, add_days, reduce_flag, reduce_days = (
-            self._last.get() if self._last.exists() else (None, 0, 0, 0, 0)
-        )
-        out = []
-        for row in batch.itertuples():
-            scaled, linked = not pd.isna(row.etf_scale_factor), row.prev_date == date
-            add = _days(scaled, row.is_active_add, row.share_add_days, linked, add_flag, add_days)
-            reduce = _days(scaled, row.is_active_reduce, row.share_reduce_days, linked, reduce_flag, reduce_days)
-            out.append((row.date, row.etf_code, row.stock_code, int(add), int(reduce)))
-            if row.date_valid:
-                date, add_flag, add_days = row.date, int(row.is_active_add), int(add)
-                reduce_flag, reduce_days = int(row.is_active_reduce), int(reduce)
-        if date is not None:
-            self._last.update((date, add_flag, add_days, reduce_flag, reduce_days))
-        columns = ["date", "etf_code", "stock_code", "consecutive_active_add_days", "consecutive_active_reduce_days"]
-        yield pd.DataFrame(out, columns=columns)
+        known = {k[0]: tuple(v) for k, v in self._days.iterator()} if self._days.exists() else {}
+        full, oldest = len(known) >= KEPT, min(known, default="")
+        out, touched, etf_code, stock_code = [], set(), None, None
+        for row in pd.concat(list(rows)).itertuples():
+            etf_code, stock_code = row.etf_code, row.stock_code
+            if full and row.date < oldest:
+                out.append((row.date, etf_code, stock_code, None, None, -1))
+                continue
+            prev = None if pd.isna(row.prev_date) else row.prev_date
+            flags = int(row.is_active_add), int(row.is_active_reduce), int(row.share_add_days), int(row.share_reduce_days)
+            revision = known[row.date][-1] if row.date in known else -1
+            known[row.date] = (prev, bool(row.date_valid), not pd.isna(row.etf_scale_factor), *flags, None, None, revision)
+            touched.add(row.date)
+        first = min(touched, default="")
+        for date in sorted(d for d in known if touched and d >= first):
+            prev, valid, scaled, add, reduce, share_add, share_reduce, add_days, reduce_days, revision = known[date]
+            before = known.get(prev)
+            linked = before is not None and before[1]
+            was = (before[3], before[7], before[4], before[8]) if linked else (0, 0, 0, 0)
+            now = _days(scaled, add, share_add, linked, *was[:2]), _days(scaled, reduce, share_reduce, linked, *was[2:])
+            if now != (add_days, reduce_days):
+                known[date] = (prev, valid, scaled, add, reduce, share_add, share_reduce, *map(int, now), revision + 1)
+                self._days.updateValue((date,), known[date])
+                out.append((date, etf_code, stock_code, *map(int, now), revision + 1))
+        for date in sorted(known)[:-KEPT]:
+            self._days.removeKey((date,))
+        columns = ["date", "etf_code", "stock_code", "consecutive_active_add_days", "consecutive_active_reduce_days", "revision"]
+        frame = pd.DataFrame(out, columns=columns)
+        yield frame.astype({c: "Int32" for c in columns[3:]})
 
     def close(self) -> None:
         pass
 
 
 def stateful_streaks(changes: DataFrame) -> DataFrame:
-    """Streaming change rows (columns ``INPUT``, dates as ISO text, in date order) to flow streaks.
+    """Streaming change rows (columns ``INPUT``, dates as ISO text) to flow streaks, in any order of arrival.
 
-    Needs ``spark.sql.streaming.stateStore.providerClass`` set to ``STATE_STORE``.
+    The row with the highest revision counts for a date. Needs ``spark.sql.streaming.stateStore.providerClass``
+    set to ``STATE_STORE``.
     """
     return changes.groupBy("etf_code", "stock_code").transformWithStateInPandas(
         statefulProcessor=StreakProcessor(),
