@@ -111,3 +111,9 @@ def test_a_second_writer_is_refused(spark, tmp_path):
 def test_plain_tables_are_read_as_they_are(spark, tmp_path):
     rows(spark, ("2026-01-01", "1")).write.partitionBy("date").parquet(f"{tmp_path}/a")
     assert content(spark, str(tmp_path))["a"] == [("2026-01-01", "1")]
+
+
+def test_a_table_of_a_failed_first_run_is_not_read(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    store.replace({"a": (rows(spark, ("2026-01-01", "1")), ())})
+    assert Store(spark, str(tmp_path)).read("a", SCHEMA).count() == 0
