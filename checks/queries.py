@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark import schemas
 from tidemark.functions.origin import source_family, source_priority
 from tidemark.functions.positions import event_score, is_material
 from tidemark.operators import changes as C
@@ -877,6 +876,8 @@ import tempfile  # noqa: E402
 import uuid  # noqa: E402
 
 from tidemark.plans.backfill import backfill  # noqa: E402
+from tidemark.plans.rebuild import stored_signal_lists  # noqa: E402
+from tidemark.sources.store import Store  # noqa: E402
 from tidemark.plans.staging import shared_dir  # noqa: E402
 from tidemark.sources import sinks  # noqa: E402
 from tidemark.streaming import incremental as N  # noqa: E402
@@ -989,7 +990,7 @@ def _(spark, sf_dir, h):
 @raw_query("late_signals")
 def _(spark, sf_dir, h):
     root = _after_late_snapshots(spark, h)
-    return sinks.read_back(spark, f"{root}/etf_manager_signals", schemas.SIGNALS).select(
+    return stored_signal_lists(Store(spark, root)).select(
         "date", "signal_id", "signal_type", "signal_score", "stock_code", "stock_name", "etf_count", "issuer_count",
         "confidence", "signal_freshness", "freshness_reason")
 

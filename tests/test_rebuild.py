@@ -7,13 +7,13 @@ from build import SMALL, STAMP, day, holdings, universe
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.plans.rebuild import CHANGES, DIAGNOSTICS, SIGNALS, STATE, Rebuild
+from tidemark.plans.rebuild import CHANGES, DIAGNOSTICS, EVIDENCE, SIGNALS, STATE, Rebuild
 from tidemark.sources.sinks import day_list, snapshot_frames
 from tidemark.sources.store import Store
 
 DATES = [f"2026-{m:02d}-{d:02d}" for m in (3, 4, 5) for d in (2, 9, 16, 23)]
 FUNDS = ["F1", "F2", "F3", "F4", "F5"]
-SCHEMAS = {CHANGES: schemas.CHANGES, DIAGNOSTICS: schemas.DIAGNOSTICS, STATE: schemas.STREAK_STATE, SIGNALS: schemas.SIGNALS}
+SCHEMAS = {CHANGES: schemas.CHANGES, DIAGNOSTICS: schemas.DIAGNOSTICS, STATE: schemas.STREAK_STATE, SIGNALS: schemas.SIGNAL_FACTS, EVIDENCE: schemas.SIGNAL_EVIDENCE}
 
 
 def snapshot(rng, date, fund, source="moneydj_primary"):

@@ -203,24 +203,26 @@ def single_signals(changes: DataFrame, params: Params = DEFAULT) -> DataFrame:
     )
 
 
-def signal_facts(changes: DataFrame, params: Params = DEFAULT) -> DataFrame:
+def signal_facts(changes: DataFrame, params: Params = DEFAULT, days: DataFrame | None = None) -> DataFrame:
     """Every signal with its scalar columns: what rankings and reports read.
 
-    No list is collected, so a stock held by every fund costs no more than its counts.
+    No list is collected, so a stock held by every fund costs no more than its counts. ``days``: change dates
+    with their index, where ``changes`` holds only some of them; dates whose window and the one before it are
+    whole are right.
     """
-    days = change_dates(changes)
+    days = change_dates(changes) if days is None else days
     groups = consensus(side_events(changes, days, params), days, params)
     single = single_signals(changes, params).select(*SIGNAL_COLUMNS, F.col("etf_code").alias("only_etf"))
     joint = consensus_signals(groups, params).select(*SIGNAL_COLUMNS, F.lit(None).cast("string").alias("only_etf"))
     return single.unionByName(joint)
 
 
-def signal_evidence(changes: DataFrame, params: Params = DEFAULT) -> DataFrame:
+def signal_evidence(changes: DataFrame, params: Params = DEFAULT, days: DataFrame | None = None) -> DataFrame:
     """One row per signal and supporting change row: the evidence in long form.
 
     ``only_etf`` is set for single-fund signals and completes their key.
     """
-    days = change_dates(changes)
+    days = change_dates(changes) if days is None else days
     events = side_events(changes, days, params)
     groups = consensus(events, days, params).select(*_GROUP, F.col("date").alias("signal_date"))
     joint = (
@@ -236,16 +238,33 @@ def signal_evidence(changes: DataFrame, params: Params = DEFAULT) -> DataFrame:
     return single.unionByName(joint)
 
 
-def manager_signals(changes: DataFrame, params: Params = DEFAULT, days: DataFrame | None = None) -> DataFrame:
-    """The stored signal table: scalar columns plus id, fund list, issuer list and evidence.
+def listed_signals(facts: DataFrame, evidence: DataFrame) -> DataFrame:
+    """Signals with id, fund list, issuer list and evidence, made from the long form for those who ask for lists."""
+    key = ("date", "signal_type", "stock_code", "only_etf")
+    single = F.coalesce("only_etf", F.lit(""))
+    lists = evidence.select("signal_date", "signal_type", "stock_code", single.alias("_only"), F.struct(*EVIDENCE).alias("item")).groupBy(
+        F.col("signal_date").alias("date"), "signal_type", "stock_code", "_only").agg(F.array_sort(F.collect_list("item")).alias("evidence"))
+    named = F.array_sort(F.array_distinct(F.transform("evidence", lambda e: e["etf_code"])))
+    issuers = F.array_sort(F.array_distinct(F.filter(F.transform("evidence", lambda e: e["issuer"]), lambda i: i != "")))
+    identified = F.concat_ws(":", F.col("date").cast("string"), "signal_type", "stock_code", F.array_join("etf_codes", "-"))
+    return (
+        facts.withColumn("_only", single)
+        .join(lists, [*key[:3], "_only"])
+        .withColumns({"etf_codes": named, "issuers": issuers})
+        .withColumn("signal_id", identified)
+        .select(*SIGNAL_COLUMNS, "etf_codes", "issuers", "evidence", "signal_id")
+    )
+
+
+def manager_signals(changes: DataFrame, params: Params = DEFAULT) -> DataFrame:
+    """The signal table with lists: scalar columns plus id, fund list, issuer list and evidence.
 
     The id and the lists name every fund of a signal, so a row is as long as its fund list:
     at most one entry per fund of the universe and window date. Consumers that do not need
     the lists read :func:`signal_facts` and :func:`signal_evidence`. Ids repeat only when a
-    change key does; the sink removes repeats by id. ``days``: change dates with their index, where
-    ``changes`` holds only some of them; dates whose window and the one before it are whole are right.
+    change key does; the sink removes repeats by id.
     """
-    days = change_dates(changes) if days is None else days
+    days = change_dates(changes)
     events = side_events(changes, days, params)
     item = F.struct(*EVIDENCE)
     lists = (

@@ -28,17 +28,18 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 from tidemark.operators import changes as C
 from tidemark.operators import snapshots as P
-from tidemark.operators.signals import manager_signals, to_storage
+from tidemark.operators.signals import listed_signals, signal_evidence, signal_facts
 from tidemark.operators.streaks import held_seeds, linked_seeds, with_streaks
 from tidemark.params import DEFAULT, Params
 from tidemark.plans.history import History
 from tidemark.plans.staging import Staging
-from tidemark.sources.sinks import day_list, derived_frame
+from tidemark.sources.sinks import day_list
 from tidemark.sources.store import Store
 from tidemark.sources.tables import Tables, scan_holdings, stored_tables
 
 FEW_FUNDS = 1000  # up to so many fund codes become a filter of the scan
-CHANGES, DIAGNOSTICS, SIGNALS = "etf_holding_changes", "etf_change_diagnostics", "etf_manager_signals"
+CHANGES, DIAGNOSTICS = "etf_holding_changes", "etf_change_diagnostics"
+SIGNALS, EVIDENCE = "etf_signal_facts", "etf_signal_evidence"  # in long form: no row is as long as a list of funds
 PROFILES, STATE, USED = "etf_snapshots", "etf_streak_state", "etf_universe_used"
 
 
@@ -212,7 +213,20 @@ class Rebuild:
             return
         indexed = [(Day.fromisoformat(d), i) for i, d in enumerate(days) if d in needed]
         index = self.spark.createDataFrame(indexed, "date date, ci int")
-        found = manager_signals(self.store.read(CHANGES, schemas.CHANGES, values=needed), self.params, index)
-        rows = to_storage(found).where(F.col("date").isin([Day.fromisoformat(d) for d in told]))
-        self.store.replace(derived_frame(rows, SIGNALS), told)
+        changes, wanted = self.store.read(CHANGES, schemas.CHANGES, values=needed), [Day.fromisoformat(d) for d in told]
+        facts = signal_facts(changes, self.params, index).select(*schemas.columns(schemas.SIGNAL_FACTS))
+        evidence = signal_evidence(changes, self.params, index).select(*schemas.columns(schemas.SIGNAL_EVIDENCE))
+        self.store.replace({SIGNALS: (facts.where(F.col("date").isin(wanted)), ("stock_code", "signal_type"))}, told)
+        self.store.replace(
+            {EVIDENCE: (evidence.where(F.col("signal_date").isin(wanted)), ("stock_code", "signal_type"))}, told, by="signal_date")
         self.written[SIGNALS] = sorted(told)
+
+
+def stored_signals(store: Store) -> tuple[DataFrame, DataFrame]:
+    """Signals with their scalar columns, and their evidence, one row per signal and change."""
+    return store.read(SIGNALS, schemas.SIGNAL_FACTS), store.read(EVIDENCE, schemas.SIGNAL_EVIDENCE)
+
+
+def stored_signal_lists(store: Store) -> DataFrame:
+    """The stored signals with id and lists: as wide as the funds of a signal, for those who ask for it."""
+    return listed_signals(*stored_signals(store))

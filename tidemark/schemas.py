@@ -45,10 +45,18 @@ SNAPSHOTS = (
 
 STREAK_STATE = "date DATE, etf_code STRING, stock_code STRING, wa INT, wr INT, sa INT, sr INT"
 
-SIGNALS = (
-    "date DATE, signal_id STRING, signal_type STRING, signal_score DOUBLE, stock_code STRING, stock_name STRING, "
-    "etf_codes STRING, issuers STRING, etf_count BIGINT, issuer_count BIGINT, explanation STRING, evidence_json STRING, "
-    "confidence STRING, signal_freshness STRING, freshness_reason STRING"
+SIGNAL_FACTS = (
+    "date DATE, signal_type STRING, signal_score DOUBLE, stock_code STRING, stock_name STRING, etf_count BIGINT, "
+    "issuer_count BIGINT, explanation STRING, confidence STRING, signal_freshness STRING, freshness_reason STRING, "
+    "avg_active_pct DOUBLE, only_etf STRING"
+)
+
+SIGNAL_EVIDENCE = (
+    "signal_date DATE, signal_type STRING, only_etf STRING, date DATE, etf_code STRING, issuer STRING, stock_code STRING, "
+    "stock_name STRING, weight_pct DOUBLE, prev_weight_pct DOUBLE, shares_delta_1d DOUBLE, active_shares_delta_1d DOUBLE, "
+    "active_shares_delta_pct_1d DOUBLE, position_change_type STRING, active_direction STRING, flow_adjusted_direction STRING, "
+    "consecutive_add_days INT, consecutive_reduce_days INT, consecutive_active_add_days INT, "
+    "consecutive_active_reduce_days INT"
 )
 
 OUTCOMES = (
