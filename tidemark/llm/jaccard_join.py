@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import words as W
 from tidemark.llm.components import components
-from tidemark.llm.scratch import Scratch, lean
+from tidemark.llm.scratch import Scratch, lean, lean_group
 
 CHUNK = 2 << 20
 LAST = (1 << 63) - 1
@@ -51,7 +51,7 @@ class Join:
     small: int = 200         # members of a bucket compared pair by pair
     depth: int = 4
     block_bytes: int = 12 << 20
-    block_sets: int = 8000
+    block_sets: int = 5000
 
     @property
     def runs(self) -> int:
@@ -175,7 +175,7 @@ def _split(rows: DataFrame, p: Join) -> DataFrame:
                 i, new = choose(path, tokens, share)
                 yield pa.RecordBatch.from_arrays([pa.array(new.view(np.int64)), batch.column(1).take(pa.array(i))], ["path", "id"])
 
-    return rows.select("path", "id", "sig", "leader_sig").mapInArrow(deeper, "path long, id long").distinct()
+    return rows.select("path", "id", "sig", "leader_sig").mapInArrow(lean(deeper), "path long, id long").distinct()
 
 
 def _near_leader(pairs: DataFrame) -> DataFrame:
@@ -187,7 +187,7 @@ def _near_leader(pairs: DataFrame) -> DataFrame:
                 step = np.floor(alike(a, b)[0] * 20).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(step)], ["id", "leader", "step"])
 
-    return pairs.select("id", "sig", "leader", "leader_sig").mapInArrow(compare, "id long, leader long, step int")
+    return pairs.select("id", "sig", "leader", "leader_sig").mapInArrow(lean(compare), "id long, leader long, step int")
 
 
 def _cuts(near: DataFrame, gap: int = 7) -> DataFrame:
@@ -264,7 +264,7 @@ def _ties(scratch: Scratch, sets: DataFrame, p: Join) -> DataFrame:
         if total:
             members = rows.join(sizes.where(F.col("members") <= p.small).select("path"), "path").join(sigs, "id")
             some = F.pmod(F.xxhash64("path"), F.lit(max(1, total // 50_000)))
-            ties.append(scratch.keep(members.withColumn("some", some).groupBy("some").applyInArrow(_small_buckets(p), "a long, b long"), f"ties-{level}"))
+            ties.append(scratch.keep(members.withColumn("some", some).groupBy("some").applyInArrow(lean_group(_small_buckets(p)), "a long, b long"), f"ties-{level}"))
         large = sizes.where(F.col("members") > p.small)
         if not large.limit(1).count():
             break
@@ -287,7 +287,7 @@ def _ties(scratch: Scratch, sets: DataFrame, p: Join) -> DataFrame:
 
 
 def _dense(row: np.ndarray, column: np.ndarray, m: int, width: int, a: int, b: int) -> np.ndarray:
-    """Sizes of the intersections of sets a..b with all ``m``; ``column`` is sorted."""
+    """Sizes of the intersections of sets a..b with all ``m``, over the given entries; ``column`` is sorted."""
     s, step = np.zeros((b - a, m), np.float32), max(1, min(width, 4_000_000 // m))
     cuts = np.searchsorted(column, np.arange(0, width + step, step))
     for k in range(len(cuts) - 1):
@@ -302,7 +302,8 @@ def _links(sets: list[np.ndarray], weight: np.ndarray, block: np.ndarray | None,
 
     Tokens are ordered from rare to frequent. Two similar sets share one of their first n - t n + 1 tokens
     (prefix filter), so only pairs that meet there, and whose sizes allow it, are compared; where a
-    large part of all pairs meets, a dense product counts their shared tokens, elsewhere a search does.
+    large part of all pairs meets, a dense product counts the frequent tokens they share and lists of the
+    few sets that hold it each other token; elsewhere the tokens of each pair are looked up.
     """
     m, n = len(sets), np.array([len(s) for s in sets], np.int64)
     _, column, uses = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
@@ -320,15 +321,29 @@ def _links(sets: list[np.ndarray], weight: np.ndarray, block: np.ndarray | None,
     low = np.searchsorted(column[by_token], column, side="left")
     length = np.where(first, np.searchsorted(column[by_token], column, side="right") - low, 0)
     work = np.bincount(row, length, m)
-    shared = np.flatnonzero(uses[np.argsort(uses, kind="stable")][column] > 1)
-    dense_order = shared[np.argsort(column[shared], kind="stable")]
-    dense_row, dense_column = row[dense_order], np.unique(column[dense_order], return_inverse=True)[1]
+    uses = np.sort(uses)[column]  # of each entry's token
+    frequent = np.flatnonzero(uses > max(1, m // 32))
+    frequent = frequent[np.argsort(column[frequent], kind="stable")]
+    dense_row, dense_column = row[frequent], np.unique(column[frequent], return_inverse=True)[1]
     dense_width = int(dense_column[-1]) + 1 if len(dense_column) else 1
-    links, label, high = np.zeros(m), np.arange(m), max(1, 4_000_000 // m)
+    rare = np.flatnonzero((uses > 1) & (uses <= max(1, m // 32)))
+    rare_row, rare_uses = row[rare], uses[rare]
+    by_rare = rare[np.argsort(column[rare], kind="stable")]
+    rare_rows, rare_low = row[by_rare], np.searchsorted(column[by_rare], column[rare])
+    links, label, high = np.zeros(m), np.arange(m), max(1, 2_000_000 // m)
     for a in range(0, m, high):
         b = min(m, a + high)
         if work[a:b].sum() > (b - a) * m // 4:  # most pairs meet
             s = _dense(dense_row, dense_column, m, dense_width, a, b)
+            at, to = np.searchsorted(rare_row, [a, b])
+            total = np.cumsum(rare_uses[at:to])
+            while at < to:  # tokens of few sets, pair by pair
+                upto = at + max(1, int(np.searchsorted(total, 1_000_000, side="right")))
+                count, total = rare_uses[at:upto], total[upto - at:] - total[upto - at - 1]
+                ends = np.cumsum(count)
+                other = rare_rows[np.repeat(rare_low[at:upto] - (ends - count), count) + np.arange(ends[-1])]
+                np.add.at(s.reshape(-1), (np.repeat(rare_row[at:upto], count) - a) * m + other, 1)
+                at = upto
             linked = s >= similarity * (n[a:b, None] + n[None, :] - s) - 1e-4
             linked &= np.arange(m)[None, :] > np.arange(a, b)[:, None]
             if block is not None:
@@ -417,7 +432,7 @@ def _classes(docs: DataFrame, p: Join, scratch: Scratch) -> tuple[DataFrame, Dat
     other = other.withColumns({"across": F.col("block") != F.col("other"), "key": pair})
     columns = ["key", "label", "id", "copies", "block", "across", "text", "set_key"]
     jobs = small.select(columns).unionByName(other.select(columns))
-    counted = scratch.keep(jobs.groupBy("key").applyInArrow(_exact(p), "id long, links long, label long"), "links")
+    counted = scratch.keep(jobs.groupBy("key").applyInArrow(lean_group(_exact(p)), "id long, links long, label long"), "links")
 
     classes = components(scratch, counted.select(F.col("id").alias("a"), F.col("label").alias("b")), "classes")
     links = counted.groupBy("id").agg(F.sum("links").alias("links"))

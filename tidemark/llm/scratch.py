@@ -32,13 +32,23 @@ def lean(run):
     def running(batches):
         for number, batch in enumerate(run(batches)):
             yield batch
-            if number % 8 == 7:
+            if number % 2:
                 give_back()
         give_back()
 
     return running
 
 
+def lean_group(run):
+    """The same for a function of one whole group (``applyInArrow``)."""
+    def running(table: pa.Table) -> pa.Table:
+        out = run(table)
+        give_back()
+        return out
+
+    return running
+
+
 def give_back() -> None:
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # GNU libraries only
@@ -104,7 +114,7 @@ def running_totals(scratch: Scratch, frame: DataFrame, order: list, sums: list[s
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     ordered = frame.repartitionByRange(*order).sortWithinPartitions(*order)
-    local = scratch.keep(ordered.mapInArrow(number, schema), name)
+    local = scratch.keep(ordered.mapInArrow(lean(number), schema), name)
     tops = local.groupBy("_part").agg(F.max("position").alias("p"), *[F.max(F.col(f"{c}_before") + F.col(c)).alias(c) for c in sums])
     offsets, at = [], [0] * (1 + len(sums))
     for r in sorted(tops.collect()):
