@@ -3,6 +3,8 @@
 import itertools
 import math
 import random
+import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -104,6 +106,65 @@ def test_private_spans(spark):
     assert none.trees is None and P.private_spans(df.where("false"), none).count() == 0
 
 
+OLD_RUN = re.compile(r"[0-9+][0-9 ().+-]{5,}[0-9]")
+
+
+@pytest.mark.parametrize("letters", ["ab@.-_ %+1", "0123 .-+()", "12.3 -@a+(", "1.22.3 4-5"])
+def test_base_spans_are_those_of_the_patterns(letters):
+    rng = random.Random(3)
+    for _ in range(4000):
+        text = "".join(rng.choice(letters) for _ in range(rng.randint(0, 40)))
+        want = [("email", m.start(), m.end()) for m in P.EMAIL.finditer(text)]
+        for kind, pattern in (("ip", P.IP), ("card", P.CARD), ("phone", P.PHONE)):
+            want += [(kind, m.start(), m.end()) for m in pattern.finditer(text) if P.valid(kind, m.group())]
+        runs = P.number_runs(text)
+        assert runs == [m.span() for m in OLD_RUN.finditer(text)] and P.base_spans(text, runs) == want
+
+
+@pytest.mark.parametrize("text", ["a@", "+", "1", "+1", "+(", "a", "1.", "1 ", " at a dot", "4111111111111111 ", "x@y.z "], ids=str)
+def test_long_texts_take_time_in_proportion(text):
+    long, rng = text * (200_000 // len(text)) + "@ dot ", np.random.default_rng(1)
+    trees = P.boost(rng.random((200, 27)), rng.integers(0, 2, 200).astype(float))
+    start = time.process_time()
+    P.find([long], P.Model(trees, (0.99,) * 4))
+    assert time.process_time() - start < 6
+
+
+def test_isotonic_calibration():
+    y = np.array([0, 1, 0, 0, 1, 1, 0, 1, 1], float)
+    got = P.calibrated(np.arange(9.0), y)
+    assert got.tolist() == pytest.approx([0, 1 / 3, 1 / 3, 1 / 3, 2 / 3, 2 / 3, 2 / 3, 1, 1]) and len(P.calibrated(np.zeros(0), np.zeros(0))) == 0
+
+
+def test_recall_of_forms_that_base_patterns_miss(spark):
+    rng = random.Random(8)
+    digits = lambda n: "".join(rng.choices("0123456789", k=n))
+    name = lambda: "".join(rng.choices("abcdefghij", k=6))
+    lead = {"phone": ["call me at", "phone:", "tel"], "email": ["mail", "write to", "contact"]}
+
+    def text(body, kind):
+        return f"some words here {rng.choice(lead[kind])} {body} and others follow {digits(4)}"
+
+    def base():
+        if rng.random() < 0.5:
+            return text(f"+{rng.choice([1, 44, 49])} {rng.randint(200, 999)} {digits(3)} {digits(4)}", "phone")
+        return text(f"{name()}@{name()}.{rng.choice(['com', 'org', 'co.uk'])}", "email")
+
+    noise = lambda: f"order {digits(rng.choice([9, 10, 12]))} was sent in {rng.randint(1990, 2030)} and arrived at the dock"
+    docs = [(i, base() if i % 2 else noise(), "en", "s", 1) for i in range(900)]
+    model = P.fit(spark.createDataFrame(docs, DOCS))
+    planted = {"phone": [], "email": []}
+    for _ in range(60):
+        planted["phone"].append(rng.choice([f"{rng.randint(200, 999)} {digits(3)} {digits(4)}", f"{rng.randint(200, 999)}{digits(7)}"]))
+        planted["email"].append(rng.choice([f"{name()} (at) {name()} (dot) org", f"{name()} at {name()} dot com"]))
+    for kind, bodies in planted.items():
+        texts = [text(b, kind) for b in bodies]
+        found = [[t[a:b] for k, a, b in spans if k == kind] for t, (_, spans) in zip(texts, P.find(texts, model))]
+        assert sum(b in f for b, f in zip(bodies, found)) >= 0.9 * len(bodies), kind
+    clean = P.find([noise() for _ in range(200)], model)
+    assert sum(bool(spans) for _, spans in clean) <= 4
+
+
 def test_urls(spark):
     urls = ["http://A.Example.COM/de/x?q", "no scheme", None, "https://u@h.co.uk:80#f", "x://y://z/p", "http://net/", "http://a.example.net/en/", "http://b.org/fr/1"]
     df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")

@@ -8,17 +8,21 @@ the threshold of the kind, best first, if it overlaps nothing chosen before.
 
 The trees are fitted on candidates of a bounded sample of documents. Base spans are the positive
 examples; candidates that cut through a base span, or fail a check sum or range, are the negative
-ones. Where base patterns give up because two numbers stand side by side, no label is known; such
-neighbours are made from pairs of labelled spans. Half of the sample fits the trees, the other half
-sets each kind's threshold: the lowest that keeps the wanted precision. A kind without positive
-examples adds nothing.
+ones, and so are plain runs of digits that nothing marks as a number to call. What base patterns do
+not see has no label, so it is made from labelled spans: two numbers side by side, addresses spelt with
+``at`` and ``dot``, telephone numbers without their plus, each in the context of the span it is made
+from. Half of the sample fits the trees; on the other half scores are calibrated per kind (isotonic
+regression), and the threshold is the lowest score that is more likely right than not and keeps the
+wanted precision. A kind without positive examples adds nothing.
 
 A null text is empty and has no spans. Repeated rows give repeated results. Offsets are code
-points, ends exclusive. An empty table gives no rows.
+points, ends exclusive. An empty table gives no rows. Every character of a text is looked at a bounded
+number of times, so a text of any length takes time in proportion.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
 from dataclasses import dataclass
@@ -41,12 +45,15 @@ IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
-ADDRESS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-@")
-RUN = re.compile(r"[0-9+][0-9 ().+-]{5,}[0-9]")  # no number pattern matches beyond such a run
+LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
+DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
+STRETCH = re.compile(r"[0-9 ().+-]{7,}+")  # no number pattern matches beyond such a stretch
 SPELT = re.compile(
-    r"[A-Za-z0-9._%+-]+(?: ?(?:@|\(at\)|\[at\]) ?[A-Za-z0-9-]+(?:(?:\.| ?\(dot\) ?| ?\[dot\] ?| dot )[A-Za-z0-9-]+)+"
-    r"| at [A-Za-z0-9-]+(?: dot [A-Za-z0-9-]+)+)")
+    r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++(?: ?(?:@|\(at\)|\[at\]) ?| at )"
+    r"[A-Za-z0-9-]++(?:(?:\.| ?\(dot\) ?| ?\[dot\] ?| dot )[A-Za-z0-9-]++)++")
 SPELT_MARKS = ("(at)", "[at]", " dot ", "@")
+MOST_GROUPS = 8  # groups of digits that a candidate joins
+AROUND = 60  # characters of a number's surroundings that features look at
 GROUP = re.compile(r"[0-9]+")
 CONTEXT = {
     "email": re.compile(r"mail|contact|write|courriel|correo|schreib", re.I), "ip": re.compile(r"\bip|address|server|host|adress", re.I),
@@ -72,45 +79,72 @@ def valid(kind: str, text: str) -> bool:
     return kind == "email" or 9 <= len(digits_of(text)) <= 15
 
 
-def address_runs(text: str):
-    """Maximal stretches of address characters around each @."""
-    at = text.find("@")
+def emails(text: str):
+    """The spans of ``EMAIL``, leftmost and not overlapping; each character is read once."""
+    bound, at = 0, text.find("@")
     while at >= 0:
-        start, end = at, at + 1
-        while start and text[start - 1] in ADDRESS:
-            start -= 1
-        while end < len(text) and text[end] in ADDRESS:
-            end += 1
-        yield start, end
-        at = text.find("@", end)
+        start = bound + len(text[bound:at].rstrip(LOCAL))
+        found = DOMAIN.match(text, at + 1) if start < at else None
+        if found:
+            yield start, found.end()
+        bound = found.end() if found else at + 1
+        at = text.find("@", bound)
 
 
 def number_runs(text: str) -> list[tuple[int, int]]:
-    return [m.span() for m in RUN.finditer(text)]
+    """Where numbers may stand: from the first digit or plus of a stretch to its last digit, seven characters at least."""
+    out = []
+    for m in STRETCH.finditer(text):
+        body = m.group()
+        start, end = m.start() + len(body) - len(body.lstrip(" ().-")), m.start() + len(body.rstrip(" ().+-"))
+        if end - start >= 7:
+            out.append((start, end))
+    return out
+
+
+def _groups(text: str, run: tuple[int, int]) -> tuple[list[tuple[int, int]], list[str]]:
+    """The groups of digits of a run, and what stands between them."""
+    groups = [m.span() for m in GROUP.finditer(text, *run)]
+    return groups, [text[a[1]:b[0]] if b[0] - a[1] <= 4 else "...." for a, b in zip(groups, groups[1:])]
 
 
 def base_spans(text: str, runs: list[tuple[int, int]]) -> list[Span]:
     """What the base patterns accept, by kind and then start. No match reaches over the end of a run."""
-    found = [("email", m.start(), m.end()) for a, b in address_runs(text) for m in EMAIL.finditer(text, a, b)]
-    for kind, pattern in (("ip", IP), ("card", CARD), ("phone", PHONE)):
-        found += [(kind, m.start(), m.end()) for a, b in runs for m in pattern.finditer(text, a, b) if valid(kind, m.group())]
-    return found
+    found, ips, cards = [("email", a, b) for a, b in emails(text)], [], []
+    for run in runs:
+        groups, gaps = _groups(text, run)
+        i = 0
+        while i + 3 < len(groups):
+            dotted = gaps[i:i + 3] == [".", ".", "."]
+            if dotted:
+                ips.append(("ip", groups[i][0], groups[i + 3][1]))
+            i += 4 if dotted else 1
+        i = 0
+        while i < len(groups):
+            j = i
+            while j < len(gaps) and gaps[j] in (" ", "-"):
+                j += 1
+            if groups[j][1] - groups[i][0] > 1:
+                cards.append(("card", groups[i][0], groups[j][1]))
+            i = j + 1
+    phones = [("phone", m.start(), m.end()) for a, b in runs for m in PHONE.finditer(text, a, b)]
+    return found + [s for s in (*ips, *cards, *phones) if valid(s[0], text[s[1]:s[2]])]
 
 
 def candidates(text: str, runs: list[tuple[int, int]]) -> list[Span]:
     out = set()
     if any(mark in text for mark in SPELT_MARKS):
         out.update(("email", m.start(), m.end()) for m in SPELT.finditer(text))
-        out.update(("email", m.start(), m.end()) for a, b in address_runs(text) for m in EMAIL.finditer(text, a, b))
-    for a, b in runs:
-        groups = [m.span() for m in GROUP.finditer(text, a, b)]
+        out.update(("email", a, b) for a, b in emails(text))
+    for run in runs:
+        groups, gaps = _groups(text, run)
         for i, (start, end) in enumerate(groups):
-            plus = start > a and text[start - 1] == "+"
-            opened = start > a and text[start - 1] == "("
+            plus = start > run[0] and text[start - 1] == "+"
+            opened = start > run[0] and text[start - 1] == "("
             n, dotted, plain = 0, True, True
-            for j in range(i, len(groups)):
+            for j in range(i, min(i + MOST_GROUPS, len(groups))):
                 if j > i:
-                    gap = text[groups[j - 1][1]:groups[j][0]]
+                    gap = gaps[j - 1]
                     dotted, plain = dotted and gap == ".", plain and gap in (" ", "-")
                     if "+" in gap or len(gap) > 3:
                         break
@@ -122,11 +156,36 @@ def candidates(text: str, runs: list[tuple[int, int]]) -> list[Span]:
                     out.add(("ip", start, end))
                 if plain and n >= 13:
                     out.add(("card", start, end))
-                if 9 <= n <= 15 and (j > i or plus):
+                # Digits that letters touch are part of a key or a code.
+                if 9 <= n <= 15 and (plus or not (text[end:end + 1].isalnum() or text[max(0, start - 1):start].isalnum())):
                     out.add(("phone", start - (plus or opened), end))
     return sorted(out)
 
 
+class Taken:
+    """Stretches of a text that spans have taken, in order."""
+
+    def __init__(self, spans: list[Span] = ()):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for _, a, b in sorted(spans, key=lambda s: s[1:]):
+            if self.ends and a <= self.ends[-1]:
+                self.ends[-1] = max(b, self.ends[-1])
+            else:
+                self.starts.append(a)
+                self.ends.append(b)
+
+    def meets(self, span: Span) -> bool:
+        i = bisect.bisect_left(self.starts, span[2])
+        return i > 0 and self.ends[i - 1] > span[1]
+
+    def add(self, span: Span) -> None:
+        """A span that meets none."""
+        i = bisect.bisect_left(self.starts, span[1])
+        self.starts.insert(i, span[1])
+        self.ends.insert(i, span[2])
+
+
 def features(text: str, span: Span, run: tuple[int, int] | None) -> list[float]:
     kind, start, end = span
     body, before = text[start:end], text[max(0, start - 40):start]
@@ -134,7 +193,7 @@ def features(text: str, span: Span, run: tuple[int, int] | None) -> list[float]:
     sizes = [len(g) for g in groups] or [0]
     gaps = {g for g in GROUP.split(body)[1:-1]}
     last, next_ = (text[start - 1] if start else " "), (text[end] if end < len(text) else " ")
-    left, right = (text[run[0]:start], text[end:run[1]]) if run else ("", "")
+    left, right = (text[max(run[0], start - AROUND):start], text[end:min(run[1], end + AROUND)]) if run else ("", "")
     return [
         KINDS.index(kind), end - start, sum(sizes), len(groups), max(sizes), min(sizes), sizes[0], sizes[-1], len(gaps),
         body.startswith("+"), "(" in body, "-" in body, "." in body, " " in body, valid(kind, body),
@@ -154,37 +213,69 @@ def described(text: str, spans: list[Span], runs: list[tuple[int, int]]) -> list
     return rows
 
 
-def overlaps(a: Span, b: Span) -> bool:
-    return a[1] < b[2] and b[1] < a[2]
+def variants(kind: str, body: str) -> list[str]:
+    """A labelled span as people also write it, in forms that the base patterns do not see."""
+    if kind == "email":
+        local, _, domain = body.partition("@")
+        dotted = domain.replace(".", " dot ")
+        return [f"{local} (at) {domain.replace('.', ' (dot) ')}", f"{local} at {dotted}", f"{local}[at]{domain}", f"{local} @ {domain}"]
+    if kind == "phone":
+        plain = body[1:]
+        short = plain.partition(" ")[2].lstrip() or plain
+        return [x for x in dict.fromkeys((plain, short, digits_of(plain), digits_of(short))) if 9 <= len(digits_of(x)) <= 15 and x[-1:].isdigit()]
+    return []
 
 
 def labelled(text: str) -> list[tuple[int, list[float]]]:
-    """Candidates with a known label: base spans, what cuts through them, and what fails its check."""
+    """Candidates with a known label: base spans, what cuts through them, what fails its check, and variants of base spans."""
     runs = number_runs(text)
     base = base_spans(text, runs)
-    known = set(base)
+    known, taken = set(base), Taken(base)
     spans, labels = [], []
     for span in candidates(text, runs):
+        body = text[span[1]:span[2]]
         if span in known:
             label = 1
-        elif any(overlaps(span, b) for b in base) or not valid(span[0], text[span[1]:span[2]]):
+        elif taken.meets(span) or not valid(span[0], body) or body.isdigit() and span[0] == "phone":
             label = 0
         else:
             continue
         spans.append(span)
         labels.append(label)
     rows = list(zip(labels, described(text, spans, runs)))
+
+    def add(made: str, true: set[Span], low: int = 0, high: int | None = None) -> None:
+        """The candidates of a made text that begin in the part that was made."""
+        within = number_runs(made)
+        found = [s for s in candidates(made, within) if low <= s[1] and s[2] <= (len(made) if high is None else high)]
+        rows.extend(zip([int(s in true) for s in found], described(made, found, within)))
+
     numbers = [b for b in base if b[0] != "email"]
     for one, two in zip(numbers, numbers[1:]):  # neighbours, as base patterns would not see them
         for first, second in ((one, two), (two, one)):
             x, y = text[first[1]:first[2]], text[second[1]:second[2]]
             joint = f"{x} {y}"
-            true = {(first[0], 0, len(x)), (second[0], len(x) + 1, len(joint))}
-            pairs = [s for s in candidates(joint, [(0, len(joint))])]
-            rows += zip([int(s in true) for s in pairs], described(joint, pairs, [(0, len(joint))]))
+            add(joint, {(first[0], 0, len(x)), (second[0], len(x) + 1, len(joint))})
+    for kind, start, end in base:
+        before, after = text[max(0, start - 40):start], text[end:end + 20]
+        for body in variants(kind, text[start:end]):
+            opened = body.startswith("(")  # a candidate begins at the bracket before its digits
+            add(before + body + after, {(kind, len(before), len(before + body))}, max(0, len(before) - opened), len(before + body))
     return rows
 
 
+def calibrated(score: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Isotonic regression: for rising scores, the share of hits that never falls (adjacent violators are pooled)."""
+    blocks: list[list[float]] = []
+    for hit in y.tolist():
+        blocks.append([hit, 1.0])
+        while len(blocks) > 1 and blocks[-2][0] * blocks[-1][1] >= blocks[-1][0] * blocks[-2][1]:
+            hits, n = blocks.pop()
+            blocks[-1][0] += hits
+            blocks[-1][1] += n
+    return np.concatenate([np.zeros(0), *[np.full(int(n), hits / n) for hits, n in blocks]])
+
+
 @dataclass(frozen=True)
 class Trees:
     """Boosted trees of fixed depth on binned features: feature and cut per inner node, value per leaf."""
@@ -274,8 +365,9 @@ def fit(docs: DataFrame, documents: int = 20_000, rows: int = 100_000, precision
     for k in range(len(KINDS)):
         order = np.argsort(-p[kind == k], kind="stable")
         score, hits = p[kind == k][order], np.cumsum(y[kind == k][order])
-        good = np.flatnonzero(hits >= precision * (1 + np.arange(len(hits)))) if len(hits) and hits[-1] else np.zeros(0, int)
-        thresholds.append(max(0.5, float(score[good[-1]])) if len(good) else 2.0)
+        likely = calibrated(score[::-1], y[kind == k][order][::-1])[::-1] >= 0.5
+        good = np.flatnonzero(likely & (hits >= precision * (1 + np.arange(len(hits))))) if len(hits) and hits[-1] else np.zeros(0, int)
+        thresholds.append(float(score[good[-1]]) if len(good) else 2.0)
     return Model(trees, tuple(thresholds))
 
 
@@ -285,17 +377,20 @@ def find(texts: list[str], model: Model) -> list[tuple[list[Span], list[Span]]]:
     for i, text in enumerate(texts):
         runs = number_runs(text)
         base = base_spans(text, runs)
-        new = [s for s in candidates(text, runs) if not any(overlaps(s, b) for b in base)] if model.trees else []
+        taken = Taken(base)
+        new = [s for s in candidates(text, runs) if not taken.meets(s)] if model.trees else []
         new = [s for s in new if valid(s[0], text[s[1]:s[2]])]
         out.append((base, new))
         open_ += [(i, s) for s in new]
         rows += described(text, new, runs)
     chosen: dict[int, list[Span]] = {}
+    full: dict[int, Taken] = {}
     if rows:
         p = model.trees.probability(np.array(rows, np.float64))
         best = sorted((-q, i, s) for q, (i, s) in zip(p.tolist(), open_) if q >= model.thresholds[KINDS.index(s[0])])
         for _, i, span in best:
-            if not any(overlaps(span, s) for s in chosen.get(i, ())):
+            if not full.setdefault(i, Taken()).meets(span):
+                full[i].add(span)
                 chosen.setdefault(i, []).append(span)
     return [(base, sorted(base + chosen.get(i, []), key=lambda s: (KINDS.index(s[0]), s[1], s[2]))) for i, (base, _) in enumerate(out)]
 
