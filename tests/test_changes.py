@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from build import SMALL, history, rows_by
-from tidemark.operators import signals, universe
+from tidemark.operators import changes, signals, snapshots, universe
+from tidemark.plans.staging import ROWS_PER_TASK, task_count
 
 DAYS = ["2026-06-20", "2026-06-21", "2026-06-22", "2026-06-23"]
 OTHERS = ["2308", "2383", "2454", "3711"]
@@ -208,3 +209,16 @@ def test_coverage_sweep_equals_grid(spark):
     sweep = {str(r["date"]): r["expected_count"] for r in h.coverage.collect()}
     assert sweep == grid == {DAYS[0]: 2, DAYS[1]: 2, DAYS[2]: 2, DAYS[3]: 2}
     assert universe.missing_funds(h.eligible, h.entries).count() == 0
+
+
+def test_held_rows_move_once_on_the_way_to_changes(spark, capsys):
+    h = history(spark, fund("A", {"2330": [(100, 10), (110, 10)], **flat_others(100, 110)}), [("A", "I")])
+    ranked, dates = (spark.createDataFrame([], f.schema) for f in (h.ranked, h.dates))
+    changes.holding_changes(ranked, dates).explain()
+    assert capsys.readouterr().out.count("Exchange hashpartitioning") == 1
+
+
+def test_tasks_grow_with_the_rows(spark):
+    assert [task_count(n) for n in (None, 0, 1, ROWS_PER_TASK, ROWS_PER_TASK + 1)] == [1, 1, 1, 1, 2]
+    rows = spark.range(100).selectExpr("cast(id as string) as etf_code")
+    assert snapshots.by_fund(rows, 7).rdd.getNumPartitions() == 7

@@ -1,8 +1,8 @@
 """Position changes between each date and its previous valid date, for all dates at once.
 
-Both sides of every pair meet in one shuffle on (date, fund). A group is two valid snapshots
-of one fund, at most twice the number of four-digit codes, so per-fund windows are bounded.
-Streaks take one more shuffle on (fund, stock), where a group has at most one row per date.
+Held rows move once, to the task of their fund, and are laid out over the dates that see them
+there. Pairs (a group is two valid snapshots of one fund, at most twice the number of four-digit
+codes), per-fund measures and streaks (a group has at most one row per date) only sort inside it.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions.positions import active_delta, active_delta_pct, position_class
+from tidemark.operators.snapshots import by_fund
 from tidemark.operators.streaks import with_streaks
 from tidemark.params import DEFAULT, Params
 
@@ -39,7 +40,7 @@ def date_pairs(dates: DataFrame) -> DataFrame:
     )
 
 
-def paired_positions(ranked: DataFrame, dates: DataFrame) -> DataFrame:
+def paired_positions(ranked: DataFrame, dates: DataFrame, tasks: int | None = None) -> DataFrame:
     """One row per (date, fund, stock) held on the date or on its previous valid date.
 
     Dates without a previous valid date keep their rows, with nothing on the previous side.
@@ -47,19 +48,11 @@ def paired_positions(ranked: DataFrame, dates: DataFrame) -> DataFrame:
     """
     days = dates.where("has_holdings").select("date", "prev_date", "date_valid", "vi")
     sides = ("stock_name", "shares", "weight_pct", "rank", "source_family")
-    shared = ("etf_code", "stock_code", "issuer")
-    today = ranked.join(F.broadcast(days), "date").select(
-        *days.columns, *shared, "ti", F.lit(1).alias("now"), *sides
-    )
-    target = days.withColumnRenamed("date", "target").where("prev_date IS NOT NULL")
-    before = (
-        ranked.join(F.broadcast(target), ranked["date"] == target["prev_date"])
-        .select(
-            F.col("target").alias("date"), "prev_date", "date_valid", "vi", *shared,
-            F.lit(None).cast("int").alias("ti"), F.lit(0).alias("now"), *sides,
-        )
-    )
-    both = today.unionByName(before).repartition("date", "etf_code")
+    # A held row shows on its own date and on every date that looks back to it.
+    own = days.select(F.col("date").alias("held_on"), *days.columns, F.lit(1).alias("now"))
+    back = days.where("prev_date IS NOT NULL").select(F.col("prev_date").alias("held_on"), *days.columns, F.lit(0).alias("now"))
+    held = ranked.select(F.col("date").alias("held_on"), "etf_code", "stock_code", "issuer", "ti", *sides)
+    both = by_fund(held, tasks).join(F.broadcast(own.unionByName(back)), "held_on").withColumn("ti", F.when(F.col("now") == 1, F.col("ti")))
 
     def side(name: str, now: int, alias: str) -> Column:
         return F.max(F.when(F.col("now") == now, F.col(name))).alias(alias)

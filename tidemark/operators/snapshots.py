@@ -149,6 +149,11 @@ def canonical_snapshot(snapshots: DataFrame) -> DataFrame:
     )
 
 
+def by_fund(rows: DataFrame, tasks: int | None = None) -> DataFrame:
+    """Rows placed by fund, in so many tasks if that is given."""
+    return rows.repartition(*([tasks] if tasks else []), "etf_code")
+
+
 def canonical_holdings(rows: DataFrame, canonical: DataFrame) -> DataFrame:
     """Rows of the canonical source only.
 
@@ -158,7 +163,7 @@ def canonical_holdings(rows: DataFrame, canonical: DataFrame) -> DataFrame:
     return rows.join(canonical.select(*SNAPSHOT), list(SNAPSHOT), "left_semi")
 
 
-def ranked_holdings(holdings: DataFrame, entries: DataFrame) -> DataFrame:
+def ranked_holdings(holdings: DataFrame, entries: DataFrame, tasks: int | None = None) -> DataFrame:
     """Stock-table rows of the canonical source, ranked in their fund by weight then code.
 
     Rows of other sources leave first, and with them every invalid snapshot, however large. What is ranked is one valid snapshot: stock rows have distinct
@@ -167,9 +172,10 @@ def ranked_holdings(holdings: DataFrame, entries: DataFrame) -> DataFrame:
     extra = [c for c in ("issuer", "source_family", "ti") if c in entries.columns]
     in_fund = W.partitionBy("date", "etf_code").orderBy(F.col("weight_pct").desc(), "stock_code")
     rows = holdings.select("date", "etf_code", "stock_code", "stock_name", "asset_type", "shares", "weight_pct", "source_type")
-    # One join on the whole snapshot key drops the other sources and brings the entry's columns.
+    # One join on the whole snapshot key drops the other sources and brings the entry's columns. Both sides are
+    # placed by fund, which serves the join and the ranks: rows move once.
     return (
-        rows.join(entries.select(*SNAPSHOT, *extra), list(SNAPSHOT))
+        by_fund(rows, tasks).join(by_fund(entries.select(*SNAPSHOT, *extra), tasks), list(SNAPSHOT))
         .select(*rows.columns, *extra)
         .withColumn("rank", F.row_number().over(in_fund))
     )

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import changes, intent, report, signals, snapshots, traction, universe
 from tidemark.params import DEFAULT, Params
-from tidemark.plans.staging import NoStaging, Staging
+from tidemark.plans.staging import NoStaging, Staging, task_count
 from tidemark.sources.tables import Tables, scan_holdings
 
 
@@ -82,14 +82,19 @@ class History:
 
     # Position level.
 
+    @cached_property
+    def tasks(self) -> int:
+        """Tasks for the rows of all entries, placed by fund."""
+        return task_count(self.entries.agg(F.sum("row_count").alias("n")).first()["n"])
+
     @cached_property
     def ranked(self) -> DataFrame:
-        ranked = snapshots.ranked_holdings(self.tables.holdings, self.entries)
+        ranked = snapshots.ranked_holdings(self.tables.holdings, self.entries, self.tasks)
         return self.staging.keep(ranked, "ranked_holdings")
 
     @cached_property
     def paired(self) -> DataFrame:
-        return changes.paired_positions(self.ranked, self.dates)
+        return changes.paired_positions(self.ranked, self.dates, self.tasks)
 
     @cached_property
     def ratios(self) -> DataFrame:

@@ -32,7 +32,7 @@ from tidemark.operators.signals import listed_signals, signal_evidence, signal_f
 from tidemark.operators.streaks import held_seeds, linked_seeds, with_streaks
 from tidemark.params import DEFAULT, Params
 from tidemark.plans.history import History
-from tidemark.plans.staging import Staging
+from tidemark.plans.staging import Staging, task_count
 from tidemark.sources.sinks import day_list
 from tidemark.sources.store import Store
 from tidemark.sources.tables import Tables, scan_holdings, stored_tables
@@ -157,9 +157,10 @@ class Rebuild:
         entries = self._of_funds(self.new.entries, starts).where("date >= lower")
         entries = self.staging.keep(entries.select(*self.new.entries.columns), "entries-concerned")
         facts = self._of_funds(store.read("etf_daily_holdings", schemas.HOLDINGS, first=self.first), starts).where("date >= lower")
-        ranked = self.staging.keep(P.ranked_holdings(facts.drop(*[c for c in starts.columns if c != "etf_code"]), entries), "ranked-concerned")
+        tasks = task_count(entries.agg(F.sum("row_count").alias("n")).first()["n"])
+        ranked = self.staging.keep(P.ranked_holdings(facts.drop(*[c for c in starts.columns if c != "etf_code"]), entries, tasks), "ranked-concerned")
         begun = starts.select("etf_code", "start")
-        paired = C.paired_positions(ranked, dates).join(begun, "etf_code").where("date >= start").drop("start")
+        paired = C.paired_positions(ranked, dates, tasks).join(begun, "etf_code").where("date >= start").drop("start")
         timed = self.staging.keep(with_streaks(
             C.with_position_change(C.with_fund_measures(paired, self.params), self.params), self.params, self.seeds(ranked, starts)), "timed")
         ratios = C.pair_ratios(paired, self.params)

@@ -13,6 +13,13 @@ import uuid
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+ROWS_PER_TASK = 100_000  # of rows that are sorted and laid out inside their fund
+
+
+def task_count(rows: int | None) -> int:
+    """Into how many tasks so many rows go, so that the memory of a task does not grow with the table."""
+    return -(-(rows or 1) // ROWS_PER_TASK)
+
 
 def shared_dir(spark: SparkSession) -> str | None:
     """The folder that the session's configuration or its checkpoint setting names."""

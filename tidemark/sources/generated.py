@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidemark.plans.staging import task_count
 from tidemark.sources.tables import Tables
 
 STOCK_BUCKETS = 20
@@ -38,14 +39,15 @@ def _fixed(method: str) -> list[Column]:
 def holdings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stock holdings: weights are integer cents over integer cents, so engines agree bit for bit."""
     quarter = F.trunc(F.to_date("l_shipdate"), "quarter")
-    base = read(spark, sf_dir, "lineitem").select(
+    lines = read(spark, sf_dir, "lineitem")
+    base = lines.select(
         quarter.alias("date"),
         F.col("l_suppkey").alias("k"),
         (F.col("l_partkey") % STOCK_BUCKETS).alias("b"),
         F.col("l_linenumber").alias("line"),
         F.col("l_quantity").alias("q"),
         F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("c"),
-    )
+    ).repartition(task_count(lines.count()), "k")  # the sums and the totals below both stay inside one fund
     # On one date every third fund comes without its source, which makes these snapshots invalid.
     one_thin_date = (F.col("date") == F.lit("1997-07-01").cast("date")) & (F.col("k") % 3 == 0)
     on_fallback = (F.col("k") + F.quarter("date") + F.year("date")) % 7 == 0
