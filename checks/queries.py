@@ -1000,6 +1000,7 @@ def _(spark, sf_dir, h):
     root = scratch(spark, "streak")
     rows = with_streaks(C.with_position_change(h.measured)).where("compared").select(*Y.INPUT).withColumns(
         {"date": F.col("date").cast("string"), "prev_date": F.col("prev_date").cast("string")})
+    rows = h.staging.keep(rows, "streak_rows")  # both arrivals are cut from it
     provider = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(provider)
     spark.conf.set(provider, Y.STATE_STORE)

@@ -4,6 +4,7 @@ import random
 import time
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from tidemark.streaming import streaks as Y
@@ -67,3 +68,27 @@ def test_any_order_of_arrival(spark, tmp_path, seed):
     newest = told.groupBy("date", "stock_code").agg(F.max_by(F.struct(*told.columns[3:5]), "revision").alias("days"), F.count("*").alias("n")).collect()
     assert {(r["date"], r["stock_code"]): tuple(r["days"]) for r in newest} == plain(rows)
     assert any(r["n"] > 1 for r in newest)
+
+
+def test_one_read_and_one_write_of_the_store_per_key():
+    calls = []
+
+    class Kept:
+        value = None
+
+        def get(self):
+            calls.append("get")
+            return self.value
+
+        def update(self, value):
+            calls.append("update")
+            self.value = value
+
+    kept = Kept()
+    processor = Y.StreakProcessor()
+    processor.init(type("Handle", (), {"getValueState": lambda self, name, schema: kept})())
+    row = Row(*Y.INPUT)
+    days = [row(d, p, True, "F", "1101", 1.0, 1, 0, 0, 0) for p, d in zip([None, *DATES], DATES)]
+    out = [r for part in (days[:7], days[7:]) for r in processor.handleInputRows(("F", "1101"), iter(part), None)]
+    assert calls == ["get", "update"] * 2
+    assert [r.consecutive_active_add_days for r in out] == list(range(1, len(DATES) + 1))

@@ -2,20 +2,18 @@
 
 from __future__ import annotations
 
+import json
 import sys
 from collections.abc import Iterator
 from typing import Any
 
-import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-DAY = "date STRING"
-STATE = (
-    "prev_date STRING, valid BOOLEAN, scaled BOOLEAN, add_flag INT, reduce_flag INT, share_add INT, share_reduce INT, "
-    "add_days INT, reduce_days INT, revision INT"
-)
+# JSON text: a list per date, of date, prev_date, valid, scaled, add, reduce, share_add, share_reduce, add_days,
+# reduce_days, revision. One value, so that a key costs one read and one write of the store, however many dates it has.
+STATE = "dates STRING"
 KEPT = 60  # newest dates that a position remembers
 OUTPUT = (
     "date STRING, etf_code STRING, stock_code STRING, consecutive_active_add_days INT, consecutive_active_reduce_days INT, "
@@ -25,6 +23,7 @@ INPUT = (
     "date", "prev_date", "date_valid", "etf_code", "stock_code", "etf_scale_factor",
     "is_active_add", "is_active_reduce", "share_add_days", "share_reduce_days",
 )
+OUT = Row(*[field.split()[0] for field in OUTPUT.split(", ")])
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -50,22 +49,23 @@ class StreakProcessor(StatefulProcessor):
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._days = handle.getMapState("days", DAY, STATE)
+        self._kept = handle.getValueState("kept", STATE)
 
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
         # A key receives at most one row per date, so a batch of one key is small.
-        known = {k[0]: tuple(v) for k, v in self._days.iterator()} if self._days.exists() else {}
+        kept = self._kept.get()
+        known = {} if kept is None else {date: tuple(rest) for date, *rest in json.loads(kept[0])}
         full, oldest = len(known) >= KEPT, min(known, default="")
-        out, touched, etf_code, stock_code = [], set(), None, None
-        for row in pd.concat(list(rows)).itertuples():
-            etf_code, stock_code = row.etf_code, row.stock_code
+        out, touched = [], set()
+        etf_code, stock_code = key
+        for row in rows:
             if full and row.date < oldest:
                 out.append((row.date, etf_code, stock_code, None, None, -1))
                 continue
-            prev = None if pd.isna(row.prev_date) else row.prev_date
             flags = int(row.is_active_add), int(row.is_active_reduce), int(row.share_add_days), int(row.share_reduce_days)
+            scale = row.etf_scale_factor
             revision = known[row.date][-1] if row.date in known else -1
-            known[row.date] = (prev, bool(row.date_valid), not pd.isna(row.etf_scale_factor), *flags, None, None, revision)
+            known[row.date] = (row.prev_date, bool(row.date_valid), scale is not None and scale == scale, *flags, None, None, revision)
             touched.add(row.date)
         first = min(touched, default="")
         for date in sorted(d for d in known if touched and d >= first):
@@ -75,14 +75,12 @@ class StreakProcessor(StatefulProcessor):
             was = (before[3], before[7], before[4], before[8]) if linked else (0, 0, 0, 0)
             now = _days(scaled, add, share_add, linked, *was[:2]), _days(scaled, reduce, share_reduce, linked, *was[2:])
             if now != (add_days, reduce_days):
-                known[date] = (prev, valid, scaled, add, reduce, share_add, share_reduce, *map(int, now), revision + 1)
-                self._days.updateValue((date,), known[date])
-                out.append((date, etf_code, stock_code, *map(int, now), revision + 1))
-        for date in sorted(known)[:-KEPT]:
-            self._days.removeKey((date,))
-        columns = ["date", "etf_code", "stock_code", "consecutive_active_add_days", "consecutive_active_reduce_days", "revision"]
-        frame = pd.DataFrame(out, columns=columns)
-        yield frame.astype({c: "Int32" for c in columns[3:]})
+                known[date] = (prev, valid, scaled, add, reduce, share_add, share_reduce, *now, revision + 1)
+                out.append((date, etf_code, stock_code, *now, revision + 1))
+        if touched:
+            self._kept.update((json.dumps([(date, *known[date]) for date in sorted(known)[-KEPT:]]),))
+        for values in out:
+            yield OUT(*values)
 
     def close(self) -> None:
         pass
@@ -94,7 +92,7 @@ def stateful_streaks(changes: DataFrame) -> DataFrame:
     The row with the highest revision counts for a date. Needs ``spark.sql.streaming.stateStore.providerClass``
     set to ``STATE_STORE``.
     """
-    return changes.groupBy("etf_code", "stock_code").transformWithStateInPandas(
+    return changes.groupBy("etf_code", "stock_code").transformWithState(
         statefulProcessor=StreakProcessor(),
         outputStructType=OUTPUT,
         outputMode="Append",
