@@ -84,3 +84,12 @@ def test_ranking_and_sections(spark):
     assert {r["section"] for r in sections} == {1, 2, 3, 4}
     summary = report.signal_summary(df).first()
     assert (summary["fresh_consensus"], summary["reversals"], summary["persistent_consensus"], summary["stale_or_fading"]) == (11, 1, 1, 1)
+
+
+def test_evidence_moves_events_before_they_are_laid_out(spark, table, capsys):
+    rows = spark.createDataFrame([], table.schema)
+    signals.signal_evidence(rows).explain()
+    plan = capsys.readouterr().out.splitlines()
+    # In the plan an operator stands above its input: no exchange of whole events may have a Generate over windows below it.
+    wide = [line for line in plan if "Generate" in line and "sequence" in line and "prev_weight_pct" in line]
+    assert not wide

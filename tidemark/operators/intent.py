@@ -163,7 +163,7 @@ def sliding_distinct(
         *[F.sum(F.when(F.col("side") == f, F.col("s.step")).otherwise(0)).alias(f) for f in flags])
     run = W.partitionBy(*group, "window_days").orderBy("at")
     counted = summed.select(*group, "window_days", "at", F.lead("at").over(run).alias("until"), *[F.sum(f).over(run).alias(f) for f in flags])
-    some = F.greatest(*map(F.col, flags)) > 0
+    some = F.greatest(F.lit(0), *map(F.col, flags)) > 0
     return counted.where(some).select(
         F.explode(F.sequence("at", F.col("until") - 1)).alias("target"), "window_days", *group, *flags)
 

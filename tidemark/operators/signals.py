@@ -12,6 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions.positions import direction_event, streak_event
+from tidemark.operators.intent import sliding_distinct
 from tidemark.params import DEFAULT, Params
 
 DIRECTIONS = ("add", "reduce")
@@ -73,6 +74,20 @@ def event_window(changes: DataFrame, days: DataFrame, params: Params = DEFAULT)
     )
 
 
+def _agreed(events: DataFrame, params: Params) -> DataFrame:
+    """Groups with enough distinct issuers in their window: issuers are few, so their distinct rows are spread."""
+    named = events.where(F.col("issuer") != "").select(*_GROUP, "issuer").distinct()
+    return (
+        spread(named, params).select(*_GROUP, "issuer").distinct()
+        .groupBy(*_GROUP).agg(F.count(F.lit(1)).alias("issuer_count"))
+        .where(F.col("issuer_count") >= params.min_consensus_issuers)
+    )
+
+
+def _with_fund(events: DataFrame) -> DataFrame:
+    return events.where(F.col("etf_code") != "")
+
+
 def consensus(events: DataFrame, days: DataFrame, params: Params = DEFAULT) -> DataFrame:
     """Windows in which enough distinct issuers acted on a stock in one direction."""
     daily = events.groupBy(*_GROUP).agg(
@@ -87,15 +102,11 @@ def consensus(events: DataFrame, days: DataFrame, params: Params = DEFAULT) -> D
         F.sum("pct_count").alias("pct_count"),
     )
 
-    def distinct_in_window(member: str) -> DataFrame:
-        named = events.where(F.col(member) != "").select(*_GROUP, member).distinct()
-        return spread(named, params).select(*_GROUP, member).distinct()
-
-    issuers = (
-        distinct_in_window("issuer").groupBy(*_GROUP).agg(F.count(F.lit(1)).alias("issuer_count"))
-        .where(F.col("issuer_count") >= params.min_consensus_issuers)
-    )
-    funds = distinct_in_window("etf_code").groupBy(*_GROUP).agg(F.count(F.lit(1)).alias("etf_count"))
+    issuers = _agreed(events, params)
+    # A fund counts from its event up to its next one or the end of the window: nothing of fund size is spread.
+    acted = _with_fund(events).select(F.col("ci").alias("qi"), "stock_code", "direction", "etf_code", F.lit(1).alias("etf_count"))
+    funds = sliding_distinct(acted, ["stock_code", "direction"], ["etf_code"], ["etf_count"], [params.signal_window]).select(
+        F.col("target").alias("ci"), "stock_code", "direction", "etf_count")
     target = days.select("ci", F.col("date").alias("date"))
     return (
         issuers.join(rolled, list(_GROUP))
@@ -224,12 +235,19 @@ def signal_evidence(changes: DataFrame, params: Params = DEFAULT, days: DataFram
     """
     days = change_dates(changes) if days is None else days
     events = side_events(changes, days, params)
-    groups = consensus(events, days, params).select(*_GROUP, F.col("date").alias("signal_date"))
+    # Which signals see the events of a date is found on groups; an event then meets them once and is laid out after.
+    acted = spread(_with_fund(events).select(*_GROUP).distinct(), params).select(*_GROUP).distinct()
+    groups = _agreed(events, params).join(acted, list(_GROUP)).join(
+        F.broadcast(days.select("ci", F.col("date").alias("signal_date"))), "ci")
+    reach = F.explode(F.sequence(F.col("ci") - F.lit(params.signal_window - 1), F.col("ci")))
+    seen = groups.select(reach.alias("ci"), "stock_code", "direction", "signal_date").groupBy(*_GROUP).agg(
+        F.collect_list("signal_date").alias("signal_dates"))
     joint = (
-        spread(events.select("ci", "direction", *EVIDENCE), params)
-        .join(groups, list(_GROUP))
+        events.select("ci", "direction", *EVIDENCE)
+        .join(seen, list(_GROUP))
         .select(
-            "signal_date", consensus_type().alias("signal_type"), F.lit(None).cast("string").alias("only_etf"), *EVIDENCE
+            F.explode("signal_dates").alias("signal_date"), consensus_type().alias("signal_type"),
+            F.lit(None).cast("string").alias("only_etf"), *EVIDENCE,
         )
     )
     single = single_signals(changes, params).select(
