@@ -57,12 +57,22 @@ def _differing(a: DataFrame, b: DataFrame, keys: list[str], values: list[str]) -
 
 
 def _differing_days(new: DataFrame, old: DataFrame, ignore: tuple[str, ...] = ()) -> list[str]:
-    """Dates on which two frames of one table do not hold the same rows."""
+    """Dates on which two frames of one table do not hold the same rows.
+
+    Rows are told apart by 128 bits of hash over all their columns and by which of them are null. The sums of a date
+    are made inside each task, so no row moves.
+    """
     columns = [c for c in new.columns if c not in ignore]
-    rows = new.select(*columns, F.lit(1).alias("_side")).unionByName(old.select(*columns, F.lit(-1).alias("_side")))
     # Shares and weights may differ in the last bit only if their inputs do: rows are compared as they are.
-    odd = rows.groupBy(*columns).agg(F.sum("_side").alias("n")).where("n <> 0")
-    return day_list(odd.select("date"))
+    nulls = F.concat(*[F.when(F.col(c).isNull(), "1").otherwise("0") for c in columns])
+    hashes = [F.xxhash64(F.lit(seed), nulls, *columns) for seed in (1, 2)]
+    # Halves of a hash, so that a sum of long integers holds two thousand million of them.
+    halves = [h.alias(f"h{i}") for i, h in enumerate(
+        x for h in hashes for x in (F.shiftrightunsigned(h, 32), h.bitwiseAND(F.lit(0xFFFFFFFF))))]
+    sides = [f.select("date", F.lit(n).cast("bigint").alias("n"), *halves) for f, n in ((new, 1), (old, -1))]
+    sums = sides[0].unionByName(sides[1]).groupBy("date").agg(
+        F.sum("n").alias("n"), *[F.sum(F.col("n") * F.col(f"h{i}")).alias(f"h{i}") for i in range(len(halves))])
+    return day_list(sums.where(" OR ".join(f"{c} <> 0" for c in sums.columns if c != "date")).select("date"))
 
 
 def _previous(starts: DataFrame, known: DataFrame, key: list[str]) -> DataFrame:
@@ -163,7 +173,7 @@ class Rebuild:
         paired = C.paired_positions(ranked, dates, tasks).join(begun, "etf_code").where("date >= start").drop("start")
         timed = self.staging.keep(with_streaks(
             C.with_position_change(C.with_fund_measures(paired, self.params), self.params), self.params, self.seeds(ranked, starts)), "timed")
-        ratios = C.pair_ratios(paired, self.params)
+        ratios = C.pair_ratios(timed, self.params)  # every paired row is among them
         diagnosed = C.change_diagnostics(entries, dates, ratios, self.created_at).join(begun, "etf_code").where("date >= start")
         kinds = ("consecutive_add_days", "consecutive_reduce_days", "share_add_days", "share_reduce_days")
         state = timed.where((F.col("in_now") == 1) & (F.greatest(*kinds) > 0)).select(
@@ -190,7 +200,8 @@ class Rebuild:
         stored = self.store.read(table, schema, first=first)
         concerned = F.col("start").isNotNull() & (F.col("date") >= F.col("start"))
         told = stored.join(begun, "etf_code", "left")
-        days = _differing_days(new, told.where(concerned).select(*names), ignore)
+        nothing_yet = not self.store.parts(table)
+        days = day_list(new) if nothing_yet else _differing_days(new, told.where(concerned).select(*names), ignore)
         if days or table not in self.store.state:
             others = self.store.read(table, schema, values=days).join(begun, "etf_code", "left").where(~concerned).select(*names)
             rows = others.unionByName(new.where(F.col("date").isin([Day.fromisoformat(d) for d in days])))
