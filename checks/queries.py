@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark import schemas
 from tidemark.functions.origin import source_family, source_priority
 from tidemark.functions.positions import event_score, is_material
 from tidemark.operators import changes as C
@@ -958,7 +959,7 @@ def _(spark, sf_dir, h):
         half = landed.where((F.substring("payload_id", 1, 10) < "1998-07-01") == F.lit(early))
         half.write.mode("append").parquet(landing)
         N.incremental_ingest(spark, landing, root, f"{root}/checkpoint").awaitTermination()
-    return sinks.read_back(spark, f"{root}/etf_holding_changes", h.changes.schema).select(
+    return sinks.read_back(spark, f"{root}/etf_holding_changes", schemas.CHANGES).select(
         *CHANGE_KEY, "prev_date", "position_change_type", "consecutive_add_days", "consecutive_active_add_days", "weight_delta_1d")
 
 
@@ -983,7 +984,7 @@ def _after_late_snapshots(spark, h) -> str:
 @raw_query("late_snapshot")
 def _(spark, sf_dir, h):
     root = _after_late_snapshots(spark, h)
-    return sinks.read_back(spark, f"{root}/etf_holding_changes", h.changes.schema).select(
+    return sinks.read_back(spark, f"{root}/etf_holding_changes", schemas.CHANGES).select(
         *CHANGE_KEY, "prev_date", "position_change_type", "consecutive_add_days", "consecutive_active_add_days", "weight_delta_1d")
 
 

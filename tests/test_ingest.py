@@ -169,3 +169,23 @@ def test_repeated_rows_in_a_candidate(spark):
     rows = holdings(spark, [(RUN, "A", "2330", 1, 1.0)] * 2 + [(RUN, "A", "2330", 1, 2.0)])
     assert ingest.dedupe_rows(rows).count() == 2
     assert DEFAULT.min_weight == 0.01
+
+
+def test_a_payload_is_parsed_once_and_judged_with_its_rows(spark, capsys):
+    bad = (GOOD + ',{"stocNo":"x","share":"1","weight":"oops"}')
+    body = "object_list", OBJECTS % GOOD, OBJECTS % bad
+    rows = [("good", body[1]), ("twice", body[1]), ("twice", body[2]), (None, body[1]), (None, body[2])]
+    schema = "payload_id STRING, etf_code STRING, source_type STRING, format STRING, expected_fund_no STRING, body STRING"
+    df = spark.createDataFrame([(k, "f", "official_fallback", body[0], "N", text) for k, text in rows], schema)
+    got = [r["payload_id"] for r in payloads.payload_rows(df).collect()]
+    assert sorted(map(str, got)) == ["None", "None", "good"]
+    payloads.text_block_rows(df).explain()
+    assert capsys.readouterr().out.count("Scan ExistingRDD") == 1
+
+
+def test_no_body_is_moved_to_find_rejects(spark, capsys):
+    payloads.payload_rejects(landed(spark, "text_block", "x")).explain()
+    moved = [line for line in capsys.readouterr().out.splitlines() if "Exchange" in line or "Sort " in line]
+    plan = payloads.payload_rejects(landed(spark, "text_block", "x"))._jdf.queryExecution().optimizedPlan().toString()
+    joins = [at for at, line in enumerate(plan.splitlines()) if "Join" in line]
+    assert moved and "AS malformed" in "".join(plan.splitlines()[joins[-1]:])

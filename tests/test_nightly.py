@@ -75,3 +75,13 @@ def test_a_batch_counts_whole_or_not_at_all(spark, root, monkeypatch):
         N.process_candidates(spark, root, offer(spark, LATER, "B", 9), "x", expected=F.lit(day(LATER)))
     assert stored(spark, root) == before
     assert N.stored_outcomes(spark, root).where("batch = 'x'").count() == 0
+
+
+def test_a_batch_is_laid_out_by_format(spark, tmp_path):
+    schema = "payload_id STRING, etf_code STRING, source_type STRING, format STRING, expected_fund_no STRING, body STRING"
+    rows = [("a", "F", "s", "text_block", None, "x"), ("b", "F", "s", "html_table", "N", None), ("c", "F", "s", None, "N", "y"), ("b", "F", "s", "html_table", "N", None)]
+    batch = spark.createDataFrame(rows, schema)
+    laid = N.by_format(batch, str(tmp_path), "b")
+    assert sorted(map(str, laid.select(*batch.columns).collect())) == sorted(map(str, batch.collect()))
+    one = laid.where("format = 'text_block'").inputFiles()
+    assert one and len(one) < len(laid.inputFiles()) or "format=" in laid.inputFiles()[0]

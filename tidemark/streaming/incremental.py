@@ -9,6 +9,7 @@ Late files need no watermark: a correction of any age is stored, and what it can
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,6 +62,16 @@ def candidates_from_payloads(payloads: DataFrame) -> DataFrame:
     )
 
 
+def by_format(payloads: DataFrame, root: str, batch: str) -> DataFrame:
+    """The payloads of a batch, laid out by format beside the tables: each parser reads its own part, once.
+
+    A streamed batch is read whole, with every body, by each branch of a plan over it.
+    """
+    path = f"{root}/_staging/{batch}-{uuid.uuid4().hex}/payloads"
+    payloads.write.partitionBy("format").parquet(path)
+    return payloads.sparkSession.read.schema(payloads.schema).parquet(path)
+
+
 def expected_date(spark: SparkSession, run_at: str | None = None, holidays: DataFrame | None = None, params: Params = DEFAULT) -> Column:
     """The data date that a run at this UTC time (now, if not given) should see."""
     at = F.lit(run_at).cast("timestamp") if run_at else F.current_timestamp()
@@ -72,24 +83,32 @@ def expected_date(spark: SparkSession, run_at: str | None = None, holidays: Data
     return F.lit(expected_data_date(runs, last_days, params).first()["expected_data_date"])
 
 
-def nightly_decisions(rows: DataFrame, stored: Tables, expected: Column, params: Params = DEFAULT) -> tuple[DataFrame, DataFrame]:
+def nightly_decisions(
+    rows: DataFrame,
+    stored: Tables,
+    expected: Column,
+    params: Params = DEFAULT,
+    keep: Callable[[DataFrame, str], DataFrame] = lambda frame, name: frame,
+) -> tuple[DataFrame, DataFrame]:
     """The outcome of each fund of the run, and what becomes of each landed snapshot, by the gates of the nightly run.
 
     The candidates are judged on all their rows, before light rows are dropped: a weight that is
     missing makes a snapshot invalid. Each date is a run of its own: one candidate per date and fund
     is chosen among the channels, after their row counts were held against the stored history.
     A date after the expected one is refused, an equivalent of what is stored is not written again,
-    and the rest is arbitrated against the stored snapshot.
+    and the rest is arbitrated against the stored snapshot. ``keep`` may stage what is read several
+    times, one row per snapshot.
     """
-    profiles = candidate_profiles(rows, params=params)
+    profiles = keep(candidate_profiles(rows, params=params), "profiles")
     touched = profiles.where("data_date IS NOT NULL")
     history = stored.holdings.join(touched.select("etf_code", "source_type").distinct(), ["etf_code", "source_type"], "left_semi")
     checked = row_count_check(profiles, stored_row_counts(history), params)
     chosen = candidate_selection(checked.withColumn("target_date", F.col("run_date")))
-    outcomes = scrape_outcome(chosen.withColumn("target_date", expected), profiles)
+    outcomes = keep(scrape_outcome(chosen.withColumn("target_date", expected), profiles), "outcomes")
     days = touched.select(F.col("data_date").alias("date")).distinct()
     on_dates = scan_holdings(stored.holdings, stored.non_stock).join(F.broadcast(days), "date", "left_semi")
-    return outcomes, store_decision(outcomes, canonical_snapshot(snapshot_profile(on_dates, params=params)), params)
+    canonical = keep(canonical_snapshot(snapshot_profile(on_dates, params=params)), "canonical")
+    return outcomes, store_decision(outcomes, canonical, params)
 
 
 def stage_candidates(store: Store, candidates: DataFrame, batch: str, params: Params = DEFAULT, expected: Column | None = None) -> DataFrame:
@@ -108,7 +127,7 @@ def stage_candidates(store: Store, candidates: DataFrame, batch: str, params: Pa
 
     rows = written(dedupe_rows(candidates), "rows")
     expected = expected_date(spark) if expected is None else expected
-    outcomes, judged = nightly_decisions(rows, stored, expected, params)
+    outcomes, judged = nightly_decisions(rows, stored, expected, params, written)
     decisions = written(judged, "decisions")
     stock, other = split_assets(min_weight_filter(rows, params))
     affected = decisions.where("inserted OR stored_source_type IS NOT NULL").select(F.col("data_date").alias("date"))
@@ -187,7 +206,8 @@ def incremental_ingest(
     def take(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         expected = expected_date(session, run_at, holidays, params)
-        process_candidates(session, root, candidates_from_payloads(batch), f"batch-{batch_id}", params, signals, expected)
+        name = f"batch-{batch_id}"
+        process_candidates(session, root, candidates_from_payloads(by_format(batch, root, name)), name, params, signals, expected)
 
     return (
         source.parquet(landing)
