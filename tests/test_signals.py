@@ -1,7 +1,11 @@
+from types import SimpleNamespace
+
 import pytest
 
 from build import change, changes, rows_by
 from tidemark.operators import report, signals
+from tidemark.params import DEFAULT
+from tidemark.plans.backfill import range_signals
 
 D = ["2026-06-21", "2026-06-22", "2026-06-23", "2026-06-24"]
 
@@ -93,3 +97,18 @@ def test_evidence_moves_events_before_they_are_laid_out(spark, table, capsys):
     # In the plan an operator stands above its input: no exchange of whole events may have a Generate over windows below it.
     wide = [line for line in plan if "Generate" in line and "sequence" in line and "prev_weight_pct" in line]
     assert not wide
+
+
+def test_lists_of_a_range_and_in_tasks_equal_those_of_all_dates(table):
+    whole = {r["signal_id"]: r for r in signals.manager_signals(table).collect()}
+    assert {r["signal_id"]: r for r in signals.manager_signals(table, tasks=3).collect()} == whole
+    history = SimpleNamespace(changes=table, params=DEFAULT, tasks=2)
+    told = range_signals(history, D[3], D[3])
+    assert {r["signal_id"]: r for r in told.where(f"date = '{D[3]}'").collect()} == {k: r for k, r in whole.items() if str(r["date"]) == D[3]}
+    early = range_signals(history, D[0], D[0])
+    assert {r["signal_id"] for r in early.collect()} == {k for k, r in whole.items() if str(r["date"]) == D[0]}
+
+
+def test_lists_keep_their_number_of_tasks(table, capsys):
+    signals.manager_signals(table, tasks=37).explain()
+    assert "direction#" in (plan := capsys.readouterr().out) and ", 37)" in plan

@@ -274,19 +274,26 @@ def listed_signals(facts: DataFrame, evidence: DataFrame) -> DataFrame:
     )
 
 
-def manager_signals(changes: DataFrame, params: Params = DEFAULT) -> DataFrame:
+def manager_signals(
+    changes: DataFrame, params: Params = DEFAULT, days: DataFrame | None = None, tasks: int | None = None
+) -> DataFrame:
     """The signal table with lists: scalar columns plus id, fund list, issuer list and evidence.
 
     The id and the lists name every fund of a signal, so a row is as long as its fund list:
     at most one entry per fund of the universe and window date. Consumers that do not need
     the lists read :func:`signal_facts` and :func:`signal_evidence`. Ids repeat only when a
-    change key does; the sink removes repeats by id.
+    change key does; the sink removes repeats by id. ``days`` as for :func:`signal_facts`. ``tasks``:
+    into how many tasks the evidence goes, so that the lists of one task do not grow with the table.
     """
-    days = change_dates(changes)
+    days = change_dates(changes) if days is None else days
     events = side_events(changes, days, params)
     item = F.struct(*EVIDENCE)
+
+    def placed(rows: DataFrame) -> DataFrame:
+        return rows.repartition(tasks, *_GROUP) if tasks else rows
+
     lists = (
-        spread(events.select("ci", "stock_code", "direction", item.alias("item")), params)
+        placed(spread(events.select("ci", "stock_code", "direction", item.alias("item")), params))
         .groupBy(*_GROUP)
         .agg(F.array_sort(F.collect_list("item")).alias("evidence"))
     )
@@ -295,7 +302,7 @@ def manager_signals(changes: DataFrame, params: Params = DEFAULT) -> DataFrame:
         F.array_distinct(F.filter(F.transform("evidence", lambda e: e["issuer"]), lambda i: i != ""))
     )
     joint = (
-        consensus_signals(consensus(events, days, params), params)
+        placed(consensus_signals(consensus(events, days, params), params))
         .join(lists, list(_GROUP))
         .select(*SIGNAL_COLUMNS, named.alias("etf_codes"), issuers.alias("issuers"), "evidence")
     )

@@ -121,7 +121,7 @@ class History:
 
     @cached_property
     def signals(self) -> DataFrame:
-        return signals.manager_signals(self.changes, self.params)
+        return signals.manager_signals(self.changes, self.params, tasks=self.tasks)
 
     @cached_property
     def intent(self) -> DataFrame:
