@@ -50,6 +50,25 @@ def test_first_failing_rule_wins(spark):
     assert got["fewer_than_5_taiwan_stock_rows"]["non_stock_count"] == 1
 
 
+def test_profile_keeps_no_ends_of_its_key_and_sorts_by_fund_first(spark):
+    rows = spark.createDataFrame(
+        [(None if n < 6 else day(D), fund, "stock", f"{1000 + n % 6}", "N", 1.0, 10.0, "official_static")
+         for fund in ("A", None) for n in range(12)],
+        "date DATE, etf_code STRING, asset_type STRING, stock_code STRING, stock_name STRING, shares DOUBLE, weight_pct DOUBLE, source_type STRING",
+    )
+    got = snapshots.snapshot_profile(rows)
+    assert got.columns[:3] == list(snapshots.SNAPSHOT)
+    assert {(r["date"], r["etf_code"]): r["reason"] for r in got.collect()} == {
+        (day(D), "A"): "ok", (None, "A"): "missing_or_unparseable_date", (day(D), None): "inconsistent_etf_codes",
+        (None, None): "missing_or_unparseable_date",
+    }
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [etf_code" in plan and "first_etf" not in plan and "first_date" not in plan
+    # Without these columns in the key the ends are still compared.
+    by_source = snapshots.snapshot_profile(rows.where("etf_code = 'A'"), ["source_type"])
+    assert "first_etf" in by_source._jdf.queryExecution().analyzed().toString()
+
+
 def profile(spark, fund, source, stocks, weight=10.0, shares=True):
     return [(D, fund, f"{1000 + i}", 1 if shares else None, weight, source) for i in range(stocks)]
 

@@ -60,7 +60,8 @@ def holdings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum("q").alias("q"), F.sum("c").alias("c")
     )
     # At most STOCK_BUCKETS rows per snapshot, so this window never holds a large group.
-    total = F.sum("c").over(W.partitionBy("date", "k", "source_type"))
+    # The fund leads the order, as it tells most rows of a task apart; rows of a fund stay together in what is written.
+    total = F.sum("c").over(W.partitionBy("k", "date", "source_type"))
     code = (F.lit(1000) + F.col("b")).cast("string")
     return (
         summed.withColumn("total", total)
