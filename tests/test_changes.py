@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from build import SMALL, history, rows_by
+from tidemark.functions.carried import pack, unpack
 from tidemark.operators import changes, signals, snapshots, universe
 from tidemark.plans.staging import ROWS_PER_TASK, task_count
 
@@ -222,3 +223,21 @@ def test_tasks_grow_with_the_rows(spark):
     assert [task_count(n) for n in (None, 0, 1, ROWS_PER_TASK, ROWS_PER_TASK + 1)] == [1, 1, 1, 1, 2]
     rows = spark.range(100).selectExpr("cast(id as string) as etf_code")
     assert snapshots.by_fund(rows, 7).rdd.getNumPartitions() == 7
+
+
+def test_windows_hand_on_other_columns_in_one_piece(spark, capsys):
+    h = history(spark, fund("A", {"2330": [(100, 10), (110, 10)], **flat_others(100, 110)}), [("A", "I")])
+    ranked, dates = (spark.createDataFrame([], f.schema) for f in (h.ranked, h.dates))
+    changes.holding_changes(ranked, dates).explain()
+    plan = capsys.readouterr().out
+    sorts = [line for line in plan.splitlines() if "Sort [etf_code" in line]
+    below = plan[plan.index(sorts[-1]):].splitlines()[1]
+    assert "AS carried#" in below and "confidence#" not in below.split("struct(")[0]
+    assert "max(prev_date" not in plan
+
+
+def test_packed_columns_come_back(spark):
+    rows = spark.createDataFrame([(1, "x", None), (2, None, 3.0)], "a int, b string, c double")
+    assert pack(rows, ("a",)).columns == ["a", "carried"]
+    assert unpack(pack(rows, ("a",))).exceptAll(rows).count() == 0 == rows.exceptAll(unpack(pack(rows, ("a",)))).count()
+    assert pack(rows, rows.columns).columns == rows.columns

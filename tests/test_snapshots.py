@@ -138,3 +138,19 @@ def test_oversized_snapshot_changes_nothing(spark):
     ranked = snapshots.ranked_holdings(rows, canonical)
     assert ranked.count() == 2000 and ranked.where("etf_code = 'HOT'").count() == 0
     assert ranked.exceptAll(snapshots.ranked_holdings(holdings(spark, good), canonical)).count() == 0
+
+
+def test_ranks_move_rows_once_and_send_no_entries_through_the_driver(spark, capsys, tmp_path):
+    rows = holdings(spark, [(D, "A", f"{1000 + i}", i, 1.0) for i in range(6)])
+    snapshots.canonical_snapshot(snapshots.snapshot_profile(rows)).write.parquet(f"{tmp_path}/entries")
+    ranked = snapshots.ranked_holdings(rows, spark.read.parquet(f"{tmp_path}/entries"), tasks=50)
+    ranked.explain()
+    plan = capsys.readouterr().out
+    assert "Broadcast" not in plan and plan.count("Exchange hashpartitioning") == 2
+    assert [r["stock_code"] for r in ranked.orderBy("rank").collect()] == [f"{1000 + i}" for i in range(6)]
+
+
+def test_codes_are_read_once_a_row(spark, capsys):
+    snapshots.snapshot_profile(holdings(spark, [(D, "A", "2330", 1, 1.0)])).explain()
+    plan = capsys.readouterr().out
+    assert "partial_collect_set(code_number#" in plan and plan.count("[0-9]{4}") == 1

@@ -12,9 +12,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark import schemas
+from tidemark.functions.carried import pack, unpack
 from tidemark.functions.positions import active_delta, active_delta_pct, position_class
 from tidemark.operators.snapshots import by_fund
-from tidemark.operators.streaks import with_streaks
+from tidemark.operators.streaks import STREAK_INPUT, with_streaks
 from tidemark.params import DEFAULT, Params
 
 CLASS_FIELDS = (
@@ -49,18 +50,15 @@ def paired_positions(ranked: DataFrame, dates: DataFrame, tasks: int | None = No
     days = dates.where("has_holdings").select("date", "prev_date", "date_valid", "vi")
     sides = ("stock_name", "shares", "weight_pct", "rank", "source_family")
     # A held row shows on its own date and on every date that looks back to it.
-    own = days.select(F.col("date").alias("held_on"), *days.columns, F.lit(1).alias("now"))
-    back = days.where("prev_date IS NOT NULL").select(F.col("prev_date").alias("held_on"), *days.columns, F.lit(0).alias("now"))
+    own = days.select(F.col("date").alias("held_on"), "date", F.lit(1).alias("now"))
+    back = days.where("prev_date IS NOT NULL").select(F.col("prev_date").alias("held_on"), "date", F.lit(0).alias("now"))
     held = ranked.select(F.col("date").alias("held_on"), "etf_code", "stock_code", "issuer", "ti", *sides)
     both = by_fund(held, tasks).join(F.broadcast(own.unionByName(back)), "held_on").withColumn("ti", F.when(F.col("now") == 1, F.col("ti")))
 
     def side(name: str, now: int, alias: str) -> Column:
         return F.max(F.when(F.col("now") == now, F.col(name))).alias(alias)
 
-    return both.groupBy("date", "etf_code", "stock_code").agg(
-        F.max("prev_date").alias("prev_date"),
-        F.max("date_valid").alias("date_valid"),
-        F.max("vi").alias("vi"),
+    sided = both.groupBy("date", "etf_code", "stock_code").agg(
         F.max("issuer").alias("issuer"),
         F.max("ti").alias("own_ti"),
         F.max("now").alias("in_now"),
@@ -76,6 +74,8 @@ def paired_positions(ranked: DataFrame, dates: DataFrame, tasks: int | None = No
         side("source_family", 1, "now_family"),
         side("source_family", 0, "prev_family"),
     )
+    # What depends on the date alone need not go through the aggregate.
+    return sided.join(F.broadcast(days), "date")
 
 
 def comparable_pair(
@@ -158,9 +158,9 @@ def with_fund_measures(paired: DataFrame, params: Params = DEFAULT) -> DataFrame
     same_family = F.max("now_family").over(fund) == F.max("prev_family").over(fund)
     ratio = F.when(F.col("prev_shares") > params.epsilon, F.col("shares") / F.nullif("prev_shares", F.lit(0.0)))
     overlap, size = _ratios(F.col("now_n"), F.col("prev_n"), F.col("both_n"))
+    rows = pack(paired.withColumn("ratio", ratio), ("date", "etf_code", "in_now", "in_prev", "now_family", "prev_family", "own_ti", "ratio"))
     return (
-        paired.withColumn("ratio", ratio)
-        .select(
+        unpack(rows.select(
             "*",
             now.alias("now_n"),
             prev.alias("prev_n"),
@@ -169,7 +169,7 @@ def with_fund_measures(paired: DataFrame, params: Params = DEFAULT) -> DataFrame
             F.max("own_ti").over(fund).alias("ti"),
             F.count("ratio").over(fund).alias("ratios"),
             F.median("ratio").over(fund).alias("median_ratio"),
-        )
+        ))
         .withColumn(
             "compared",
             F.col("prev_date").isNotNull() & comparable_pair(overlap, size, F.col("same_family"), params),
@@ -216,7 +216,8 @@ def holding_changes(ranked: DataFrame, dates: DataFrame, params: Params = DEFAUL
 
 def holding_changes_from_pairs(paired: DataFrame, params: Params = DEFAULT) -> DataFrame:
     classed = with_position_change(with_fund_measures(paired, params), params)
-    return compared_rows(with_streaks(classed, params))
+    wanted = {*schemas.columns(schemas.CHANGES), *STREAK_INPUT}
+    return compared_rows(with_streaks(classed.select(*[c for c in classed.columns if c in wanted]), params))
 
 
 def compared_rows(timed: DataFrame) -> DataFrame:

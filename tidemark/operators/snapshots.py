@@ -58,8 +58,8 @@ def snapshot_profile(
         "no_date": F.count_if(day.isNull()),
         "no_etf": F.count_if(_blank(etf)),
         "no_source": F.count_if(_blank(source)),
-        "bad_stock": F.count_if(stock & ~(four_digits & named)),
-        "seen_codes": F.collect_set(F.when(stock & four_digits, code.cast("int"))),
+        "bad_stock": F.count_if(stock & ~(F.col("code_number").isNotNull() & named)),
+        "seen_codes": F.collect_set("code_number"),
     }
     # A column of the key is the same in every row of a snapshot, so its two ends need no buffers.
     loose = [x for x in (("date", "date", day), ("etf", "etf_code", etf), ("source", "source_type", source)) if x[1] not in keys]
@@ -70,7 +70,9 @@ def snapshot_profile(
     # With a set among the measures Spark sorts the rows of a task by the keys in their order here. Rows of a fund mostly lie
     # together, so with the fund in front they are nearly in order already.
     order = sorted(keys, key=lambda key: key != "etf_code")
-    out = rows.groupBy(*order).agg(*[m.alias(name) for name, m in {**measures, **extra}.items()])
+    # The code is read before the aggregate, once a row: what feeds a set is not compiled there.
+    coded = rows.withColumn("code_number", F.when(stock & four_digits, code.cast("int")))
+    out = coded.groupBy(*order).agg(*[m.alias(name) for name, m in {**measures, **extra}.items()])
     if headers is not None:
         out = headers.select(*keys).distinct().join(out, list(keys), "left")
     count = F.coalesce(F.col("row_count"), F.lit(0))
@@ -171,15 +173,22 @@ def ranked_holdings(holdings: DataFrame, entries: DataFrame, tasks: int | None =
     extra = [c for c in ("issuer", "source_family", "ti") if c in entries.columns]
     in_fund = W.partitionBy("date", "etf_code").orderBy(F.col("weight_pct").desc(), "stock_code")
     rows = holdings.select("date", "etf_code", "stock_code", "stock_name", "asset_type", "shares", "weight_pct", "source_type")
-    # One join on the whole snapshot key drops the other sources and brings the entry's columns. Both sides are
-    # placed by fund, which serves the join and the ranks: rows move once.
+    # Both sides are placed by date and fund, which is all of the join's key and all of the ranks' group, so rows move once: a key
+    # with the source in it would not be met by this placing. A task hashes its own entries; without the hint Spark goes by the
+    # size of their compressed file and sends millions of them through the driver to every executor.
+    chosen = _by_snapshot(entries.select("date", "etf_code", F.col("source_type").alias("chosen"), *extra), tasks)
     return (
-        by_fund(rows, tasks).join(by_fund(entries.select(*SNAPSHOT, *extra), tasks), list(SNAPSHOT))
+        _by_snapshot(rows, tasks).join(chosen.hint("shuffle_hash"), ["date", "etf_code"])
+        .where(F.col("source_type").between(F.col("chosen"), F.col("chosen")))
         .select(*rows.columns, *extra)
         .withColumn("rank", F.row_number().over(in_fund))
     )
 
 
+def _by_snapshot(rows: DataFrame, tasks: int | None) -> DataFrame:
+    return rows.repartition(*([tasks] if tasks else []), "date", "etf_code")
+
+
 def canonical_stock_codes(holdings: DataFrame, canonical: DataFrame) -> DataFrame:
     """Set of stock codes per canonical snapshot, whatever their asset type."""
     return (

@@ -15,6 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import WindowSpec
 from pyspark.sql import functions as F
 
+from tidemark.functions.carried import pack, unpack
 from tidemark.params import DEFAULT, Params
 
 
@@ -40,6 +41,11 @@ def _last(condition: Column, fields: list[Column], frame) -> Column:
 _KINDS = {"wa": ("weight_dir", 1), "wr": ("weight_dir", -1), "sa": ("share_dir", 1), "sr": ("share_dir", -1)}
 _SIDES = {"add": "is_active_add", "reduce": "is_active_reduce"}
 _SEEDED = (*_KINDS, *_SIDES)
+# All that the streaks read of a row; its other columns only go along.
+STREAK_INPUT = (
+    "date", "prev_date", "etf_code", "stock_code", "vi", "date_valid", "ti", "in_now", "now_weight", "shares", "compared",
+    "etf_scale_factor", *_SIDES.values(),
+)
 
 
 def held_seeds(state: DataFrame) -> DataFrame:
@@ -109,7 +115,7 @@ def with_streaks(classed: DataFrame, params: Params = DEFAULT, seeds: tuple[Data
     held = F.col("in_now") == 1
     link = F.col("compared") & F.col("date_valid")
     scale = F.col("etf_scale_factor")
-    rows = classed.withColumns({f"seed_{k}": F.lit(None).cast("int") for k in _SEEDED})
+    rows = pack(classed, STREAK_INPUT).withColumns({f"seed_{k}": F.lit(None).cast("int") for k in _SEEDED})
     for seed in seeds:
         rows = rows.unionByName(seed, allowMissingColumns=True)
     anchored = with_position_anchors(rows, params)
@@ -141,7 +147,7 @@ def with_streaks(classed: DataFrame, params: Params = DEFAULT, seeds: tuple[Data
     temp = [*_KINDS, *[f"{k}_anchor" for k in _KINDS], *[f"{s}_{x}" for s in _SIDES for x in ("goes_on", "base", "start")]]
     if seeds:
         closed = closed.where(F.coalesce(*[f"seed_{k}" for k in _SEEDED]).isNull())
-    return closed.withColumns(
+    timed = closed.withColumns(
         {
             "consecutive_add_days": F.when(just_gone & (F.col("gone.weight") < -eps), F.col("gone.wa") + 1).otherwise(F.col("wa")),
             "consecutive_reduce_days": F.when(just_gone & (F.col("gone.weight") > eps), F.col("gone.wr") + 1).otherwise(F.col("wr")),
@@ -150,4 +156,5 @@ def with_streaks(classed: DataFrame, params: Params = DEFAULT, seeds: tuple[Data
             "consecutive_active_add_days": flow_days("add"),
             "consecutive_active_reduce_days": flow_days("reduce"),
         }
-    ).drop("was", "pred", "gone", "follows", "weight_dir", "share_dir", *temp, *[f"seed_{k}" for k in _SEEDED])
+    )
+    return unpack(timed).drop("was", "pred", "gone", "follows", "weight_dir", "share_dir", *temp, *[f"seed_{k}" for k in _SEEDED])

@@ -52,20 +52,24 @@ def holdings(spark: SparkSession, sf_dir: str) -> DataFrame:
     one_thin_date = (F.col("date") == F.lit("1997-07-01").cast("date")) & (F.col("k") % 3 == 0)
     on_fallback = (F.col("k") + F.quarter("date") + F.year("date")) % 7 == 0
     main_source = F.when(one_thin_date, "").when(on_fallback, "official_fallback").otherwise("moneydj_primary")
-    second_source = F.when((F.col("k") % 5 == 0) & (F.col("line") <= 3), F.lit("official_static"))
-    sourced = base.withColumn(
-        "source_type", F.explode(F.array_compact(F.array(main_source, second_source)))
+    # Both sources are summed before they part into rows, over keys and values of fixed width.
+    in_second = (F.col("k") % 5 == 0) & (F.col("line") <= 3)
+    summed = base.groupBy("date", "k", "b").agg(
+        F.sum("q").alias("q"), F.sum("c").alias("c"),
+        F.sum(F.when(in_second, F.col("q"))).alias("second_q"), F.sum(F.when(in_second, F.col("c"))).alias("second_c"),
+        F.count_if(in_second).alias("second_lines"),
     )
-    summed = sourced.groupBy("date", "k", "b", "source_type").agg(
-        F.sum("q").alias("q"), F.sum("c").alias("c")
-    )
-    # At most STOCK_BUCKETS rows per snapshot, so this window never holds a large group.
+    # At most STOCK_BUCKETS rows per fund and date, so this window never holds a large group.
     # The fund leads the order, as it tells most rows of a task apart; rows of a fund stay together in what is written.
-    total = F.sum("c").over(W.partitionBy("k", "date", "source_type"))
+    fund_day = W.partitionBy("k", "date")
+    totalled = summed.select("*", F.sum("c").over(fund_day).alias("total"), F.sum("second_c").over(fund_day).alias("second_total"))
+    main = F.struct(main_source.alias("source_type"), "q", "c", "total")
+    second = F.struct(F.lit("official_static").alias("source_type"), *[F.col(f"second_{x}").alias(x) for x in ("q", "c", "total")])
+    sources = F.when(F.col("second_lines") > 0, F.array(main, second)).otherwise(F.array(main))
+    sourced = totalled.select("date", "k", "b", F.inline(sources))
     code = (F.lit(1000) + F.col("b")).cast("string")
     return (
-        summed.withColumn("total", total)
-        .withColumn("etf_code", fund_code(F.col("k")))
+        sourced.withColumn("etf_code", fund_code(F.col("k")))
         .withColumn("stock_code", code)
         .withColumn("stock_name", F.concat(F.lit("STK"), code))
         .select(
